@@ -1,0 +1,31 @@
+"""Joins whose plan depends on a measured size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+# Rows up to which a lookup side is sent to every executor.
+BROADCAST_ROWS = 100_000
+
+
+# What a state code looks like: there can be no more than 26 * 26 of them.
+STATE_CODE = "^[A-Z]{2}$"
+
+
+def by_state(side: DataFrame) -> DataFrame:
+    """Mark a side with one row per state for broadcast; codes of any other shape are left out."""
+    return F.broadcast(side.filter(F.col("state").rlike(STATE_CODE)))
+
+
+def states_of(rows: DataFrame) -> DataFrame:
+    """The distinct state codes in a table, marked for broadcast."""
+    return by_state(rows.select("state").distinct())
+
+
+def broadcast_if_small(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a join side for broadcast only when it is known to hold at most ``max_rows`` rows.
+
+    The check stops after ``max_rows`` + 1 rows.  A larger side stays unmarked, so the join
+    shuffles both sides and AQE splits partitions that a hot key makes too large.
+    """
+    return F.broadcast(side) if side.limit(max_rows + 1).count() <= max_rows else side

@@ -10,12 +10,19 @@ SOURCE_SCHEMA = (
     "state string, tier string, poll_frequency string, data_format string, "
     "expected_latency_days double, annual_cost_usd double, delivery_model string, "
     "state_name string, time_zone string, poll_hours int, enabled boolean, "
-    "collateral_in_feed boolean, two_party_consent boolean"
+    "collateral_access string, two_party_consent boolean"
 )
 
 
-def source_dimension(spark: SparkSession, disabled: tuple[str, ...] = ()) -> DataFrame:
-    """All 51 jurisdictions; a fixed-size table that is safe to broadcast."""
+def source_dimension(
+    spark: SparkSession, disabled: tuple[str, ...] = (), collateral_access: dict[str, str] | None = None
+) -> DataFrame:
+    """All 51 jurisdictions; a fixed-size table that is safe to broadcast.
+
+    ``collateral_access`` overrides what is known about the collateral text of a state's feed:
+    ``in_feed``, ``not_in_feed``, ``image_only`` or ``paid_retrieval_required``.
+    """
+    access = dict.fromkeys(fixed.NO_COLLATERAL_IN_FEED, "not_in_feed") | (collateral_access or {})
     direct = {row[0]: row[1:] for row in fixed.DIRECT_SOURCES}
     rows = []
     for state, name, zone in fixed.JURISDICTIONS:
@@ -28,7 +35,7 @@ def source_dimension(spark: SparkSession, disabled: tuple[str, ...] = ()) -> Dat
                 zone,
                 fixed.FREQUENCY_HOURS[source[1]],
                 state not in disabled,
-                state not in fixed.NO_COLLATERAL_IN_FEED,
+                access.get(state, "in_feed"),
                 state in fixed.TWO_PARTY_CONSENT,
             )
         )

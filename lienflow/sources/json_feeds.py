@@ -56,16 +56,21 @@ def _parse(records: DataFrame, keys: list[str]) -> DataFrame:
     return records.withColumn("parsed", parsed)
 
 
+def _filled(key: str) -> Column:
+    """A key's text; the number zero, false and empty containers count as missing, the text "0" does not.
+
+    Only a value that looks empty is looked up again with its type.
+    """
+    text = F.col("parsed")[key]
+    typed = F.schema_of_variant(F.try_variant_get(F.try_parse_json(F.col("record")), f"$.{key}", "variant"))
+    return F.when(~text.isin("0", "0.0", "false", "[]", "{}") | (typed == "STRING"), text)
+
+
 def map_bulk(records: DataFrame, state: Column | str, keys: dict[str, str] | None = None) -> DataFrame:
     """Records of a bulk feed; zero and false count as missing, as blank text does."""
     keys = keys or fixed.BULK_JSON_KEYS
     rows = _parse(records, list(keys.values()))
-
-    def value(key: str) -> Column:
-        text = F.col("parsed")[key]
-        return F.when(~text.isin("0", "0.0", "false", "[]", "{}"), text)
-
-    fields = {field: value(key) for field, key in keys.items()}
+    fields = {field: _filled(key) for field, key in keys.items()}
     return feed_records(rows, fields, state, "state_bulk", F.col("record"))
 
 
@@ -89,7 +94,7 @@ def map_commercial(records: DataFrame, state: Column | str) -> DataFrame:
     party_type = _struct_of(sum(fixed.PARTY_KEYS.values(), []), T.StringType())
 
     def flat(key: str) -> Column:
-        text = clean(F.col("parsed")[key])
+        text = clean(_filled(key))
         return F.when(~text.startswith("{"), text)
 
     def inner(party: str, part: str) -> list[Column]:

@@ -50,10 +50,14 @@ def feed_records(rows: DataFrame, fields: dict[str, Column], state: Column | str
 
 def has_key() -> Column:
     """True for a record that can be stored."""
-    return F.coalesce(clean(F.col("filing_number")) != "UNKNOWN", F.lit(False)) & F.col("state").isNotNull()
+    return _has_state() & F.coalesce(clean(F.col("filing_number")) != "UNKNOWN", F.lit(False))
+
+
+def _has_state() -> Column:
+    return F.coalesce(F.col("state").rlike("^[A-Z]{2}$"), F.lit(False))
 
 
 def split_keyed(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Records that can be stored, and rejects with the reason why they cannot."""
-    reason = F.when(F.col("state").isNull(), "missing_state").otherwise("missing_filing_number")
+    reason = F.when(~_has_state(), "no_state_code").otherwise("missing_filing_number")
     return records.filter(has_key()), records.filter(~has_key()).withColumn("reject_reason", reason)
