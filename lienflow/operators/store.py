@@ -27,7 +27,7 @@ class FilingStore:
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
-    def read(self, table: str, schema: T.StructType) -> DataFrame:
+    def read(self, table: str, schema: T.StructType | str) -> DataFrame:
         """A table, empty before its first write."""
         try:
             return self.spark.read.schema(schema).parquet(self.path(table))

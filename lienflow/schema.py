@@ -33,33 +33,26 @@ FILING_SCHEMA = T.StructType([T.StructField(f, _type_of(f)) for f in FILING_FIEL
 # A record as a feed delivers it: every mapped field is still text.
 FEED_FIELDS = [f for f in FILING_FIELDS if f not in TIME_FIELDS]
 
-RUN_SCHEMA = T.StructType.fromDDL(
+RUN_SCHEMA = (
     "run_id string, state string, source_tier string, started_at timestamp, completed_at timestamp, "
     "records_fetched long, records_new long, records_updated long, records_skipped long, "
     "status string, error_message string, recorded_at timestamp"
 )
 
-ACTIVITY_SCHEMA = T.StructType.fromDDL(
+ACTIVITY_SCHEMA = (
     "timestamp timestamp, state string, phase string, action_type string, description string, "
     "url string, details string, outcome string, next_steps string, confidence string"
 )
 
-CALL_SCHEMA = T.StructType.fromDDL(
-    "id string, state string, state_name string, phone_number string, agency_name string, "
-    "questions array<string>, priority string, script_reference string, status string, "
-    "retry_count int, max_retries int, created_at timestamp, approved_at timestamp, "
-    "last_attempt_at timestamp, completed_at timestamp, outcome string, notes string"
+CALL_QUEUE_SCHEMA = (
+    "description string, last_updated timestamp, calls array<struct<"
+    "id:string, state:string, state_name:string, phone_number:string, agency_name:string, "
+    "questions:array<string>, priority:string, script_reference:string, status:string, "
+    "retry_count:int, max_retries:int, created_at:timestamp, approved_at:timestamp, "
+    "last_attempt_at:timestamp, completed_at:timestamp, outcome:string, notes:string>>"
 )
 
-CALL_QUEUE_SCHEMA = T.StructType(
-    [
-        T.StructField("description", T.StringType()),
-        T.StructField("last_updated", T.TimestampType()),
-        T.StructField("calls", T.ArrayType(CALL_SCHEMA)),
-    ]
-)
-
-TRANSCRIPT_SCHEMA = T.StructType.fromDDL(
+TRANSCRIPT_SCHEMA = (
     "state string, date string, call_id string, duration double, status string, completed boolean, "
     "concatenated_transcript string, saved_at timestamp"
 )
