@@ -7,43 +7,29 @@ from functools import reduce
 from pyspark.sql import Column, functions as F
 
 from lienflow import fixed_values as fixed
-from lienflow.functions.text import clean
-
-# Accepted shapes of a numeric date and how to rewrite each as year-month-day.
-# Years of two digits from 69 on belong to the last century.
-NUMERIC_SHAPES = [
-    (r"^(\d{4}-\d{2}-\d{2})$", "$1"),
-    (r"(?s)^(\d{4}-\d{1,2}-\d{1,2})T.*$", "$1"),
-    (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$1-$2"),
-    (r"^(\d{1,2})-(\d{1,2})-(\d{4})$", "$3-$1-$2"),
-    (r"^(\d{4})(1[0-2]|0[1-9]|[1-9])(3[01]|[12]\d|0?[1-9])$", "$1-$2-$3"),
-    (r"^(\d{1,2})/(\d{1,2})/(69|[7-9]\d)$", "19$3-$1-$2"),
-    (r"^(\d{1,2})/(\d{1,2})/([0-5]\d|6[0-8])$", "20$3-$1-$2"),
+from lienflow.functions.text import strip
+
+# Accepted shapes of a date and how each reads as year-month-day after a "=".
+# A month is a number or the first three letters of its name.  Years of two digits from 69 on
+# belong to the last century.
+DATE_SHAPES = [
+    (r"(?s)^((?!0000)\d{4})-(?:(\d{2})-(\d{2})|(\d{1,2})-(\d{1,2})T.*)$", "=$1-$2$4-$3$5"),
+    (r"^(\d{1,2})([/-])(\d{1,2})\2((?!0000)\d{4})$", "=$4-$1-$3"),
+    (r"^((?!0000)\d{4})(1[0-2]|0[1-9]|[1-9])(3[01]|[12]\d|0?[1-9])$", "=$1-$2-$3"),
+    (r"^(\d{1,2})/(\d{1,2})/(69|[7-9]\d)$", "=19$3-$1-$2"),
+    (r"^(\d{1,2})/(\d{1,2})/([0-5]\d|6[0-8])$", "=20$3-$1-$2"),
+    (r"^(?:(\d{1,2})-([A-Za-z]{3})-|([A-Za-z]{3})\s+(\d{1,2}),\s+)((?!0000)\d{4})$", "=$5-$2$3-$1$4"),
 ]
-# Accepted shapes of a date with a month name, rewritten as year-month-day.
-NAMED_SHAPES = [
-    (r"^(\d{1,2})-([A-Za-z]{3})-(\d{4})$", "$3-$2-$1"),
-    (r"^([A-Za-z]{3})\s+(\d{1,2}),\s+(\d{4})$", "$3-$1-$2"),
-]
-
-
-def _reshape(value: Column, shapes: list[tuple[str, str]]) -> Column:
-    chain = reduce(
-        lambda so_far, shape: so_far.when(value.rlike(shape[0]), F.regexp_replace(value, *map(F.lit, shape))),
-        shapes,
-        F,
-    )
-    return chain.otherwise(F.lit(None).cast("string"))
 
 
 def normalize_date(value: Column) -> Column:
-    """The date in any accepted shape, null when the text is no valid date."""
-    text = clean(value)
-    parsed = F.coalesce(
-        F.try_to_date(_reshape(text, NUMERIC_SHAPES), "yyyy-M-d"),
-        F.try_to_date(F.initcap(_reshape(text, NAMED_SHAPES)), "yyyy-MMM-d"),
-    )
-    return F.when(parsed >= F.lit("0001-01-01").cast("date"), parsed)
+    """The date in any accepted shape, null when the text is no valid date.
+
+    Each shape rewrites its own texts only, and what no shape fits lacks the "=" that the parser asks for.
+    """
+    text = F.translate(strip(value), "=", " ")
+    marked = reduce(lambda so_far, shape: F.regexp_replace(so_far, *shape), DATE_SHAPES, text)
+    return F.try_to_date(marked, "'='yyyy-[MMM][M]-d")
 
 
 def is_before(filing_date: Column, since: Column) -> Column:

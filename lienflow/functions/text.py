@@ -47,11 +47,9 @@ def normalize_status(value: Column) -> Column:
 
 def normalize_zip(value: Column) -> Column:
     digits = F.regexp_replace(value, "[^0-9]", "")
-    return (
-        F.when(F.length(digits) == 9, F.concat_ws("-", F.left(digits, F.lit(5)), F.right(digits, F.lit(4))))
-        .when(F.length(digits) >= 5, F.left(digits, F.lit(5)))
-        .otherwise(clean(value))
-    )
+    plus_four = F.regexp_replace(digits, r"^(\d{5})(\d{4})$", "$1-$2")
+    short = F.regexp_replace(plus_four, r"^(\d{5})\d+$", "$1")
+    return F.when(F.length(short) >= 5, short).otherwise(clean(value))
 
 
 def normalize_state(value: Column) -> Column:

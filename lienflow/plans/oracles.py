@@ -330,8 +330,8 @@ SELECT strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderkey, o_orderstat
   ORDER BY o_orderdate, o_orderkey LIMIT 250)""",
     "three_file_merge": f"""
 WITH secured AS (
-  SELECT l_orderkey, count(*) AS n, arg_min(s_name, l_linenumber * 1000000000 + l_suppkey) AS name,
-    arg_min(s_nationkey, l_linenumber * 1000000000 + l_suppkey) AS nation
+  SELECT l_orderkey, count(*) AS n, arg_min(s_name, (l_linenumber, l_suppkey)) AS name,
+    arg_min(s_nationkey, (l_linenumber, l_suppkey)) AS nation
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY l_orderkey)
 SELECT o_orderkey AS "DocNumber", o_orderstatus AS "Status", cast(1 AS bigint) AS n_debtor, c_name AS debtor_name,
   {S}[c_nationkey + 1] AS debtor_state, coalesce(n, 0) AS n_secured_party, name AS secured_party_name,
@@ -432,9 +432,9 @@ SELECT cast(k AS varchar) AS id, state, priority FROM now
 WHERE status = 'approved' AND state NOT IN (SELECT state FROM now WHERE tries IS NOT NULL)
   AND timestamp '2024-01-15 17:00:00' - to_hours({OFFSET}) BETWEEN timestamp '2024-01-15 09:00:00' AND timestamp '2024-01-15 16:30:00'""",
     "approved_calls": f"""
-WITH {CALLS}, given AS (SELECT event_id AS k, max(ts) AS at FROM events WHERE event_type = 'signup' GROUP BY 1)
-SELECT cast(queue.k AS varchar) AS id, CASE WHEN at IS NOT NULL THEN 'approved' ELSE status END AS status,
-  strftime(at, '%Y-%m-%d %H:%M:%S') AS approved_at FROM queue LEFT JOIN given USING (k)""",
+WITH {CALLS}, given AS (SELECT event_id AS k, max(ts) AS given_at FROM events WHERE event_type = 'signup' GROUP BY 1)
+SELECT cast(queue.k AS varchar) AS id, CASE WHEN given_at IS NOT NULL THEN 'approved' ELSE status END AS status,
+  strftime(given_at, '%Y-%m-%d %H:%M:%S') AS approved_at FROM queue LEFT JOIN given USING (k)""",
     "next_windows": f"""
 WITH {CALLS} SELECT cast(k AS varchar) AS id, state, strftime(CASE
     WHEN timestamp '2024-01-12 22:00:00' - to_hours({OFFSET}) <= timestamp '2024-01-12 16:30:00'
