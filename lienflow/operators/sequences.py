@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # A key with more rows than this is spread over several tasks.
 HOT_ROWS = 1_000_000
+# Rows of hot keys that one piece should hold, and the bounds on the number of pieces.
+PIECE_ROWS = 250_000
+MIN_PIECES, MAX_PIECES = 8, 50_000
 
 
 def _order(columns: list[str]) -> list[Column]:
@@ -43,7 +46,7 @@ def with_previous(
         return rows.withColumn(name, plain)
     listed = F.broadcast(hot.select(*keys))
     few = rows.join(listed, keys, "left_anti").withColumn(name, plain)
-    pieces = 2 * (totals["rows"] // hot_rows + 1)
+    pieces = min(max(totals["rows"] // PIECE_ROWS, MIN_PIECES), MAX_PIECES)
     many = _spread_previous(rows.join(listed, keys, "left_semi"), keys, order, value, name, pieces)
     return few.unionByName(many)
 

@@ -20,10 +20,9 @@ HUMAN_CHARS = 50
 
 
 def _is_asked(line: Column, question: str) -> Column:
-    """True when the line holds at least half of the question's telling words."""
+    """True when the lower-case line holds at least half of the question's telling words."""
     words = sorted(set(question.lower().split()) - set(fixed.QUESTION_STOP_WORDS))
-    text = F.lower(line)
-    found = reduce(add, [text.contains(w).cast("int") for w in words], F.lit(0))
+    found = reduce(add, [line.contains(w).cast("int") for w in words], F.lit(0))
     return found * 2 >= len(words)
 
 
@@ -33,15 +32,9 @@ def answers_in_lines(lines: DataFrame, questions: list[str]) -> DataFrame:
     The first matching line is a minimum per call, and the lines after it are fetched by an equi-join
     on call and line number, so even a call that holds most of the lines is spread over all tasks.
     """
-    hits = [
-        F.min(F.when(_is_asked(F.col("text"), q), F.col("line_no"))).alias(f"hit_{i}") for i, q in enumerate(questions)
-    ]
-    asked = F.array(
-        *[
-            F.struct(F.lit(i).alias("question_no"), question_key(F.lit(q)).alias("question_key"), F.col(f"hit_{i}").alias("hit"))
-            for i, q in enumerate(questions)
-        ]
-    )
+    lower = F.lower("text")
+    hits = [F.min(F.when(_is_asked(lower, q), F.col("line_no"))).alias(f"hit_{i}") for i, q in enumerate(questions)]
+    asked = F.array(*[F.struct(*_question(i, q), F.col(f"hit_{i}").alias("hit")) for i, q in enumerate(questions)])
     found = lines.groupBy("call_id").agg(*hits).select("call_id", F.explode(asked).alias("asked"))
     found = found.select("call_id", "asked.*")
     following = found.filter("hit is not null").select(
@@ -57,25 +50,26 @@ def answers_in_lines(lines: DataFrame, questions: list[str]) -> DataFrame:
     )
 
 
-def answer_in_text(transcript: Column, question: str) -> Column:
-    """The answer from a whole transcript in one column; no shuffle at all."""
-    lines = F.split(transcript, "\n")
-    hit = F.array_position(F.transform(lines, lambda line: _is_asked(line, question)), F.lit(True))
-    after = F.transform(F.slice(lines, (hit + 1).cast("int"), ANSWER_LINES), clean)
-    said = F.nullif(F.array_join(after, " "), F.lit(""))
-    return F.when(hit > 0, said)
+def _question(number: int, question: str) -> list[Column]:
+    return [F.lit(number).alias("question_no"), question_key(F.lit(question)).alias("question_key")]
 
 
 def answers_in_text(calls: DataFrame, transcript: str, questions: list[str]) -> DataFrame:
-    """Calls with a map from question key to answer; of questions with equal keys the last one counts."""
-    entries = [F.struct(question_key(F.lit(q)).alias("k"), answer_in_text(F.col(transcript), q).alias("v")) for q in questions]
-    keys = F.transform(F.array(*entries), lambda e: e["k"])
-    values = F.transform(F.array(*entries), lambda e: e["v"])
-    last = F.transform(
-        F.array_distinct(keys),
-        lambda k: F.struct(k.alias("k"), F.element_at(F.filter(F.arrays_zip(keys, values), lambda e: e["0"] == k), -1)["1"].alias("v")),
-    )
-    return calls.withColumn("answers", F.map_from_entries(last))
+    """Calls with the answers from a transcript in one column, as an array with one entry per question.
+
+    Works row by row, without any shuffle.
+    """
+    lines = F.split(transcript, "\n")
+    split = calls.withColumns({"_lines": lines, "_lower": F.transform(lines, F.lower)})
+
+    def answer(question: str) -> Column:
+        asked = F.transform("_lower", lambda line: _is_asked(line, question))
+        hit = F.array_position(asked, F.lit(True))
+        after = F.transform(F.slice("_lines", (hit + 1).cast("int"), ANSWER_LINES), clean)
+        return F.when(hit > 0, F.nullif(F.array_join(after, " "), F.lit("")))
+
+    entries = [F.struct(*_question(i, q), answer(q).alias("answer")) for i, q in enumerate(questions)]
+    return split.withColumn("answers", F.array(*entries)).drop("_lines", "_lower")
 
 
 def call_outcomes(calls: DataFrame) -> DataFrame:
@@ -93,11 +87,11 @@ def transcript_sizes(lines: DataFrame) -> DataFrame:
 def merge_requirements(requirements: DataFrame, answers: DataFrame) -> DataFrame:
     """Known requirements (``state``, ``question_key``, ``answer``) with newer answers put over them.
 
-    ``answers`` carries ``state``, ``question_key``, ``answer`` and ``called_at``.  The latest call wins per
+    ``answers`` carries ``state``, ``question_key``, ``question_no``, ``answer`` and ``called_at``.  The latest call wins per
     question, also with an empty answer; only states that are already listed are updated.
     """
     listed = requirements.groupBy("state", "question_key").agg(F.max("answer").alias("old"))
-    newest = F.max(F.struct("called_at", "answer")).alias("new")
+    newest = F.max(F.struct("called_at", "question_no", "answer")).alias("new")
     latest = answers.groupBy("state", "question_key").agg(newest)
     latest = latest.join(requirements.select("state"), "state", "left_semi")
     merged = listed.join(latest, ["state", "question_key"], "full_outer")

@@ -740,7 +740,7 @@ def answer_extraction_text(spark, sf_dir):
     """Answers from whole documents, read as transcripts."""
     documents = table(spark, sf_dir, "documents")
     answered = transcripts.answers_in_text(documents, "text", QUESTIONS)
-    return answered.select("doc_id", F.explode("answers").alias("question_key", "answer"))
+    return answered.select("doc_id", F.inline("answers")).drop("question_no")
 
 
 @query
@@ -754,7 +754,7 @@ def call_outcomes(spark, sf_dir):
 def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     answers = transcripts.answers_in_lines(inputs.transcript_lines(spark, sf_dir), QUESTIONS)
     called_at = F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(mins=F.col("call_id").cast("int"))
-    return answers.select(inputs.state_of(F.col("call_id") % 25).alias("state"), "question_key", "answer", called_at.alias("called_at"))
+    return answers.select(inputs.state_of(F.col("call_id") % 25).alias("state"), "question_no", "question_key", "answer", called_at.alias("called_at"))
 
 
 @query

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from lienflow import fixed_values as fixed
-from lienflow.functions.text import clean, first_clean
+from lienflow.functions.text import first_clean
 from lienflow.sources.records import arrival, feed_records
 
 
@@ -52,18 +52,20 @@ def _arrival_of(rows: DataFrame) -> list[Column]:
 
 
 def _parse(records: DataFrame, keys: list[str]) -> DataFrame:
-    parsed = F.from_json(F.col("record"), _struct_of(keys, T.StringType()))
+    """The needed keys of each record, read in one go and with their types."""
+    parsed = F.from_json(F.col("record"), _struct_of(keys, T.VariantType()))
     return records.withColumn("parsed", parsed)
 
 
-def _filled(key: str) -> Column:
-    """A key's text; the number zero, false and empty containers count as missing, the text "0" does not.
+def _text(key: str, path: str = "$") -> Column:
+    return F.try_variant_get(F.col("parsed")[key], path, "string")
 
-    Only a value that looks empty is looked up again with its type.
-    """
-    text = F.col("parsed")[key]
-    typed = F.schema_of_variant(F.try_variant_get(F.try_parse_json(F.col("record")), f"$.{key}", "variant"))
-    return F.when(~text.isin("0", "0.0", "false", "[]", "{}") | (typed == "STRING"), text)
+
+def _filled(key: str) -> Column:
+    """A key's text; the number zero, false and empty containers count as missing, the text "0" does not."""
+    looks_empty = _text(key).isin("0", "0.0", "false", "[]", "{}")
+    is_text = F.schema_of_variant(F.col("parsed")[key]) == "STRING"
+    return F.when(~looks_empty | is_text, _text(key))
 
 
 def map_bulk(records: DataFrame, state: Column | str, keys: dict[str, str] | None = None) -> DataFrame:
@@ -78,7 +80,7 @@ def map_open_data(records: DataFrame, state: str) -> DataFrame:
     """Records of an open-data page; a time after the date is cut off."""
     keys = fixed.OPEN_DATA_KEYS[state]
     rows = _parse(records, sum(keys.values(), []))
-    fields = {field: first_clean(*[F.col("parsed")[key] for key in names]) for field, names in keys.items()}
+    fields = {field: first_clean(*map(_text, names)) for field, names in keys.items()}
     return feed_records(rows, _cut_times(fields), state, "open_api", F.col("record"))
 
 
@@ -91,15 +93,13 @@ def map_commercial(records: DataFrame, state: Column | str) -> DataFrame:
     """Records of a commercial page: the first key with text wins, then the nested party objects."""
     nested = sum(fixed.COMMERCIAL_PARTIES.values(), [])
     rows = _parse(records, sum(fixed.COMMERCIAL_KEYS.values(), nested))
-    party_type = _struct_of(sum(fixed.PARTY_KEYS.values(), []), T.StringType())
 
     def flat(key: str) -> Column:
-        text = clean(_filled(key))
-        return F.when(~text.startswith("{"), text)
+        may_nest = key in nested
+        return F.when(~_text(key).startswith("{"), _filled(key)) if may_nest else _filled(key)
 
     def inner(party: str, part: str) -> list[Column]:
-        objects = [F.from_json(F.col("parsed")[key], party_type) for key in fixed.COMMERCIAL_PARTIES[party]]
-        return [found[key] for found in objects for key in fixed.PARTY_KEYS[part]]
+        return [_text(key, f"$.{name}") for key in fixed.COMMERCIAL_PARTIES[party] for name in fixed.PARTY_KEYS[part]]
 
     fields = {field: [flat(key) for key in keys] for field, keys in fixed.COMMERCIAL_KEYS.items()}
     for party in fixed.COMMERCIAL_PARTIES:
