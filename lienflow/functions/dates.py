@@ -1,12 +1,9 @@
-"""Date and office-hour columns."""
+"""Date and office-hour expressions."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, functions as F
-
 from lienflow import fixed_values as fixed
+from lienflow.functions.sql import replace_all
 from lienflow.functions.text import strip
 
 # Accepted shapes of a date and how each reads as year-month-day after a "=".
@@ -22,44 +19,41 @@ DATE_SHAPES = [
 ]
 
 
-def normalize_date(value: Column) -> Column:
+def normalize_date(value: str) -> str:
     """The date in any accepted shape, null when the text is no valid date.
 
     Each shape rewrites its own texts only, and what no shape fits lacks the "=" that the parser asks for.
     """
-    text = F.translate(strip(value), "=", " ")
-    marked = reduce(lambda so_far, shape: F.regexp_replace(so_far, *shape), DATE_SHAPES, text)
-    return F.try_to_date(marked, "'='yyyy-[MMM][M]-d")
+    marked = replace_all(f"translate({strip(value)}, '=', ' ')", *DATE_SHAPES)
+    return f"try_to_date({marked}, '\\'=\\'yyyy-[MMM][M]-d')"
 
 
-def is_before(filing_date: Column, since: Column) -> Column:
+def is_before(filing_date: str, since: str) -> str:
     """True only when both dates are readable and the first is earlier; text or dates."""
 
-    def read(day: Column) -> Column:
-        return F.try_to_date(F.left(day.cast("string"), F.lit(10)), "yyyy-M-d")
+    def read(day: str) -> str:
+        return f"try_to_date(left(cast({day} AS string), 10), 'yyyy-M-d')"
 
-    return F.coalesce(read(filing_date) < read(since), F.lit(False))
+    return f"coalesce({read(filing_date)} < {read(since)}, false)"
 
 
-def _hours(clock: str) -> Column:
-    hour, minute = clock.split(":")
-    return F.make_dt_interval(hours=F.lit(int(hour)), mins=F.lit(int(minute)))
+def _clock(time: str) -> str:
+    return f"interval '{time}' hour to minute"
 
 
-def within_office_hours(moment: Column, zone: Column) -> Column:
+def within_office_hours(moment: str, zone: str) -> str:
     """True when the moment falls in office hours of the zone; false for an unknown zone."""
-    local = F.from_utc_timestamp(moment, zone)
-    day = F.date_trunc("day", local)
-    opened = local.between(day + _hours(fixed.OFFICE_OPENS), day + _hours(fixed.OFFICE_CLOSES))
-    return F.coalesce(opened & (F.weekday(local) < 5), F.lit(False))
+    local = f"from_utc_timestamp({moment}, {zone})"
+    day = f"date_trunc('day', {local})"
+    opened = f"{local} BETWEEN {day} + {_clock(fixed.OFFICE_OPENS)} AND {day} + {_clock(fixed.OFFICE_CLOSES)}"
+    return f"coalesce(({opened}) AND weekday({local}) < 5, false)"
 
 
-def next_office_moment(moment: Column, zone: Column) -> Column:
+def next_office_moment(moment: str, zone: str) -> str:
     """The moment itself in office hours, else the next weekday opening; null for an unknown zone."""
-    local = F.from_utc_timestamp(moment, zone)
-    opening = F.date_trunc("day", local) + _hours(fixed.OFFICE_OPENS)
-    days_on = F.when(opening <= local, 1).otherwise(0)
-    weekday = F.pmod(F.weekday(local) + days_on, F.lit(7))
-    weekend = F.when(weekday == 5, 2).when(weekday == 6, 1).otherwise(0)
-    later = F.to_utc_timestamp(opening + F.make_dt_interval(days=days_on + weekend), zone)
-    return F.when(within_office_hours(moment, zone), moment).otherwise(later)
+    local = f"from_utc_timestamp({moment}, {zone})"
+    today = f"date_trunc('day', {local}) + {_clock(fixed.OFFICE_OPENS)}"
+    opening = f"if({today} > {local}, {today}, {today} + interval 1 day)"
+    weekend = f"CASE weekday({opening}) WHEN 5 THEN interval 2 day WHEN 6 THEN interval 1 day ELSE interval 0 day END"
+    later = f"to_utc_timestamp({opening} + {weekend}, {zone})"
+    return f"if({within_office_hours(moment, zone)}, {moment}, {later})"

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from lienflow.functions.dates import normalize_date
+from lienflow.functions.sql import name
 from lienflow.functions.text import (
     normalize_filing_type,
     normalize_name,
@@ -14,7 +15,7 @@ from lienflow.functions.text import (
 )
 
 
-def _upper_name(value: Column) -> Column:
+def _upper_name(value: str) -> str:
     return normalize_name(value, uppercase=True)
 
 
@@ -39,5 +40,9 @@ NORMALIZERS = {
 
 def normalize_filings(filings: DataFrame) -> DataFrame:
     """Normalize every field that is present; one projection, no shuffle."""
-    present = [field for field in NORMALIZERS if field in filings.columns]
-    return filings.withColumns({field: NORMALIZERS[field](F.col(field)) for field in present})
+
+    def field(column: str) -> str:
+        quoted = name(column)
+        return f"{NORMALIZERS[column](quoted)} AS {quoted}" if column in NORMALIZERS else quoted
+
+    return filings.selectExpr(*map(field, filings.columns))

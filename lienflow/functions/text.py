@@ -1,76 +1,65 @@
-"""Text columns: trimming, lookups, names, codes, postal fields and search keys."""
+"""Text expressions: trimming, names, codes, postal fields and search keys."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, functions as F
-
 from lienflow import fixed_values as fixed
+from lienflow.functions.sql import coalesce, listing, lookup, quote, replace_all
 
 
-def strip(value: Column) -> Column:
+def strip(value: str) -> str:
     """Trim every Unicode white-space character, not only the blank."""
-    return F.btrim(value, F.lit(fixed.WHITESPACE))
+    return f"btrim({value}, {quote(fixed.WHITESPACE)})"
 
 
-def clean(value: Column) -> Column:
+def clean(value: str) -> str:
     """Trimmed text, or null when nothing is left."""
-    return F.nullif(strip(value), F.lit(""))
+    return f"nullif({strip(value)}, '')"
 
 
-def first_clean(*values: Column) -> Column:
+def first_clean(*values: str) -> str:
     """The first value that is not blank, trimmed."""
-    return F.coalesce(*[clean(v) for v in values])
-
-
-def lookup(key: Column, table: dict[str, str]) -> Column:
-    """The table's value for a key, null for an unknown key."""
-    pairs = [F.lit(text) for pair in table.items() for text in pair]
-    return F.create_map(*pairs)[key]
+    return coalesce(*map(clean, values))
 
 
-def normalize_name(value: Column, uppercase: bool = False) -> Column:
-    name = F.nullif(F.trim(F.regexp_replace(value, r"(?U)[\s\x1C-\x1F]+", " ")), F.lit(""))
-    return F.upper(name) if uppercase else name
+def normalize_name(value: str, uppercase: bool = False) -> str:
+    one_blank = replace_all(value, (r"(?U)[\s\x1C-\x1F]+", " "))
+    text = f"nullif(trim({one_blank}), '')"
+    return f"upper({text})" if uppercase else text
 
 
-def normalize_filing_type(value: Column) -> Column:
-    code = F.upper(clean(value))
-    return F.coalesce(lookup(F.translate(code, "- ", ""), fixed.FILING_TYPES), code)
+def normalize_filing_type(value: str) -> str:
+    code = f"upper({clean(value)})"
+    return coalesce(lookup(f"translate({code}, '- ', '')", fixed.FILING_TYPES), code)
 
 
-def normalize_status(value: Column) -> Column:
+def normalize_status(value: str) -> str:
     text = clean(value)
-    return F.coalesce(lookup(F.upper(text), fixed.STATUSES), F.lower(text))
+    return coalesce(lookup(f"upper({text})", fixed.STATUSES), f"lower({text})")
 
 
-def normalize_zip(value: Column) -> Column:
-    digits = F.regexp_replace(value, "[^0-9]", "")
-    plus_four = F.regexp_replace(digits, r"^(\d{5})(\d{4})$", "$1-$2")
-    short = F.regexp_replace(plus_four, r"^(\d{5})\d+$", "$1")
-    return F.when(F.length(short) >= 5, short).otherwise(clean(value))
+def normalize_zip(value: str) -> str:
+    """Five digits or five plus four; with fewer than five digits the text stays as it is."""
+    short = replace_all(value, ("[^0-9]", ""), (r"^(\d{5})(\d{4})$", "$1-$2"), (r"^(\d{5})\d+$", "$1"))
+    return f"if(length({short}) >= 5, {short}, {clean(value)})"
 
 
-def normalize_state(value: Column) -> Column:
-    return F.upper(clean(value))
+def normalize_state(value: str) -> str:
+    return f"upper({clean(value)})"
 
 
-def question_key(question: Column) -> Column:
+def question_key(question: str) -> str:
     """A short key: the first four telling words joined by underscores."""
-    bare = F.regexp_replace(F.lower(question), r"(?U)[^\w\s]", "")
-    words = F.split(normalize_name(bare), " ")
-    telling = F.filter(words, lambda word: ~word.isin(fixed.KEY_STOP_WORDS))
-    return F.coalesce(F.nullif(F.array_join(F.slice(telling, 1, 4), "_"), F.lit("")), F.lit("unknown"))
+    bare = normalize_name(replace_all(f"lower({question})", (r"(?U)[^\w\s]", "")))
+    telling = f"filter(split({bare}, ' '), word -> word NOT IN ({listing(fixed.KEY_STOP_WORDS)}))"
+    return coalesce(f"nullif(array_join(slice({telling}, 1, 4), '_'), '')", "'unknown'")
 
 
-def search_key(name: Column) -> Column:
+def search_key(name: str) -> str:
     """The form under which a debtor name is searched.
 
     Case, accents, punctuation and spaces do not count, nor do "the" at either end and ending noise words.
     """
-    plain = F.translate(F.upper(normalize_name(name)), fixed.ACCENTED, fixed.PLAIN)
-    words = normalize_name(F.regexp_replace(plain, r"[^\p{L}\p{N}\s]", ""))
-    noise = "|".join(fixed.NAME_NOISE_WORDS)
-    rules = [r"^THE ", rf"( ({noise}|THE))+$", " "]
-    return F.nullif(reduce(lambda text, rule: F.regexp_replace(text, rule, ""), rules, words), F.lit(""))
+    plain = f"translate({normalize_name(name, True)}, {quote(fixed.ACCENTED)}, {quote(fixed.PLAIN)})"
+    words = normalize_name(replace_all(plain, (r"[^\p{L}\p{N}\s]", "")))
+    endings = "|".join([*fixed.NAME_NOISE_WORDS, "THE"])
+    return f"nullif({replace_all(words, ('^THE ', ''), (f'( ({endings}))+$', ''), (' ', ''))}, '')"

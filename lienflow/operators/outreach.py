@@ -1,4 +1,7 @@
-"""The call queue: which calls are ready, how attempts change them, and what the queue holds."""
+"""The call queue: which calls are ready, how attempts change them, and what the queue holds.
+
+``as_of`` is a SQL expression, such as ``current_timestamp()``.
+"""
 
 from __future__ import annotations
 
@@ -16,20 +19,18 @@ def _with_zone(calls: DataFrame, sources: DataFrame) -> DataFrame:
     return calls.join(F.broadcast(sources.select("state", "time_zone")), "state", "left")
 
 
-def states_attempted(calls: DataFrame, as_of: Column) -> DataFrame:
+def states_attempted(calls: DataFrame, as_of: str) -> DataFrame:
     """States with an attempt on the UTC day of ``as_of``."""
-    today = F.to_date("last_attempt_at") == F.to_date(as_of)
-    return calls.filter(today).select("state").distinct()
+    return calls.filter(f"to_date(last_attempt_at) = to_date({as_of})").select("state").distinct()
 
 
-def ready_calls(calls: DataFrame, sources: DataFrame, as_of: Column) -> DataFrame:
+def ready_calls(calls: DataFrame, sources: DataFrame, as_of: str) -> DataFrame:
     """Approved calls to make now, by priority: in office hours, and no call to the state yet today.
 
     Only states of the dimension have office hours, so the list of attempted states is never longer than it.
     """
-    open_now = _with_zone(calls.filter("status = 'approved'"), sources).filter(
-        within_office_hours(as_of, F.col("time_zone"))
-    )
+    approved = _with_zone(calls.filter("status = 'approved'"), sources)
+    open_now = approved.filter(within_office_hours(as_of, "time_zone"))
     attempted = states_attempted(calls, as_of).join(F.broadcast(sources.select("state")), "state", "left_semi")
     free = open_now.join(F.broadcast(attempted), "state", "left_anti")
     return free.orderBy(priority_rank(), "queue_no").drop("time_zone")
@@ -40,10 +41,10 @@ def priority_rank() -> Column:
     return F.coalesce(ranks[F.col("priority")], F.lit(PRIORITY_RANK["normal"]))
 
 
-def next_windows(calls: DataFrame, sources: DataFrame, as_of: Column) -> DataFrame:
+def next_windows(calls: DataFrame, sources: DataFrame, as_of: str) -> DataFrame:
     """When each call can be made next, as a UTC time."""
-    moment = next_office_moment(as_of, F.col("time_zone"))
-    return _with_zone(calls, sources).withColumn("next_window", moment).drop("time_zone")
+    moment = f"{next_office_moment(as_of, 'time_zone')} AS next_window"
+    return _with_zone(calls, sources).selectExpr("*", moment).drop("time_zone")
 
 
 def approve(calls: DataFrame, approvals: DataFrame) -> DataFrame:

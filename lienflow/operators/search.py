@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from lienflow.functions.sql import listing, replace_all
 from lienflow.functions.text import normalize_name, search_key
 from lienflow.operators.joins import broadcast_if_small
 
@@ -14,14 +15,12 @@ def match_watchlist(filings: DataFrame, watchlist: DataFrame, exact_states: tupl
     An equi-join on the search key, or on the plain upper-case name in states that search strictly.
     The watchlist is reduced to distinct names first.
     """
-    watched = watchlist.select(normalize_name(F.col("watch_name"), True).alias("watch_name")).distinct()
-    strict = F.col("state").isin(*exact_states)
-    name = normalize_name(F.col("debtor_name"), True)
-    keyed = filings.withColumn(
-        "match_key", F.when(strict, F.concat(F.lit("="), name)).otherwise(search_key(F.col("debtor_name")))
-    )
-    keys = F.array(search_key(F.col("watch_name")), F.concat(F.lit("="), F.col("watch_name")))
-    entries = watched.select("watch_name", F.explode(keys).alias("match_key")).filter("match_key is not null")
+    watched = watchlist.selectExpr(f"{normalize_name('watch_name', True)} AS watch_name").distinct()
+    strict = f"concat('=', {normalize_name('debtor_name', True)})"
+    key = f"if(state IN ({listing(exact_states)}), {strict}, {search_key('debtor_name')}) AS match_key"
+    keyed = filings.selectExpr("*", key)
+    keys = f"explode(array({search_key('watch_name')}, concat('=', watch_name))) AS match_key"
+    entries = watched.selectExpr("watch_name", keys).filter("match_key IS NOT NULL")
     return keyed.join(broadcast_if_small(entries), "match_key").drop("match_key")
 
 
@@ -31,15 +30,14 @@ def match_initials(filings: DataFrame, watchlist: DataFrame) -> DataFrame:
     Joined on the first letter and the rest of the name, then checked.
     """
 
-    def parts(column: str, prefix: str) -> list:
-        words = F.split(normalize_name(F.regexp_replace(column, r"[^\p{L}\p{N}\s]", ""), True), " ")
-        given = F.get(words, F.lit(0))
-        rest = F.array_join(F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), "")
-        return [given.alias(f"{prefix}_given"), F.left(given, F.lit(1)).alias("initial"), rest.alias("rest")]
+    def parts(column: str, prefix: str) -> list[str]:
+        bare = normalize_name(replace_all(column, (r"[^\p{L}\p{N}\s]", "")), True)
+        given = f"substring_index({bare}, ' ', 1)"
+        rest = f"translate(substring({bare}, length({given}) + 1), ' ', '')"
+        return [f"{given} AS {prefix}_given", f"left({given}, 1) AS initial", f"{rest} AS rest"]
 
-    a = filings.select("*", *parts("debtor_name", "debtor"))
-    names = watchlist.select("watch_name").distinct()
-    b = names.select("*", *parts("watch_name", "watch"))
+    a = filings.selectExpr("*", *parts("debtor_name", "debtor"))
+    b = watchlist.select("watch_name").distinct().selectExpr("*", *parts("watch_name", "watch"))
     joined = a.join(broadcast_if_small(b), ["initial", "rest"])
     short = (F.length("debtor_given") == 1) | (F.length("watch_given") == 1)
     fits = short | (F.col("debtor_given") == F.col("watch_given"))

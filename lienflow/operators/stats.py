@@ -76,4 +76,4 @@ def incremental(records: DataFrame, filings: DataFrame, lookback_days: int = 0)
     """
     cutoffs = filings.groupBy("state").agg(F.date_sub(F.max("filing_date"), lookback_days).alias("cutoff"))
     joined = records.join(by_state(cutoffs), "state", "left")
-    return joined.filter(~is_before(F.col("filing_date"), F.col("cutoff"))).drop("cutoff")
+    return joined.filter(f"NOT {is_before('filing_date', 'cutoff')}").drop("cutoff")

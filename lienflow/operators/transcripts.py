@@ -7,23 +7,25 @@ becomes an expression and nothing is joined with them.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from lienflow import fixed_values as fixed
+from lienflow.functions.sql import quote
 from lienflow.functions.text import clean, question_key
 
 ANSWER_LINES = 4
 HUMAN_CHARS = 50
 
 
-def _is_asked(line: Column, question: str) -> Column:
+def _is_asked(line: str, question: str) -> str:
     """True when the lower-case line holds at least half of the question's telling words."""
     words = sorted(set(question.lower().split()) - set(fixed.QUESTION_STOP_WORDS))
-    found = reduce(add, [line.contains(w).cast("int") for w in words], F.lit(0))
-    return found * 2 >= len(words)
+    found = " + ".join(f"int(contains({line}, {quote(word)}))" for word in words) or "0"
+    return f"2 * ({found}) >= {len(words)}"
+
+
+def _question(number: int, question: str) -> str:
+    return f"{number} AS question_no, {question_key(quote(question))} AS question_key"
 
 
 def answers_in_lines(lines: DataFrame, questions: list[str]) -> DataFrame:
@@ -32,26 +34,17 @@ def answers_in_lines(lines: DataFrame, questions: list[str]) -> DataFrame:
     The first matching line is a minimum per call, and the lines after it are fetched by an equi-join
     on call and line number, so even a call that holds most of the lines is spread over all tasks.
     """
-    lower = F.lower("text")
-    hits = [F.min(F.when(_is_asked(lower, q), F.col("line_no"))).alias(f"hit_{i}") for i, q in enumerate(questions)]
-    asked = F.array(*[F.struct(*_question(i, q), F.col(f"hit_{i}").alias("hit")) for i, q in enumerate(questions)])
-    found = lines.groupBy("call_id").agg(*hits).select("call_id", F.explode(asked).alias("asked"))
-    found = found.select("call_id", "asked.*")
-    following = found.filter("hit is not null").select(
-        "call_id",
-        "question_no",
-        F.posexplode(F.sequence(F.col("hit") + 1, F.col("hit") + ANSWER_LINES)).alias("place", "line_no"),
-    )
-    texts = following.join(lines.select("call_id", "line_no", clean(F.col("text")).alias("text")), ["call_id", "line_no"])
-    said = [F.max(F.when(F.col("place") == p, F.col("text"))) for p in range(ANSWER_LINES)]
+    asked = [f"if({_is_asked('lower(text)', q)}, line_no, NULL) AS line_{i}" for i, q in enumerate(questions)]
+    hits = [F.min(f"line_{i}").alias(f"hit_{i}") for i in range(len(questions))]
+    first = lines.selectExpr("call_id", *asked).groupBy("call_id").agg(*hits)
+    entries = ", ".join(f"struct({_question(i, q)}, hit_{i} AS hit)" for i, q in enumerate(questions))
+    found = first.selectExpr("call_id", f"inline(array({entries}))")
+    next_lines = f"posexplode(sequence(hit + 1, hit + {ANSWER_LINES})) AS (place, line_no)"
+    following = found.filter("hit IS NOT NULL").selectExpr("call_id", "question_no", next_lines)
+    texts = following.join(lines.selectExpr("call_id", "line_no", f"{clean('text')} AS text"), ["call_id", "line_no"])
+    said = [F.expr(f"max(text) FILTER (WHERE place = {p})") for p in range(ANSWER_LINES)]
     answers = texts.groupBy("call_id", "question_no").agg(F.nullif(F.concat_ws(" ", *said), F.lit("")).alias("answer"))
-    return found.join(answers, ["call_id", "question_no"], "left").select(
-        "call_id", "question_no", "question_key", "answer"
-    )
-
-
-def _question(number: int, question: str) -> list[Column]:
-    return [F.lit(number).alias("question_no"), question_key(F.lit(question)).alias("question_key")]
+    return found.drop("hit").join(answers, ["call_id", "question_no"], "left")
 
 
 def answers_in_text(calls: DataFrame, transcript: str, questions: list[str]) -> DataFrame:
@@ -59,17 +52,20 @@ def answers_in_text(calls: DataFrame, transcript: str, questions: list[str]) ->
 
     Works row by row, without any shuffle.
     """
-    lines = F.split(transcript, "\n")
-    split = calls.withColumns({"_lines": lines, "_lower": F.transform(lines, F.lower)})
 
-    def answer(question: str) -> Column:
-        asked = F.transform("_lower", lambda line: _is_asked(line, question))
-        hit = F.array_position(asked, F.lit(True))
-        after = F.transform(F.slice("_lines", (hit + 1).cast("int"), ANSWER_LINES), clean)
-        return F.when(hit > 0, F.nullif(F.array_join(after, " "), F.lit("")))
+    def hit(number: int, question: str) -> str:
+        asked = f"transform(_lower, line -> {_is_asked('line', question)})"
+        return f"int(array_position({asked}, true)) AS _hit_{number}"
+
+    def answer(number: int) -> str:
+        after = f"transform(slice(_lines, _hit_{number} + 1, {ANSWER_LINES}), line -> {clean('line')})"
+        return f"if(_hit_{number} > 0, nullif(array_join({after}, ' '), ''), NULL)"
 
-    entries = [F.struct(*_question(i, q), answer(q).alias("answer")) for i, q in enumerate(questions)]
-    return split.withColumn("answers", F.array(*entries)).drop("_lines", "_lower")
+    lines = f"split({transcript}, '\\n')"
+    split = calls.selectExpr("*", f"{lines} AS _lines", f"transform({lines}, line -> lower(line)) AS _lower")
+    entries = ", ".join(f"struct({_question(i, q)}, {answer(i)} AS answer)" for i, q in enumerate(questions))
+    placed = split.selectExpr("*", *[hit(i, q) for i, q in enumerate(questions)])
+    return placed.selectExpr(*calls.columns, f"array({entries}) AS answers")
 
 
 def call_outcomes(calls: DataFrame) -> DataFrame:

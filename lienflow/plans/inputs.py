@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lienflow.functions.filings import normalize_filings
+from lienflow.functions.sql import listing, quote
 from lienflow.operators.joins import broadcast_if_small
 from lienflow.schema import FEED_FIELDS
 
@@ -32,59 +31,64 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def state_of(index: Column) -> Column:
-    return F.get(F.array(*map(F.lit, STATES)), index.cast("int"))
+def state_of(index: str) -> str:
+    return f"get(array({listing(STATES)}), int({index}))"
 
 
-def pick(index: Column, values: list) -> Column:
+def pick(index: str, values: list[str]) -> str:
     """The value at a position; an expression, no join."""
-    return reduce(lambda chain, item: chain.when(index == item[0], item[1]), enumerate(values), F)
+    return f"CASE {index} " + " ".join(f"WHEN {i} THEN {value}" for i, value in enumerate(values)) + " END"
+
 
+def tier_of(index: str) -> str:
+    return f"CASE WHEN {index} < 2 THEN 'open_api' WHEN {index} < 17 THEN 'state_bulk' ELSE 'commercial' END"
 
-def tier_of(index: Column) -> Column:
-    return F.when(index < 2, "open_api").when(index < 17, "state_bulk").otherwise("commercial")
+
+TYPE_OF = pick("o_orderkey % 10", ["NULL" if t is None else quote(t) for t in TYPES])
+STATUS_OF = (
+    "CASE o_orderstatus WHEN 'O' THEN 'A' WHEN 'F' THEN 'Expired' "
+    "ELSE if(o_orderkey % 3 = 0, 'pending', ' terminated ') END"
+)
+CUSTOMER = "string(c_custkey)"
+ZIPS = [
+    f"lpad({CUSTOMER}, 5, '1')",
+    f"lpad({CUSTOMER}, 9, '2')",
+    "concat('K1A ', c_custkey % 10, 'B1')",
+    f"concat(lpad({CUSTOMER}, 5, '3'), '-', lpad({CUSTOMER}, 4, '4'))",
+]
+PRINTED_DATE = pick("o_orderkey % 7", [f"date_format(o_orderdate, {quote(shape)})" for shape in DATE_SHAPES])
+
+# The raw filing of an order as SQL.
+RAW_FIELDS = {
+    "filing_number": "string(o_orderkey)",
+    "state": state_of("c_nationkey"),
+    "filing_type": TYPE_OF,
+    "filing_date": f"if(o_orderkey % 97 = 0, 'not-a-date', {PRINTED_DATE})",
+    "lapse_date": "date_format(add_months(o_orderdate, 60), 'yyyy-MM-dd')",
+    "filing_status": STATUS_OF,
+    "debtor_name": "concat('  ', lower(c_name), '   llc ')",
+    "debtor_state": f"lower({state_of('c_nationkey')})",
+    "debtor_zip": pick("c_custkey % 4", ZIPS),
+    "secured_party_name": "s_name",
+    "secured_party_state": state_of("s_nationkey"),
+    "source_tier": tier_of("c_nationkey"),
+    "source_raw": "concat_ws('|', string(o_orderkey), o_orderstatus)",
+}
+
+
+def _feed(fields: dict[str, str]) -> list[str]:
+    return [f"{fields.get(f, 'cast(NULL AS string)')} AS {f}" for f in FEED_FIELDS]
 
 
 def raw_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw filing per order, with values as untidy as feeds deliver them."""
     orders = table(spark, sf_dir, "orders")
     customers = table(spark, sf_dir, "customer")
-    suppliers = table(spark, sf_dir, "supplier").filter("s_suppkey between 0 and 99")
-    joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(
-        broadcast_if_small(suppliers), F.col("s_suppkey") == F.col("o_orderkey") % 100, "left"
+    suppliers = table(spark, sf_dir, "supplier").filter("s_suppkey BETWEEN 0 AND 99")
+    joined = orders.join(customers, F.expr("o_custkey = c_custkey")).join(
+        broadcast_if_small(suppliers), F.expr("s_suppkey = o_orderkey % 100"), "left"
     )
-    return joined.select(*raw_columns(), F.col("o_orderdate").cast("timestamp").alias("ordered_at"))
-
-
-def raw_columns() -> list[Column]:
-    k, c, nation = F.col("o_orderkey"), F.col("c_custkey"), F.col("c_nationkey")
-    zips = [
-        F.lpad(c.cast("string"), 5, "1"),
-        F.lpad(c.cast("string"), 9, "2"),
-        F.concat(F.lit("K1A "), (c % 10).cast("string"), F.lit("B1")),
-        F.concat_ws("-", F.lpad(c.cast("string"), 5, "3"), F.lpad(c.cast("string"), 4, "4")),
-    ]
-    shaped = pick(k % 7, [F.date_format("o_orderdate", shape) for shape in DATE_SHAPES])
-    columns = {
-        "filing_number": k.cast("string"),
-        "state": state_of(nation),
-        "filing_type": pick(k % 10, [F.lit(t) for t in TYPES]),
-        "filing_date": F.when(k % 97 == 0, "not-a-date").otherwise(shaped),
-        "lapse_date": F.date_format(F.add_months("o_orderdate", 60), "yyyy-MM-dd"),
-        "filing_status": F.when(F.col("o_orderstatus") == "O", "A")
-        .when(F.col("o_orderstatus") == "F", "Expired")
-        .when(k % 3 == 0, "pending")
-        .otherwise(" terminated "),
-        "debtor_name": F.concat(F.lit("  "), F.lower("c_name"), F.lit("   llc ")),
-        "debtor_state": F.lower(state_of(nation)),
-        "debtor_zip": pick(c % 4, zips),
-        "secured_party_name": F.col("s_name"),
-        "secured_party_state": state_of(F.col("s_nationkey")),
-        "source_tier": tier_of(nation),
-        "source_raw": F.concat_ws("|", k.cast("string"), "o_orderstatus"),
-    }
-    nothing = F.lit(None).cast("string")
-    return [columns.get(f, nothing).alias(f) for f in FEED_FIELDS]
+    return joined.selectExpr(*_feed(RAW_FIELDS), "timestamp(o_orderdate) AS ordered_at")
 
 
 def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,27 +97,24 @@ def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalized.withColumnRenamed("ordered_at", "ingested_at")
 
 
-def line_arrival() -> Column:
-    """Arrival order of an order's lines; these columns together are unique."""
-    return F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
+# Arrival order of an order's lines; these columns together are unique.
+LINE_ARRIVAL = "struct(l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS arrival"
+
+LINE_FIELDS = {
+    "filing_number": "string(l_orderkey)",
+    "state": state_of("l_orderkey % 25"),
+    "filing_type": "'UCC-1'",
+    "filing_date": "date(l_shipdate)",
+    "lapse_date": "cast(NULL AS date)",
+    "filing_status": "if(l_linestatus = 'O', 'active', 'lapsed')",
+    "debtor_name": "concat('PART ', l_partkey)",
+    "source_raw": "l_returnflag",
+}
 
 
 def line_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An incoming batch with many rows per key: one per order line, its return flag as source text."""
-    lines = table(spark, sf_dir, "lineitem")
-    columns = {
-        "filing_number": F.col("l_orderkey").cast("string"),
-        "state": state_of(F.col("l_orderkey") % 25),
-        "filing_type": F.lit("UCC-1"),
-        "filing_date": F.to_date("l_shipdate"),
-        "lapse_date": F.lit(None).cast("date"),
-        "filing_status": F.when(F.col("l_linestatus") == "O", "active").otherwise("lapsed"),
-        "debtor_name": F.concat(F.lit("PART "), F.col("l_partkey").cast("string")),
-        "source_raw": F.col("l_returnflag"),
-    }
-    nothing = F.lit(None).cast("string")
-    fields = [columns.get(f, nothing).alias(f) for f in FEED_FIELDS]
-    return lines.select(*fields, line_arrival().alias("arrival"), "l_linestatus")
+    return table(spark, sf_dir, "lineitem").selectExpr(*_feed(LINE_FIELDS), LINE_ARRIVAL, "l_linestatus")
 
 
 def event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,91 +124,74 @@ def event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_log(events: DataFrame) -> DataFrame:
     """A log line per event; errors report a failure."""
-    failed = F.col("event_type") == "error"
-    message = F.when(failed, "run finished status=failed").otherwise("run finished status=completed")
-    return events.select("ts", message.alias("message"))
+    return events.selectExpr("ts", "concat('run finished status=', if(event_type = 'error', 'failed', 'completed')) AS message")
 
 
 def run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two records per run: one at its start, one at its end."""
-    events = event_times(spark, sf_dir)
-    n = F.col("event_id") % 1000
-    at_end = F.explode(F.array(F.lit(False), F.lit(True))).alias("at_end")
-    rows = events.select("*", at_end)
-    end = F.col("at_end")
-    failed = F.col("event_type") == "error"
-    ended = F.col("ts") + F.expr("interval 1 minute")
-    zero = F.lit(0).cast("long")
-    return rows.select(
-        F.col("event_id").cast("string").alias("run_id"),
-        F.when(~end, state_of(F.col("user_id") % 25)).otherwise("??").alias("state"),
-        F.when(~end, tier_of(F.col("user_id") % 25)).otherwise("??").alias("source_tier"),
-        F.when(~end, F.col("ts")).otherwise(ended).alias("started_at"),
-        F.when(end, ended).alias("completed_at"),
-        F.when(end, n).otherwise(zero).alias("records_fetched"),
-        F.when(end & ~failed, F.floor(n / 2)).otherwise(zero).alias("records_new"),
-        F.when(end & ~failed, n - F.floor(n / 2)).otherwise(zero).alias("records_updated"),
-        zero.alias("records_skipped"),
-        F.when(~end, "running").when(failed, "failed").otherwise("completed").alias("status"),
-        F.when(end & failed, "source unavailable").alias("error_message"),
-        F.when(end, ended).otherwise(F.col("ts")).alias("recorded_at"),
+    rows = event_times(spark, sf_dir).selectExpr(
+        "*",
+        "event_id % 1000 AS n",
+        "event_type = 'error' AS failed",
+        "ts + interval 1 minute AS ended",
+        "explode(array(false, true)) AS at_end",
+    )
+    return rows.selectExpr(
+        "string(event_id) AS run_id",
+        f"if(at_end, '??', {state_of('user_id % 25')}) AS state",
+        f"if(at_end, '??', {tier_of('user_id % 25')}) AS source_tier",
+        "if(at_end, ended, ts) AS started_at",
+        "if(at_end, ended, NULL) AS completed_at",
+        "if(at_end, n, 0L) AS records_fetched",
+        "if(at_end AND NOT failed, n div 2, 0L) AS records_new",
+        "if(at_end AND NOT failed, n - n div 2, 0L) AS records_updated",
+        "0L AS records_skipped",
+        "CASE WHEN NOT at_end THEN 'running' WHEN failed THEN 'failed' ELSE 'completed' END AS status",
+        "if(at_end AND failed, 'source unavailable', NULL) AS error_message",
+        "if(at_end, ended, ts) AS recorded_at",
     )
 
 
 def call_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One queued call per order."""
-    orders = table(spark, sf_dir, "orders").join(
-        table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
-    )
-    rank = F.left(F.col("o_orderpriority"), F.lit(1))
-    status = (
-        F.when(F.col("o_orderstatus") == "F", "approved")
-        .when(F.col("o_orderstatus") == "O", "pending_approval")
-        .otherwise("completed")
-    )
-    no_time = F.lit(None).cast("timestamp")
-    no_text = F.lit(None).cast("string")
-    return orders.select(
-        F.col("o_orderkey").alias("queue_no"),
-        F.col("o_orderkey").cast("string").alias("id"),
-        state_of(F.col("c_nationkey")).alias("state"),
-        F.when(rank <= "2", "high").when(rank <= "4", "normal").otherwise("low").alias("priority"),
-        status.alias("status"),
-        F.lit(0).alias("retry_count"),
-        F.lit(2).alias("max_retries"),
-        no_time.alias("approved_at"),
-        no_time.alias("last_attempt_at"),
-        no_time.alias("completed_at"),
-        no_text.alias("outcome"),
-        no_text.alias("notes"),
+    orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    return orders.join(customers, F.expr("o_custkey = c_custkey")).selectExpr(
+        "o_orderkey AS queue_no",
+        "string(o_orderkey) AS id",
+        f"{state_of('c_nationkey')} AS state",
+        "CASE WHEN left(o_orderpriority, 1) <= '2' THEN 'high' WHEN left(o_orderpriority, 1) <= '4' THEN 'normal' "
+        "ELSE 'low' END AS priority",
+        "CASE o_orderstatus WHEN 'F' THEN 'approved' WHEN 'O' THEN 'pending_approval' ELSE 'completed' END AS status",
+        "0 AS retry_count",
+        "2 AS max_retries",
+        *[f"cast(NULL AS timestamp) AS {c}" for c in ("approved_at", "last_attempt_at", "completed_at")],
+        *[f"cast(NULL AS string) AS {c}" for c in ("outcome", "notes")],
     )
 
 
-def call_attempts(spark: SparkSession, sf_dir: str, until: Column) -> DataFrame:
+def call_attempts(spark: SparkSession, sf_dir: str, until: str) -> DataFrame:
     """Attempts on the calls, from events up to a moment."""
-    events = event_times(spark, sf_dir).filter(F.col("ts") <= until)
-    return events.select(
-        (F.col("event_id") % 1000).cast("string").alias("id"),
-        F.col("ts").alias("attempted_at"),
-        F.col("event_id").alias("attempt_no"),
-        F.when(F.col("event_type") == "purchase", "completed").otherwise("no-answer").alias("outcome"),
-        F.col("event_type").alias("notes"),
+    return (
+        event_times(spark, sf_dir)
+        .filter(f"ts <= {until}")
+        .selectExpr(
+            "string(event_id % 1000) AS id",
+            "ts AS attempted_at",
+            "event_id AS attempt_no",
+            "if(event_type = 'purchase', 'completed', 'no-answer') AS outcome",
+            "event_type AS notes",
+        )
     )
 
 
 def transcript_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One transcript line per conversation turn."""
-    turns = table(spark, sf_dir, "conversations")
-    return turns.select(
-        F.col("conv_id").alias("call_id"),
-        F.col("turn").alias("line_no"),
-        F.translate("text", "\r\n", "  ").alias("text"),
-    )
+    line = "translate(text, '\\r\\n', '  ') AS text"
+    return table(spark, sf_dir, "conversations").selectExpr("conv_id AS call_id", "turn AS line_no", line)
 
 
-def pages(records: DataFrame, per_page: int, body) -> DataFrame:
-    """Pages of JSON documents: at most ``per_page`` orders each, ``body(page_no, records)`` as text."""
-    page_no = F.floor(F.col("page_key") / per_page).alias("page_no")
-    grouped = records.groupBy(page_no).agg(F.collect_list("record").alias("records"))
-    text = F.concat(F.lit("["), F.array_join("records", ","), F.lit("]"))
-    return grouped.select("page_no", body(F.col("page_no"), text).alias("value"))
+def pages(records: DataFrame, per_page: int, body: str) -> DataFrame:
+    """JSON documents of at most ``per_page`` orders each; ``body`` makes one from ``page_no`` and ``items``."""
+    grouped = records.groupBy(F.expr(f"page_key div {per_page} AS page_no")).agg(F.collect_list("record").alias("records"))
+    listed = grouped.selectExpr("page_no", "concat('[', array_join(records, ','), ']') AS items")
+    return listed.selectExpr("page_no", f"{body} AS value")

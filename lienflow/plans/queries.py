@@ -20,7 +20,7 @@ from lienflow.functions.text import (
 )
 from lienflow.operators import audit, outreach, parties, quality, schedule, search, stats, transcripts, upsert
 from lienflow.plans import inputs
-from lienflow.plans.inputs import table
+from lienflow.plans.inputs import state_of, table
 from lienflow.session import configure, scratch_path
 from lienflow.sources import delimited, dimension, fixed_width, json_feeds, landing, logs, xml_feeds
 from lienflow.sources.records import split_keyed
@@ -31,7 +31,7 @@ QUERIES: dict[str, Query] = {}
 
 # Moments at which time-dependent queries are asked.
 INGEST_MOMENT = "2001-08-02 12:00:00"
-CALL_MOMENT = "2024-01-15 17:00:00"
+CALL_MOMENT = "timestamp'2024-01-15 17:00:00'"
 
 QUESTIONS = [
     "What is the process for the and",
@@ -66,28 +66,28 @@ def as_text(rows: DataFrame, *dates: str, times: tuple[str, ...] = ()) -> DataFr
 @query
 def normalize_dates(spark, sf_dir):
     raw = inputs.raw_filings(spark, sf_dir)
-    return as_text(raw.select("filing_number", normalize_date(F.col("filing_date")).alias("filing_date")), "filing_date")
+    return as_text(raw.selectExpr("filing_number", f"{normalize_date('filing_date')} AS filing_date"), "filing_date")
 
 
 @query
 def normalize_types_status(spark, sf_dir):
     raw = inputs.raw_filings(spark, sf_dir)
-    return raw.select(
+    return raw.selectExpr(
         "filing_number",
-        normalize_filing_type(F.col("filing_type")).alias("filing_type"),
-        normalize_status(F.col("filing_status")).alias("filing_status"),
+        f"{normalize_filing_type('filing_type')} AS filing_type",
+        f"{normalize_status('filing_status')} AS filing_status",
     )
 
 
 @query
 def normalize_names_zip(spark, sf_dir):
     raw = inputs.raw_filings(spark, sf_dir)
-    return raw.select(
+    return raw.selectExpr(
         "filing_number",
-        normalize_name(F.col("debtor_name"), True).alias("debtor_name"),
-        normalize_name(F.col("debtor_name")).alias("debtor_name_as_is"),
-        normalize_zip(F.col("debtor_zip")).alias("debtor_zip"),
-        normalize_state(F.col("debtor_state")).alias("debtor_state"),
+        f"{normalize_name('debtor_name', True)} AS debtor_name",
+        f"{normalize_name('debtor_name')} AS debtor_name_as_is",
+        f"{normalize_zip('debtor_zip')} AS debtor_zip",
+        f"{normalize_state('debtor_state')} AS debtor_state",
     )
 
 
@@ -118,7 +118,7 @@ def normalized_filings(spark, sf_dir):
 def question_keys(spark, sf_dir):
     """Short keys of whole texts, read as questions."""
     documents = table(spark, sf_dir, "benchmark")
-    return documents.select("item_id", question_key(F.col("text")).alias("question_key"))
+    return documents.selectExpr("item_id", f"{question_key('text')} AS question_key")
 
 
 # -- upsert ----------------------------------------------------------------------------------------
@@ -281,7 +281,7 @@ def activity_log(spark, sf_dir):
     events = inputs.event_times(spark, sf_dir)
     events.select(
         F.col("ts").alias("timestamp"),
-        inputs.state_of(F.col("user_id") % 25).alias("state"),
+        F.expr(state_of("user_id % 25")).alias("state"),
         F.lit("setup").alias("phase"),
         F.col("event_type").alias("action_type"),
         F.col("props").alias("details"),
@@ -327,12 +327,11 @@ FEED_COLUMNS = ["state", "filing_number", "filing_type", "filing_date", "filing_
 def _rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw filings, one in fifty without a number."""
     raw = inputs.raw_filings(spark, sf_dir)
-    number = F.when(F.col("filing_number").cast("long") % 50 != 0, F.col("filing_number"))
-    return raw.withColumn("filing_number", number)
+    return raw.withColumn("filing_number", F.expr("if(int(filing_number) % 50 = 0, NULL, filing_number)"))
 
 
 def _with_headers(raw: DataFrame, headers: dict[str, str]) -> DataFrame:
-    return raw.select(*[F.col(field).alias(header) for field, header in headers.items()])
+    return raw.selectExpr(*[f"{field} AS `{header}`" for field, header in headers.items()])
 
 
 def _keyed(records: DataFrame, columns: list[str] = FEED_COLUMNS) -> DataFrame:
@@ -377,100 +376,80 @@ def rejected_records(spark, sf_dir):
     return rejects.groupBy("state", "reject_reason").agg(F.count("*").alias("n_records"))
 
 
+FIXED_WIDTH_LINE = "concat({})".format(
+    ", ".join(f"rpad(coalesce({field}, ''), {end - start}, ' ')" for field, start, end in fixed.FIXED_WIDTH_LAYOUT)
+)
+BULK_JSON = "to_json(struct({}))".format(", ".join(f"{field} AS {key}" for field, key in fixed.BULK_JSON_KEYS.items()))
+OPEN_DATA_JSON = "to_json(struct({}))".format(
+    ", ".join(f"{field} AS {keys[0]}" for field, keys in fixed.OPEN_DATA_KEYS["CT"].items())
+)
+COMMERCIAL_JSON = {
+    "baselayer": "to_json(struct(filing_number, filing_type, filing_date, debtor_name, secured_party_name))",
+    "fcs": "to_json(struct(filing_number AS fileNumber, filing_type AS fileType, filing_date AS fileDate, "
+    "struct(debtor_name AS organizationName, debtor_zip AS postalCode) AS debtor, "
+    "struct(secured_party_name AS name) AS securedParty))",
+    "lexisnexis": "to_json(struct(filing_number AS documentNumber, filing_type AS documentType, "
+    "filing_date AS filed_date, debtor_name AS debtorName, secured_party_name AS secured_party))",
+}
+PAGE_KEY = "bigint(filing_number) AS page_key"
+
+
 @query
 def fixed_width_scan(spark, sf_dir):
     """Lines of the fixed layout; those without a number are short header lines."""
     raw = _rendered(spark, sf_dir)
-    cells = [F.rpad(F.coalesce(f, F.lit("")), end - start, " ") for f, start, end in fixed.FIXED_WIDTH_LAYOUT]
-    line = F.when(F.col("filing_number").isNull(), "UCC EXTRACT").otherwise(F.concat(*cells))
-    return _keyed(fixed_width.map_fixed_width(raw.select(line.alias("value"))))
-
-
-def _bulk_json(raw: DataFrame) -> Column:
-    keys = fixed.BULK_JSON_KEYS
-    return F.to_json(F.struct(*[F.col(field).alias(key) for field, key in keys.items()]))
+    lines = raw.selectExpr(f"if(filing_number IS NULL, 'UCC EXTRACT', {FIXED_WIDTH_LINE}) AS value")
+    return _keyed(fixed_width.map_fixed_width(lines))
 
 
 @query
 def json_lines_scan(spark, sf_dir):
     raw = _rendered(spark, sf_dir)
-    return _keyed(json_feeds.map_bulk(raw.select(_bulk_json(raw).alias("record")), "TX"))
+    return _keyed(json_feeds.map_bulk(raw.selectExpr(f"{BULK_JSON} AS record"), "TX"))
 
 
 @query
 def json_document_scan(spark, sf_dir):
     """Documents of 500 records in three shapes: root array, ``records`` and ``filings``."""
-    raw = inputs.raw_filings(spark, sf_dir)
-    records = raw.select(F.col("filing_number").cast("long").alias("page_key"), _bulk_json(raw).alias("record"))
-
-    def body(page_no: Column, text: Column) -> Column:
-        return (
-            F.when(page_no % 3 == 0, text)
-            .when(page_no % 3 == 1, F.concat(F.lit('{"records": '), text, F.lit("}")))
-            .otherwise(F.concat(F.lit('{"count": 1, "filings": '), text, F.lit("}")))
-        )
-
-    documents = inputs.pages(records, 500, body)
+    records = inputs.raw_filings(spark, sf_dir).selectExpr(PAGE_KEY, f"{BULK_JSON} AS record")
+    shapes = ["items", """concat('{"records": ', items, '}')""", """concat('{"count": 1, "filings": ', items, '}')"""]
+    documents = inputs.pages(records, 500, inputs.pick("page_no % 3", shapes))
     return _keyed(json_feeds.map_bulk(json_feeds.unwrap(documents, fixed.DOCUMENT_KEYS, single_record=True), "TX"))
 
 
 @query
 def open_data_pages(spark, sf_dir):
     """Open-data pages with a root array, times after the dates."""
-    raw = inputs.raw_filings(spark, sf_dir)
-    keys = fixed.OPEN_DATA_KEYS["CT"]
-    record = F.to_json(F.struct(*[F.col(field).alias(names[0]) for field, names in keys.items()]))
-    records = raw.select(F.col("filing_number").cast("long").alias("page_key"), record.alias("record"))
-    documents = inputs.pages(records, 500, lambda page_no, text: text)
+    records = inputs.raw_filings(spark, sf_dir).selectExpr(PAGE_KEY, f"{OPEN_DATA_JSON} AS record")
+    documents = inputs.pages(records, 500, "items")
     return _keyed(json_feeds.map_open_data(json_feeds.unwrap(documents, ["data"]), "CT"))
 
 
 @query
 def envelope_unwrap(spark, sf_dir):
     """Commercial pages of three providers: other envelopes, other spellings, nested parties."""
-    raw = inputs.raw_filings(spark, sf_dir)
-    debtor = F.struct(F.col("debtor_name").alias("organizationName"), F.col("debtor_zip").alias("postalCode"))
-    spellings = {
-        "baselayer": [F.col("filing_number"), "filing_type", "filing_date", "debtor_name", "secured_party_name"],
-        "fcs": [
-            F.col("filing_number").alias("fileNumber"),
-            F.col("filing_type").alias("fileType"),
-            F.col("filing_date").alias("fileDate"),
-            debtor.alias("debtor"),
-            F.struct(F.col("secured_party_name").alias("name")).alias("securedParty"),
-        ],
-        "lexisnexis": [
-            F.col("filing_number").alias("documentNumber"),
-            F.col("filing_type").alias("documentType"),
-            F.col("filing_date").alias("filed_date"),
-            F.col("debtor_name").alias("debtorName"),
-            F.col("secured_party_name").alias("secured_party"),
-        ],
-    }
-    tier = F.col("filing_number").cast("long")
-
-    def provider(number: int, name: str) -> DataFrame:
-        record = F.to_json(F.struct(*spellings[name]))
-        own = raw.filter(F.floor(tier / 500) % 3 == number).select(tier.alias("page_key"), record.alias("record"))
-        envelope = fixed.PAGE_KEYS[name][number % 2]
-        documents = inputs.pages(own, 500, lambda _, text: F.concat(F.lit(f'{{"{envelope}": '), text, F.lit("}")))
-        return json_feeds.map_commercial(json_feeds.unwrap(documents, fixed.PAGE_KEYS[name]), "AL")
-
-    parts = [provider(i, name) for i, name in enumerate(spellings)]
+    providers = list(COMMERCIAL_JSON)
+    spelt = inputs.pick("bigint(filing_number) div 500 % 3", list(COMMERCIAL_JSON.values()))
+    records = inputs.raw_filings(spark, sf_dir).selectExpr(PAGE_KEY, f"{spelt} AS record")
+    envelopes = [fixed.PAGE_KEYS[name][i % 2] for i, name in enumerate(providers)]
+    body = f"""concat('{{"', {inputs.pick("page_no % 3", [f"'{e}'" for e in envelopes])}, '": ', items, '}}')"""
+    documents = inputs.pages(records, 500, body)
+    parts = [
+        json_feeds.unwrap(documents.filter(f"page_no % 3 = {i}"), fixed.PAGE_KEYS[name])
+        for i, name in enumerate(providers)
+    ]
     columns = ["filing_number", "filing_type", "filing_date", "debtor_name", "secured_party_name"]
-    return _keyed(reduce(DataFrame.unionByName, parts), columns)
+    return _keyed(json_feeds.map_commercial(reduce(DataFrame.unionByName, parts), "AL"), columns)
 
 
 def _write_xml(raw: DataFrame, path: str) -> None:
-    debtor = F.struct(F.col("debtor_name").alias("OrganizationName"), F.col("debtor_zip").alias("PostalCode"))
-    secured = F.struct(F.col("secured_party_name").alias("Name"))
-    raw.select(
-        F.col("filing_number").alias("FilingNumber"),
-        F.col("filing_type").alias("FileType"),
-        F.col("filing_date").alias("FileDate"),
-        F.col("filing_status").alias("Unlisted"),
-        debtor.alias("Debtor"),
-        secured.alias("SecuredParty"),
+    raw.selectExpr(
+        "filing_number AS FilingNumber",
+        "filing_type AS FileType",
+        "filing_date AS FileDate",
+        "filing_status AS Unlisted",
+        "struct(debtor_name AS OrganizationName, debtor_zip AS PostalCode) AS Debtor",
+        "struct(secured_party_name AS Name) AS SecuredParty",
     ).write.format("xml").options(rootTag="Root", rowTag="Filing").save(path)
 
 
@@ -492,10 +471,9 @@ def feed_dispatch(spark, sf_dir):
     paths = {s: f"{root}/{s}" for s in states}
     _with_headers(share["KY"], delimited.header_map("KY")).write.csv(paths["KY"], header=True)
     _with_headers(share["ID"], delimited.header_map("ID")).write.csv(paths["ID"], header=True, sep="\t")
-    share["TX"].select(_bulk_json(raw)).write.text(paths["TX"])
+    share["TX"].selectExpr(BULK_JSON).write.text(paths["TX"])
     _write_xml(share["CA"], paths["CA"])
-    cells = [F.rpad(F.coalesce(f, F.lit("")), end - start, " ") for f, start, end in fixed.FIXED_WIDTH_LAYOUT]
-    share["FL"].select(F.concat(*cells)).write.text(paths["FL"])
+    share["FL"].selectExpr(FIXED_WIDTH_LINE).write.text(paths["FL"])
     records = landing.read_feeds(spark, paths, formats={"TX": "json_lines"})
     return _keyed(records, ["state", "filing_number", "filing_type", "debtor_name", "secured_party_name"])
 
@@ -522,18 +500,15 @@ def _delivery(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, D
     """A delivery in three files: documents, debtors and secured parties."""
     orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     lines, suppliers = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "supplier")
-    documents = orders.select(F.col("o_orderkey").alias("DocNumber"), F.col("o_orderstatus").alias("Status"))
-    debtors = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
-        F.col("o_orderkey").alias("DocNumber"),
-        F.struct(F.col("c_custkey")).alias("seq"),
-        F.col("c_name").alias("name"),
-        inputs.state_of(F.col("c_nationkey")).alias("state"),
+    documents = orders.selectExpr("o_orderkey AS DocNumber", "o_orderstatus AS Status")
+    debtors = orders.join(customers, F.expr("o_custkey = c_custkey")).selectExpr(
+        "o_orderkey AS DocNumber", "struct(c_custkey) AS seq", "c_name AS name", f"{state_of('c_nationkey')} AS state"
     )
-    secured = lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).select(
-        F.col("l_orderkey").alias("DocNumber"),
-        F.struct("l_linenumber", "l_suppkey").alias("seq"),
-        F.col("s_name").alias("name"),
-        inputs.state_of(F.col("s_nationkey")).alias("state"),
+    secured = lines.join(suppliers, F.expr("l_suppkey = s_suppkey")).selectExpr(
+        "l_orderkey AS DocNumber",
+        "struct(l_linenumber, l_suppkey) AS seq",
+        "s_name AS name",
+        f"{state_of('s_nationkey')} AS state",
     )
     return documents, debtors, secured
 
@@ -554,19 +529,19 @@ def party_table(spark, sf_dir):
 @query
 def cross_source_reconcile(spark, sf_dir):
     """Orders against the last line of each order."""
-    orders = table(spark, sf_dir, "orders").select(
-        inputs.state_of(F.col("o_orderkey") % 25).alias("state"),
-        F.col("o_orderkey").cast("string").alias("filing_number"),
-        F.col("o_orderstatus").alias("filing_status"),
-        F.date_format("o_orderdate", "yyyy").alias("filing_year"),
-        F.struct("o_orderdate").alias("arrival"),
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        f"{state_of('o_orderkey % 25')} AS state",
+        "string(o_orderkey) AS filing_number",
+        "o_orderstatus AS filing_status",
+        "string(year(o_orderdate)) AS filing_year",
+        "struct(o_orderdate) AS arrival",
     )
-    lines = table(spark, sf_dir, "lineitem").select(
-        inputs.state_of(F.col("l_orderkey") % 25).alias("state"),
-        F.col("l_orderkey").cast("string").alias("filing_number"),
-        F.col("l_linestatus").alias("filing_status"),
-        F.date_format("l_shipdate", "yyyy").alias("filing_year"),
-        inputs.line_arrival().alias("arrival"),
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        f"{state_of('l_orderkey % 25')} AS state",
+        "string(l_orderkey) AS filing_number",
+        "l_linestatus AS filing_status",
+        "string(year(l_shipdate)) AS filing_year",
+        inputs.LINE_ARRIVAL,
     )
     return quality.reconcile_counts(quality.reconcile(orders, lines, ["filing_status", "filing_year"]))
 
@@ -575,8 +550,8 @@ def cross_source_reconcile(spark, sf_dir):
 def latency_sla(spark, sf_dir):
     """Orders count as ingested up to ten days after their date."""
     filed = inputs.filings(spark, sf_dir)
-    days = F.col("filing_number").cast("long") * 7 % 11
-    return quality.latency_report(filed.withColumn("ingested_at", F.date_add(F.to_date("ingested_at"), days.cast("int"))))
+    later = F.expr("date_add(date(ingested_at), int(bigint(filing_number) * 7 % 11))")
+    return quality.latency_report(filed.withColumn("ingested_at", later))
 
 
 def _with_collateral(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -630,11 +605,10 @@ def name_search(spark, sf_dir):
 def initial_search(spark, sf_dir):
     """Individuals whose given name is abbreviated in the list."""
     customers = table(spark, sf_dir, "customer")
-    given = inputs.pick(F.col("c_nationkey") % 3, [F.lit("John"), F.lit("Jane"), F.lit("Mary")])
-    surname = F.concat(F.lit("Doe"), F.col("c_custkey").cast("string"))
-    people = customers.select(F.concat_ws(" ", given, surname).alias("debtor_name"), "c_custkey", "c_mktsegment")
-    initial = F.concat_ws(" ", F.left(given, F.lit(1)), surname)
-    listed = customers.filter("c_mktsegment = 'MACHINERY'").select(initial.alias("watch_name"))
+    given = inputs.pick("c_nationkey % 3", ["'John'", "'Jane'", "'Mary'"])
+    named = customers.selectExpr("c_custkey", "c_mktsegment", f"{given} AS given", "concat(' Doe', c_custkey) AS surname")
+    people = named.selectExpr("c_custkey", "concat(given, surname) AS debtor_name")
+    listed = named.filter("c_mktsegment = 'MACHINERY'").selectExpr("concat(left(given, 1), surname) AS watch_name")
     return search.match_initials(people, listed).select("c_custkey", "debtor_name", "watch_name")
 
 
@@ -646,15 +620,12 @@ def lapse_horizon(spark, sf_dir):
 
 def _chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten consecutive orders form a chain: the first is the original, the rest amend it."""
-    orders = table(spark, sf_dir, "orders")
-    k = F.col("o_orderkey")
-    original = F.floor(k / 10) * 10
-    return orders.select(
-        inputs.state_of(F.floor(k / 10) % 25).alias("state"),
-        k.cast("string").alias("filing_number"),
-        normalize_filing_type(inputs.pick(k % 10, [F.lit(t) for t in inputs.TYPES])).alias("filing_type"),
-        F.to_date("o_orderdate").alias("filing_date"),
-        F.when(k != original, original.cast("string")).alias("original_filing_number"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        f"{state_of('o_orderkey div 10 % 25')} AS state",
+        "string(o_orderkey) AS filing_number",
+        f"{normalize_filing_type(inputs.TYPE_OF)} AS filing_type",
+        "date(o_orderdate) AS filing_date",
+        "if(o_orderkey % 10 <> 0, string(o_orderkey div 10 * 10), NULL) AS original_filing_number",
     )
 
 
@@ -677,7 +648,7 @@ def orphan_amendments(spark, sf_dir):
 
 def _calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     queue = inputs.call_queue(spark, sf_dir)
-    return outreach.apply_attempts(queue, inputs.call_attempts(spark, sf_dir, moment(CALL_MOMENT)))
+    return outreach.apply_attempts(queue, inputs.call_attempts(spark, sf_dir, CALL_MOMENT))
 
 
 @query
@@ -694,16 +665,16 @@ def queue_summary(spark, sf_dir):
 
 @query
 def states_attempted(spark, sf_dir):
-    return outreach.states_attempted(_calls(spark, sf_dir), moment(CALL_MOMENT))
+    return outreach.states_attempted(_calls(spark, sf_dir), CALL_MOMENT)
 
 
 @query
 def ready_calls(spark, sf_dir):
     """Calls of the queue as it stands, with the attempts of the last hours only as today's."""
     queue = inputs.call_queue(spark, sf_dir)
-    recent = inputs.call_attempts(spark, sf_dir, moment(CALL_MOMENT)).filter("notes = 'signup'")
+    recent = inputs.call_attempts(spark, sf_dir, CALL_MOMENT).filter("notes = 'signup'")
     calls = outreach.apply_attempts(queue, recent.filter("attempted_at >= timestamp '2024-01-15 16:30:00'"))
-    ready = outreach.ready_calls(calls, dimension.source_dimension(spark), moment(CALL_MOMENT))
+    ready = outreach.ready_calls(calls, dimension.source_dimension(spark), CALL_MOMENT)
     return ready.select("id", "state", "priority")
 
 
@@ -719,7 +690,7 @@ def approved_calls(spark, sf_dir):
 @query
 def next_windows(spark, sf_dir):
     calls = outreach.next_windows(
-        inputs.call_queue(spark, sf_dir), dimension.source_dimension(spark), moment("2024-01-12 22:00:00")
+        inputs.call_queue(spark, sf_dir), dimension.source_dimension(spark), "timestamp'2024-01-12 22:00:00'"
     )
     return as_text(calls.select("id", "state", "next_window"), times=("next_window",))
 
@@ -753,15 +724,16 @@ def call_outcomes(spark, sf_dir):
 
 def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     answers = transcripts.answers_in_lines(inputs.transcript_lines(spark, sf_dir), QUESTIONS)
-    called_at = F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(mins=F.col("call_id").cast("int"))
-    return answers.select(inputs.state_of(F.col("call_id") % 25).alias("state"), "question_no", "question_key", "answer", called_at.alias("called_at"))
+    called_at = "timestamp'2024-01-01' + make_dt_interval(0, 0, int(call_id)) AS called_at"
+    state = f"{state_of('call_id % 25')} AS state"
+    return answers.selectExpr(state, "question_no", "question_key", "answer", called_at)
 
 
 @query
 def requirements_merge(spark, sf_dir):
     """What the calls tell, put over what is known about the states that have suppliers."""
     suppliers = table(spark, sf_dir, "supplier")
-    known = suppliers.groupBy(inputs.state_of(F.col("s_nationkey")).alias("state")).agg(
+    known = suppliers.groupBy(F.expr(state_of("s_nationkey")).alias("state")).agg(
         F.lit("fee").alias("question_key"), F.min("s_name").alias("answer")
     )
     merged = transcripts.merge_requirements(known, _answers(spark, sf_dir))
@@ -773,8 +745,8 @@ def saved_transcripts(spark, sf_dir):
     """Transcript lines saved by state and day, read back."""
     path = scratch_path(spark, "transcripts")
     lines = inputs.transcript_lines(spark, sf_dir)
-    day = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("call_id") % 10).cast("int")), "yyyy-MM-dd")
-    rows = lines.select("*", inputs.state_of(F.col("call_id") % 25).alias("state"), day.alias("date"))
+    day = "string(date_add(date'2024-01-01', int(call_id % 10))) AS date"
+    rows = lines.selectExpr("*", f"{state_of('call_id % 25')} AS state", day)
     transcripts.save_transcripts(rows, path)
     saved = spark.read.schema("call_id long, line_no long, text string, state string, date string").json(path)
     return saved.groupBy("state", "date").agg(F.count("*").alias("n_lines"), F.sum(F.length("text")).alias("n_chars"))

@@ -6,25 +6,26 @@ and every field is read from that text in a single ``from_json`` with the needed
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lienflow import fixed_values as fixed
+from lienflow.functions.sql import name, quote
 from lienflow.functions.text import first_clean
-from lienflow.sources.records import arrival, feed_records
+from lienflow.sources.records import ARRIVAL, feed_records
 
 
 def scan_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row per file.  A single JSON document cannot be split, so land large feeds as lines."""
-    return spark.read.text(path, wholetext=True).select("value", arrival().alias("arrival"))
+    return spark.read.text(path, wholetext=True).selectExpr("value", ARRIVAL)
 
 
 def scan_lines(spark: SparkSession, path: str) -> DataFrame:
     """One record per line; splits and streams at any size."""
-    return spark.read.text(path).select(F.col("value").alias("record"), arrival().alias("arrival"))
+    return spark.read.text(path).selectExpr("value AS record", ARRIVAL)
 
 
-def _struct_of(keys: list[str], kind: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField(key, kind) for key in dict.fromkeys(keys)])
+def _schema(keys: list[str], kind: str) -> str:
+    return quote(", ".join(f"{name(key)} {kind}" for key in dict.fromkeys(keys)))
 
 
 def unwrap(documents: DataFrame, keys: list[str], single_record: bool = False) -> DataFrame:
@@ -32,48 +33,38 @@ def unwrap(documents: DataFrame, keys: list[str], single_record: bool = False) -
 
     With ``single_record`` an object that has none of the keys is a record itself.
     """
-    text = F.col("value")
-    texts = T.ArrayType(T.StringType())
-    wrapped = F.from_json(text, _struct_of(keys, texts))
-    lone = F.array(text) if single_record else F.array().cast(texts)
-    held = F.coalesce(*[wrapped[key] for key in keys], lone)
-    is_array = F.substring(F.ltrim(text), 1, 1) == "["
-    records = F.when(is_array, F.from_json(text, texts)).otherwise(held)
-    kept = [c for c in documents.columns if c not in ("value", "arrival")]
-    exploded = documents.select(*kept, *_arrival_of(documents), F.posexplode(records).alias("position", "record"))
-    if "arrival" not in documents.columns:
+    wrapped = documents.selectExpr("*", f"from_json(value, {_schema(keys, 'array<string>')}) AS wrapped")
+    held = ", ".join(f"wrapped.{name(key)}" for key in keys)
+    lone = "array(value)" if single_record else "cast(array() AS array<string>)"
+    is_array = "ltrim(value) LIKE '[%'"
+    records = f"if({is_array}, from_json(value, 'array<string>'), coalesce({held}, {lone}))"
+    kept = [c for c in documents.columns if c != "value"]
+    exploded = wrapped.selectExpr(*kept, f"posexplode({records}) AS (position, record)")
+    if "arrival" not in kept:
         return exploded.drop("position")
-    ordered = F.col("arrival").withField("position", F.col("position"))
-    return exploded.withColumn("arrival", ordered).drop("position")
-
-
-def _arrival_of(rows: DataFrame) -> list[Column]:
-    return [F.col("arrival")] if "arrival" in rows.columns else []
+    return exploded.withColumn("arrival", F.col("arrival").withField("position", F.col("position"))).drop("position")
 
 
 def _parse(records: DataFrame, keys: list[str]) -> DataFrame:
     """The needed keys of each record, read in one go and with their types."""
-    parsed = F.from_json(F.col("record"), _struct_of(keys, T.VariantType()))
-    return records.withColumn("parsed", parsed)
+    return records.selectExpr("*", f"from_json(record, {_schema(keys, 'variant')}) AS parsed")
 
 
-def _text(key: str, path: str = "$") -> Column:
-    return F.try_variant_get(F.col("parsed")[key], path, "string")
+def _text(key: str, path: str = "$") -> str:
+    return f"try_variant_get(parsed.{name(key)}, {quote(path)}, 'string')"
 
 
-def _filled(key: str) -> Column:
+def _filled(key: str) -> str:
     """A key's text; the number zero, false and empty containers count as missing, the text "0" does not."""
-    looks_empty = _text(key).isin("0", "0.0", "false", "[]", "{}")
-    is_text = F.schema_of_variant(F.col("parsed")[key]) == "STRING"
-    return F.when(~looks_empty | is_text, _text(key))
+    is_text = f"schema_of_variant(parsed.{name(key)}) = 'STRING'"
+    return f"if({_text(key)} IN ('0', '0.0', 'false', '[]', '{{}}') AND NOT ({is_text}), NULL, {_text(key)})"
 
 
-def map_bulk(records: DataFrame, state: Column | str, keys: dict[str, str] | None = None) -> DataFrame:
+def map_bulk(records: DataFrame, state: str, keys: dict[str, str] | None = None) -> DataFrame:
     """Records of a bulk feed; zero and false count as missing, as blank text does."""
     keys = keys or fixed.BULK_JSON_KEYS
     rows = _parse(records, list(keys.values()))
-    fields = {field: _filled(key) for field, key in keys.items()}
-    return feed_records(rows, fields, state, "state_bulk", F.col("record"))
+    return feed_records(rows, {f: _filled(key) for f, key in keys.items()}, state, "state_bulk", "record")
 
 
 def map_open_data(records: DataFrame, state: str) -> DataFrame:
@@ -81,32 +72,31 @@ def map_open_data(records: DataFrame, state: str) -> DataFrame:
     keys = fixed.OPEN_DATA_KEYS[state]
     rows = _parse(records, sum(keys.values(), []))
     fields = {field: first_clean(*map(_text, names)) for field, names in keys.items()}
-    return feed_records(rows, _cut_times(fields), state, "open_api", F.col("record"))
+    return feed_records(rows, _cut_times(fields), state, "open_api", "record")
 
 
-def _cut_times(fields: dict[str, Column]) -> dict[str, Column]:
+def _cut_times(fields: dict[str, str]) -> dict[str, str]:
     dates = [f for f in ("filing_date", "lapse_date") if f in fields]
-    return fields | {f: F.substring_index(fields[f], "T", 1) for f in dates}
+    return fields | {f: f"substring_index({fields[f]}, 'T', 1)" for f in dates}
 
 
-def map_commercial(records: DataFrame, state: Column | str) -> DataFrame:
+def map_commercial(records: DataFrame, state: str) -> DataFrame:
     """Records of a commercial page: the first key with text wins, then the nested party objects."""
     nested = sum(fixed.COMMERCIAL_PARTIES.values(), [])
     rows = _parse(records, sum(fixed.COMMERCIAL_KEYS.values(), nested))
 
-    def flat(key: str) -> Column:
-        may_nest = key in nested
-        return F.when(~_text(key).startswith("{"), _filled(key)) if may_nest else _filled(key)
+    def flat(key: str) -> str:
+        return f"if({_text(key)} LIKE '{{%', NULL, {_filled(key)})" if key in nested else _filled(key)
 
-    def inner(party: str, part: str) -> list[Column]:
-        return [_text(key, f"$.{name}") for key in fixed.COMMERCIAL_PARTIES[party] for name in fixed.PARTY_KEYS[part]]
+    def inner(party: str, part: str) -> list[str]:
+        return [_text(key, f"$.{inside}") for key in fixed.COMMERCIAL_PARTIES[party] for inside in fixed.PARTY_KEYS[part]]
 
     fields = {field: [flat(key) for key in keys] for field, keys in fixed.COMMERCIAL_KEYS.items()}
     for party in fixed.COMMERCIAL_PARTIES:
         for part in fixed.PARTY_KEYS:
             fields[f"{party}_{part}"] += inner(party, part)
     chosen = {field: first_clean(*values) for field, values in fields.items()}
-    return feed_records(rows, _cut_times(chosen), state, "commercial", F.col("record"))
+    return feed_records(rows, _cut_times(chosen), state, "commercial", "record")
 
 
 def read_bulk_documents(spark: SparkSession, path: str, state: str) -> DataFrame:

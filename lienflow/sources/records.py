@@ -2,62 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
+from lienflow.functions.sql import coalesce, quote
 from lienflow.functions.text import clean
 from lienflow.schema import FEED_FIELDS
 
 DEFAULT_TYPE = "UCC"
 
+# Source order of a row read from files: file time, file, block in the file, row in the block.
+# The running id is only compared between rows of one block, so it does not matter which task a
+# block went to.  Must be evaluated in the scan itself, before any shuffle.
+ARRIVAL = (
+    "struct(_metadata.file_modification_time AS file_time, _metadata.file_path AS file, "
+    "_metadata.file_block_start AS block, monotonically_increasing_id() AS row) AS arrival"
+)
 
-def arrival() -> Column:
-    """Source order of a row read from files: file time, file, block in the file, row in the block.
+HAS_STATE = "coalesce(state RLIKE '^[A-Z]{2}$', false)"
 
-    The running id is only compared between rows of one block, so it does not matter
-    which task a block went to.  Must be evaluated in the scan itself, before any shuffle.
-    """
-    return F.struct(
-        F.col("_metadata.file_modification_time").alias("file_time"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    )
+# What makes a record storable.
+HAS_KEY = f"{HAS_STATE} AND coalesce({clean('filing_number')} <> 'UNKNOWN', false)"
 
 
-def feed_records(rows: DataFrame, fields: dict[str, Column], state: Column | str, tier: str, raw: Column) -> DataFrame:
+def feed_records(rows: DataFrame, fields: dict[str, str], state: str, tier: str, raw: str) -> DataFrame:
     """Project source rows to the feed columns: trimmed text, blank as null.
 
-    Rows without a filing number stay in; ``split_keyed`` separates them so they can be counted.
+    ``fields`` and ``raw`` are SQL expressions.  Rows without a filing number stay in;
+    ``split_keyed`` separates them so they can be counted.
     """
-    constant = {
-        "state": F.lit(state) if isinstance(state, str) else state,
-        "source_tier": F.lit(tier),
-        "source_raw": raw,
-        "filing_type": F.coalesce(clean(fields["filing_type"]), F.lit(DEFAULT_TYPE))
-        if "filing_type" in fields
-        else F.lit(DEFAULT_TYPE),
-    }
-    nothing = F.lit(None).cast("string")
-
-    def value(field: str) -> Column:
-        if field in constant:
-            return constant[field]
-        return clean(fields[field].cast("string")) if field in fields else nothing
-
-    kept = [F.col("arrival")] if "arrival" in rows.columns else []
-    return rows.select(*[value(field).alias(field) for field in FEED_FIELDS], *kept)
-
-
-def has_key() -> Column:
-    """True for a record that can be stored."""
-    return _has_state() & F.coalesce(clean(F.col("filing_number")) != "UNKNOWN", F.lit(False))
-
-
-def _has_state() -> Column:
-    return F.coalesce(F.col("state").rlike("^[A-Z]{2}$"), F.lit(False))
+    constant = {"state": quote(state), "source_tier": quote(tier), "source_raw": raw}
+    cleaned = {field: clean(f"cast({value} AS string)") for field, value in fields.items()}
+    cleaned["filing_type"] = coalesce(cleaned.get("filing_type", "NULL"), quote(DEFAULT_TYPE))
+    values = {field: "cast(NULL AS string)" for field in FEED_FIELDS} | cleaned | constant
+    kept = [c for c in ("arrival",) if c in rows.columns]
+    return rows.selectExpr(*[f"{values[field]} AS {field}" for field in FEED_FIELDS], *kept)
 
 
 def split_keyed(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Records that can be stored, and rejects with the reason why they cannot."""
-    reason = F.when(~_has_state(), "no_state_code").otherwise("missing_filing_number")
-    return records.filter(has_key()), records.filter(~has_key()).withColumn("reject_reason", reason)
+    reason = f"if({HAS_STATE}, 'missing_filing_number', 'no_state_code') AS reject_reason"
+    return records.filter(HAS_KEY), records.filter(f"NOT ({HAS_KEY})").selectExpr("*", reason)

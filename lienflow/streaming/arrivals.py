@@ -9,13 +9,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lienflow.functions.filings import normalize_filings
 from lienflow.operators.store import FilingStore
-from lienflow.sources.records import arrival
+from lienflow.sources.records import ARRIVAL
 
 
 def landed_lines(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
     """Lines of newly landed files with their arrival order; ``max_files`` bounds a micro-batch."""
     lines = spark.readStream.option("maxFilesPerTrigger", max_files).text(path)
-    return lines.select("value", arrival().alias("arrival"))
+    return lines.selectExpr("value", ARRIVAL)
 
 
 def start_upserts(
