@@ -3,29 +3,37 @@
 from __future__ import annotations
 
 from lienflow import fixed_values as fixed
-from lienflow.functions.sql import replace_all
+from lienflow.functions.sql import quote, replace_all
 from lienflow.functions.text import strip
 
 # Accepted shapes of a date and how each reads as year-month-day after a "=".
 # A month is a number or the first three letters of its name.  Years of two digits from 69 on
 # belong to the last century.
-DATE_SHAPES = [
-    (r"(?s)^((?!0000)\d{4})-(?:(\d{2})-(\d{2})|(\d{1,2})-(\d{1,2})T.*)$", "=$1-$2$4-$3$5"),
-    (r"^(\d{1,2})([/-])(\d{1,2})\2((?!0000)\d{4})$", "=$4-$1-$3"),
-    (r"^((?!0000)\d{4})(1[0-2]|0[1-9]|[1-9])(3[01]|[12]\d|0?[1-9])$", "=$1-$2-$3"),
+SLASH_SHAPES = [
+    (r"^(\d{1,2})/(\d{1,2})/((?!0000)\d{4})$", "=$3-$1-$2"),
     (r"^(\d{1,2})/(\d{1,2})/(69|[7-9]\d)$", "=19$3-$1-$2"),
     (r"^(\d{1,2})/(\d{1,2})/([0-5]\d|6[0-8])$", "=20$3-$1-$2"),
+]
+OTHER_SHAPES = [
+    (r"(?s)^((?!0000)\d{4}-\d{1,2}-\d{1,2})T.*$", "=$1"),
+    (r"^(\d{1,2})-(\d{1,2})-((?!0000)\d{4})$", "=$3-$1-$2"),
+    (r"^((?!0000)\d{4})(1[0-2]|0[1-9]|[1-9])(3[01]|[12]\d|0?[1-9])$", "=$1-$2-$3"),
     (r"^(?:(\d{1,2})-([A-Za-z]{3})-|([A-Za-z]{3})\s+(\d{1,2}),\s+)((?!0000)\d{4})$", "=$5-$2$3-$1$4"),
 ]
+ISO_SHAPE = r"^(?!0000)\d{4}-\d{2}-\d{2}$"
 
 
 def normalize_date(value: str) -> str:
     """The date in any accepted shape, null when the text is no valid date.
 
-    Each shape rewrites its own texts only, and what no shape fits lacks the "=" that the parser asks for.
+    ISO dates, the usual case, are parsed at once.  Otherwise each shape rewrites its own texts only, and
+    what no shape fits lacks the "=" that the parser asks for.
     """
-    marked = replace_all(f"translate({strip(value)}, '=', ' ')", *DATE_SHAPES)
-    return f"try_to_date({marked}, '\\'=\\'yyyy-[MMM][M]-d')"
+    text = strip(value)
+    plain = f"translate({text}, '=', ' ')"
+    marked = f"if(contains({text}, '/'), {replace_all(plain, *SLASH_SHAPES)}, {replace_all(plain, *OTHER_SHAPES)})"
+    other = f"try_to_date({marked}, {quote(chr(39) + '=' + chr(39) + 'yyyy-[MMM][M]-d')})"
+    return f"if({text} RLIKE {quote(ISO_SHAPE)}, try_to_date({text}, 'yyyy-MM-dd'), {other})"
 
 
 def is_before(filing_date: str, since: str) -> str:

@@ -398,14 +398,16 @@ PAGE_KEY = "bigint(filing_number) AS page_key"
 def fixed_width_scan(spark, sf_dir):
     """Lines of the fixed layout; those without a number are short header lines."""
     raw = _rendered(spark, sf_dir)
-    lines = raw.selectExpr(f"if(filing_number IS NULL, 'UCC EXTRACT', {FIXED_WIDTH_LINE}) AS value")
-    return _keyed(fixed_width.map_fixed_width(lines))
+    path = scratch_path(spark, "fixed")
+    raw.selectExpr(f"if(filing_number IS NULL, 'UCC EXTRACT', {FIXED_WIDTH_LINE}) AS value").write.text(path)
+    return _keyed(fixed_width.read_fixed_width(spark, path))
 
 
 @query
 def json_lines_scan(spark, sf_dir):
-    raw = _rendered(spark, sf_dir)
-    return _keyed(json_feeds.map_bulk(raw.selectExpr(f"{BULK_JSON} AS record"), "TX"))
+    path = scratch_path(spark, "lines")
+    _rendered(spark, sf_dir).selectExpr(f"{BULK_JSON} AS value").write.text(path)
+    return _keyed(json_feeds.read_bulk_lines(spark, path, "TX"))
 
 
 @query

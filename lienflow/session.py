@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # The JVM never compiles methods above 8000 bytes.  A projection of many text fields can exceed that
+    # in whole-stage code; Spark then uses its projection code instead, which is cut into small methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 _local_folders: dict[str, str] = {}

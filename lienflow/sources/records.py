@@ -21,7 +21,7 @@ ARRIVAL = (
 HAS_STATE = "coalesce(state RLIKE '^[A-Z]{2}$', false)"
 
 # What makes a record storable.
-HAS_KEY = f"{HAS_STATE} AND coalesce({clean('filing_number')} <> 'UNKNOWN', false)"
+HAS_KEY = f"{HAS_STATE} AND coalesce(filing_number NOT IN ('', 'UNKNOWN'), false)"
 
 
 def feed_records(rows: DataFrame, fields: dict[str, str], state: str, tier: str, raw: str) -> DataFrame:
@@ -39,6 +39,6 @@ def feed_records(rows: DataFrame, fields: dict[str, str], state: str, tier: str,
 
 
 def split_keyed(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Records that can be stored, and rejects with the reason why they cannot."""
+    """Records with trimmed fields: those that can be stored, and rejects with the reason why they cannot."""
     reason = f"if({HAS_STATE}, 'missing_filing_number', 'no_state_code') AS reject_reason"
     return records.filter(HAS_KEY), records.filter(f"NOT ({HAS_KEY})").selectExpr("*", reason)
