@@ -5,8 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from lienflow.operators.audit import latest_runs
 from lienflow.operators.joins import states_of
 from lienflow.operators.sequences import HOT_ROWS
 from lienflow.operators.upsert import OUTCOMES, merge
@@ -42,6 +43,9 @@ class FilingStore:
     def runs(self) -> DataFrame:
         return self.read("ingestion_runs", RUN_SCHEMA)
 
+    def current_runs(self) -> DataFrame:
+        return latest_runs(self.runs())
+
     def append(self, table: str, rows: DataFrame) -> None:
         rows.write.mode("append").parquet(self.path(table))
 
@@ -49,15 +53,16 @@ class FilingStore:
         """The event log, as JSON lines."""
         events.write.mode("append").json(self.path("event_log"))
 
-    def upsert(self, records: DataFrame, as_of: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
+    def upsert(self, records: DataFrame, as_of: str, hot_rows: int = HOT_ROWS) -> DataFrame:
         """Apply normalized records and return the outcome counts per state.
 
-        The new partitions are written in full to a staging table first; a job that fails later can
-        be run again, and nothing is overwritten while it is still being read.  Applying a batch
-        twice changes nothing, because its rows are then skipped.
+        The batch is parsed once, into a table; what needs keys only then reads keys only.  The new
+        partitions are written in full to a staging table before any old one is replaced, so a job that
+        fails can be run again.  Applying a batch twice changes nothing, because its rows are then skipped.
         """
-        keyed, rejects = split_keyed(records)
-        self.append("quarantine", rejects.drop("arrival").withColumn("rejected_at", as_of))
+        records.write.mode("overwrite").parquet(self.path("_incoming"))
+        keyed, rejects = split_keyed(self.spark.read.parquet(self.path("_incoming")))
+        self.append("quarantine", rejects.drop("arrival").withColumn("rejected_at", F.expr(as_of)))
         stored = self.filings().join(states_of(keyed), "state", "left_semi")
         staged = self.path("_staging")
         merge(keyed, stored, as_of, hot_rows).write.mode("overwrite").parquet(staged)

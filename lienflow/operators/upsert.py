@@ -54,17 +54,20 @@ def outcome_counts(classified: DataFrame, by: list[str] | None = None) -> DataFr
 
 
 def merge(
-    incoming: DataFrame, stored: DataFrame | None, as_of: Column, hot_rows: int = HOT_ROWS, count: bool = True
+    incoming: DataFrame, stored: DataFrame | None, as_of: str, hot_rows: int = HOT_ROWS, count: bool = True
 ) -> DataFrame:
     """The table after the upsert, one row per key, with the outcome counts of the key.
 
+    ``as_of`` is a SQL expression for the time of the upsert, such as ``current_timestamp()``.
+
     The last row that was not skipped gives the values; the first row keeps its ``ingested_at``.
     Grouping on the key after the window on the key needs no further shuffle.
     """
+    now = F.expr(as_of)
     incoming = incoming.withColumns(
         {
-            "ingested_at": F.coalesce(F.col("ingested_at"), as_of) if "ingested_at" in incoming.columns else as_of,
-            "last_updated_at": as_of,
+            "ingested_at": F.coalesce("ingested_at", now) if "ingested_at" in incoming.columns else now,
+            "last_updated_at": now,
         }
     )
     rows = _sequence(incoming, stored, FILING_FIELDS, hot_rows)

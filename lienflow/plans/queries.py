@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce, wraps
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -30,7 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # Moments at which time-dependent queries are asked.
-INGEST_MOMENT = "2001-08-02 12:00:00"
+INGEST_MOMENT = "timestamp'2001-08-02 12:00:00'"
 CALL_MOMENT = "timestamp'2024-01-15 17:00:00'"
 
 QUESTIONS = [
@@ -50,10 +50,6 @@ def query(make: Query) -> Query:
     return run
 
 
-def moment(text: str) -> Column:
-    return F.lit(text).cast("timestamp")
-
-
 def as_text(rows: DataFrame, *dates: str, times: tuple[str, ...] = ()) -> DataFrame:
     """Dates and times as ISO text."""
     texts = {d: F.date_format(d, "yyyy-MM-dd") for d in dates}
@@ -134,14 +130,14 @@ def upsert_outcomes(spark, sf_dir):
 def upsert_outcomes_by_state(spark, sf_dir):
     """Outcomes against stored filings: the lines with status O are stored, those with F arrive."""
     lines = inputs.line_batch(spark, sf_dir)
-    stored = upsert.merge(lines.filter("l_linestatus = 'O'"), None, moment(INGEST_MOMENT), count=False)
+    stored = upsert.merge(lines.filter("l_linestatus = 'O'"), None, INGEST_MOMENT, count=False)
     classified = upsert.classify(lines.filter("l_linestatus = 'F'"), stored)
     return upsert.outcome_counts(classified, ["state"])
 
 
 @query
 def upsert_final_state(spark, sf_dir):
-    merged = upsert.merge(inputs.line_batch(spark, sf_dir), None, moment(INGEST_MOMENT))
+    merged = upsert.merge(inputs.line_batch(spark, sf_dir), None, INGEST_MOMENT)
     return as_text(
         merged.select("state", "filing_number", "debtor_name", "filing_date", "source_raw", "n_new", "n_updated", "n_skipped"),
         "filing_date",
@@ -159,7 +155,7 @@ def upsert_hot_keys(spark, sf_dir):
 def replacement_changes(spark, sf_dir):
     """What a full delivery of the lines with status F changes in a store of those with status O."""
     lines = inputs.line_batch(spark, sf_dir)
-    at = moment(INGEST_MOMENT)
+    at = INGEST_MOMENT
     stored = upsert.merge(lines.filter("l_linestatus = 'O'"), None, at, count=False)
     delivered = upsert.merge(lines.filter("l_linestatus = 'F'"), None, at, count=False)
     return quality.replacement_diff(stored, delivered).groupBy("state", "change").agg(F.count("*").alias("n_filings"))
@@ -228,14 +224,14 @@ def since_filter(spark, sf_dir):
 @query
 def due_states(spark, sf_dir):
     sources = dimension.source_dimension(spark, disabled=("WY",))
-    due = schedule.due_states(sources, inputs.filings(spark, sf_dir), moment(INGEST_MOMENT))
+    due = schedule.due_states(sources, inputs.filings(spark, sf_dir), INGEST_MOMENT)
     return as_text(due, times=("last_ingestion",))
 
 
 @query
 def status_report(spark, sf_dir):
     sources = dimension.source_dimension(spark, disabled=("WY",))
-    report = schedule.status_report(sources, inputs.filings(spark, sf_dir), moment(INGEST_MOMENT))
+    report = schedule.status_report(sources, inputs.filings(spark, sf_dir), INGEST_MOMENT)
     return as_text(report, "latest_filing_date", times=("last_ingestion",))
 
 
@@ -436,12 +432,9 @@ def envelope_unwrap(spark, sf_dir):
     envelopes = [fixed.PAGE_KEYS[name][i % 2] for i, name in enumerate(providers)]
     body = f"""concat('{{"', {inputs.pick("page_no % 3", [f"'{e}'" for e in envelopes])}, '": ', items, '}}')"""
     documents = inputs.pages(records, 500, body)
-    parts = [
-        json_feeds.unwrap(documents.filter(f"page_no % 3 = {i}"), fixed.PAGE_KEYS[name])
-        for i, name in enumerate(providers)
-    ]
+    records = json_feeds.unwrap_pages(documents, inputs.pick("page_no % 3", [f"'{name}'" for name in providers]))
     columns = ["filing_number", "filing_type", "filing_date", "debtor_name", "secured_party_name"]
-    return _keyed(json_feeds.map_commercial(reduce(DataFrame.unionByName, parts), "AL"), columns)
+    return _keyed(json_feeds.map_commercial(records, "AL"), columns)
 
 
 def _write_xml(raw: DataFrame, path: str) -> None:

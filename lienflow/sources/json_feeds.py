@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lienflow import fixed_values as fixed
-from lienflow.functions.sql import name, quote
+from lienflow.functions.sql import coalesce, name, quote
 from lienflow.functions.text import first_clean
 from lienflow.sources.records import ARRIVAL, feed_records
 
@@ -33,13 +33,29 @@ def unwrap(documents: DataFrame, keys: list[str], single_record: bool = False) -
 
     With ``single_record`` an object that has none of the keys is a record itself.
     """
-    wrapped = documents.selectExpr("*", f"from_json(value, {_schema(keys, 'array<string>')}) AS wrapped")
-    held = ", ".join(f"wrapped.{name(key)}" for key in keys)
-    lone = "array(value)" if single_record else "cast(array() AS array<string>)"
-    is_array = "ltrim(value) LIKE '[%'"
-    records = f"if({is_array}, from_json(value, 'array<string>'), coalesce({held}, {lone}))"
+    return _unwrap(documents, _first(keys), "array(value)" if single_record else "NULL")
+
+
+def unwrap_pages(documents: DataFrame, provider: str) -> DataFrame:
+    """Records of commercial pages in ``value``; ``provider`` is an expression for who sent the page.
+
+    A page of an unknown provider is read like one of the first.
+    """
+    cases = " ".join(f"WHEN {quote(who)} THEN {_first(keys)}" for who, keys in fixed.PAGE_KEYS.items())
+    return _unwrap(documents, f"CASE {provider} {cases} ELSE {_first(next(iter(fixed.PAGE_KEYS.values())))} END", "NULL")
+
+
+def _first(keys: list[str]) -> str:
+    return coalesce(*[f"wrapped[{quote(key)}]" for key in keys])
+
+
+def _unwrap(documents: DataFrame, held: str, default: str) -> DataFrame:
+    """Explode the array whose text ``held`` finds among the root keys; records keep their own text."""
+    wrapped = documents.selectExpr("*", "from_json(value, 'map<string, string>') AS wrapped")
     kept = [c for c in documents.columns if c != "value"]
-    exploded = wrapped.selectExpr(*kept, f"posexplode({records}) AS (position, record)")
+    array = wrapped.selectExpr(*kept, "value", f"if(ltrim(value) LIKE '[%', value, {held}) AS items")
+    records = f"if(items IS NULL, {default}, from_json(items, 'array<string>'))"
+    exploded = array.selectExpr(*kept, f"posexplode({records}) AS (position, record)")
     if "arrival" not in kept:
         return exploded.drop("position")
     return exploded.withColumn("arrival", F.col("arrival").withField("position", F.col("position"))).drop("position")
@@ -117,9 +133,8 @@ def read_open_data(spark: SparkSession, path: str, state: str) -> DataFrame:
 
 
 def read_commercial(spark: SparkSession, path: str, state: str, provider: str = "baselayer") -> DataFrame:
-    """Landed commercial pages; an unknown provider is read like the first one."""
-    keys = fixed.PAGE_KEYS.get(provider, fixed.PAGE_KEYS["baselayer"])
-    return map_commercial(unwrap(scan_documents(spark, path), keys), state)
+    """Landed commercial pages of one provider."""
+    return map_commercial(unwrap_pages(scan_documents(spark, path), quote(provider)), state)
 
 
 def page_slice(records: DataFrame, date_column: str, key_column: str, offset: int, limit: int, since=None) -> DataFrame:

@@ -13,10 +13,12 @@ DEFAULT_TYPE = "UCC"
 # Source order of a row read from files: file time, file, block in the file, row in the block.
 # The running id is only compared between rows of one block, so it does not matter which task a
 # block went to.  Must be evaluated in the scan itself, before any shuffle.
-ARRIVAL = (
-    "struct(_metadata.file_modification_time AS file_time, _metadata.file_path AS file, "
-    "_metadata.file_block_start AS block, monotonically_increasing_id() AS row) AS arrival"
+PLACE = (
+    "_metadata.file_modification_time AS file_time",
+    "_metadata.file_path AS file",
+    "_metadata.file_block_start AS block",
 )
+ARRIVAL = f"struct({', '.join(PLACE)}, monotonically_increasing_id() AS row) AS arrival"
 
 HAS_STATE = "coalesce(state RLIKE '^[A-Z]{2}$', false)"
 

@@ -4,18 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lienflow.functions.filings import normalize_filings
 from lienflow.operators.store import FilingStore
-from lienflow.sources.records import ARRIVAL
+from lienflow.sources.records import PLACE
 
 
 def landed_lines(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
-    """Lines of newly landed files with their arrival order; ``max_files`` bounds a micro-batch."""
+    """Lines of newly landed files and where they stand; ``max_files`` bounds a micro-batch."""
     lines = spark.readStream.option("maxFilesPerTrigger", max_files).text(path)
-    return lines.selectExpr("value", ARRIVAL)
+    return lines.selectExpr("value", *PLACE)
 
 
 def start_upserts(
@@ -23,13 +23,17 @@ def start_upserts(
     to_records: Callable[[DataFrame], DataFrame],
     store: FilingStore,
     checkpoint: str,
-    as_of: Column | None = None,
+    as_of: str = "current_timestamp()",
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Upsert every micro-batch.  A batch that is run again after a failure is skipped row by row."""
+    """Upsert every micro-batch.  A batch that is run again after a failure is skipped row by row.
+
+    The row number in a block, which a stream cannot number, is added to the micro-batch.
+    """
+    arrival = "struct(file_time, file, block, monotonically_increasing_id() AS row) AS arrival"
 
     def apply(batch: DataFrame, epoch: int) -> None:
-        counts = store.upsert(normalize_filings(to_records(batch)), as_of if as_of is not None else F.current_timestamp())
+        counts = store.upsert(normalize_filings(to_records(batch.selectExpr("value", arrival))), as_of)
         store.append("outcome_log", counts.withColumn("epoch", F.lit(epoch)))
 
     writer = lines.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
