@@ -61,7 +61,8 @@ def search_key(name: str) -> str:
 
     Case, accents, punctuation and spaces do not count, nor do "the" at either end and ending noise words.
     """
-    plain = f"translate({normalize_name(name, True)}, {quote(fixed.ACCENTED)}, {quote(fixed.PLAIN)})"
-    words = normalize_name(replace_all(plain, (r"[^\p{L}\p{N}\s]", "")))
+    plain = f"translate(upper({name}), {quote(fixed.ACCENTED)}, {quote(fixed.PLAIN)})"
+    words = replace_all(plain, (r"(?U)[^\p{L}\p{N}\s]", ""), (r"(?U)[\s\x1C-\x1F]+", " "))
     endings = "|".join([*fixed.NAME_NOISE_WORDS, "THE"])
-    return f"nullif({replace_all(words, ('^THE ', ''), (f'( ({endings}))+$', ''), (' ', ''))}, '')"
+    telling = replace_all(f"trim({words})", (rf"^THE |( ({endings}))+$", ""))
+    return f"nullif(translate({telling}, ' ', ''), '')"

@@ -22,10 +22,15 @@ def states_of(rows: DataFrame) -> DataFrame:
     return by_state(rows.select("state").distinct())
 
 
+def is_small(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """True when a table holds at most ``max_rows`` rows; the check stops after one more."""
+    return side.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a join side for broadcast only when it is known to hold at most ``max_rows`` rows.
+    """Mark a join side for broadcast only when it is known to be small.
 
-    The check stops after ``max_rows`` + 1 rows.  A larger side stays unmarked, so the join
-    shuffles both sides and AQE splits partitions that a hot key makes too large.
+    A larger side stays unmarked, so the join shuffles both sides and AQE splits partitions that a
+    hot key makes too large.
     """
-    return F.broadcast(side) if side.limit(max_rows + 1).count() <= max_rows else side
+    return F.broadcast(side) if is_small(side, max_rows) else side

@@ -17,7 +17,8 @@ def match_watchlist(filings: DataFrame, watchlist: DataFrame, exact_states: tupl
     """
     watched = watchlist.selectExpr(f"{normalize_name('watch_name', True)} AS watch_name").distinct()
     strict = f"concat('=', {normalize_name('debtor_name', True)})"
-    key = f"if(state IN ({listing(exact_states)}), {strict}, {search_key('debtor_name')}) AS match_key"
+    # Never null, so that the join needs no null check, which would work out the key a second time.
+    key = f"coalesce(if(state IN ({listing(exact_states)}), {strict}, {search_key('debtor_name')}), '') AS match_key"
     keyed = filings.selectExpr("*", key)
     keys = f"explode(array({search_key('watch_name')}, concat('=', watch_name))) AS match_key"
     entries = watched.selectExpr("watch_name", keys).filter("match_key IS NOT NULL")

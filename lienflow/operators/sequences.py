@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lienflow.operators.joins import BROADCAST_ROWS
+
 # A key with more rows than this is spread over several tasks.
 HOT_ROWS = 1_000_000
 # Rows of hot keys that one piece should hold, and the bounds on the number of pieces.
@@ -44,7 +46,9 @@ def with_previous(
     plain = F.lag(F.struct(value)).over(window)
     if not totals["keys"]:
         return rows.withColumn(name, plain)
-    listed = F.broadcast(hot.select(*keys))
+    listed = hot.select(*keys)
+    if totals["keys"] <= BROADCAST_ROWS:
+        listed = F.broadcast(listed)
     few = rows.join(listed, keys, "left_anti").withColumn(name, plain)
     pieces = min(max(totals["rows"] // PIECE_ROWS, MIN_PIECES), MAX_PIECES)
     many = _spread_previous(rows.join(listed, keys, "left_semi"), keys, order, value, name, pieces)

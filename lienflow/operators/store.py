@@ -5,10 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F, types as T
 
 from lienflow.operators.audit import latest_runs
-from lienflow.operators.joins import states_of
+from lienflow.operators.joins import by_state
 from lienflow.operators.sequences import HOT_ROWS
 from lienflow.operators.upsert import OUTCOMES, merge
 from lienflow.schema import FILING_FIELDS, FILING_SCHEMA, RUN_SCHEMA
@@ -20,10 +20,16 @@ COUNTS = [f"n_{o}" for o in OUTCOMES]
 
 @dataclass
 class FilingStore:
-    """Tables under one root; filings are partitioned by state, and a state with any change is rewritten."""
+    """Tables under one root.
+
+    Filings are partitioned by state and by a hash bucket of the filing number; an upsert rewrites only
+    the partitions its batch touches.  More buckets mean less to rewrite for a small batch.  Their
+    number is fixed for the life of a store: choose it so that a partition is a few files.
+    """
 
     spark: SparkSession
     root: str
+    buckets: int = 1
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -37,8 +43,14 @@ class FilingStore:
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def _partitioned(self) -> DataFrame:
+        return self.read("filings", T.StructType([*FILING_SCHEMA, T.StructField("bucket", T.IntegerType())]))
+
+    def _with_bucket(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("bucket", F.expr(f"int(pmod(xxhash64(filing_number), {self.buckets}))"))
+
     def filings(self) -> DataFrame:
-        return self.read("filings", FILING_SCHEMA).select(*FILING_FIELDS)
+        return self._partitioned().select(*FILING_FIELDS)
 
     def runs(self) -> DataFrame:
         return self.read("ingestion_runs", RUN_SCHEMA)
@@ -63,21 +75,21 @@ class FilingStore:
         records.write.mode("overwrite").parquet(self.path("_incoming"))
         keyed, rejects = split_keyed(self.spark.read.parquet(self.path("_incoming")))
         self.append("quarantine", rejects.drop("arrival").withColumn("rejected_at", F.expr(as_of)))
-        stored = self.filings().join(states_of(keyed), "state", "left_semi")
-        staged = self.path("_staging")
-        merge(keyed, stored, as_of, hot_rows).write.mode("overwrite").parquet(staged)
-        result = self.spark.read.parquet(staged)
-        self._replace_partitions(result.drop(*COUNTS))
+        # State codes have two letters, so there are at most 676 partitions per bucket to list.
+        touched = by_state(self._with_bucket(keyed).select("state", "bucket").distinct())
+        stored = self._partitioned().join(touched, ["state", "bucket"], "left_semi").select(*FILING_FIELDS)
+        merge(keyed, stored, as_of, hot_rows).write.mode("overwrite").parquet(self.path("_staging"))
+        result = self.spark.read.parquet(self.path("_staging"))
+        writer = self._evenly(result.drop(*COUNTS), "state", "bucket").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("state", "bucket").parquet(self.path("filings"))
         return result.groupBy("state").agg(*[F.sum(c).alias(c) for c in COUNTS])
 
-    def replace_states(self, filings: DataFrame) -> None:
-        """A full delivery: the states in it get exactly these rows."""
-        self._replace_partitions(filings.select(*FILING_FIELDS))
-
-    def _replace_partitions(self, filings: DataFrame) -> None:
-        """Rewrite only the states present; rebalancing evens out file sizes, also of a very large state."""
-        rows = filings.hint("rebalance", "state").sortWithinPartitions("state", "filing_date")
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.option("parquet.bloom.filter.enabled#filing_number", "true").partitionBy("state").parquet(
-            self.path("filings")
-        )
+    def replace_state(self, state: str, filings: DataFrame) -> None:
+        """A full delivery: the state holds exactly these rows afterwards.  ``filings`` must not be read from here."""
+        rows = filings.filter(F.col("state") == state).select(*[f for f in FILING_FIELDS if f != "state"])
+        self._evenly(rows, "bucket").partitionBy("bucket").parquet(f"{self.path('filings')}/state={state}")
+
+    def _evenly(self, rows: DataFrame, *partition: str) -> DataFrameWriter:
+        """Files of even size, also in a very large partition, sorted so that date filters skip row groups."""
+        placed = self._with_bucket(rows).hint("rebalance", *partition).sortWithinPartitions(*partition, "filing_date")
+        return placed.write.mode("overwrite").option("parquet.bloom.filter.enabled#filing_number", "true")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lienflow.operators.joins import is_small
 from lienflow.operators.sequences import HOT_ROWS, with_previous
 from lienflow.schema import FILING_FIELDS, KEPT_FIELDS, KEY
 
@@ -39,10 +40,16 @@ def _sequence(incoming: DataFrame, stored: DataFrame | None, columns: list[str],
 
 
 def classify(incoming: DataFrame, stored: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Key, arrival and outcome of every incoming row; stored rows of other keys are not shuffled with them."""
+    """Key, arrival and outcome of every incoming row.
+
+    When the batch is small, stored rows of other keys are filtered out before the shuffle.  For a
+    large batch that filter would itself shuffle the stored rows, so they go into the window directly.
+    """
     columns = [*KEY, "source_raw"]
     if stored is not None:
-        stored = stored.join(incoming.select(*KEY), KEY, "left_semi")
+        keys = incoming.select(*KEY)
+        if is_small(keys):
+            stored = stored.join(F.broadcast(keys), KEY, "left_semi")
     rows = _sequence(incoming, stored, columns, hot_rows)
     return rows.filter("is_incoming").drop("is_incoming", "source_raw")
 

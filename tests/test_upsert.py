@@ -31,7 +31,7 @@ def counts(result):
 
 @pytest.fixture
 def store(spark, tmp_path):
-    return FilingStore(spark, str(tmp_path / "store"))
+    return FilingStore(spark, str(tmp_path / "store"), buckets=3)
 
 
 def k(number, state="TX", **fields):
@@ -164,7 +164,7 @@ def test_full_replacement(spark, store):
         ("4", "added"),
     }
     assert [r.filing_number for r in removed_filings(stored, delivered).collect()] == ["1"]
-    store.replace_states(delivered)
+    store.replace_state("ID", delivered)
     assert {(r.state, r.filing_number) for r in store.filings().collect()} == {("ID", "2"), ("ID", "4"), ("TX", "3")}
 
 
