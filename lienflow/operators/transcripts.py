@@ -50,19 +50,19 @@ def answers_in_lines(lines: DataFrame, questions: list[str]) -> DataFrame:
 def answers_in_text(calls: DataFrame, transcript: str, questions: list[str]) -> DataFrame:
     """Calls with the answers from a transcript in one column, as an array with one entry per question.
 
-    Works row by row, without any shuffle.
+    Works row by row, without any shuffle.  Lines are only looked at when the whole transcript holds
+    enough of a question's words.
     """
 
     def hit(number: int, question: str) -> str:
-        asked = f"transform(_lower, line -> {_is_asked('line', question)})"
-        return f"int(array_position({asked}, true)) AS _hit_{number}"
+        asked = f"transform(split(_lower, '\\n'), line -> {_is_asked('line', question)})"
+        return f"int(if({_is_asked('_lower', question)}, array_position({asked}, true), 0)) AS _hit_{number}"
 
     def answer(number: int) -> str:
         after = f"transform(slice(_lines, _hit_{number} + 1, {ANSWER_LINES}), line -> {clean('line')})"
         return f"if(_hit_{number} > 0, nullif(array_join({after}, ' '), ''), NULL)"
 
-    lines = f"split({transcript}, '\\n')"
-    split = calls.selectExpr("*", f"{lines} AS _lines", f"transform({lines}, line -> lower(line)) AS _lower")
+    split = calls.selectExpr("*", f"split({transcript}, '\\n') AS _lines", f"lower({transcript}) AS _lower")
     entries = ", ".join(f"struct({_question(i, q)}, {answer(i)} AS answer)" for i, q in enumerate(questions))
     placed = split.selectExpr("*", *[hit(i, q) for i, q in enumerate(questions)])
     return placed.selectExpr(*calls.columns, f"array({entries}) AS answers")

@@ -212,6 +212,40 @@ SELECT state, filing_number,
   arg_max(src, seq) FILTER (outcome <> 'skipped') AS source_raw,
   count_if(outcome = 'new') AS n_new, count_if(outcome = 'updated') AS n_updated, count_if(outcome = 'skipped') AS n_skipped
 FROM classified GROUP BY state, filing_number""",
+    "stored_upsert": f"""
+WITH {LINES},
+ordered AS (SELECT *, row_number() OVER (PARTITION BY filing_number ORDER BY l_linestatus = 'F', seq) AS place FROM lines),
+classified AS ({_sequence("SELECT state, filing_number, src, debtor_name, filing_date, place AS seq, true AS incoming FROM ordered")})
+SELECT state, filing_number,
+  arg_max(debtor_name, seq) FILTER (outcome <> 'skipped') AS debtor_name,
+  arg_max(filing_date, seq) FILTER (outcome <> 'skipped') AS filing_date,
+  arg_max(src, seq) FILTER (outcome <> 'skipped') AS source_raw
+FROM classified GROUP BY state, filing_number""",
+    "ingested_runs": f"""
+WITH {RAW}, n AS (SELECT state, source_tier, count(*) FILTER (k % 50 <> 0) AS n FROM raw GROUP BY ALL)
+SELECT state, source_tier, n AS records_fetched, n AS records_new, cast(0 AS bigint) AS records_updated,
+  cast(0 AS bigint) AS records_skipped, 'completed' AS status FROM n
+UNION ALL SELECT state, source_tier, n, 0, 0, n, 'completed' FROM n""",
+    "run_ids": f"""
+SELECT event_id, {S}[user_id % 25 + 1] || '_' || strftime(ts, '%Y%m%d_%H%M%S') || '_'
+  || substr(sha256({S}[user_id % 25 + 1] || '|' || event_id), 1, 8) AS run_id FROM events""",
+    "streamed_upsert": f"""
+WITH {RAW} SELECT 'TX' AS state, filing_number, coalesce(filing_type, 'UCC') AS filing_type, filing_date, filing_status,
+  debtor_name FROM raw WHERE k % 50 <> 0""",
+    "xml_parties": f"""
+WITH {RAW}
+SELECT 'IN' AS filing_state, filing_number, 'debtor' AS role, 0 AS party_no, debtor_text AS name, cast(NULL AS varchar) AS state FROM raw
+UNION ALL SELECT 'IN', filing_number, 'debtor', 1, s_name, secured_party_state FROM raw
+UNION ALL SELECT 'IN', filing_number, 'secured_party', 0, s_name, NULL FROM raw""",
+    "latest_landed_files": f"WITH {RAW} SELECT DISTINCT 'state=' || state AS folder, true AS is_text FROM raw",
+    "two_phase_load": f"""
+WITH {RAW} SELECT filing_number, 'master' AS phase FROM raw WHERE o_orderstatus <> 'F'
+UNION ALL SELECT filing_number, 'update' FROM raw WHERE filing_date IS NULL OR filing_date >= '2000-01-01'""",
+    "consent_rules": f"""
+SELECT {S}[c_nationkey + 1] AS state, CASE WHEN c_mktsegment = 'BUILDING' THEN 'two_party' ELSE 'one_party' END AS consent_type,
+  count(*) AS n_documents FROM customer GROUP BY ALL""",
+    "filings_of_tier": f"""
+WITH {RAW} SELECT state, count(*) AS n_filings FROM raw WHERE source_tier = 'state_bulk' AND state <> 'NY' GROUP BY state""",
     "replacement_changes": f"""
 WITH {LINES},
 held AS (SELECT state, filing_number, l_linestatus, arg_max(src, seq) AS src FROM lines GROUP BY ALL),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lienflow import fixed_values as fixed
 from lienflow.functions.dates import normalize_date
@@ -19,12 +19,14 @@ from lienflow.functions.text import (
     question_key,
 )
 from lienflow.operators import audit, outreach, parties, quality, schedule, search, stats, transcripts, upsert
+from lienflow.operators.store import FilingStore
 from lienflow.plans import inputs
+from lienflow.plans.ingest import ingest
 from lienflow.plans.inputs import state_of, table
 from lienflow.session import configure, scratch_path
 from lienflow.sources import delimited, dimension, fixed_width, json_feeds, landing, logs, xml_feeds
 from lienflow.sources.records import split_keyed
-from lienflow.streaming import alerts
+from lienflow.streaming import alerts, arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -161,6 +163,52 @@ def replacement_changes(spark, sf_dir):
     return quality.replacement_diff(stored, delivered).groupBy("state", "change").agg(F.count("*").alias("n_filings"))
 
 
+def _store(spark: SparkSession, name: str) -> FilingStore:
+    return FilingStore(spark, scratch_path(spark, name), buckets=2)
+
+
+@query
+def stored_upsert(spark, sf_dir):
+    """The table on disk after the lines with status O and then those with status F."""
+    lines, store = inputs.line_batch(spark, sf_dir), _store(spark, "store")
+    for status in ("O", "F"):
+        store.upsert(lines.filter(F.col("l_linestatus") == status), INGEST_MOMENT)
+    return as_text(store.filings().select("state", "filing_number", "debtor_name", "filing_date", "source_raw"), "filing_date")
+
+
+@query
+def ingested_runs(spark, sf_dir):
+    """Run records of two ingestion runs: all raw filings, and then all of them again."""
+    raw, store = _rendered(spark, sf_dir).drop("ordered_at"), _store(spark, "runs")
+    raw = raw.withColumn("arrival", F.struct("source_raw"))
+    for batch in ("first", "second"):
+        ingest(store, raw, INGEST_MOMENT, batch, full_refresh=True)
+    runs = store.current_runs()
+    return runs.select("state", "source_tier", "records_fetched", "records_new", "records_updated", "records_skipped", "status")
+
+
+@query
+def run_ids(spark, sf_dir):
+    events = inputs.event_times(spark, sf_dir)
+    made = audit.run_id(F.expr(state_of("user_id % 25")), F.col("ts"), F.col("event_id").cast("string"))
+    return events.select("event_id", made.alias("run_id"))
+
+
+@query
+def streamed_upsert(spark, sf_dir):
+    """Landed JSON lines streamed through the upsert."""
+    landed, store = scratch_path(spark, "landed"), _store(spark, "streamed")
+    _rendered(spark, sf_dir).selectExpr(f"{BULK_JSON} AS value").write.text(landed)
+
+    def to_records(lines: DataFrame) -> DataFrame:
+        return json_feeds.map_bulk(lines.withColumnRenamed("value", "record"), "TX")
+
+    lines = arrivals.landed_lines(spark, landed)
+    arrivals.start_upserts(lines, to_records, store, scratch_path(spark, "stream-state"), INGEST_MOMENT).awaitTermination()
+    columns = ["state", "filing_number", "filing_type", "filing_date", "filing_status", "debtor_name"]
+    return as_text(store.filings().select(*columns), "filing_date")
+
+
 # -- statistics and schedule -----------------------------------------------------------------------
 
 
@@ -241,6 +289,14 @@ def cost_by_tier(spark, sf_dir):
     return costs.withColumn("budget_remaining", F.coalesce("budget_remaining", F.lit(0.0)))
 
 
+@query
+def filings_of_tier(spark, sf_dir):
+    """Filings of the enabled bulk sources."""
+    sources = dimension.select_sources(dimension.source_dimension(spark, disabled=("NY",)), "state_bulk")
+    held = inputs.filings(spark, sf_dir).join(F.broadcast(sources.select("state")), "state", "left_semi")
+    return stats.count_by(held, "state")
+
+
 @query
 def commercial_coverage(spark, sf_dir):
     """Filings of the states without a direct feed."""
@@ -473,6 +529,52 @@ def feed_dispatch(spark, sf_dir):
     return _keyed(records, ["state", "filing_number", "filing_type", "debtor_name", "secured_party_name"])
 
 
+@query
+def xml_parties(spark, sf_dir):
+    """All parties of filings that name two debtors."""
+    path = scratch_path(spark, "parties")
+    inputs.raw_filings(spark, sf_dir).selectExpr(
+        "filing_number AS FilingNumber",
+        "array(struct(debtor_name AS Name, string(NULL) AS State), struct(secured_party_name AS Name, secured_party_state AS State)) AS Debtor",
+        "array(struct(secured_party_name AS OrganizationName)) AS SecuredParty",
+    ).write.format("xml").options(rootTag="Root", rowTag="Document").save(path)
+    parties_of = xml_feeds.xml_parties(xml_feeds.scan_xml(spark, path, ["Document"]), "IN")
+    return parties_of.select("filing_state", "filing_number", "role", "party_no", "name", "state")
+
+
+@query
+def latest_landed_files(spark, sf_dir):
+    """The newest complete file of each state's folder."""
+    path = scratch_path(spark, "landing")
+    inputs.raw_filings(spark, sf_dir).selectExpr("state", "source_raw").write.partitionBy("state").text(path)
+    return landing.latest_files(spark, path).selectExpr("folder", "path LIKE '%.txt' AS is_text")
+
+
+@query
+def two_phase_load(spark, sf_dir):
+    """The master file of open and pending filings, then the update with all filings since a date."""
+    raw = inputs.raw_filings(spark, sf_dir)
+    master, update = scratch_path(spark, "master"), scratch_path(spark, "update")
+    raw.filter("filing_status <> 'Expired'").selectExpr(f"{BULK_JSON} AS value").write.text(master)
+    raw.selectExpr(f"{BULK_JSON} AS value").write.text(update)
+    phases = {"master": None, "update": "2000-01-01"}
+    parts = [
+        _keyed(landing.read_two_phase(spark, "TX", master, update, since, "json_lines"), ["filing_number"]).withColumn(
+            "phase", F.lit(phase)
+        )
+        for phase, since in phases.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def consent_rules(spark, sf_dir):
+    """Rules from documents that map states to rules."""
+    rule = f"map({state_of('c_nationkey')}, struct(if(c_mktsegment = 'BUILDING', 'two_party', 'one_party') AS consent_type))"
+    documents = table(spark, sf_dir, "customer").selectExpr(f"to_json(struct({rule} AS states)) AS value")
+    return logs.consent_rules(documents).groupBy("state", "consent_type").agg(F.count("*").alias("n_documents"))
+
+
 @query
 def page_slice(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderdate", "o_orderkey", "o_orderstatus")

@@ -23,9 +23,14 @@ def read_call_queue(spark: SparkSession, path: str) -> DataFrame:
 
 def read_consent_rules(spark: SparkSession, path: str) -> DataFrame:
     """A document with a map from state to rule, one row per state."""
-    schema = "states map<string, struct<consent_type string, statute string>>"
-    document = spark.read.schema(schema).option("multiLine", True).json(path)
-    return document.select(F.explode("states").alias("state", "rule")).select("state", "rule.*")
+    return consent_rules(spark.read.text(path, wholetext=True))
+
+
+def consent_rules(documents: DataFrame) -> DataFrame:
+    """The rules of documents in ``value``."""
+    schema = "'states map<string, struct<consent_type: string, statute: string>>'"
+    rules = documents.selectExpr(f"explode(from_json(value, {schema}).states) AS (state, rule)")
+    return rules.select("state", "rule.*")
 
 
 def read_research(spark: SparkSession, path: str) -> DataFrame:
