@@ -11,7 +11,7 @@ from lienflow.operators.audit import latest_runs
 from lienflow.operators.joins import by_state
 from lienflow.operators.sequences import HOT_ROWS
 from lienflow.operators.upsert import OUTCOMES, merge
-from lienflow.schema import FILING_FIELDS, FILING_SCHEMA, RUN_SCHEMA
+from lienflow.schema import FILING_FIELDS, FILING_SCHEMA, PARTY_SCHEMA, RUN_SCHEMA
 from lienflow.sources.records import split_keyed
 
 SCHEMA_VERSION = 1
@@ -89,6 +89,24 @@ class FilingStore:
         rows = filings.filter(F.col("state") == state).select(*[f for f in FILING_FIELDS if f != "state"])
         self._evenly(rows, "bucket").partitionBy("bucket").parquet(f"{self.path('filings')}/state={state}")
 
+    def parties(self) -> DataFrame:
+        return self.read("filing_parties", PARTY_SCHEMA)
+
+    def upsert_parties(self, parties: DataFrame) -> None:
+        """Replace all parties of the filings in a batch; only the states in the batch are rewritten.
+
+        Columns are those of ``PARTY_SCHEMA``: every debtor and secured party of a filing is a row.
+        """
+        parties.write.mode("overwrite").parquet(self.path("_incoming_parties"))
+        new = self.spark.read.parquet(self.path("_incoming_parties"))
+        states = by_state(new.select(F.col("filing_state").alias("state")).distinct())
+        touched = self.parties().join(states.withColumnRenamed("state", "filing_state"), "filing_state", "left_semi")
+        kept = touched.join(new.select("filing_state", "filing_number").distinct(), ["filing_state", "filing_number"], "left_anti")
+        kept.unionByName(new).write.mode("overwrite").parquet(self.path("_staging_parties"))
+        staged = self.spark.read.parquet(self.path("_staging_parties")).hint("rebalance", "filing_state", "role")
+        writer = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("filing_state", "role").parquet(self.path("filing_parties"))
+
     def _evenly(self, rows: DataFrame, *partition: str) -> DataFrameWriter:
         """Files of even size, also in a very large partition, sorted so that date filters skip row groups."""
         placed = self._with_bucket(rows).hint("rebalance", *partition).sortWithinPartitions(*partition, "filing_date")

@@ -39,6 +39,13 @@ RUN_SCHEMA = (
     "status string, error_message string, recorded_at timestamp"
 )
 
+MANIFEST_SCHEMA = "state string, range_start date, range_end date, status string, finished_at timestamp"
+
+PARTY_SCHEMA = (
+    "filing_number string, party_no int, name string, address string, city string, state string, zip string, "
+    "filing_state string, role string"
+)
+
 ACTIVITY_SCHEMA = (
     "timestamp timestamp, state string, phase string, action_type string, description string, "
     "url string, details string, outcome string, next_steps string, confidence string"

@@ -1,8 +1,11 @@
 from datetime import date, datetime
 
+from types import SimpleNamespace
+
 from pyspark.sql import functions as F
 
 from lienflow.operators import audit, outreach, parties, quality, schedule, search, transcripts
+from lienflow.session import shared_folder
 from lienflow.sources.dimension import source_dimension
 from lienflow.streaming.alerts import current_alerts, failure_alerts, start_alerts
 
@@ -11,6 +14,12 @@ def at(text):
     return f"timestamp'{text}'"
 
 
+def test_shared_folder(spark):
+    assert shared_folder(spark) == shared_folder(spark)
+    named = SimpleNamespace(conf={"spark.checkpoint.dir": "/shared/named/"})
+    assert shared_folder(named) == "/shared/named"
+
+
 def test_due(spark):
     sources = source_dimension(spark, disabled=("NY",))
     rows = [("KY", "2024-01-10 00:00:00"), ("TX", "2024-01-09 00:00:00"), ("CA", "2024-01-04 00:00:01")]

@@ -8,7 +8,8 @@ from lienflow.operators import stats
 from lienflow.operators.sequences import with_previous
 from lienflow.operators.store import FilingStore
 from lienflow.operators.upsert import classify, merge
-from lienflow.plans.ingest import ingest
+from lienflow.operators.quality import backfill_ranges, removed_filings, replacement_diff
+from lienflow.plans.ingest import backfill, ingest, ingest_landed
 from lienflow.schema import FEED_FIELDS, FILING_SCHEMA
 from lienflow.sources import json_feeds
 from lienflow.streaming.arrivals import landed_lines, start_upserts
@@ -155,8 +156,6 @@ def test_failed_run_is_recorded(spark, store):
 def test_full_replacement(spark, store):
     store.upsert(batch(spark, [k("1", "ID"), k("2", "ID"), k("3", "TX")]), FIRST)
     delivered = merge(batch(spark, [k("2", "ID", source_raw="n"), k("4", "ID")]), None, LATER, count=False)
-    from lienflow.operators.quality import removed_filings, replacement_diff
-
     stored = store.filings()
     assert {(r.filing_number, r.change) for r in replacement_diff(stored, delivered).collect()} == {
         ("1", "removed"),
@@ -192,5 +191,50 @@ def test_streamed_files(spark, store, tmp_path):
     assert counts(log) == (4, 0, 2)
 
 
+def test_landed_files(spark, store, tmp_path):
+    root = tmp_path / "files"
+    for state, name, text in [
+        ("KY", "ky.csv", "FileNumber,FileDate,DebtorName\nK1,01/15/2024,doe\n,x,y\n"),
+        ("TX", "tx.json", '{"records": [{"filing_number": "T1"}, {"filing_number": "T2"}]}'),
+        ("AL", "al.json", '{"results": [{"filing_number": "A1", "debtor": {"name": "n"}}]}'),
+    ]:
+        (root / state).mkdir(parents=True)
+        (root / state / name).write_text(text)
+
+    def run(as_of, **chosen):
+        runs = ingest_landed(store, str(root), as_of, f"{as_of} {chosen}", **chosen)
+        return None if runs is None else {r.state: (r.records_new, r.records_skipped) for r in runs.collect()}
+
+    assert run(FIRST, states=["ky"]) == {"KY": (1, 0)}
+    assert run(FIRST, tier="commercial") == {"AL": (1, 0)}
+    assert run("timestamp'2024-01-01 12:00:00'") == {"TX": (2, 0)}
+    assert run("timestamp'2024-01-01 13:00:00'") is None
+    assert run(LATER, everything=True) == {"AL": (0, 1), "KY": (0, 1), "TX": (0, 2)}
+    assert spark.read.parquet(store.path("quarantine")).count() == 2
+
+
+def test_backfill(spark, store):
+    rows = [k("1", filing_date="2024-01-15"), k("2", filing_date="02/15/2024"), k("3", filing_date="2023-12-31"), k("4")]
+    raw = spark.createDataFrame([tuple(r.get(f) for f in FEED_FIELDS) for r in rows], ", ".join(f"{f} string" for f in FEED_FIELDS))
+    raw = raw.withColumn("arrival", F.struct("filing_number"))
+    states = spark.createDataFrame([("TX",)], "state string")
+    assert backfill(store, raw, backfill_ranges(states, "2024-01-01", "2024-01-31"), FIRST, "a").first().records_new == 1
+    assert backfill(store, raw, backfill_ranges(states, "2024-01-01", "2024-02-28"), LATER, "b").first().records_fetched == 1
+    assert sorted(r.filing_number for r in store.filings().collect()) == ["1", "2"]
+
+
+def test_parties(spark, store):
+    columns = "filing_state string, filing_number string, role string, party_no int, name string"
+    empty = {c: F.lit(None).cast("string") for c in ("address", "city", "state", "zip")}
+
+    def party(*rows):
+        return spark.createDataFrame(rows, columns).withColumns(empty)
+
+    store.upsert_parties(party(("TX", "1", "debtor", 0, "A"), ("TX", "1", "debtor", 1, "B"), ("CA", "1", "debtor", 0, "C")))
+    store.upsert_parties(party(("TX", "1", "debtor", 0, "D"), ("TX", "2", "secured_party", 0, "E")))
+    found = {(r.filing_state, r.filing_number, r.role, r.name) for r in store.parties().collect()}
+    assert found == {("TX", "1", "debtor", "D"), ("TX", "2", "secured_party", "E"), ("CA", "1", "debtor", "C")}
+
+
 def test_schema(store):
     assert store.filings().schema.names == FILING_SCHEMA.names and len(FILING_SCHEMA) == 25
