@@ -12,7 +12,7 @@ from lienflow.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.showConsoleProgress": "false"}
+        "tests", "local[8]", **{"spark.sql.shuffle.partitions": "4", "spark.ui.showConsoleProgress": "false"}
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
