@@ -14,7 +14,6 @@ from lienflow.operators.upsert import OUTCOMES, merge
 from lienflow.schema import FILING_FIELDS, FILING_SCHEMA, PARTY_SCHEMA, RUN_SCHEMA
 from lienflow.sources.records import split_keyed
 
-SCHEMA_VERSION = 1
 COUNTS = [f"n_{o}" for o in OUTCOMES]
 
 
@@ -101,7 +100,8 @@ class FilingStore:
         new = self.spark.read.parquet(self.path("_incoming_parties"))
         states = by_state(new.select(F.col("filing_state").alias("state")).distinct())
         touched = self.parties().join(states.withColumnRenamed("state", "filing_state"), "filing_state", "left_semi")
-        kept = touched.join(new.select("filing_state", "filing_number").distinct(), ["filing_state", "filing_number"], "left_anti")
+        key = ["filing_state", "filing_number"]
+        kept = touched.join(new.select(*key).distinct(), key, "left_anti")
         kept.unionByName(new).write.mode("overwrite").parquet(self.path("_staging_parties"))
         staged = self.spark.read.parquet(self.path("_staging_parties")).hint("rebalance", "filing_state", "role")
         writer = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

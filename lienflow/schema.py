@@ -58,8 +58,3 @@ CALL_QUEUE_SCHEMA = (
     "retry_count:int, max_retries:int, created_at:timestamp, approved_at:timestamp, "
     "last_attempt_at:timestamp, completed_at:timestamp, outcome:string, notes:string>>"
 )
-
-TRANSCRIPT_SCHEMA = (
-    "state string, date string, call_id string, duration double, status string, completed boolean, "
-    "concatenated_transcript string, saved_at timestamp"
-)

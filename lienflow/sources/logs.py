@@ -11,10 +11,6 @@ def read_activity_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ACTIVITY_SCHEMA).json(path)
 
 
-def read_event_log(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).json(path)
-
-
 def read_call_queue(spark: SparkSession, path: str) -> DataFrame:
     """The calls of a queue document, one row each, in document order."""
     document = spark.read.schema(CALL_QUEUE_SCHEMA).option("multiLine", True).json(path)
