@@ -169,7 +169,7 @@ def repeated_strings(documents: DataFrame, length: int = LENGTH, gram: int = GRA
 
     confirmed: list[DataFrame] = []
     opened = contexts
-    for size in RUNS:
+    for size in [r for r in RUNS if r == 1 or 4 * r <= length]:
         pieces = _pieces(opened, length, size)
         group = ["gram", "low", "high", "whole"]
         again = pieces.groupBy(*group).agg(F.sum("copies").alias("n")).filter("n > 1").select(*group, F.lit(True).alias("same"))
