@@ -39,7 +39,7 @@ def normalize_status(value: str) -> str:
 
 def normalize_zip(value: str) -> str:
     """Five digits or five plus four; with fewer than five digits the text stays as it is."""
-    tidy = quote(r"^\d{5}(-\d{4})?$")
+    tidy = quote(r"^\d{5}(-\d{4})?\z")
     digits = replace_all(value, ("[^0-9]", ""))
     short = replace_all(digits, (r"^(\d{5})(\d{4})$", "$1-$2"), (r"^(\d{5})\d+$", "$1"))
     return f"CASE WHEN {value} RLIKE {tidy} THEN {value} WHEN length({digits}) >= 5 THEN {short} ELSE {clean(value)} END"

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lienflow import fixed_values as fixed
-from lienflow.operators.joins import broadcast_if_small, states_of
 from lienflow.schema import KEY
 
 
@@ -91,7 +90,8 @@ def replacement_diff(stored: DataFrame, delivered: DataFrame) -> DataFrame:
 
     Both sides hold a key once.
     """
-    old = stored.join(states_of(delivered), "state", "left_semi").select(*KEY, F.struct("source_raw").alias("old"))
+    covered = stored.join(delivered.select("state").distinct(), "state", "left_semi")
+    old = covered.select(*KEY, F.struct("source_raw").alias("old"))
     new = delivered.select(*KEY, F.struct("source_raw").alias("new"))
     change = (
         F.when(F.col("old").isNull(), "added")
@@ -104,7 +104,7 @@ def replacement_diff(stored: DataFrame, delivered: DataFrame) -> DataFrame:
 
 def removed_filings(stored: DataFrame, delivered: DataFrame) -> DataFrame:
     """Stored filings of the delivered states that the delivery no longer holds."""
-    covered = stored.join(states_of(delivered), "state", "left_semi")
+    covered = stored.join(delivered.select("state").distinct(), "state", "left_semi")
     return covered.join(delivered.select(*KEY), KEY, "left_anti")
 
 
@@ -119,4 +119,4 @@ def backfill_ranges(states: DataFrame, first: str, last: str) -> DataFrame:
 def pending_ranges(ranges: DataFrame, manifest: DataFrame) -> DataFrame:
     """Ranges that no earlier backfill has finished; this is what makes it resumable."""
     done = manifest.filter("status = 'completed'").select("state", "range_start").distinct()
-    return ranges.join(broadcast_if_small(done), ["state", "range_start"], "left_anti")
+    return ranges.join(done, ["state", "range_start"], "left_anti")

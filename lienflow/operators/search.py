@@ -6,29 +6,32 @@ from pyspark.sql import DataFrame, functions as F
 
 from lienflow.functions.sql import listing, replace_all
 from lienflow.functions.text import normalize_name, search_key
-from lienflow.operators.joins import broadcast_if_small
 
 
 def match_watchlist(filings: DataFrame, watchlist: DataFrame, exact_states: tuple[str, ...] = ("DE",)) -> DataFrame:
     """Filings whose debtor is on the watchlist, with the watched name.
 
     An equi-join on the search key, or on the plain upper-case name in states that search strictly.
-    The watchlist is reduced to distinct names first.
+    The watchlist is reduced to distinct names first.  Filings that come with a ``search_key``, as the store
+    holds it, are joined on that as it is.
     """
+    stored = "search_key" in filings.columns
     watched = watchlist.selectExpr(f"{normalize_name('watch_name', True)} AS watch_name").distinct()
     strict = f"concat('=', {normalize_name('debtor_name', True)})"
     # Never null, so that the join needs no null check, which would work out the key a second time.
-    key = f"coalesce(if(state IN ({listing(exact_states)}), {strict}, {search_key('debtor_name')}), '') AS match_key"
+    loose = "search_key" if stored else search_key("debtor_name")
+    key = f"coalesce(if(state IN ({listing(exact_states)}), {strict}, {loose}), '') AS match_key"
     keyed = filings.selectExpr("*", key)
     keys = f"explode(array({search_key('watch_name')}, concat('=', watch_name))) AS match_key"
     entries = watched.selectExpr("watch_name", keys).filter("match_key IS NOT NULL")
-    return keyed.join(broadcast_if_small(entries), "match_key").drop("match_key")
+    return keyed.join(entries, "match_key").drop("match_key")
 
 
 def match_initials(filings: DataFrame, watchlist: DataFrame) -> DataFrame:
     """Individuals whose given name is abbreviated on one side: "J SMITH" finds "JOHN SMITH".
 
-    Joined on the first letter and the rest of the name, then checked.
+    Equal names join on the whole name.  Only an abbreviated name joins on its letter and the rest, so full names
+    that share those are never paired.
     """
 
     def parts(column: str, prefix: str) -> list[str]:
@@ -39,10 +42,16 @@ def match_initials(filings: DataFrame, watchlist: DataFrame) -> DataFrame:
 
     a = filings.selectExpr("*", *parts("debtor_name", "debtor"))
     b = watchlist.select("watch_name").distinct().selectExpr("*", *parts("watch_name", "watch"))
-    joined = a.join(broadcast_if_small(b), ["initial", "rest"])
-    short = (F.length("debtor_given") == 1) | (F.length("watch_given") == 1)
-    fits = short | (F.col("debtor_given") == F.col("watch_given"))
-    return joined.filter(fits & (F.col("rest") != "")).drop("initial", "rest", "debtor_given", "watch_given")
+    a, b = a.filter("rest != ''"), b.filter("rest != ''")
+    # Each pair in one of three joins: the same given name, or one side a single letter and the other not.
+    same = a.join(b, (F.col("debtor_given") == F.col("watch_given")) & (a["rest"] == b["rest"]))
+    by_letter = (a["initial"] == b["initial"]) & (a["rest"] == b["rest"])
+    short_a, short_b = F.length("debtor_given") == 1, F.length("watch_given") == 1
+    listed_short = a.filter(~short_a).join(b.filter(short_b), by_letter)
+    filed_short = a.filter(short_a).join(b.filter(~short_b), by_letter)
+    columns = [c for c in a.columns if c not in ("initial", "rest", "debtor_given")]
+    parts = [part.select(*[a[c] for c in columns], "watch_name") for part in (same, listed_short, filed_short)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def lapsing(filings: DataFrame, first: str, last: str) -> DataFrame:

@@ -4,13 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lienflow.operators.joins import BROADCAST_ROWS
-
 # A key with more rows than this is spread over several tasks.
 HOT_ROWS = 1_000_000
-# Rows of hot keys that one piece should hold, and the bounds on the number of pieces.
+# Rows of hot keys that one piece should hold.
 PIECE_ROWS = 250_000
-MIN_PIECES, MAX_PIECES = 8, 50_000
 
 
 def _order(columns: list[str]) -> list[Column]:
@@ -18,7 +15,7 @@ def _order(columns: list[str]) -> list[Column]:
 
 
 def hot_keys(rows: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys that hold more than ``hot_rows`` rows: counted before the shuffle, so a hot key costs nothing.
+    """Keys that hold more than ``hot_rows`` rows: counted before the shuffle.
 
     There can be no more than (all rows / ``hot_rows``) of them.
     """
@@ -47,10 +44,8 @@ def with_previous(
     if not totals["keys"]:
         return rows.withColumn(name, plain)
     listed = hot.select(*keys)
-    if totals["keys"] <= BROADCAST_ROWS:
-        listed = F.broadcast(listed)
     few = rows.join(listed, keys, "left_anti").withColumn(name, plain)
-    pieces = min(max(totals["rows"] // PIECE_ROWS, MIN_PIECES), MAX_PIECES)
+    pieces = totals["rows"] // PIECE_ROWS + 8
     many = _spread_previous(rows.join(listed, keys, "left_semi"), keys, order, value, name, pieces)
     return few.unionByName(many)
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lienflow.functions.dates import is_before
-from lienflow.operators.joins import by_state
 
 
 def _known(column: str) -> Column:
@@ -75,5 +74,5 @@ def incremental(records: DataFrame, filings: DataFrame, lookback_days: int = 0)
     Records of states without stored filings all pass.
     """
     cutoffs = filings.groupBy("state").agg(F.date_sub(F.max("filing_date"), lookback_days).alias("cutoff"))
-    joined = records.join(by_state(cutoffs), "state", "left")
+    joined = records.join(cutoffs, "state", "left")
     return joined.filter(f"NOT {is_before('filing_date', 'cutoff')}").drop("cutoff")

@@ -1,40 +1,65 @@
-"""The filing store: partitioned Parquet tables and the writes on them."""
+"""The filing store: batches of Parquet files, each made valid by one commit row."""
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from lienflow.functions.text import search_key
 from lienflow.operators.audit import latest_runs
-from lienflow.operators.joins import by_state
 from lienflow.operators.sequences import HOT_ROWS
 from lienflow.operators.upsert import OUTCOMES, merge
-from lienflow.schema import FILING_FIELDS, FILING_SCHEMA, PARTY_SCHEMA, RUN_SCHEMA
+from lienflow.schema import FEED_FIELDS, FILING_FIELDS, FILING_SCHEMA, KEY, PARTY_SCHEMA, RUN_SCHEMA
 from lienflow.sources.records import split_keyed
 
 COUNTS = [f"n_{o}" for o in OUTCOMES]
 
+COMMIT_SCHEMA = "seq long, batch string, is_base boolean, replaced array<string>"
+EVENT_SCHEMA = (
+    "event string, state string, run_id string, tier string, full_refresh boolean, records_fetched long, "
+    "records_new long, records_updated long, records_skipped long, record_errors long, error string, timestamp timestamp"
+)
+
+_STORED = T.StructType(
+    [
+        *FILING_SCHEMA,
+        T.StructField("search_key", T.StringType()),
+        T.StructField("changed", T.BooleanType()),
+        *[T.StructField(c, T.LongType()) for c in COUNTS],
+        T.StructField("batch", T.StringType()),
+    ]
+)
+_PARTIES = PARTY_SCHEMA + ", batch string"
+PARTY_KEY = ["filing_state", "filing_number"]
+
 
 @dataclass
 class FilingStore:
-    """Tables under one root.
+    """Tables under one root; one writer at a time.
+
+    A batch writes its rows under ``<table>/batch=<id>`` and rewrites nothing that is there; then one row in
+    ``commits`` makes it valid.  Readers take committed batches only, so they see a batch whole or not at all,
+    and one that broke off is simply written again.  A batch id that is committed is never applied twice.
 
-    Filings are partitioned by state and by a hash bucket of the filing number; an upsert rewrites only
-    the partitions its batch touches.  More buckets mean less to rewrite for a small batch.  Their
-    number is fixed for the life of a store: choose it so that a partition is a few files.
+    Filings are the rows of the base with those of later batches over them; ``compact`` folds all into a new base.
     """
 
     spark: SparkSession
     root: str
-    buckets: int = 1
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
+    def batch_path(self, table: str, batch: str) -> str:
+        if not re.fullmatch(r"[A-Za-z0-9_.-]+", batch):
+            raise ValueError(f"a batch id has letters, digits, '_', '.' and '-' only: {batch}")
+        return f"{self.path(table)}/batch={batch}"
+
     def read(self, table: str, schema: T.StructType | str) -> DataFrame:
-        """A table, empty before its first write."""
+        """All of a table, empty before its first write."""
         try:
             return self.spark.read.schema(schema).parquet(self.path(table))
         except AnalysisException as error:
@@ -42,72 +67,191 @@ class FilingStore:
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def _partitioned(self) -> DataFrame:
-        return self.read("filings", T.StructType([*FILING_SCHEMA, T.StructField("bucket", T.IntegerType())]))
+    # -- commits ------------------------------------------------------------------------------------------
 
-    def _with_bucket(self, rows: DataFrame) -> DataFrame:
-        return rows.withColumn("bucket", F.expr(f"int(pmod(xxhash64(filing_number), {self.buckets}))"))
+    def commits(self) -> list:
+        """The last base and what was committed after it, in order: a few rows for each batch since."""
+        rows = sorted(self.read("commits", COMMIT_SCHEMA).collect(), key=lambda r: r.seq)
+        bases = [i for i, r in enumerate(rows) if r.is_base]
+        return rows[bases[-1] :] if bases else rows
 
-    def filings(self) -> DataFrame:
-        return self._partitioned().select(*FILING_FIELDS)
+    def is_committed(self, batch: str) -> bool:
+        return not self.read("commits", COMMIT_SCHEMA).filter(F.col("batch") == batch).isEmpty()
 
-    def runs(self) -> DataFrame:
-        return self.read("ingestion_runs", RUN_SCHEMA)
+    def _commit(self, batch: str, is_base: bool = False, replaced: list[str] | None = None) -> None:
+        last = self.read("commits", COMMIT_SCHEMA).agg(F.max("seq")).first()[0] or 0
+        row = self.spark.createDataFrame([(last + 1, batch, is_base, replaced or [])], COMMIT_SCHEMA)
+        row.coalesce(1).write.mode("append").parquet(self.path("commits"))
 
-    def current_runs(self) -> DataFrame:
-        return latest_runs(self.runs())
+    def _committed(self, table: str, schema: T.StructType | str, commits: list) -> DataFrame:
+        """Rows of the committed batches that have the table."""
+        paths = [self.batch_path(table, r.batch) for r in commits]
+        reader = self.spark.read.schema(schema).option("basePath", self.path(table))
+        found = []
+        for path in paths:
+            try:
+                found.append(reader.parquet(path))
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":
+                    raise
+        if not found:
+            return self.spark.createDataFrame([], schema)
+        if len(found) == len(paths):
+            return reader.parquet(*paths)
+        rows = found[0]
+        for more in found[1:]:
+            rows = rows.unionByName(more)
+        return rows
 
-    def append(self, table: str, rows: DataFrame) -> None:
-        rows.write.mode("append").parquet(self.path(table))
+    @staticmethod
+    def _sequenced(rows: DataFrame, commits: list, state: str) -> DataFrame:
+        """With the order of their commits, without what a later full delivery of the state replaced."""
+        order = F.create_map(*[F.lit(x) for r in commits for x in (r.batch, r.seq)]) if commits else None
+        rows = rows.withColumn("seq", order[F.col("batch")] if commits else F.lit(0).cast("long"))
+        replaced = {s: r.seq for r in commits for s in r.replaced}
+        for name, seq in replaced.items():
+            rows = rows.filter(~((F.col(state) == name) & (F.col("seq") < seq)))
+        return rows
 
-    def append_events(self, events: DataFrame) -> None:
-        """The event log, as JSON lines."""
-        events.write.mode("append").json(self.path("event_log"))
+    # -- filings ------------------------------------------------------------------------------------------
 
-    def upsert(self, records: DataFrame, as_of: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-        """Apply normalized records and return the outcome counts per state.
+    def _current(self) -> DataFrame:
+        commits = self.commits()
+        rows = self._sequenced(self._committed("filings", _STORED, commits), commits, "state").filter("changed")
+        if len(commits) < 2:
+            return rows
+        base, later = F.col("seq") == commits[0].seq, F.col("seq") > commits[0].seq
+        values = [f for f in rows.columns if f not in KEY]
+        latest = rows.filter(later).groupBy(*KEY).agg(F.max_by(F.struct(*values), "seq").alias("v")).select(*KEY, "v.*")
+        kept = rows.filter(base).join(latest.select(*KEY), KEY, "left_anti")
+        return kept.unionByName(latest)
 
-        The batch is parsed once, into a table; what needs keys only then reads keys only.  The new
-        partitions are written in full to a staging table before any old one is replaced, so a job that
-        fails can be run again.  Applying a batch twice changes nothing, because its rows are then skipped.
+    def filings(self) -> DataFrame:
+        """One row per key, as the committed batches left it."""
+        return self._current().select(*FILING_FIELDS)
+
+    def searchable(self) -> DataFrame:
+        """Filings with the stored ``search_key`` of the debtor."""
+        return self._current().select(*FILING_FIELDS, "search_key")
+
+    def upsert(
+        self,
+        records: DataFrame,
+        as_of: str,
+        batch: str,
+        hot_rows: int = HOT_ROWS,
+        replace: list[str] | None = None,
+        parties: DataFrame | None = None,
+    ) -> DataFrame:
+        """Apply normalized records as one batch and return the outcome counts per state.
+
+        The records are parsed once, into a table; of the stored filings only the keys in the batch are read,
+        and of those the source text and the time of ingestion.  States in ``replace`` hold exactly the rows
+        of the batch afterwards.  ``parties`` replace all parties of the filings they name.
         """
-        records.write.mode("overwrite").parquet(self.path("_incoming"))
-        keyed, rejects = split_keyed(self.spark.read.parquet(self.path("_incoming")))
-        self.append("quarantine", rejects.drop("arrival").withColumn("rejected_at", F.expr(as_of)))
-        # State codes have two letters, so there are at most 676 partitions per bucket to list.
-        touched = by_state(self._with_bucket(keyed).select("state", "bucket").distinct())
-        stored = self._partitioned().join(touched, ["state", "bucket"], "left_semi").select(*FILING_FIELDS)
-        merge(keyed, stored, as_of, hot_rows).write.mode("overwrite").parquet(self.path("_staging"))
-        result = self.spark.read.parquet(self.path("_staging"))
-        writer = self._evenly(result.drop(*COUNTS), "state", "bucket").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("state", "bucket").parquet(self.path("filings"))
-        return result.groupBy("state").agg(*[F.sum(c).alias(c) for c in COUNTS])
-
-    def replace_state(self, state: str, filings: DataFrame) -> None:
-        """A full delivery: the state holds exactly these rows afterwards.  ``filings`` must not be read from here."""
-        rows = filings.filter(F.col("state") == state).select(*[f for f in FILING_FIELDS if f != "state"])
-        self._evenly(rows, "bucket").partitionBy("bucket").parquet(f"{self.path('filings')}/state={state}")
+        if self.is_committed(batch):
+            return self.outcomes(batch)
+        replace = replace or []
+        incoming = self.stage(records, batch)
+        keyed, rejects = split_keyed(incoming)
+        fields = [F.col(f).cast(FILING_SCHEMA[f].dataType).alias(f) for f in FEED_FIELDS]
+        rejected = rejects.select(*fields, "reject_reason", F.expr(as_of).alias("rejected_at"))
+        rejected.write.mode("overwrite").parquet(self.batch_path("quarantine", batch))
+        held = self.filings().join(keyed.select(*KEY), KEY, "left_semi")
+        known = [*KEY, "source_raw", "ingested_at"]
+        stored = held.select(*[F.col(f) if f in known else F.lit(None).cast(FILING_SCHEMA[f].dataType).alias(f) for f in FILING_FIELDS])
+        whole = F.col("state").isin(replace) if replace else F.lit(False)
+        merged = merge(keyed, stored, as_of, hot_rows, always=whole)
+        changed = ((F.col("n_new") + F.col("n_updated")) > 0) | whole
+        self._write(merged.withColumn("changed", changed), batch)
+        if parties is not None:
+            named = parties.filter("filing_number IS NOT NULL AND filing_state IS NOT NULL").distinct()
+            named.write.mode("overwrite").parquet(self.batch_path("filing_parties", batch))
+        self._commit(batch, replaced=replace)
+        return self.outcomes(batch)
+
+    def stage(self, records: DataFrame, batch: str) -> DataFrame:
+        """The records as a table of their own."""
+        path = self.batch_path("incoming", batch)
+        records.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(records.schema).parquet(path)
+
+    def outcomes(self, batch: str) -> DataFrame:
+        """Outcome counts per state of a committed batch; its files never change."""
+        rows = self.spark.read.schema(_STORED).option("basePath", self.path("filings"))
+        held = rows.parquet(self.batch_path("filings", batch))
+        return held.groupBy("state").agg(*[F.sum(c).alias(c) for c in COUNTS])
+
+    def replace_state(self, state: str, records: DataFrame, as_of: str, batch: str) -> DataFrame:
+        """A full delivery: the state holds exactly these records afterwards."""
+        return self.upsert(records.filter(F.col("state") == state), as_of, batch, replace=[state])
+
+    def compact(self, batch: str) -> None:
+        """Fold the base and all later batches into a new base, filings and parties; readers notice nothing."""
+        if self.is_committed(batch):
+            return
+        current = self._current().withColumns({"changed": F.lit(True)} | {c: F.lit(0).cast("long") for c in COUNTS})
+        self._write(current.drop("search_key"), batch)
+        self.parties().write.mode("overwrite").parquet(self.batch_path("filing_parties", batch))
+        self._commit(batch, is_base=True)
+
+    def _write(self, rows: DataFrame, batch: str) -> None:
+        """By state, in files of even size, sorted by search key, with bloom filters for lookups by number and key."""
+        key = F.expr(search_key("debtor_name")).alias("search_key")
+        placed = rows.select(*FILING_FIELDS, key, "changed", *[F.col(c).cast("long").alias(c) for c in COUNTS])
+        placed = placed.hint("rebalance", "state").sortWithinPartitions("state", "search_key")
+        writer = placed.write.mode("overwrite").partitionBy("state")
+        for column in ("filing_number", "search_key"):
+            writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+        writer.parquet(self.batch_path("filings", batch))
+
+    # -- parties ------------------------------------------------------------------------------------------
 
     def parties(self) -> DataFrame:
-        return self.read("filing_parties", PARTY_SCHEMA)
+        """The parties of every filing, as the last batch that names it has them."""
+        commits = self.commits()
+        rows = self._sequenced(self._committed("filing_parties", _PARTIES, commits), commits, "filing_state")
+        last = rows.groupBy(*PARTY_KEY).agg(F.max("seq").alias("seq"))
+        return rows.join(last, [*PARTY_KEY, "seq"], "left_semi").drop("seq", "batch")
+
+    def upsert_parties(self, parties: DataFrame, batch: str) -> None:
+        """Replace all parties of the filings in a batch, whatever their roles."""
+        none = ", ".join(f"{f} {FILING_SCHEMA[f].dataType.simpleString()}" for f in FEED_FIELDS)
+        records = self.spark.createDataFrame([], none + ", arrival struct<n:int>")
+        self.upsert(records, "current_timestamp()", batch, parties=parties)
+
+    # -- logs ---------------------------------------------------------------------------------------------
+
+    def quarantine(self) -> DataFrame:
+        """Rejects of all committed batches, with their batch; an earlier base hides none of them."""
+        valid = self.read("commits", COMMIT_SCHEMA).filter("NOT is_base").select("batch")
+        fields = ", ".join(f"{f} {FILING_SCHEMA[f].dataType.simpleString()}" for f in FEED_FIELDS)
+        schema = f"{fields}, reject_reason string, rejected_at timestamp, batch string"
+        return self.read("quarantine", schema).join(valid, "batch", "left_semi")
+
+    def log_runs(self, runs: DataFrame, batch: str, phase: str) -> DataFrame:
+        """Run records of a phase of a batch, over what an earlier try left, read back from their own files."""
+        path = f"{self.batch_path('ingestion_runs', batch)}/phase={phase}"
+        runs.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(RUN_SCHEMA).parquet(path)
+
+    def log_events(self, events: DataFrame, batch: str, phase: str) -> None:
+        """The event log, as JSON lines."""
+        events.write.mode("overwrite").json(f"{self.batch_path('event_log', batch)}/phase={phase}")
+
+    def runs(self) -> DataFrame:
+        return self.read("ingestion_runs", RUN_SCHEMA).drop("batch", "phase")
+
+    def events(self) -> DataFrame:
+        try:
+            found = self.spark.read.schema(EVENT_SCHEMA).json(self.path("event_log"))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            found = self.spark.createDataFrame([], EVENT_SCHEMA)
+        return found.drop("batch", "phase")
+
+    def current_runs(self) -> DataFrame:
+        return latest_runs(self.runs())
 
-    def upsert_parties(self, parties: DataFrame) -> None:
-        """Replace all parties of the filings in a batch; only the states in the batch are rewritten.
 
-        Columns are those of ``PARTY_SCHEMA``: every debtor and secured party of a filing is a row.
-        """
-        parties.write.mode("overwrite").parquet(self.path("_incoming_parties"))
-        new = self.spark.read.parquet(self.path("_incoming_parties"))
-        states = by_state(new.select(F.col("filing_state").alias("state")).distinct())
-        touched = self.parties().join(states.withColumnRenamed("state", "filing_state"), "filing_state", "left_semi")
-        key = ["filing_state", "filing_number"]
-        kept = touched.join(new.select(*key).distinct(), key, "left_anti")
-        kept.unionByName(new).write.mode("overwrite").parquet(self.path("_staging_parties"))
-        staged = self.spark.read.parquet(self.path("_staging_parties")).hint("rebalance", "filing_state", "role")
-        writer = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("filing_state", "role").parquet(self.path("filing_parties"))
-
-    def _evenly(self, rows: DataFrame, *partition: str) -> DataFrameWriter:
-        """Files of even size, also in a very large partition, sorted so that date filters skip row groups."""
-        placed = self._with_bucket(rows).hint("rebalance", *partition).sortWithinPartitions(*partition, "filing_date")
-        return placed.write.mode("overwrite").option("parquet.bloom.filter.enabled#filing_number", "true")

@@ -84,19 +84,21 @@ def merge_requirements(requirements: DataFrame, answers: DataFrame) -> DataFrame
     """Known requirements (``state``, ``question_key``, ``answer``) with newer answers put over them.
 
     ``answers`` carries ``state``, ``question_key``, ``question_no``, ``answer`` and ``called_at``.  The latest call wins per
-    question, also with an empty answer; only states that are already listed are updated.
+    question, also with an empty answer; only states that are already listed are updated.  A call raises the
+    confidence of its whole state and sets the state's date of the last call.
     """
     listed = requirements.groupBy("state", "question_key").agg(F.max("answer").alias("old"))
     newest = F.max(F.struct("called_at", "question_no", "answer")).alias("new")
     latest = answers.groupBy("state", "question_key").agg(newest)
     latest = latest.join(requirements.select("state"), "state", "left_semi")
-    merged = listed.join(latest, ["state", "question_key"], "full_outer")
+    called = latest.groupBy("state").agg(F.max("new.called_at").alias("last_call"))
+    merged = listed.join(latest, ["state", "question_key"], "full_outer").join(called, "state", "left")
     return merged.select(
         "state",
         "question_key",
         F.when(F.col("new").isNotNull(), F.col("new.answer")).otherwise(F.col("old")).alias("answer"),
-        F.to_date("new.called_at").alias("last_call_date"),
-        F.when(F.col("new").isNotNull(), "medium").alias("data_confidence"),
+        F.to_date("last_call").alias("last_call_date"),
+        F.when(F.col("last_call").isNotNull(), "medium").alias("data_confidence"),
     )
 
 

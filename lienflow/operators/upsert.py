@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lienflow.operators.joins import is_small
 from lienflow.operators.sequences import HOT_ROWS, with_previous
 from lienflow.schema import FILING_FIELDS, KEPT_FIELDS, KEY
 
@@ -42,14 +41,12 @@ def _sequence(incoming: DataFrame, stored: DataFrame | None, columns: list[str],
 def classify(incoming: DataFrame, stored: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Key, arrival and outcome of every incoming row.
 
-    When the batch is small, stored rows of other keys are filtered out before the shuffle.  For a
-    large batch that filter would itself shuffle the stored rows, so they go into the window directly.
+    Stored rows of other keys are left out first.  The runtime sends a small batch's keys to every task; a
+    large batch's keys are joined on the partitioning that the window needs anyway.
     """
     columns = [*KEY, "source_raw"]
     if stored is not None:
-        keys = incoming.select(*KEY)
-        if is_small(keys):
-            stored = stored.join(F.broadcast(keys), KEY, "left_semi")
+        stored = stored.join(incoming.select(*KEY), KEY, "left_semi")
     rows = _sequence(incoming, stored, columns, hot_rows)
     return rows.filter("is_incoming").drop("is_incoming", "source_raw")
 
@@ -61,13 +58,19 @@ def outcome_counts(classified: DataFrame, by: list[str] | None = None) -> DataFr
 
 
 def merge(
-    incoming: DataFrame, stored: DataFrame | None, as_of: str, hot_rows: int = HOT_ROWS, count: bool = True
+    incoming: DataFrame,
+    stored: DataFrame | None,
+    as_of: str,
+    hot_rows: int = HOT_ROWS,
+    count: bool = True,
+    always: Column | None = None,
 ) -> DataFrame:
     """The table after the upsert, one row per key, with the outcome counts of the key.
 
     ``as_of`` is a SQL expression for the time of the upsert, such as ``current_timestamp()``.
 
-    The last row that was not skipped gives the values; the first row keeps its ``ingested_at``.
+    The last row that was not skipped gives the values; the first row keeps its ``ingested_at``.  Where
+    ``always`` holds, the last incoming row gives the values even if it was skipped.
     Grouping on the key after the window on the key needs no further shuffle.
     """
     now = F.expr(as_of)
@@ -79,6 +82,8 @@ def merge(
     )
     rows = _sequence(incoming, stored, FILING_FIELDS, hot_rows)
     effective = ~F.col("outcome").eqNullSafe("skipped")
+    if always is not None:
+        effective = effective | (always & F.col("is_incoming"))
     values = F.struct(*ORDER, *[f for f in FILING_FIELDS if f not in KEPT_FIELDS])
     merged = rows.groupBy(*KEY).agg(
         F.max(F.when(effective, values)).alias("last"),

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lienflow.functions.filings import normalize_filings
 from lienflow.functions.sql import listing, quote
-from lienflow.operators.joins import broadcast_if_small
 from lienflow.schema import FEED_FIELDS
 
 # State code of each nation key: two open-data, fifteen bulk and eight commercial states.
@@ -67,10 +66,20 @@ RAW_FIELDS = {
     "lapse_date": "date_format(add_months(o_orderdate, 60), 'yyyy-MM-dd')",
     "filing_status": STATUS_OF,
     "debtor_name": "concat('  ', lower(c_name), '   llc ')",
+    "debtor_address": "concat(' ', c_custkey, '  Main   St ')",
+    "debtor_city": "concat('Port ', c_nationkey)",
+    "debtor_organization": "if(c_custkey % 2 = 0, c_name, NULL)",
+    "debtor_type": "if(c_custkey % 2 = 0, 'organization', 'individual')",
     "debtor_state": f"lower({state_of('c_nationkey')})",
     "debtor_zip": pick("c_custkey % 4", ZIPS),
     "secured_party_name": "s_name",
+    "secured_party_address": "concat(s_suppkey, ' Bank  Row')",
+    "secured_party_city": "concat('Bank City ', s_nationkey)",
     "secured_party_state": state_of("s_nationkey"),
+    "secured_party_zip": "lpad(string(s_suppkey), 5, '7')",
+    "collateral_description": "if(o_orderkey % 4 = 0, NULL, concat('all  assets ', o_orderpriority))",
+    "original_filing_number": "if(o_orderkey % 6 = 0, string(o_orderkey div 2), NULL)",
+    "amendment_type": "if(o_orderkey % 6 = 0, 'continuation', NULL)",
     "source_tier": tier_of("c_nationkey"),
     "source_raw": "concat_ws('|', string(o_orderkey), o_orderstatus)",
 }
@@ -84,9 +93,13 @@ def raw_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw filing per order, with values as untidy as feeds deliver them."""
     orders = table(spark, sf_dir, "orders")
     customers = table(spark, sf_dir, "customer")
-    suppliers = table(spark, sf_dir, "supplier").filter("s_suppkey BETWEEN 0 AND 99")
-    joined = orders.join(customers, F.expr("o_custkey = c_custkey")).join(
-        broadcast_if_small(suppliers), F.expr("s_suppkey = o_orderkey % 100"), "left"
+    suppliers = table(spark, sf_dir, "supplier")
+    # The supplier of an order: the least among its lines.
+    parties = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.min("l_suppkey").alias("party"))
+    joined = (
+        orders.join(customers, F.expr("o_custkey = c_custkey"))
+        .join(parties, F.expr("l_orderkey = o_orderkey"), "left")
+        .join(suppliers, F.expr("s_suppkey = party"), "left")
     )
     return joined.selectExpr(*_feed(RAW_FIELDS), "timestamp(o_orderdate) AS ordered_at")
 
@@ -170,12 +183,14 @@ def call_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def call_attempts(spark: SparkSession, sf_dir: str, until: str) -> DataFrame:
-    """Attempts on the calls, from events up to a moment."""
+    """Attempts on the calls, from events up to a moment: three each, spread over the whole queue."""
+    calls = table(spark, sf_dir, "orders").agg(F.count("*").alias("calls"))
     return (
         event_times(spark, sf_dir)
         .filter(f"ts <= {until}")
+        .join(F.broadcast(calls))
         .selectExpr(
-            "string(event_id % 1000) AS id",
+            "string(event_id div 3 * 7 % calls) AS id",
             "ts AS attempted_at",
             "event_id AS attempt_no",
             "if(event_type = 'purchase', 'completed', 'no-answer') AS outcome",

@@ -9,6 +9,15 @@ S = "(list_value(" + ", ".join(f"'{s}'" for s in STATES) + "))"
 RAW = f"""
 raw AS (
   SELECT o_orderkey AS k, c_custkey AS c, c_nationkey AS nation, c_name, s_name, o_orderdate, o_orderstatus,
+    ' ' || c_custkey || '  Main   St ' AS address_text, 'Port ' || c_nationkey AS debtor_city,
+    CASE WHEN c_custkey % 2 = 0 THEN c_name END AS debtor_organization,
+    CASE WHEN c_custkey % 2 = 0 THEN 'organization' ELSE 'individual' END AS debtor_type,
+    s_suppkey || ' Bank  Row' AS bank_address_text, 'Bank City ' || s_nationkey AS secured_party_city,
+    lpad(cast(s_suppkey AS varchar), 5, '7') AS secured_party_zip,
+    CASE WHEN o_orderkey % 4 <> 0 THEN 'all  assets ' || o_orderpriority END AS collateral_text,
+    CASE WHEN o_orderkey % 6 = 0 THEN cast(o_orderkey // 2 AS varchar) END AS original_filing_number,
+    CASE WHEN o_orderkey % 6 = 0 THEN 'continuation' END AS amendment_type,
+    o_orderkey || '|' || o_orderstatus AS source_raw,
     cast(o_orderkey AS varchar) AS filing_number,
     {S}[c_nationkey + 1] AS state,
     {S}[s_nationkey + 1] AS secured_party_state,
@@ -35,7 +44,9 @@ raw AS (
       WHEN 2 THEN 'K1A ' || (c_custkey % 10) || 'B1'
       ELSE lpad(cast(c_custkey AS varchar), 5, '3') || '-' || lpad(cast(c_custkey AS varchar), 4, '4') END AS debtor_zip,
     CASE WHEN c_nationkey < 2 THEN 'open_api' WHEN c_nationkey < 17 THEN 'state_bulk' ELSE 'commercial' END AS source_tier
-  FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN supplier ON s_suppkey = o_orderkey % 100
+  FROM orders JOIN customer ON o_custkey = c_custkey
+    LEFT JOIN (SELECT l_orderkey, min(l_suppkey) AS party FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey
+    LEFT JOIN supplier ON s_suppkey = party
 ),
 printed AS (
   SELECT *, CASE WHEN k % 97 = 0 THEN 'not-a-date' ELSE CASE k % 7
@@ -123,7 +134,8 @@ SCAN_NO_STATUS = SCAN_COLUMNS.replace("status_text AS", "cast(NULL AS varchar) A
 
 CALLS = f"""
 attempts AS (
-  SELECT event_id % 1000 AS id, ts, event_id, event_type FROM events WHERE ts <= timestamp '2024-01-15 17:00:00'
+  SELECT event_id // 3 * 7 % (SELECT count(*) FROM orders) AS id, ts, event_id, event_type
+  FROM events WHERE ts <= timestamp '2024-01-15 17:00:00'
 ),
 folded AS (
   SELECT id, count(*) AS tries, max(ts) AS last_at, arg_max(event_type, ts) AS last_type,
@@ -186,8 +198,11 @@ WITH {RAW} SELECT filing_number, debtor_name, lower(debtor_name) AS debtor_name_
 FROM raw""",
     "normalized_filings": f"""
 WITH {RAW} SELECT filing_number, state, coalesce(filing_type, 'UCC') AS filing_type, filing_date,
-  strftime(o_orderdate + interval 60 month, '%Y-%m-%d') AS lapse_date, filing_status, debtor_name, debtor_zip,
-  upper(s_name) AS secured_party_name, secured_party_state, source_tier
+  strftime(o_orderdate + interval 60 month, '%Y-%m-%d') AS lapse_date, filing_status, debtor_name,
+  c || ' Main St' AS debtor_address, debtor_city, state AS debtor_state, debtor_zip, debtor_organization, debtor_type,
+  upper(s_name) AS secured_party_name, replace(bank_address_text, '  ', ' ') AS secured_party_address, secured_party_city,
+  secured_party_state, secured_party_zip, replace(collateral_text, '  ', ' ') AS collateral_description,
+  original_filing_number, amendment_type, source_tier, source_raw
 FROM raw""",
     "question_keys": r"""
 SELECT item_id, coalesce(nullif(array_to_string(list_slice(list_filter(
@@ -237,7 +252,60 @@ WITH {RAW}
 SELECT 'IN' AS filing_state, filing_number, 'debtor' AS role, 0 AS party_no, debtor_text AS name, cast(NULL AS varchar) AS state FROM raw
 UNION ALL SELECT 'IN', filing_number, 'debtor', 1, s_name, secured_party_state FROM raw
 UNION ALL SELECT 'IN', filing_number, 'secured_party', 0, s_name, NULL FROM raw""",
-    "latest_landed_files": f"WITH {RAW} SELECT DISTINCT 'state=' || state AS folder, true AS is_text FROM raw",
+    "latest_landed_files": f"""
+WITH {RAW} SELECT state, o_orderstatus = 'F' AS in_second_file, filing_number FROM raw""",
+    "landed_delivery": f"""
+WITH {RAW} SELECT state, filing_number, debtor_name FROM raw WHERE state IN ('KY', 'AL')""",
+    "unreadable_documents": f"""
+WITH {RAW}, p AS (SELECT k // 500 AS page, count(*) AS n FROM raw GROUP BY 1)
+SELECT 'AL' AS state, cast(count_if(page % 3 = 1) AS bigint) AS n_unreadable,
+  cast(sum(n) FILTER (page % 3 <> 1) AS bigint) AS n_filings, 'partial' AS status,
+  count_if(page % 3 = 1) || ' documents could not be read' AS error_message, cast(count_if(page % 3 = 1) AS bigint) AS n_errors
+FROM p""",
+    "backfill_run": f"""
+WITH {RAW} SELECT state, filing_number FROM raw
+WHERE state IN ('TX', 'CA') AND (filing_date IS NULL OR substr(filing_date, 1, 4) IN ('1996', '1997'))""",
+    "backfill_manifest": f"""
+SELECT state, strftime(d, '%Y-%m-%d') AS range_start, strftime(last_day(d), '%Y-%m-%d') AS range_end, n AS batch
+FROM (SELECT cast(unnest(generate_series(timestamp '1996-01-01', timestamp '1997-12-31', interval 1 month)) AS date) AS d),
+  (VALUES ('TX', 'first'), ('CA', 'second')) s(state, n) WHERE EXISTS (SELECT * FROM orders)""",
+    "full_replacement_run": f"""
+WITH {RAW} SELECT 'ID' AS state, filing_number, debtor_name FROM raw WHERE k % 3 <> 0""",
+    "two_phase_run": f"""
+WITH {RAW}, latest AS (SELECT max(filing_date) AS d FROM raw WHERE o_orderstatus <> 'F')
+SELECT filing_number FROM raw, latest WHERE o_orderstatus <> 'F' OR filing_date IS NULL OR filing_date >= d""",
+    "three_file_run": f"""
+WITH secured AS (
+  SELECT l_orderkey, arg_min(s_name, (l_linenumber, l_suppkey)) AS name, count(*) AS n
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY l_orderkey)
+SELECT cast(o_orderkey AS varchar) AS filing_number, upper(c_name) AS debtor_name, upper(name) AS secured_party_name,
+  coalesce(n, 0) AS n_secured, cast(1 AS bigint) AS n_debtors
+FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN secured ON l_orderkey = o_orderkey""",
+    "stored_parties": f"""
+WITH {RAW}
+SELECT filing_number, 'debtor' AS role, 0 AS party_no, debtor_text AS name FROM raw
+UNION ALL SELECT filing_number, 'secured_party', 0, s_name FROM raw WHERE k % 2 = 1""",
+    "event_log": f"""
+WITH {RAW}, n AS (SELECT state, source_tier, count(*) FILTER (k % 50 <> 0) AS n, count(*) FILTER (k % 50 = 0) AS e FROM raw GROUP BY ALL)
+SELECT state, 'ingestion_start' AS event, source_tier AS tier, cast(NULL AS bigint) AS records_new, cast(NULL AS bigint) AS record_errors,
+  cast(0 AS bigint) AS n_errors FROM n
+UNION ALL SELECT state, 'ingestion_complete', NULL, n, e, 0 FROM n
+UNION ALL SELECT state, 'ingestion_start', source_tier, NULL, NULL, 0 FROM n
+UNION ALL SELECT state, 'ingestion_failed', NULL, 0, 0, 1 FROM n""",
+    "failed_runs": f"""
+WITH {RAW}, n AS (SELECT state, source_tier, count(*) FILTER (k % 50 <> 0) AS n FROM raw GROUP BY ALL)
+SELECT state, source_tier, 'completed' AS status, n AS records_new, n AS records_stored, false AS has_error FROM n
+UNION ALL SELECT state, source_tier, 'failed', 0, n, true FROM n""",
+    "compacted_store": f"""
+WITH {LINES},
+ordered AS (SELECT *, row_number() OVER (PARTITION BY filing_number ORDER BY l_linestatus = 'F', seq) AS place FROM lines),
+classified AS ({_sequence("SELECT state, filing_number, src, debtor_name, filing_date, place AS seq, true AS incoming FROM ordered")})
+SELECT state, filing_number, arg_max(debtor_name, seq) FILTER (outcome <> 'skipped') AS debtor_name,
+  arg_max(src, seq) FILTER (outcome <> 'skipped') AS source_raw
+FROM classified GROUP BY state, filing_number""",
+    "stored_name_search": f"""
+WITH {RAW} SELECT filing_number, state, 'THE ' || upper(replace(raw.c_name, '#', ' ')) || ', INC.' AS watch_name
+FROM raw JOIN customer ON c = c_custkey WHERE state <> 'DE' AND c_mktsegment = 'BUILDING'""",
     "two_phase_load": f"""
 WITH {RAW} SELECT filing_number, 'master' AS phase FROM raw WHERE o_orderstatus <> 'F'
 UNION ALL SELECT filing_number, 'update' FROM raw WHERE filing_date IS NULL OR filing_date >= '2000-01-01'""",
@@ -326,7 +394,13 @@ FROM events GROUP BY ALL""",
 SELECT event_id, json_extract_string(props, '$.k') AS k, cast(NULL AS varchar) AS absent FROM events""",
     "failure_alert_5min": ALERTS,
     "failure_alert_stream": ALERTS,
-    "csv_scan": _scanned("KY", SCAN_COLUMNS),
+    "csv_scan": f"""
+WITH {RAW} SELECT 'KY' AS state, filing_number, {SCAN_TYPE}, date_text AS filing_date,
+  strftime(o_orderdate + interval 60 month, '%Y-%m-%d') AS lapse_date, status_text AS filing_status,
+  debtor_text AS debtor_name, c || chr(10) || 'Suite 2' AS debtor_address, debtor_city, lower(state) AS debtor_state,
+  zip_text AS debtor_zip, s_name AS secured_party_name, bank_address_text AS secured_party_address, secured_party_city,
+  secured_party_state, secured_party_zip, filing_number AS raw_number, c || chr(10) || 'Suite 2' AS raw_address
+FROM printed WHERE k % 50 <> 0""",
     "tab_delimited_scan": _scanned("ID", SCAN_NO_STATUS),
     "fuzzy_header_scan": _scanned("VT", SCAN_COLUMNS),
     "fixed_width_scan": f"""
@@ -344,7 +418,15 @@ FROM raw WHERE k % 50 = 0 GROUP BY state""",
     ),
     "envelope_unwrap": f"""
 WITH {RAW} SELECT filing_number, {SCAN_TYPE}, split_part(date_text, 'T', 1) AS filing_date,
-  debtor_text AS debtor_name, s_name AS secured_party_name FROM printed""",
+  strftime(o_orderdate + interval 60 month, '%Y-%m-%d') AS lapse_date, status_text AS filing_status,
+  debtor_text AS debtor_name, trim(address_text) AS debtor_address, debtor_city, lower(state) AS debtor_state,
+  zip_text AS debtor_zip, debtor_organization, debtor_type, s_name AS secured_party_name,
+  bank_address_text AS secured_party_address, secured_party_city, secured_party_state, secured_party_zip,
+  collateral_text AS collateral_description, original_filing_number, amendment_type FROM printed""",
+    "normalized_pages": f"""
+WITH {RAW} SELECT 'AL' AS state, filing_number, coalesce(filing_type, 'UCC') AS filing_type, filing_date, filing_status,
+  debtor_name, c || ' Main St' AS debtor_address, debtor_city, state AS debtor_state, debtor_zip,
+  upper(s_name) AS secured_party_name, replace(collateral_text, '  ', ' ') AS collateral_description FROM raw""",
     "xml_scan": _scanned(
         "CA",
         f"{SCAN_TYPE}, substr(date_text, 1, 10) AS filing_date, debtor_text AS debtor_name, zip_text AS debtor_zip, "
@@ -399,7 +481,7 @@ WITH {RAW}, texts AS (SELECT DISTINCT l_orderkey FROM lineitem JOIN part ON l_pa
 r AS (
   SELECT state, l_orderkey IS NOT NULL AS has, CASE WHEN state = 'NY' THEN 'image_only'
     WHEN state = 'AL' THEN 'paid_retrieval_required'
-    WHEN state IN ('KY', 'WV', 'ID', 'ND', 'MN', 'AR', 'NC', 'SC', 'SD', 'AZ', 'CO') THEN 'not_in_feed'
+    WHEN state IN ('KY', 'WV', 'ID', 'ND', 'MN', 'AR', 'NC', 'SC', 'SD', 'AZ', 'CO', 'FL') THEN 'not_in_feed'
     ELSE 'pending_collateral' END AS reason
   FROM raw LEFT JOIN texts ON l_orderkey = k)
 SELECT state, count(*) AS n_filings, count_if(has) AS n_with_collateral,
@@ -410,7 +492,7 @@ SELECT state, count(*) AS n_filings, count_if(has) AS n_with_collateral,
   round(count_if(has) / count(*), 4) AS coverage FROM r GROUP BY state""",
     "pending_collateral": f"""
 WITH {RAW} SELECT state, filing_number,
-  CASE WHEN state IN ('KY', 'WV', 'ID', 'ND', 'MN', 'AR', 'NC', 'SC', 'SD', 'AZ', 'CO') THEN 'not_in_feed'
+  CASE WHEN state IN ('KY', 'WV', 'ID', 'ND', 'MN', 'AR', 'NC', 'SC', 'SD', 'AZ', 'CO', 'FL') THEN 'not_in_feed'
     ELSE 'pending_collateral' END AS collateral_reason
 FROM raw WHERE k NOT IN (SELECT l_orderkey FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'R')""",
     "backfill_pending": f"""
@@ -457,7 +539,7 @@ WITH {CALLS} SELECT count(*) AS total, count_if(status = 'pending_approval') AS
 WITH {CALLS} SELECT DISTINCT state FROM calls WHERE last_at >= timestamp '2024-01-15 00:00:00'""",
     "ready_calls": f"""
 WITH {CALLS}, today AS (
-  SELECT event_id % 1000 AS k, count(*) AS tries FROM events
+  SELECT event_id // 3 * 7 % (SELECT count(*) FROM orders) AS k, count(*) AS tries FROM events
   WHERE event_type = 'signup' AND ts BETWEEN timestamp '2024-01-15 16:30:00' AND timestamp '2024-01-15 17:00:00' GROUP BY 1),
 now AS (
   SELECT queue.k, state, priority, tries, CASE WHEN tries IS NULL THEN status
@@ -496,11 +578,13 @@ SELECT call_id, cast(n AS bigint) AS n_chars, completed, n > 50 AS human_reached
     "requirements_merge": f"""
 WITH {ANSWERS}, known AS (SELECT {S}[s_nationkey + 1] AS state, min(s_name) AS answer FROM supplier GROUP BY 1),
 latest AS (
-  SELECT {S}[call_id % 25 + 1] AS state, question_key, max(call_id) AS call_id FROM answers GROUP BY ALL)
-SELECT state, 'fee' AS question_key, answer, cast(NULL AS varchar) AS last_call_date, cast(NULL AS varchar) AS data_confidence FROM known
+  SELECT {S}[call_id % 25 + 1] AS state, question_key, max(call_id) AS call_id FROM answers GROUP BY ALL),
+called AS (SELECT state, strftime(timestamp '2024-01-01' + to_minutes(max(call_id)), '%Y-%m-%d') AS last FROM latest GROUP BY state)
+SELECT state, 'fee' AS question_key, answer, last AS last_call_date, CASE WHEN last IS NOT NULL THEN 'medium' END AS data_confidence
+FROM known LEFT JOIN called USING (state)
 UNION ALL
-SELECT l.state, l.question_key, a.answer, strftime(timestamp '2024-01-01' + to_minutes(l.call_id), '%Y-%m-%d'), 'medium'
-FROM latest l JOIN answers a ON a.call_id = l.call_id AND a.question_key = l.question_key
+SELECT l.state, l.question_key, a.answer, last, 'medium'
+FROM latest l JOIN answers a ON a.call_id = l.call_id AND a.question_key = l.question_key JOIN called ON called.state = l.state
 WHERE l.state IN (SELECT state FROM known)""",
     "saved_transcripts": f"""
 SELECT {S}[conv_id % 25 + 1] AS state, strftime(date '2024-01-01' + cast(conv_id % 10 AS integer), '%Y-%m-%d') AS date,

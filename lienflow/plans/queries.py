@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 from functools import wraps
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lienflow import fixed_values as fixed
@@ -21,8 +23,9 @@ from lienflow.functions.text import (
 from lienflow.operators import audit, outreach, parties, quality, schedule, search, stats, transcripts, upsert
 from lienflow.operators.store import FilingStore
 from lienflow.plans import inputs
-from lienflow.plans.ingest import ingest
+from lienflow.plans.ingest import backfill, ingest, ingest_landed
 from lienflow.plans.inputs import state_of, table
+from lienflow.schema import FEED_FIELDS, MANIFEST_SCHEMA
 from lienflow.session import configure, scratch_path
 from lienflow.sources import delimited, dimension, fixed_width, json_feeds, landing, logs, xml_feeds
 from lienflow.sources.records import split_keyed
@@ -33,6 +36,7 @@ QUERIES: dict[str, Query] = {}
 
 # Moments at which time-dependent queries are asked.
 INGEST_MOMENT = "timestamp'2001-08-02 12:00:00'"
+LATER_MOMENT = "timestamp'2001-08-03 12:00:00'"
 CALL_MOMENT = "timestamp'2024-01-15 17:00:00'"
 
 QUESTIONS = [
@@ -94,19 +98,7 @@ def normalized_filings(spark, sf_dir):
     keyed, _ = split_keyed(inputs.raw_filings(spark, sf_dir))
     normalized = normalize_filings(keyed.withColumn("filing_type", F.coalesce(F.nullif("filing_type", F.lit("")), F.lit("UCC"))))
     return as_text(
-        normalized.select(
-            "filing_number",
-            "state",
-            "filing_type",
-            "filing_date",
-            "lapse_date",
-            "filing_status",
-            "debtor_name",
-            "debtor_zip",
-            "secured_party_name",
-            "secured_party_state",
-            "source_tier",
-        ),
+        normalized.select(*FEED_FIELDS),
         "filing_date",
         "lapse_date",
     )
@@ -164,7 +156,7 @@ def replacement_changes(spark, sf_dir):
 
 
 def _store(spark: SparkSession, name: str) -> FilingStore:
-    return FilingStore(spark, scratch_path(spark, name), buckets=2)
+    return FilingStore(spark, scratch_path(spark, name))
 
 
 @query
@@ -172,10 +164,22 @@ def stored_upsert(spark, sf_dir):
     """The table on disk after the lines with status O and then those with status F."""
     lines, store = inputs.line_batch(spark, sf_dir), _store(spark, "store")
     for status in ("O", "F"):
-        store.upsert(lines.filter(F.col("l_linestatus") == status), INGEST_MOMENT)
+        store.upsert(lines.filter(F.col("l_linestatus") == status), INGEST_MOMENT, status)
     return as_text(store.filings().select("state", "filing_number", "debtor_name", "filing_date", "source_raw"), "filing_date")
 
 
+@query
+def compacted_store(spark, sf_dir):
+    """The same table, the second batch applied twice, folded into a new base before and after."""
+    lines, store = inputs.line_batch(spark, sf_dir), _store(spark, "folded")
+    for step in ("O", "base-1", "F", "F", "base-2"):
+        if step.startswith("base"):
+            store.compact(step)
+        else:
+            store.upsert(lines.filter(F.col("l_linestatus") == step), INGEST_MOMENT, step)
+    return store.filings().select("state", "filing_number", "debtor_name", "source_raw")
+
+
 @query
 def ingested_runs(spark, sf_dir):
     """Run records of two ingestion runs: all raw filings, and then all of them again."""
@@ -187,6 +191,34 @@ def ingested_runs(spark, sf_dir):
     return runs.select("state", "source_tier", "records_fetched", "records_new", "records_updated", "records_skipped", "status")
 
 
+@query
+def event_log(spark, sf_dir):
+    """Events of a run of all raw filings and of one that fails."""
+    store = _broken_store(spark, sf_dir)
+    columns = ["state", "event", "tier", "records_new", "record_errors"]
+    return store.events().select(*columns, F.col("error").isNotNull().cast("long").alias("n_errors"))
+
+
+@query
+def failed_runs(spark, sf_dir):
+    """Run records after a run that fails, with the filings that are stored all the same."""
+    store = _broken_store(spark, sf_dir)
+    held = store.filings().groupBy("state").agg(F.count("*").alias("records_stored"))
+    runs = store.current_runs().join(held, "state", "left")
+    error = F.coalesce(F.col("error_message").contains("broken feed"), F.lit(False)).alias("has_error")
+    return runs.select("state", "source_tier", "status", "records_new", "records_stored", error)
+
+
+def _broken_store(spark: SparkSession, sf_dir: str) -> FilingStore:
+    raw, store = _rendered(spark, sf_dir).drop("ordered_at"), _store(spark, "broken")
+    raw = raw.withColumn("arrival", F.struct("source_raw"))
+    ingest(store, raw, INGEST_MOMENT, "good", full_refresh=True)
+    broken = raw.withColumn("debtor_city", F.when(F.col("filing_number").isNotNull(), F.raise_error(F.lit("broken feed"))))
+    with suppress(PySparkException):
+        ingest(store, broken, LATER_MOMENT, "bad", full_refresh=True)
+    return store
+
+
 @query
 def run_ids(spark, sf_dir):
     events = inputs.event_times(spark, sf_dir)
@@ -392,9 +424,17 @@ def _keyed(records: DataFrame, columns: list[str] = FEED_COLUMNS) -> DataFrame:
 
 @query
 def csv_scan(spark, sf_dir):
+    """Two kinds of files, their columns in another order, with line breaks within quoted values."""
     path = scratch_path(spark, "csv")
-    _with_headers(_rendered(spark, sf_dir), delimited.header_map("KY")).write.csv(path, header=True)
-    return _keyed(delimited.read_delimited(spark, path, "KY"))
+    headers = delimited.header_map("KY")
+    raw = _rendered(spark, sf_dir).withColumn("debtor_address", F.expr("concat(split(trim(debtor_address), ' ')[0], '\\nSuite 2')"))
+    orders = {"a": headers, "b": dict(reversed(headers.items()))}
+    for i, (part, columns) in enumerate(orders.items()):
+        share = raw.filter(F.length("debtor_name") % 2 == i) if part else raw
+        _with_headers(share, columns).write.csv(f"{path}/{part}", header=True, escape='"')
+    records = delimited.read_delimited(spark, [f"{path}/{part}" for part in orders], "KY")
+    source = [f"get_json_object(source_raw, '$.{h}') AS {c}" for h, c in (("FileNumber", "raw_number"), ("DebtorAddress", "raw_address"))]
+    return split_keyed(records)[0].selectExpr("state", *headers, *source)
 
 
 @query
@@ -435,13 +475,15 @@ BULK_JSON = "to_json(struct({}))".format(", ".join(f"{field} AS {key}" for field
 OPEN_DATA_JSON = "to_json(struct({}))".format(
     ", ".join(f"{field} AS {keys[0]}" for field, keys in fixed.OPEN_DATA_KEYS["CT"].items())
 )
+NESTED = [f"{party}_{part}" for party in fixed.COMMERCIAL_PARTIES for part in fixed.PARTY_KEYS]
 COMMERCIAL_JSON = {
-    "baselayer": "to_json(struct(filing_number, filing_type, filing_date, debtor_name, secured_party_name))",
-    "fcs": "to_json(struct(filing_number AS fileNumber, filing_type AS fileType, filing_date AS fileDate, "
-    "struct(debtor_name AS organizationName, debtor_zip AS postalCode) AS debtor, "
-    "struct(secured_party_name AS name) AS securedParty))",
-    "lexisnexis": "to_json(struct(filing_number AS documentNumber, filing_type AS documentType, "
-    "filing_date AS filed_date, debtor_name AS debtorName, secured_party_name AS secured_party))",
+    # Field names as they are; other spellings with nested parties; yet other spellings.
+    "baselayer": "to_json(struct({}))".format(", ".join(f"{f} AS {keys[0]}" for f, keys in fixed.COMMERCIAL_KEYS.items())),
+    "fcs": "to_json(struct({}, struct({}) AS debtor, struct({}) AS securedParty))".format(
+        ", ".join(f"{f} AS {keys[1]}" for f, keys in fixed.COMMERCIAL_KEYS.items() if f not in NESTED),
+        *[", ".join(f"{party}_{part} AS {keys[-1]}" for part, keys in fixed.PARTY_KEYS.items()) for party in fixed.COMMERCIAL_PARTIES],
+    ),
+    "lexisnexis": "to_json(struct({}))".format(", ".join(f"{f} AS {keys[-1]}" for f, keys in fixed.COMMERCIAL_KEYS.items())),
 }
 PAGE_KEY = "bigint(filing_number) AS page_key"
 
@@ -479,8 +521,7 @@ def open_data_pages(spark, sf_dir):
     return _keyed(json_feeds.map_open_data(json_feeds.unwrap(documents, ["data"]), "CT"))
 
 
-@query
-def envelope_unwrap(spark, sf_dir):
+def _commercial_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Commercial pages of three providers: other envelopes, other spellings, nested parties."""
     providers = list(COMMERCIAL_JSON)
     spelt = inputs.pick("bigint(filing_number) div 500 % 3", list(COMMERCIAL_JSON.values()))
@@ -489,18 +530,29 @@ def envelope_unwrap(spark, sf_dir):
     body = f"""concat('{{"', {inputs.pick("page_no % 3", [f"'{e}'" for e in envelopes])}, '": ', items, '}}')"""
     documents = inputs.pages(records, 500, body)
     records = json_feeds.unwrap_pages(documents, inputs.pick("page_no % 3", [f"'{name}'" for name in providers]))
-    columns = ["filing_number", "filing_type", "filing_date", "debtor_name", "secured_party_name"]
-    return _keyed(json_feeds.map_commercial(records, "AL"), columns)
+    return json_feeds.map_commercial(records, "AL")
 
 
-def _write_xml(raw: DataFrame, path: str) -> None:
+@query
+def envelope_unwrap(spark, sf_dir):
+    return _keyed(_commercial_records(spark, sf_dir), list(fixed.COMMERCIAL_KEYS))
+
+
+@query
+def normalized_pages(spark, sf_dir):
+    """The same pages, every field normalized."""
+    columns = FEED_COLUMNS + ["debtor_address", "debtor_city", "debtor_state", "debtor_zip", "collateral_description"]
+    return as_text(normalize_filings(_keyed(_commercial_records(spark, sf_dir), columns)), "filing_date")
+
+
+def _write_xml(raw: DataFrame, path: str, no_secured_party: str = "false") -> None:
     raw.selectExpr(
         "filing_number AS FilingNumber",
         "filing_type AS FileType",
         "filing_date AS FileDate",
         "filing_status AS Unlisted",
         "struct(debtor_name AS OrganizationName, debtor_zip AS PostalCode) AS Debtor",
-        "struct(secured_party_name AS Name) AS SecuredParty",
+        f"if({no_secured_party}, NULL, struct(secured_party_name AS Name)) AS SecuredParty",
     ).write.format("xml").options(rootTag="Root", rowTag="Filing").save(path)
 
 
@@ -538,16 +590,142 @@ def xml_parties(spark, sf_dir):
         "array(struct(debtor_name AS Name, string(NULL) AS State), struct(secured_party_name AS Name, secured_party_state AS State)) AS Debtor",
         "array(struct(secured_party_name AS OrganizationName)) AS SecuredParty",
     ).write.format("xml").options(rootTag="Root", rowTag="Document").save(path)
-    parties_of = xml_feeds.xml_parties(xml_feeds.scan_xml(spark, path, ["Document"]), "IN")
+    parties_of = xml_feeds.xml_parties(xml_feeds.scan_xml(spark, path), "IN")
     return parties_of.select("filing_state", "filing_number", "role", "party_no", "name", "state")
 
 
 @query
 def latest_landed_files(spark, sf_dir):
-    """The newest complete file of each state's folder."""
+    """All complete files of each state, by what they hold; some lie in a folder of their day."""
     path = scratch_path(spark, "landing")
-    inputs.raw_filings(spark, sf_dir).selectExpr("state", "source_raw").write.partitionBy("state").text(path)
-    return landing.latest_files(spark, path).selectExpr("folder", "path LIKE '%.txt' AS is_text")
+    raw = inputs.raw_filings(spark, sf_dir)
+    lines = "concat(filing_number, '|', source_raw) AS value"
+    days = {("state",): "filing_status <> 'Expired'", ("state", "day"): "filing_status = 'Expired'"}
+    for folders, test in days.items():
+        written = raw.filter(test).selectExpr("state", "'2024-01-15' AS day", lines).select("value", *folders)
+        written.write.mode("append").partitionBy(*folders).text(path)
+    files = landing.landed_files(spark, path)
+    listed = [r.path for r in files.select("path").collect()]
+    place = "regexp_replace({}, '^file:/+', 'file:/') AS path"
+    held = spark.read.text(listed).selectExpr("value", place.format("_metadata.file_path"))
+    return held.join(files.withColumn("path", F.expr(place.format("path"))), "path").selectExpr(
+        "state", "delivery <> '' AS in_second_file", "substring_index(value, '|', 1) AS filing_number"
+    )
+
+
+def _filed(store: FilingStore, *columns: str) -> DataFrame:
+    return store.filings().select("state", "filing_number", *columns)
+
+
+def _write_pages(records: DataFrame, path: str, broken: str = "false") -> None:
+    """Commercial pages, one file each; those for which ``broken`` holds are cut off."""
+    body = f"if({broken}, left(concat('{{\"results\": ', items), 200), concat('{{\"results\": ', items, '}}'))"
+    documents = inputs.pages(records, 500, body)
+    documents.repartition("page_no").select("value", "page_no").write.partitionBy("page_no").text(path)
+
+
+@query
+def landed_delivery(spark, sf_dir):
+    """A delivery of several files in folders of their own, and pages of another state, as the store holds them."""
+    root, store = scratch_path(spark, "delivery"), _store(spark, "delivered")
+    raw = inputs.raw_filings(spark, sf_dir)
+    ky = raw.filter("state = 'KY'").withColumn("part", F.expr("concat('K', bigint(filing_number) % 3)"))
+    headers = delimited.header_map("KY")
+    ky.selectExpr(*[f"{field} AS {header}" for field, header in headers.items()], "part").write.partitionBy("part").csv(
+        f"{root}/KY", header=True
+    )
+    _write_pages(raw.filter("state = 'AL'").selectExpr(PAGE_KEY, f"{COMMERCIAL_JSON['baselayer']} AS record"), f"{root}/AL")
+    ingest_landed(store, root, INGEST_MOMENT, "first", states=["KY", "AL"])
+    return _filed(store, "debtor_name")
+
+
+@query
+def unreadable_documents(spark, sf_dir):
+    """Every third page is cut off: it is kept as a reject, and the run is partial."""
+    root, store = scratch_path(spark, "cut"), _store(spark, "partial")
+    records = inputs.raw_filings(spark, sf_dir).selectExpr(PAGE_KEY, f"{COMMERCIAL_JSON['baselayer']} AS record")
+    _write_pages(records, f"{root}/AL", "page_no % 3 = 1")
+    runs = ingest_landed(store, root, INGEST_MOMENT, "first", states=["AL"])
+    rejects = store.quarantine().filter("reject_reason = 'unreadable_document'").groupBy("state").agg(F.count("*").alias("n_unreadable"))
+    held = store.filings().groupBy("state").agg(F.count("*").alias("n_filings"))
+    errors = store.events().filter("event = 'ingestion_complete'").selectExpr("state", "record_errors AS n_errors")
+    told = runs.select("state", "status", "error_message")
+    return told.join(rejects, "state").join(held, "state").join(errors, "state")
+
+
+def _backfilled(spark: SparkSession, sf_dir: str) -> FilingStore:
+    """Two states are wanted; the first call delivers one of them, the second call the other."""
+    store = _store(spark, "backfill")
+    raw = inputs.raw_filings(spark, sf_dir).drop("ordered_at").withColumn("arrival", F.struct("source_raw"))
+    states = spark.createDataFrame([("TX",), ("CA",)], "state string")
+    ranges = quality.backfill_ranges(states, "1996-01-01", "1997-12-31")
+    for batch, state in (("first", "TX"), ("second", "CA")):
+        backfill(store, raw.filter(F.col("state") == state), ranges, INGEST_MOMENT, batch)
+    return store
+
+
+@query
+def backfill_run(spark, sf_dir):
+    return _filed(_backfilled(spark, sf_dir))
+
+
+@query
+def backfill_manifest(spark, sf_dir):
+    """The ranges that are noted as finished, with the call that finished them."""
+    store = _backfilled(spark, sf_dir)
+    manifest = store.read("backfill_manifest", f"{MANIFEST_SCHEMA}, batch string")
+    return as_text(manifest.select("state", "range_start", "range_end", "batch"), "range_start", "range_end")
+
+
+@query
+def full_replacement_run(spark, sf_dir):
+    """The second delivery of a state that always delivers all lacks a third of the filings."""
+    root, store = scratch_path(spark, "replacement"), _store(spark, "replaced")
+    raw = inputs.raw_filings(spark, sf_dir)
+    for day, share in (("1", raw), ("2", raw.filter("bigint(filing_number) % 3 <> 0"))):
+        _with_headers(share, delimited.header_map("ID")).write.csv(f"{root}/ID/{day}", header=True, sep="\t")
+        ingest_landed(store, root, INGEST_MOMENT, day, states=["ID"])
+    return _filed(store, "debtor_name")
+
+
+@query
+def two_phase_run(spark, sf_dir):
+    """Master files while nothing is stored, then the updates since the latest stored date."""
+    root, store = scratch_path(spark, "phases"), _store(spark, "phased")
+    raw = inputs.raw_filings(spark, sf_dir)
+    raw.filter("filing_status <> 'Expired'").selectExpr(BULK_JSON).write.text(f"{root}/TX/master")
+    raw.selectExpr(BULK_JSON).write.text(f"{root}/TX/update")
+    for batch in ("first", "second"):
+        ingest_landed(store, root, INGEST_MOMENT, batch, states=["TX"], formats={"TX": "json_lines"})
+    return store.filings().select("filing_number")
+
+
+@query
+def three_file_run(spark, sf_dir):
+    """Documents, debtors and secured parties of one delivery, with all parties stored."""
+    root, store = scratch_path(spark, "three"), _store(spark, "merged")
+    documents, debtors, secured = _delivery(spark, sf_dir)
+    documents.write.csv(f"{root}/WV/documents", header=True)
+    for part, rows in (("debtors", debtors), ("secured", secured)):
+        named = rows.orderBy("DocNumber", "seq").selectExpr("DocNumber", "name AS PartyName", "state AS PartyState")
+        named.coalesce(1).write.csv(f"{root}/WV/{part}", header=True)
+    ingest_landed(store, root, INGEST_MOMENT, "first", states=["WV"])
+    counts = store.parties().groupBy("filing_number").agg(
+        F.count_if(F.col("role") == "secured_party").alias("n_secured"), F.count_if(F.col("role") == "debtor").alias("n_debtors")
+    )
+    return _filed(store, "debtor_name", "secured_party_name").drop("state").join(counts, "filing_number")
+
+
+@query
+def stored_parties(spark, sf_dir):
+    """The second delivery names no secured party for every other filing."""
+    store = _store(spark, "parties")
+    raw = inputs.raw_filings(spark, sf_dir)
+    for i, lost in enumerate(("false", "bigint(filing_number) % 2 = 0")):
+        root = scratch_path(spark, "party-feed")
+        _write_xml(raw, f"{root}/CA", lost)
+        ingest_landed(store, root, INGEST_MOMENT, f"delivery-{i}", states=["CA"], full_refresh=True)
+    return store.parties().select("filing_number", "role", "party_no", "name")
 
 
 @query
@@ -698,6 +876,17 @@ def name_search(spark, sf_dir):
     return search.match_watchlist(raw, respelt.union(exact)).select("filing_number", "state", "watch_name")
 
 
+@query
+def stored_name_search(spark, sf_dir):
+    """Names under another spelling against the search keys that the store holds."""
+    store = _store(spark, "searched")
+    raw = inputs.raw_filings(spark, sf_dir).drop("ordered_at").withColumn("arrival", F.struct("source_raw"))
+    store.upsert(normalize_filings(raw), INGEST_MOMENT, "all")
+    customers = table(spark, sf_dir, "customer").filter("c_mktsegment = 'BUILDING'")
+    respelt = customers.select(F.format_string("The %s, Inc.", F.translate("c_name", "#", " ")).alias("watch_name"))
+    return search.match_watchlist(store.searchable(), respelt).select("filing_number", "state", "watch_name")
+
+
 @query
 def initial_search(spark, sf_dir):
     """Individuals whose given name is abbreviated in the list."""

@@ -13,6 +13,18 @@ SOURCE_COLUMNS = (
 ).split()
 
 
+def no_collateral_in_feed() -> list[str]:
+    """Jurisdictions whose own layout has no collateral text, by their field maps.
+
+    XML, JSON and commercial feeds have a place for it; delimited feeds without a map may have a fitting header.
+    """
+    states = [s for s, fields in fixed.DELIMITED_HEADERS.items() if "collateral_description" not in fields]
+    states += [s for s, fields in fixed.OPEN_DATA_KEYS.items() if "collateral_description" not in fields]
+    if all(field != "collateral_description" for field, _, _ in fixed.FIXED_WIDTH_LAYOUT):
+        states += [row[0] for row in fixed.DIRECT_SOURCES if row[3] == "fixed_width"]
+    return states
+
+
 def source_dimension(
     spark: SparkSession, disabled: tuple[str, ...] = (), collateral_access: dict[str, str] | None = None
 ) -> DataFrame:
@@ -21,7 +33,7 @@ def source_dimension(
     ``collateral_access`` overrides what is known about the collateral text of a state's feed:
     ``in_feed``, ``not_in_feed``, ``image_only`` or ``paid_retrieval_required``.
     """
-    access = dict.fromkeys(fixed.NO_COLLATERAL_IN_FEED, "not_in_feed") | (collateral_access or {})
+    access = dict.fromkeys(no_collateral_in_feed(), "not_in_feed") | (collateral_access or {})
     direct = {row[0]: row[1:] for row in fixed.DIRECT_SOURCES}
     rows = []
     for state, name, zone in fixed.JURISDICTIONS:

@@ -50,12 +50,25 @@ def _first(keys: list[str]) -> str:
 
 
 def _unwrap(documents: DataFrame, held: str, default: str) -> DataFrame:
-    """Explode the array whose text ``held`` finds among the root keys; records keep their own text."""
-    wrapped = documents.selectExpr("*", "from_json(value, 'map<string, string>') AS wrapped")
+    """Explode the array whose text ``held`` finds among the root keys; records keep their own text.
+
+    A document that is no JSON, that is too large for one value, or that has none of the keys, gives one row with
+    its text, no record to read from it, and the reason ``unreadable_document``: it ends up among the rejects.
+    """
+    wrapped = documents.selectExpr(
+        "*",
+        "from_json(value, 'map<string, string>') AS wrapped",
+        "try_parse_json(value) IS NULL AS broken",
+    )
     kept = [c for c in documents.columns if c != "value"]
-    array = wrapped.selectExpr(*kept, "value", f"if(ltrim(value) LIKE '[%', value, {held}) AS items")
-    records = f"if(items IS NULL, {default}, from_json(items, 'array<string>'))"
-    exploded = array.selectExpr(*kept, f"posexplode({records}) AS (position, record)")
+    array = wrapped.selectExpr(*kept, "value", "broken", f"if(ltrim(value) LIKE '[%', value, {held}) AS items")
+    found = f"if(broken, NULL, if(items IS NULL, {default}, from_json(items, 'array<string>')))"
+    records = array.selectExpr(*kept, "value", f"{found} AS records").selectExpr(
+        *kept,
+        "posexplode(coalesce(records, array(value))) AS (position, record)",
+        "if(records IS NULL, 'unreadable_document', NULL) AS reject_reason",
+    )
+    exploded = records
     if "arrival" not in kept:
         return exploded.drop("position")
     return exploded.withColumn("arrival", F.col("arrival").withField("position", F.col("position"))).drop("position")
@@ -67,7 +80,8 @@ def _parse(records: DataFrame, keys: list[str]) -> DataFrame:
     Exploding an array of one keeps the optimizer from parsing once per use, as it would after
     pushing a filter on a field below a plain projection.
     """
-    return records.selectExpr("*", f"explode(array(from_json(record, {_schema(keys, 'variant')}))) AS parsed")
+    readable = "if(reject_reason IS NULL, record, NULL)" if "reject_reason" in records.columns else "record"
+    return records.selectExpr("*", f"explode(array(from_json({readable}, {_schema(keys, 'variant')}))) AS parsed")
 
 
 def _text(key: str, path: str = "$") -> str:
@@ -115,8 +129,19 @@ def map_commercial(records: DataFrame, state: str) -> DataFrame:
     for party in fixed.COMMERCIAL_PARTIES:
         for part in fixed.PARTY_KEYS:
             fields[f"{party}_{part}"] += inner(party, part)
-    chosen = {field: first_clean(*values) for field, values in fields.items()}
-    return feed_records(rows, _cut_times(chosen), state, "commercial", "record")
+    # Each key's text is worked out once, behind an exploded array of one: a single projection of all fields
+    # would repeat it in every use, beyond what the JVM can compile.
+    parts = {f"k{i}": text for i, text in enumerate(dict.fromkeys(sum(fields.values(), [])))}
+    held = {text: f"got.{part}" for part, text in parts.items()}
+    texts = ", ".join(f"{text} AS {part}" for part, text in parts.items())
+    rows = rows.selectExpr("*", f"explode(array(struct({texts}))) AS got")
+    chosen = {field: first_clean(*[held[v] for v in values]) for field, values in fields.items()}
+    return materialized(feed_records(rows, _cut_times(chosen), state, "commercial", "record"))
+
+
+def materialized(records: DataFrame) -> DataFrame:
+    """The same rows; what is built on them does not repeat the expressions that made them."""
+    return records.selectExpr("explode(array(struct(*))) AS r").select("r.*")
 
 
 def read_bulk_documents(spark: SparkSession, path: str, state: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from lienflow.functions.sql import coalesce, quote
 from lienflow.functions.text import clean
@@ -20,7 +20,7 @@ PLACE = (
 )
 ARRIVAL = f"struct({', '.join(PLACE)}, monotonically_increasing_id() AS row) AS arrival"
 
-HAS_STATE = "coalesce(state RLIKE '^[A-Z]{2}$', false)"
+HAS_STATE = "coalesce(state RLIKE '^[A-Z]{2}\\\\z', false)"
 
 # What makes a record storable.
 HAS_KEY = f"{HAS_STATE} AND coalesce(filing_number NOT IN ('', 'UNKNOWN'), false)"
@@ -36,11 +36,17 @@ def feed_records(rows: DataFrame, fields: dict[str, str], state: str, tier: str,
     cleaned = {field: clean(f"cast({value} AS string)") for field, value in fields.items()}
     cleaned["filing_type"] = coalesce(cleaned.get("filing_type", "NULL"), quote(DEFAULT_TYPE))
     values = {field: "cast(NULL AS string)" for field in FEED_FIELDS} | cleaned | constant
-    kept = [c for c in ("arrival",) if c in rows.columns]
+    kept = [c for c in ("arrival", "reject_reason") if c in rows.columns]
     return rows.selectExpr(*[f"{values[field]} AS {field}" for field in FEED_FIELDS], *kept)
 
 
 def split_keyed(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Records with trimmed fields: those that can be stored, and rejects with the reason why they cannot."""
-    reason = f"if({HAS_STATE}, 'missing_filing_number', 'no_state_code') AS reject_reason"
-    return records.filter(HAS_KEY), records.filter(f"NOT ({HAS_KEY})").selectExpr("*", reason)
+    """Records with trimmed fields: those that can be stored, and rejects with the reason why they cannot.
+
+    A reader may have given a reason already, as for a document that cannot be read; such rows have no number.
+    """
+    reason = f"if({HAS_STATE}, 'missing_filing_number', 'no_state_code')"
+    kept, rejects = records.filter(HAS_KEY), records.filter(f"NOT ({HAS_KEY})")
+    if "reject_reason" in records.columns:
+        return kept.drop("reject_reason"), rejects.withColumn("reject_reason", F.expr(f"coalesce(reject_reason, {reason})"))
+    return kept, rejects.withColumn("reject_reason", F.expr(reason))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from lienflow.functions.filings import normalize_filings
@@ -26,15 +26,14 @@ def start_upserts(
     as_of: str = "current_timestamp()",
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Upsert every micro-batch.  A batch that is run again after a failure is skipped row by row.
+    """Upsert every micro-batch under its epoch: one that is run again after a failure is applied once.
 
     The row number in a block, which a stream cannot number, is added to the micro-batch.
     """
     arrival = "struct(file_time, file, block, monotonically_increasing_id() AS row) AS arrival"
 
     def apply(batch: DataFrame, epoch: int) -> None:
-        counts = store.upsert(normalize_filings(to_records(batch.selectExpr("value", arrival))), as_of)
-        store.append("outcome_log", counts.withColumn("epoch", F.lit(epoch)))
+        store.upsert(normalize_filings(to_records(batch.selectExpr("value", arrival))), as_of, f"epoch-{epoch:09d}")
 
     writer = lines.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")).start()

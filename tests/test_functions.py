@@ -16,34 +16,27 @@ from lienflow.functions.text import (
     search_key,
 )
 
-DATES = {
-    "2024-01-15": date(2024, 1, 15),
-    "2024-01-15T12:30:00": date(2024, 1, 15),
-    "01/15/2024": date(2024, 1, 15),
-    "01-15-2024": date(2024, 1, 15),
-    "20240115": date(2024, 1, 15),
-    "01/15/24": date(2024, 1, 15),
+# All shapes of the third of July 2019, then others.
+DATES = dict.fromkeys(
+    ["2019-07-03", " 2019-07-03\t", "2019-07-03T23:59:59", "07/03/2019", "07-03-2019", "20190703", "07/03/19", "03-JUL-2019"]
+    + ["03-jul-2019", "Jul 03, 2019", "7/3/2019", "2019-7-3T00:00"],
+    date(2019, 7, 3),
+) | {
     "": None,
-    "   ": None,
-    "2024-13-45": None,
-    "not-a-date": None,
-    "  2024-01-15  ": date(2024, 1, 15),
-    "20241115": date(2024, 11, 15),
-    "20241215": date(2024, 12, 15),
-    "01/15/68": date(2068, 1, 15),
-    "01/15/69": date(1969, 1, 15),
-    "15-OCT-2024": date(2024, 10, 15),
-    "15-oct-2024": date(2024, 10, 15),
-    "Jan 15, 2024": date(2024, 1, 15),
-    "Foo 15, 2024": None,
-    "1/5/2024": date(2024, 1, 5),
-    "2024-1-5T00:00": date(2024, 1, 5),
-    "2024-1-5": None,
-    "2024-02-30": None,
-    "02/30/2024": None,
-    "0000-01-01": None,
-    "=2024-01-05": None,
-    "2024-01-15 10:00": None,
+    " ": None,
+    "yesterday": None,
+    "2019-00-10": None,
+    "2019-06-31": None,
+    "13/40/2019": None,
+    "Abc 03, 2019": None,
+    "20191130": date(2019, 11, 30),
+    "20191031": date(2019, 10, 31),
+    "12/31/68": date(2068, 12, 31),
+    "01/01/69": date(1969, 1, 1),
+    "2019-7-3": None,
+    "0000-07-03": None,
+    "=2019-07-03": None,
+    "2019-07-03 10:00": None,
 }
 
 
@@ -119,12 +112,24 @@ def test_states(rows):
 
 
 def test_whole_record(spark):
-    record = ("123", "TX", "UCC1", "01/15/2024", "john doe", "Jane Smith", "tx", "123456789", "keep Me")
-    columns = "filing_number state filing_type filing_date debtor_name secured_party_name debtor_state debtor_zip debtor_type"
-    done = normalize_filings(spark.createDataFrame([record], columns.split())).first()
-    assert tuple(done) == (
-        "123", "TX", "UCC-1", date(2024, 1, 15), "JOHN DOE", "JANE SMITH", "TX", "12345-6789", "keep Me",
-    )
+    record = {
+        "filing_number": ("A-7", "A-7"),
+        "state": ("ND", "ND"),
+        "filing_type": ("continuation", "UCC-3-CONTINUATION"),
+        "filing_date": ("03-JUL-2019", date(2019, 7, 3)),
+        "filing_status": ("l", "lapsed"),
+        "debtor_name": (" acme  gmbh", "ACME GMBH"),
+        "debtor_city": ("Bad  Ems ", "Bad Ems"),
+        "debtor_zip": ("58501 0042", "58501-0042"),
+        "secured_party_state": (" mn", "MN"),
+        "amendment_type": (" As is ", " As is "),
+    }
+    done = normalize_filings(spark.createDataFrame([tuple(raw for raw, _ in record.values())], list(record))).first()
+    assert done.asDict() == {field: value for field, (_, value) in record.items()}
+
+
+def test_final_line_breaks(rows):
+    assert rows(["12345\n", "12345-6789\n", "12345"], normalize_zip("v")) == ["12345", "12345-6789", "12345"]
 
 
 @pytest.mark.parametrize(

@@ -179,7 +179,8 @@ def test_requirements(spark):
     answers = [("TX", 0, "fee", "6", "2024-01-01"), ("TX", 0, "fee", None, "2024-01-02"), ("CA", 0, "fee", "7", "2024-01-01")]
     given = spark.createDataFrame(answers, "state string, question_no int, question_key string, answer string, t string").selectExpr("*", "timestamp(t) AS called_at")
     merged = transcripts.merge_requirements(known, given).orderBy("question_key").collect()
-    assert [(r.state, r.question_key, r.answer, r.data_confidence) for r in merged] == [("TX", "fee", None, "medium"), ("TX", "form", "A", None)]
+    assert [(r.state, r.question_key, r.answer, r.data_confidence) for r in merged] == [("TX", "fee", None, "medium"), ("TX", "form", "A", "medium")]
+    assert {str(r.last_call_date) for r in merged} == {"2024-01-02"}
 
 
 def test_call_outcomes(spark):

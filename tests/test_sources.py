@@ -1,7 +1,8 @@
 import json
-import os
 
-from lienflow.sources import delimited, dimension, fixed_width, json_feeds, landing, logs, xml_feeds
+import pytest
+
+from lienflow.sources import delimited, dimension, fixed_width, json_feeds, landing, logs, three_files, xml_feeds
 from lienflow.sources.records import split_keyed
 
 
@@ -34,6 +35,29 @@ def test_csv(spark, tmp_path):
     assert [r.reject_reason for r in rejects.collect()] == ["missing_filing_number"]
 
 
+def test_csv_line_breaks_and_header_orders(spark, tmp_path):
+    put(tmp_path / "in" / "a.csv", 'FileNumber,FilingType,DebtorName,DebtorAddress\nK1,UCC1,DOE,"1 Main\nSuite 2"\n')
+    put(tmp_path / "in" / "b.csv", "DebtorName,FileNumber,FilingType\nROE,K2,UCC3\n")
+    one, two = keyed(delimited.read_delimited(spark, str(tmp_path / "in"), "KY"))
+    assert (one.filing_number, one.debtor_address) == ("K1", "1 Main\nSuite 2")
+    assert (two.filing_number, two.filing_type, two.debtor_name, two.debtor_address) == ("K2", "UCC3", "ROE", None)
+
+
+def test_three_files(spark, tmp_path):
+    put(tmp_path / "WV" / "documents.csv", "DocNumber,DocType,FileDate\nW1,UCC1,01/15/2024\nW2,UCC3,\n")
+    put(tmp_path / "WV" / "debtors.csv", "DocNumber,Debtor Name,Debtor City\nW1,FIRST,A\nW1,SECOND,B\n")
+    put(tmp_path / "WV" / "secured_parties.csv", "DocNumber,Name,Zip\nW2,BANK,25301\n")
+    one, two = keyed(landing.read_feed(spark, "WV", str(tmp_path / "WV")))
+    assert (one.debtor_name, one.debtor_city, one.secured_party_name) == ("FIRST", "A", None)
+    assert (two.debtor_name, two.secured_party_name, two.secured_party_zip) == (None, "BANK", "25301")
+    parties = three_files.three_file_parties(spark, str(tmp_path / "WV"), "WV").orderBy("filing_number", "party_no").collect()
+    assert [(p.filing_number, p.role, p.party_no, p.name) for p in parties] == [
+        ("W1", "debtor", 0, "FIRST"),
+        ("W1", "debtor", 1, "SECOND"),
+        ("W2", "secured_party", 0, "BANK"),
+    ]
+
+
 def test_tab_delimited(spark, tmp_path):
     path = put(tmp_path / "id.tsv", "FileNumber\tFileType\tDebtorName\nI1\tUCC1\tA B\n\tUCC1\tC\n")
     assert [(r.filing_number, r.debtor_name) for r in keyed(landing.read_feed(spark, "ID", path))] == [("I1", "A B")]
@@ -132,7 +156,8 @@ def test_commercial(spark, tmp_path):
         assert (one.secured_party_name, one.secured_party_city, one.filing_date) == ("BANK", "X", "2024-02-01")
         assert (two.filing_number, two.debtor_name, two.secured_party_name, two.filing_type) == ("N2", "PLAIN", "SP", "UCC3")
     path = put(tmp_path / "wrong.json", json.dumps({"records": [flat]}))
-    assert json_feeds.read_commercial(spark, path, "AL", "baselayer").count() == 0
+    (lost,) = split_keyed(json_feeds.read_commercial(spark, path, "AL", "baselayer"))[1].collect()
+    assert lost.reject_reason == "unreadable_document"
 
 
 def test_xml(spark, tmp_path):
@@ -141,8 +166,8 @@ def test_xml(spark, tmp_path):
       <Debtor><Name>JOHN</Name><OrganizationName>ORG</OrganizationName><City>LA</City><State>CA</State></Debtor>
       <Debtor><OrganizationName>SECOND</OrganizationName><PostalCode>9</PostalCode></Debtor>
       <SecuredParty><OrganizationName>BANK</OrganizationName></SecuredParty></Filing>
-    <FinancingStatement><TransactionNumber>X2</TransactionNumber><CollateralDescription>all</CollateralDescription></FinancingStatement>
-    <Document><FileType>no number</FileType></Document></Root>"""
+    <Filing><TransactionNumber>X2</TransactionNumber><CollateralDescription>all</CollateralDescription></Filing>
+    <Filing><FileType>no number</FileType></Filing></Root>"""
     path = put(tmp_path / "ca.xml", text)
     one, two = keyed(xml_feeds.read_xml(spark, path, "CA"))
     assert (one.filing_number, one.filing_date, one.debtor_name, one.debtor_city) == ("X1", "2024-01-15", "JOHN", "LA")
@@ -156,6 +181,16 @@ def test_xml(spark, tmp_path):
     ]
 
 
+def test_xml_row_tags(spark, tmp_path):
+    filing, document = "<Filing><FileNumber>1</FileNumber></Filing>", "<Document><FileNumber>2</FileNumber></Document>"
+    path = put(tmp_path / "d.xml", f"<Root>{document}</Root>")
+    assert [r.filing_number for r in keyed(xml_feeds.read_xml(spark, path, "IN"))] == ["2"]
+    mixed = put(tmp_path / "m.xml", f"<Root>{document}{filing}</Root>")
+    with pytest.raises(ValueError, match="Filing, Document"):
+        xml_feeds.read_xml(spark, mixed, "IN")
+    assert [r.filing_number for r in keyed(xml_feeds.read_xml(spark, mixed, "IN", "Filing"))] == ["1"]
+
+
 def test_xml_namespace(spark, tmp_path):
     body = '<i:Root xmlns:i="http://x/4"><i:Filing><i:FilingNumber>I1</i:FilingNumber><i:FilingType>UCC1</i:FilingType></i:Filing></i:Root>'
     assert [r.filing_number for r in keyed(xml_feeds.read_xml(spark, put(tmp_path / "in.xml", body), "IN"))] == ["I1"]
@@ -171,14 +206,28 @@ def test_fixed_width(spark, tmp_path):
     assert (two.debtor_name, two.debtor_city) == ("DOE JOHN", None)
 
 
-def test_latest_files_and_two_phases(spark, tmp_path):
-    old, new = put(tmp_path / "TX" / "a.json", "[]"), put(tmp_path / "TX" / "b.json", "[]")
-    part, hidden = put(tmp_path / "TX" / "c.json.tmp", "[]"), put(tmp_path / "TX" / ".d", "[]")
-    for age, path in enumerate([hidden, part, new, old]):
-        os.utime(path, (1_700_000_000 - age, 1_700_000_000 - age))
-    (row,) = landing.latest_files(spark, str(tmp_path)).collect()
-    assert row.folder == "TX" and row.path.endswith("b.json")
+def test_landed_files(spark, tmp_path):
+    for name in ("TX/a.json", "TX/2024-01-15/b.json", "TX/c.json.tmp", "TX/.d", "TX/_tmp/e.json", "f.json", "state=CA/g.json"):
+        put(tmp_path / name, "[]")
+    found = {(r.state, r.delivery, r.path.rsplit("/", 1)[-1]) for r in landing.landed_files(spark, str(tmp_path)).collect()}
+    assert found == {("TX", "", "a.json"), ("TX", "2024-01-15", "b.json"), ("CA", "", "g.json")}
+
+
+def test_new_files_and_newest_delivery(spark):
+    files = spark.createDataFrame(
+        [("TX", "1", "a", 100), ("TX", "2", "b", 200), ("TX", "2", "c", 300), ("CA", "1", "d", 50)],
+        "state string, delivery string, path string, t long",
+    ).selectExpr("state", "delivery", "path", "timestamp_seconds(t) AS landed_at")
+    runs = spark.createDataFrame([("TX", "completed", 150), ("TX", "failed", 250), ("CA", "running", 10)], "state string, status string, t long")
+    runs = runs.selectExpr("state", "status", "timestamp_seconds(t) AS started_at")
+    assert {r.path for r in landing.new_files(files, runs).collect()} == {"b", "c", "d"}
+    assert {r.path for r in landing.newest_delivery(files).collect()} == {"b", "c", "d"}
+    assert landing.phase_files(["x/master.json", "x/day.json"], True) == ["x/master.json"]
+    assert landing.phase_files(["x/master.json", "x/day.json"], False) == ["x/day.json"]
+    assert landing.phase_files(["x/day.json"], True) == ["x/day.json"]
+
 
+def test_two_phases(spark, tmp_path):
     master = put(tmp_path / "m.json", json.dumps([{"filing_number": "1", "file_date": "01/15/2020"}]))
     update = put(
         tmp_path / "u.json",
