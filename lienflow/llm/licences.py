@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lienflow.llm.common import stored
+
 
 #: Least cosine to a template.
 LEAST_COSINE = 0.6
@@ -118,9 +120,13 @@ def scan_licences(
     rows = documents.select("doc_id", F.expr(path).alias("path"), F.expr(notice("text")).alias("notice")).withColumn(
         "directory", F.expr("nullif(regexp_extract(path, '^(.*)/[^/]*$', 1), '')")
     )
+    rows = stored(rows, "notices")
     notices = rows.filter("notice IS NOT NULL").groupBy("notice").agg(F.count("*").alias("n"))
-    scored = score_notices(notices).filter(F.col("cosine") >= least_cosine)
-    own = rows.join(scored, "notice", "left")
+    scored = stored(score_notices(stored(notices, "different")).filter(F.col("cosine") >= least_cosine), "scored")
+    # Rows without a notice, nearly all, are spread by a key that no notice has.  What is joined with them is stored:
+    # the runtime splits a hot key only where both sides of a join come straight from a shuffle.
+    spread = F.coalesce("notice", F.concat(F.lit("none:"), F.xxhash64("doc_id", "path").cast("string")))
+    own = rows.withColumn("notice", spread).join(scored, "notice", "left")
     files = (
         own.filter(f"licence IS NOT NULL AND directory IS NOT NULL AND ({licence_file})")
         .groupBy("directory")
@@ -139,7 +145,7 @@ def scan_licences(
         .agg(F.max(F.struct("depth", "inherited")).alias("a"))
         .selectExpr("directory", "a.inherited AS inherited")
     )
-    return own.join(nearest, "directory", "left").selectExpr(
+    return own.join(stored(nearest, "nearest"), "directory", "left").selectExpr(
         "doc_id",
         "path",
         "coalesce(licence, inherited) AS licence",
