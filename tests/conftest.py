@@ -10,10 +10,13 @@ from lienflow.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session(
-        "tests", "local[8]", **{"spark.sql.shuffle.partitions": "4", "spark.ui.showConsoleProgress": "false"}
-    )
+def spark(tmp_path_factory):
+    settings = {
+        "spark.sql.shuffle.partitions": "4",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+    }
+    session = build_session("tests", "local[8]", **settings)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
