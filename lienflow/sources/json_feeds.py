@@ -98,7 +98,7 @@ def map_bulk(records: DataFrame, state: str, keys: dict[str, str] | None = None)
     """Records of a bulk feed; zero and false count as missing, as blank text does."""
     keys = keys or fixed.BULK_JSON_KEYS
     rows = _parse(records, list(keys.values()))
-    return feed_records(rows, {f: _filled(key) for f, key in keys.items()}, state, "state_bulk", "record")
+    return materialized(feed_records(rows, {f: _filled(key) for f, key in keys.items()}, state, "state_bulk", "record"))
 
 
 def map_open_data(records: DataFrame, state: str) -> DataFrame:
@@ -106,7 +106,7 @@ def map_open_data(records: DataFrame, state: str) -> DataFrame:
     keys = fixed.OPEN_DATA_KEYS[state]
     rows = _parse(records, sum(keys.values(), []))
     fields = {field: first_clean(*map(_text, names)) for field, names in keys.items()}
-    return feed_records(rows, _cut_times(fields), state, "open_api", "record")
+    return materialized(feed_records(rows, _cut_times(fields), state, "open_api", "record"))
 
 
 def _cut_times(fields: dict[str, str]) -> dict[str, str]:

@@ -230,8 +230,8 @@ def test_backfill(spark, store):
     raw = spark.createDataFrame([tuple(r.get(f) for f in FEED_FIELDS) for r in rows], ", ".join(f"{f} string" for f in FEED_FIELDS))
     raw = raw.withColumn("arrival", F.struct("filing_number"))
     states = spark.createDataFrame([("TX",)], "state string")
-    assert backfill(store, raw, backfill_ranges(states, "2024-01-01", "2024-01-31"), FIRST, "a").first().records_new == 1
-    assert backfill(store, raw, backfill_ranges(states, "2024-01-01", "2024-02-28"), LATER, "b").first().records_fetched == 1
+    assert backfill(store, raw, backfill_ranges(states, "2024-01-01", "2024-01-31"), FIRST, "a").first().records_new == 2
+    assert backfill(store, raw, backfill_ranges(states, "2024-01-01", "2024-02-28"), LATER, "b").first().records_fetched == 2
     # The undated record went along with the first call.
     assert sorted(r.filing_number for r in store.filings().collect()) == ["1", "2", "4"]
 
