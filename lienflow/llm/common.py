@@ -13,7 +13,7 @@ from lienflow.session import scratch_path
 
 #: Rows and bytes that a Python task takes at once; a single longer text is a slice of its own.
 ARROW_ROWS = 2_000
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
@@ -33,11 +33,11 @@ def small_batches(spark: SparkSession) -> None:
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
 
 
-def stored(rows: DataFrame, name: str, *, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def stored(rows: DataFrame, name: str) -> DataFrame:
     """The rows, written to the shared folder and read again: cuts the lineage and outlives lost executors."""
     spark = rows.sparkSession
     path = scratch_path(spark, name)
-    rows.write.partitionBy(*partition_by).parquet(path)
+    rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
@@ -45,8 +45,8 @@ def text_or_empty(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
-    """The rows in pieces of some megabytes of text, in their order."""
+def slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows in pieces of about ``limit`` bytes of text, in their order; a longer text is a piece of its own."""
     for batch in batches:
         texts = batch.column(column)
         if not len(texts):
@@ -54,7 +54,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.Record
         ends = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, texts.offset * 4).astype(np.int64)
         first = 0
         while first < len(texts):
-            last = int(np.searchsorted(ends, ends[first] + SLICE_BYTES, "right")) - 1
+            last = int(np.searchsorted(ends, ends[first] + limit, "right")) - 1
             last = min(max(last, first + 1), len(texts))
             yield batch.slice(first, last - first)
             first = last

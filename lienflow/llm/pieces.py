@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 from lienflow.llm.common import slices, small_batches, text_bytes, text_or_empty
 
 #: Chunks that a Python worker keeps between batches; the table is begun anew beyond it.
-TABLE_CHUNKS = 600_000
+TABLE_CHUNKS = 300_000
 
 #: The character that stands for white space in pieces.
 MARKER = "▁"

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from lienflow.llm.common import (
+    SLICE_BYTES,
     mix,
     prefix_sums,
     run_hashes,
@@ -204,7 +205,7 @@ def write_store(documents: DataFrame, tokenizer: str, end_id: int = END_ID) -> T
                 [pa.array([v], f.type) for v, f in zip(values, schema, strict=True)], schema=schema
             )
 
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, 4 * SLICE_BYTES):
             ids, bounds = table.encode(batch.column(1))
             for key, a, b in zip(batch.column(0).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 if size and size + b - a + 1 > BLOCK_IDS:
