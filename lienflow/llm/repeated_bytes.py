@@ -157,8 +157,9 @@ def repeated_strings(documents: DataFrame, length: int = LENGTH, gram: int = GRA
     keyed = texts.select(F.expr(_TEXT_KEY).alias("text_key"), "text")
     found = stored(_find_anchors(keyed, length, gram), "anchors")
 
-    # First digit: only anchors whose gram occurs again go on.  Counts are combined before the shuffle.
-    grams = found.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
+    # First digit: only anchors whose gram occurs again go on.  Counts are combined before the shuffle; they are
+    # stored, since the runtime splits a hot key of a join only where both sides come straight from a shuffle.
+    grams = stored(found.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"), "grams")
     by_text = (
         found.join(grams, "gram", "left_semi")
         .groupBy("text_key")
@@ -173,7 +174,7 @@ def repeated_strings(documents: DataFrame, length: int = LENGTH, gram: int = GRA
         pieces = _pieces(opened, length, size)
         group = ["gram", "low", "high", "whole"]
         again = pieces.groupBy(*group).agg(F.sum("copies").alias("n")).filter("n > 1").select(*group, F.lit(True).alias("same"))
-        judged = stored(pieces.join(again, group, "left").fillna(False, ["same"]), "judged")
+        judged = stored(pieces.join(stored(again, "again"), group, "left").fillna(False, ["same"]), "judged")
         confirmed.append(judged.filter("same").select("text_key", "anchor", "low", "high"))
         if size == 1:
             break
@@ -186,7 +187,7 @@ def repeated_strings(documents: DataFrame, length: int = LENGTH, gram: int = GRA
             .filter("n > 1 AND doubt")
             .select(*group)
         )
-        rest = judged.join(doubted, group, "left_semi")
+        rest = judged.join(stored(doubted, "doubted"), group, "left_semi")
         one = rest.filter("same").groupBy("gram", "low", "high", "whole").agg(F.min(F.struct("text_key", "anchor")).alias("p"))
         places = rest.filter("NOT same").select("text_key", "anchor", "low", "high").unionByName(
             one.select("p.text_key", "p.anchor", "low", "high")
