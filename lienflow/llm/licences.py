@@ -37,6 +37,7 @@ TEMPLATES = {
     "GPL-3.0": [
         "Licensed under the GNU General Public License v3.0.",
         "Licensed under the GPL-3.0.",
+        "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
         "Public License as published by the Free Software Foundation, either version 3 of the License",
         "SPDX-License-Identifier: GPL-3.0-only",
@@ -49,7 +50,7 @@ TEMPLATES = {
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under CC BY-SA 4.0."],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under CC BY-NC 4.0."],
     "CC0-1.0": ["CC0 1.0 Universal Public Domain Dedication, no copyright.", "SPDX-License-Identifier: CC0-1.0"],
-    "Proprietary": ["Copyright. All rights reserved.", "Proprietary and confidential, all rights reserved."],
+    "Proprietary": ["All rights reserved.", "Copyright. All rights reserved.", "Proprietary and confidential, all rights reserved."],
 }
 
 _TERMS = "regexp_extract_all(lower({0}), '[a-z0-9]+(?:[.-][a-z0-9]+)*', 0)"
@@ -67,30 +68,29 @@ def _templates(spark: SparkSession) -> DataFrame:
 
 
 def score_notices(notices: DataFrame) -> DataFrame:
-    """notice, licence, cosine: the nearest template of each different notice; ``notices`` has notice and its documents ``n``.
+    """notice, licence, cosine: the nearest template of each different notice; ``notices`` has the column notice.
 
-    Terms weigh their count times ln((1 + N) / (1 + df)) + 1, over the notices of all documents.  Of equally near
-    templates the first name counts.  The templates are a table of this module, so their terms can be broadcast.
+    Terms weigh their count times ln((1 + N) / (1 + df)) + 1, over the N templates, so a score does not depend on the
+    other documents.  Of equally near templates the first name counts.  The templates are a table of this module, so
+    their terms can be broadcast.
     """
     spark = notices.sparkSession
-    terms = notices.select("notice", "n", F.explode(F.expr(_TERMS.format("notice"))).alias("term"))
-    counted = terms.groupBy("notice", "n", "term").agg(F.count("*").alias("tf"))
-    frequency = counted.groupBy("term").agg(F.sum("n").alias("df"))
-    total = notices.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("documents"))
-
-    idf = "tf * (ln((1 + documents) / (1 + coalesce(df, 0))) + 1) AS weight"
-    weighed = counted.join(frequency, "term").crossJoin(F.broadcast(total)).selectExpr("notice", "term", idf)
-    norms = weighed.groupBy("notice").agg(F.sqrt(F.sum(F.expr("weight * weight"))).alias("norm"))
-
     model = (
         _templates(spark)
         .select("licence", "variant", F.explode(F.expr(_TERMS.format("text"))).alias("term"))
         .groupBy("licence", "variant", "term")
         .agg(F.count("*").alias("tf"))
     )
-    # Document frequencies of the templates' terms only.
-    known = frequency.join(F.broadcast(model.select("term").distinct()), "term", "left_semi")
-    model = model.join(F.broadcast(known), "term", "left").crossJoin(F.broadcast(total)).selectExpr("licence", "variant", "term", idf)
+    frequency = model.groupBy("term").agg(F.count("*").alias("df"))
+    documents = sum(map(len, TEMPLATES.values()))
+    idf = f"tf * (ln((1 + {documents}) / (1 + coalesce(df, 0))) + 1) AS weight"
+
+    terms = notices.select("notice", F.explode(F.expr(_TERMS.format("notice"))).alias("term"))
+    counted = terms.groupBy("notice", "term").agg(F.count("*").alias("tf"))
+    weighed = counted.join(F.broadcast(frequency), "term", "left").selectExpr("notice", "term", idf)
+    norms = weighed.groupBy("notice").agg(F.sqrt(F.sum(F.expr("weight * weight"))).alias("norm"))
+
+    model = model.join(F.broadcast(frequency), "term").selectExpr("licence", "variant", "term", idf)
     lengths = model.groupBy("licence", "variant").agg(F.sqrt(F.sum(F.expr("weight * weight"))).alias("length"))
     model = model.join(F.broadcast(lengths), ["licence", "variant"]).selectExpr(
         "licence", "variant", "term", "weight / length AS part"
@@ -121,7 +121,7 @@ def scan_licences(
         "directory", F.expr("nullif(regexp_extract(path, '^(.*)/[^/]*$', 1), '')")
     )
     rows = stored(rows, "notices")
-    notices = rows.filter("notice IS NOT NULL").groupBy("notice").agg(F.count("*").alias("n"))
+    notices = rows.filter("notice IS NOT NULL").select("notice").distinct()
     scored = stored(score_notices(stored(notices, "different")).filter(F.col("cosine") >= least_cosine), "scored")
     # Rows without a notice, nearly all, are spread by a key that no notice has.  What is joined with them is stored:
     # the runtime splits a hot key only where both sides of a join come straight from a shuffle.

@@ -200,6 +200,31 @@ def test_licences(spark, frame, empty):
     assert licences.scan_licences(empty, queries.PATH, queries.LICENCE_FILE).count() == 0
 
 
+def test_licences_of_the_table(spark):
+    """Every notice of the given table has its licence, and the directories of licence files pass it on."""
+    plain = {
+        "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+        "Released under the MIT License.": "MIT",
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+        "All rights reserved.": "Proprietary",
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+    }
+    sf = "/root/testdata/sf0.01"
+    texts = dict(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect())
+    want = {k: {plain[line] for line in (t or "").split("\n") if line in plain} for k, t in texts.items()}
+    assert set().union(*want.values()) == set(plain.values())
+    found = queries.op9_licences(spark, sf).collect()
+    assert all(r["licence"] in want[r["doc_id"]] and r["origin"] == "own" for r in found if want[r["doc_id"]])
+    given = {}
+    for r in found:
+        if "/LICENSE." in r["path"] and r["origin"] == "own":
+            given.setdefault(r["path"].rpartition("/")[0], set()).add(r["licence"])
+    for r in found:
+        if not want[r["doc_id"]]:
+            above = given.get(r["path"].rpartition("/")[0])
+            assert r["origin"] == ("inherited" if above else "none") and r["licence"] in (above or {None})
+
+
 def test_placement(spark, frame, empty, tmp_path):
     shards = [f"s{i}" for i in range(7)]
     table = placement.fill_table(shards, 101)
