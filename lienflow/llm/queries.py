@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lienflow.llm import (
     decontaminate,
+    hard_negatives,
     licences,
     near_dup,
     pieces,
@@ -16,6 +17,8 @@ from lienflow.llm import (
     quality_rules,
     quality_sampling,
     repeated_bytes,
+    simhash,
+    token_alignment,
     token_store,
 )
 from lienflow.llm.common import read_table
@@ -93,6 +96,19 @@ def op10_placement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placement.place(read_table(configure(spark), sf_dir, "documents"), SHARDS)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(read_table(configure(spark), sf_dir, "embeddings"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    models = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    return token_alignment.align_tokens(read_table(configure(spark), sf_dir, "documents"), *models)
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_components(read_table(configure(spark), sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -112,8 +128,34 @@ QUERIES: dict[str, Query] = {
         op8_repeated_bytes,
         op9_licences,
         op10_placement,
+        op11_hard_negatives,
+        op12_token_alignment,
+        op13_simhash,
         pipeline,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op11_hard_negatives": """
+        WITH usable AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id AS other, a.label = c.label AS alike,
+                CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+            FROM usable a JOIN usable c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id
+        ), positives AS (
+            SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE alike
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+        )
+        SELECT anchor_id, positive_id,
+            CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+            other AS negative_id, positive_score, score AS negative_score
+        FROM positives JOIN scored USING (anchor_id)
+        WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        QUALIFY rank <= 10
+    """,
+}

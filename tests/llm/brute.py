@@ -193,3 +193,123 @@ def classes(docs, least=0.8):
             root = find(i)
             least_id[root] = min(least_id.get(root, doc_id), doc_id)
     return [(doc_id, least_id.get(find(i))) for i, (doc_id, _) in enumerate(docs)]
+
+
+def byte_level():
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def token_alignment(docs):
+    """Each text as a whole through both libraries, all pairs of tokens compared by their byte ranges."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
+    to_byte = byte_level()
+
+    def spans(parts):
+        at, found = 0, []
+        for i, piece in parts:
+            found.append((i, at, at + len(piece)))
+            at += len(piece)
+        return found
+
+    def piece_bytes(i):
+        piece = b.id_to_piece(i)
+        return bytes([int(piece[3:5], 16)]) if b.is_byte(i) else piece.replace("▁", " ").encode()
+
+    cut, counts = [], Counter()
+    for doc_id, text in docs:
+        whole = (" " + (text or "")).encode()
+        ids = a.encode(" " + (text or ""), add_special_tokens=False).ids
+        parts_a = [(i, bytes(to_byte[c] for c in a.id_to_token(i))) for i in ids]
+        parts_b = [(i, piece_bytes(i)) for i in b.encode(text or "")]
+        told = bool(text) and all(b"".join(p for _, p in parts) == whole for parts in (parts_a, parts_b))
+        sa, sb = (spans(parts_a), spans(parts_b)) if told else ([], [])
+        links, j0 = [], 0
+        for i, s, e in sa:
+            while j0 < len(sb) and sb[j0][2] <= s:
+                j0 += 1
+            j = j0
+            while j < len(sb) and sb[j][1] < e:
+                links.append((i, sb[j][0]))
+                j += 1
+        counts.update(links)
+        ends = sorted({e for *_, e in sa} & {e for *_, e in sb})
+        groups, at = [], 0
+        for end in ends:
+            sides = [",".join(str(i) for i, s, e in side if at <= s and e <= end) for side in (sa, sb)]
+            groups.append("|".join(sides))
+            at = end
+        cut.append((doc_id, len(sa), len(sb), len(groups), links, sha(";".join(groups)) if told else ""))
+    best = defaultdict(int)
+    for (_, i), n in counts.items():
+        best[i] = max(best[i], n)
+    return [
+        (d, na, nb, ng, len(links), sum(counts[x] == best[x[1]] for x in links), sum(counts[x] for x in links), text)
+        for d, na, nb, ng, links, text in cut
+    ]
+
+
+def simhash(docs):
+    """Fingerprints bit by bit, all pairs compared."""
+    from xxhash import xxh64_intdigest
+
+    prints = []
+    for _, text in docs:
+        lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        words = re.findall(r"[^\x20\x09-\x0D]+", lower)
+        shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+        hashes = [xxh64_intdigest(s.encode(), 42) for s in shingles]
+        prints.append(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)))
+    least = components(prints)
+    ids = defaultdict(list)
+    for (doc_id, _), f in zip(docs, prints):
+        if doc_id is not None:
+            ids[least[f]].append(doc_id)
+    return [(d, f"{f:016x}", min(ids[least[f]], default=None)) for (d, _), f in zip(docs, prints)]
+
+
+def components(prints, distance=2):
+    """For each fingerprint the least that links reach."""
+    different = sorted(set(prints))
+    parent = {f: f for f in different}
+
+    def find(f):
+        while parent[f] != f:
+            parent[f] = parent[parent[f]]
+            f = parent[f]
+        return f
+
+    for i, f in enumerate(different):
+        for g in different[i + 1 :]:
+            if (f ^ g).bit_count() <= distance:
+                x, y = find(f), find(g)
+                parent[max(x, y)] = min(x, y)
+    return {f: find(f) for f in different}
+
+
+def hard_negatives(rows, anchor_every=100, n_positives=5, n_negatives=10):
+    import math
+
+    usable = []
+    for vec_id, vector, label in rows:
+        if vec_id is None or label is None or vector is None or any(x is None or not math.isfinite(x) for x in vector):
+            continue
+        label = (label + 1) % 10 if vec_id % 7 == 0 else label
+        usable.append((vec_id, label, [math.floor(256 * float(x)) for x in vector]))
+    found = []
+    for anchor, own, v in usable:
+        if anchor % anchor_every:
+            continue
+        scored = sorted(
+            (-sum(x * y for x, y in zip(v, w)), other, label) for other, label, w in usable if other != anchor
+        )
+        for score, positive, _ in [s for s in scored if s[2] == own][:n_positives]:
+            window = [s for s in scored if s[2] != own and 30 * -score <= 100 * -s[0] <= 90 * -score]
+            found += [(anchor, positive, i, n, -score, -s) for i, (s, n, _) in enumerate(window[:n_negatives], 1)]
+    return found
