@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 from lienflow.llm.common import slices, small_batches, stored, text_bytes, text_or_empty
 
 #: Text of one run.
-RUN_BYTES = 4 << 20
+RUN_BYTES = 2 << 20
 #: Parts that the pairs are dealt to by their B id.  A part never holds more pairs than the vocabularies allow.
 RADIX = 128
 #: Runs that one task merges; more are merged in several passes.
@@ -28,8 +29,10 @@ FAN_IN = 64
 #: Pairs of a run that are unpacked at once.
 FRAME_PAIRS = 1 << 16
 #: Chunks and links that a worker keeps between runs.
-TABLE_CHUNKS = 200_000
-TABLE_LINKS = 4_000_000
+TABLE_CHUNKS = 100_000
+TABLE_LINKS = 2_000_000
+#: Chunks that are cut into tokens at once.
+LEARNT_AT_ONCE = 5_000
 #: Bits of an id within a pair's key.
 ID_BITS = 20
 
@@ -129,44 +132,79 @@ class ChunkLinks:
         return np.array([get(c) for c in chunks], np.int64)
 
     def _learn(self, chunks: list[bytes]) -> None:
+        for at in range(0, len(chunks), LEARNT_AT_ONCE):
+            self._learn_some(chunks[at : at + LEARNT_AT_ONCE])
+
+    def _learn_some(self, chunks: list[bytes]) -> None:
         known = len(self.number)
         self.number.update({c: known + i for i, c in enumerate(chunks)})
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
         texts = [c.decode() for c in chunks]
-        a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        ids_a, counts_a = self._ids_a(texts, sizes)
         # The library puts the first space back in front.
-        b = self.b.encode([t[1:] for t in texts], num_threads=1)
-        good = np.fromiter(
-            (self._joined(self.bytes_a, x) == c == self._joined(self.bytes_b, y) for x, y, c in zip(a, b, chunks, strict=True)),
-            bool,
-            len(chunks),
-        )
+        listed = self.b.encode([t[1:] for t in texts], num_threads=1)
+        counts_b = np.fromiter(map(len, listed), np.int64, len(chunks))
+        ids_b = np.fromiter(chain.from_iterable(listed), np.int64, int(counts_b.sum()))
+        good = self._told(chunks, sizes, ids_a, counts_a, self.bytes_a, self.length_a)
+        good &= self._told(chunks, sizes, ids_b, counts_b, self.bytes_b, self.length_b)
+        if not good.all():
+            ids_a, ids_b = ids_a[np.repeat(good, counts_a)], ids_b[np.repeat(good, counts_b)]
         facts = np.zeros((len(chunks), 5), np.int64)
         facts[:, 4] = good
-        kept = np.flatnonzero(good)
         groups = [""] * len(chunks)
-        counts_a = np.array([len(a[i]) for i in kept], np.int64)
-        counts_b = np.array([len(b[i]) for i in kept], np.int64)
-        ids_a = np.array([x for i in kept for x in a[i]], np.int64)
-        ids_b = np.array([x for i in kept for x in b[i]], np.int64)
         ends_a, ends_b = np.cumsum(self.length_a[ids_a]), np.cumsum(self.length_b[ids_b])
         # Each stretch between neighbouring ends lies in one A and one B token: a link.
         ends = np.union1d(ends_a, ends_b)
         links = pair_key(ids_b[np.searchsorted(ends_b, ends)], ids_a[np.searchsorted(ends_a, ends)])
         shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        chunk_ends = np.cumsum(np.array([len(chunks[i]) for i in kept], np.int64))
-        facts[kept, 0], facts[kept, 1] = counts_a, counts_b
-        facts[kept, 2] = np.diff(np.searchsorted(shared, chunk_ends, "right"), prepend=0)
-        facts[kept, 3] = np.diff(np.searchsorted(ends, chunk_ends, "right"), prepend=0)
-        for i, text in zip(kept.tolist(), self._group_texts(ids_a, ids_b, ends_a, ends_b, shared, counts_a + counts_b), strict=True):
+        chunk_ends = np.cumsum(sizes[good])
+        facts[good, 0], facts[good, 1] = counts_a[good], counts_b[good]
+        facts[good, 2] = np.diff(np.searchsorted(shared, chunk_ends, "right"), prepend=0)
+        facts[good, 3] = np.diff(np.searchsorted(ends, chunk_ends, "right"), prepend=0)
+        texts = self._group_texts(ids_a, ids_b, ends_a, ends_b, shared, facts[good, 0] + facts[good, 1])
+        for i, text in zip(np.flatnonzero(good).tolist(), texts, strict=True):
             groups[i] = text
         self.groups += groups
         self.facts = np.concatenate([self.facts, facts])
         self.first_link = np.concatenate([self.first_link, len(self.links) + np.cumsum(facts[:, 3]) - facts[:, 3]])
         self.links = np.concatenate([self.links, links])
 
+    def _ids_a(self, chunks: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A ids of all chunks, and how many each has.
+
+        Chunks that neither end in white space nor have any behind their first space are cut into tokens many at a
+        time, as one text: no token reaches over their borders.
+        """
+        plain = np.array([len(c) > 1 and not c[1].isspace() and not c[-1].isspace() for c in chunks], bool)
+        counts = np.zeros(len(chunks), np.int64)
+        joined = np.flatnonzero(plain)
+        found = np.zeros(0, np.int64)
+        if len(joined):
+            text = "".join([chunks[i] for i in joined.tolist()])
+            found = np.array(self.a.encode(text, add_special_tokens=False).ids, np.int64)
+            ends, borders = np.cumsum(self.length_a[found]), np.cumsum(sizes[joined])
+            counts[joined] = np.diff(np.searchsorted(ends, borders) + 1, prepend=0)
+        if len(joined) == len(chunks):
+            return found, counts
+        others = np.flatnonzero(~plain)
+        apart = [self.a.encode(chunks[i], add_special_tokens=False).ids for i in others.tolist()]
+        counts[others] = [len(x) for x in apart]
+        # Put both kinds back into the order of the chunks.
+        whole = np.zeros(int(counts.sum()), np.int64)
+        first = np.cumsum(counts) - counts
+        whole[_spread(first[joined], counts[joined])] = found
+        whole[_spread(first[others], counts[others])] = np.fromiter(chain.from_iterable(apart), np.int64)
+        return whole, counts
+
     @staticmethod
-    def _joined(table: list[bytes], ids: list[int]) -> bytes:
-        return b"".join([table[i] for i in ids])
+    def _told(chunks, sizes, ids, counts, table, lengths) -> np.ndarray:
+        """Which chunks their tokens give back, byte for byte."""
+        whole = b"".join([table[i] for i in ids.tolist()])
+        ends = np.cumsum(np.concatenate([[0], lengths[ids]]))[np.cumsum(counts)]
+        if whole == b"".join(chunks) and (ends == np.cumsum(sizes)).all():
+            return np.ones(len(chunks), bool)
+        starts = np.concatenate([[0], ends[:-1]])
+        return np.array([whole[a:b] == c for a, b, c in zip(starts.tolist(), ends.tolist(), chunks, strict=True)], bool)
 
     def _group_texts(self, ids_a, ids_b, ends_a, ends_b, shared, counts) -> Iterator[str]:
         """The groups of each chunk as text, each group closed by a semicolon."""
