@@ -153,10 +153,14 @@ class ChunkLinks:
         facts[:, 4] = good
         groups = [""] * len(chunks)
         ends_a, ends_b = np.cumsum(self.length_a[ids_a]), np.cumsum(self.length_b[ids_b])
-        # Each stretch between neighbouring ends lies in one A and one B token: a link.
-        ends = np.union1d(ends_a, ends_b)
+        # Both kinds of ends in order: one that stands there twice closes a group.  Each stretch between neighbouring
+        # ends lies in one A and one B token: a link.
+        ends = np.concatenate([ends_a, ends_b])
+        ends.sort(kind="stable")
+        twice = ends[1:] == ends[:-1]
+        shared = ends[1:][twice]
+        ends = ends[np.concatenate([~twice, np.ones(min(len(ends), 1), bool)])]
         links = pair_key(ids_b[np.searchsorted(ends_b, ends)], ids_a[np.searchsorted(ends_a, ends)])
-        shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
         chunk_ends = np.cumsum(sizes[good])
         facts[good, 0], facts[good, 1] = counts_a[good], counts_b[good]
         facts[good, 2] = np.diff(np.searchsorted(shared, chunk_ends, "right"), prepend=0)
@@ -181,13 +185,13 @@ class ChunkLinks:
         found = np.zeros(0, np.int64)
         if len(joined):
             text = "".join([chunks[i] for i in joined.tolist()])
-            found = np.array(self.a.encode(text, add_special_tokens=False).ids, np.int64)
+            found = np.array(self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
             ends, borders = np.cumsum(self.length_a[found]), np.cumsum(sizes[joined])
             counts[joined] = np.diff(np.searchsorted(ends, borders) + 1, prepend=0)
         if len(joined) == len(chunks):
             return found, counts
         others = np.flatnonzero(~plain)
-        apart = [self.a.encode(chunks[i], add_special_tokens=False).ids for i in others.tolist()]
+        apart = [self.a.encode_batch_fast([chunks[i]], add_special_tokens=False)[0].ids for i in others.tolist()]
         counts[others] = [len(x) for x in apart]
         # Put both kinds back into the order of the chunks.
         whole = np.zeros(int(counts.sum()), np.int64)
