@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from lienflow.functions.sql import listing, replace_all
 from lienflow.functions.text import normalize_name, search_key
+from lienflow.session import stored
 
 
 def match_watchlist(filings: DataFrame, watchlist: DataFrame, exact_states: tuple[str, ...] = ("DE",)) -> DataFrame:
@@ -81,6 +84,72 @@ def amendment_chains(filings: DataFrame) -> DataFrame:
     return joined.withColumns({n: F.coalesce(n, zero) for n in ("n_amendments", "n_continuations", "n_terminations")})
 
 
+def chain_roots(filings: DataFrame) -> DataFrame:
+    """state, filing_number, root_number and depth of each filing, however long its chain of amendments.
+
+    The root is the first filing of the chain, at depth 0; a number that a chain leads to but that is not in the
+    table is a root as well.  Filings whose chain runs in a circle, and those that lead into one, have neither root
+    nor depth.  A filing stands in the table once.
+
+    Pointers jump: each round every filing takes over what the filing that it points to knows, so that it sees twice
+    as far, and a chain of a thousand amendments takes ten rounds.  Filings that have reached their root leave the
+    rounds.  Both sides of a join are stored, so that the runtime splits an original with very many amendments.
+    """
+    rows = filings.selectExpr("state", "filing_number", "original_filing_number AS up")
+    amended = stored(rows.filter("up IS NOT NULL"), "amended")
+    onward = amended.selectExpr("state", "filing_number AS up", "true AS leads_on")
+    pointers = amended.join(onward, ["state", "up"], "left").selectExpr(
+        "state", "filing_number", "up", "1L AS depth", "leads_on IS NULL AS at_root"
+    )
+    pointers = stored(pointers, "pointers")
+    known, still = [pointers.filter("at_root")], pointers.filter("NOT at_root")
+    left = still.count()
+    while left:
+        seen = reduce(DataFrame.unionByName, [*known, still])
+        further = seen.selectExpr("state", "filing_number AS up", "up AS next", "depth AS more", "at_root")
+        jumped = still.drop("at_root").join(further, ["state", "up"])
+        jumped = stored(jumped.selectExpr("state", "filing_number", "next AS up", "depth + more AS depth", "at_root"), "pointers")
+        known.append(jumped.filter("at_root"))
+        still = jumped.filter("NOT at_root")
+        before, left = left, still.count()
+        # Of an open chain some filing reaches the root in every round; what is left when none does are circles.
+        if left == before:
+            break
+    first = rows.filter("up IS NULL").selectExpr("state", "filing_number", "filing_number AS root_number", "0L AS depth")
+    found = reduce(DataFrame.unionByName, known).selectExpr("state", "filing_number", "up AS root_number", "depth")
+    circles = still.selectExpr("state", "filing_number", "string(NULL) AS root_number", "bigint(NULL) AS depth")
+    return first.unionByName(found).unionByName(circles)
+
+
+def whole_chains(filings: DataFrame, term_months: int = 60, window_months: int = 6) -> DataFrame:
+    """Original filings with a summary of all amendments of their chains, and when they lapse in effect.
+
+    A continuation counts when it is filed within the window before the lapse as it then is; it moves the lapse by a
+    term.  Further ones in the same window are of no effect.  Without a lapse date the first term begins with the
+    filing.  Chains are summed up per root before the join; the different dates of a chain's continuations, which the
+    calendar bounds, are all that is collected of it.
+    """
+    kind = F.col("filing_type")
+    roots = stored(chain_roots(filings), "chain-roots").filter("depth > 0")
+    amendments = filings.select("state", "filing_number", "filing_type", "filing_date").join(roots, ["state", "filing_number"])
+    chains = amendments.groupBy("state", F.col("root_number").alias("filing_number")).agg(
+        F.count("*").alias("n_amendments"),
+        F.max("depth").alias("depth"),
+        F.count_if(kind == "UCC-3-CONTINUATION").alias("n_continuations"),
+        F.max("filing_date").alias("last_amendment"),
+        F.min(F.when(kind == "UCC-3-TERMINATION", F.col("filing_date"))).alias("terminated_on"),
+        F.array_sort(F.collect_set(F.when(kind == "UCC-3-CONTINUATION", F.col("filing_date")))).alias("continued"),
+    )
+    fields = ["state", "filing_number", "filing_date", "lapse_date"]
+    originals = filings.filter("original_filing_number IS NULL").select(*fields)
+    first = f"coalesce(lapse_date, add_months(filing_date, {term_months}))"
+    in_time = f"d BETWEEN add_months(lapse, -{window_months}) AND lapse"
+    lapse = f"aggregate(continued, {first}, (lapse, d) -> if({in_time}, add_months(lapse, {term_months}), lapse))"
+    joined = originals.join(chains, ["state", "filing_number"], "left").withColumn("effective_lapse", F.expr(f"coalesce({lapse}, {first})"))
+    zeros = {n: F.coalesce(n, F.lit(0).cast("long")) for n in ("n_amendments", "depth", "n_continuations")}
+    return joined.withColumns(zeros).drop("continued")
+
+
 def orphan_amendments(filings: DataFrame) -> DataFrame:
     """Amendments whose original filing is not in the table."""
     amendments = filings.filter("original_filing_number is not null")

@@ -1,4 +1,7 @@
-"""Counts and statistics over the filing table."""
+"""Counts and statistics over the filing table.
+
+All of them also take counted filings, as the store keeps them: rows that stand for ``n`` filings each.
+"""
 
 from __future__ import annotations
 
@@ -11,22 +14,26 @@ def _known(column: str) -> Column:
     return F.coalesce(F.nullif(F.col(column), F.lit("")), F.lit("unknown"))
 
 
+def _number(filings: DataFrame) -> Column:
+    return F.coalesce(F.sum("n"), F.lit(0).cast("long")) if "n" in filings.columns else F.count("*")
+
+
 def count_by(filings: DataFrame, column: str) -> DataFrame:
     """Filings per value, missing values as ``unknown``, most frequent first."""
-    counts = filings.groupBy(_known(column).alias(column)).agg(F.count("*").alias("n_filings"))
+    counts = filings.groupBy(_known(column).alias(column)).agg(_number(filings).alias("n_filings"))
     return counts.orderBy(F.desc("n_filings"), column)
 
 
 def filing_counts(filings: DataFrame, state: str | None = None) -> DataFrame:
     """The number of filings, in all or of one state."""
     kept = filings if state is None else filings.filter(F.col("state") == state)
-    return kept.agg(F.count("*").alias("n_filings"))
+    return kept.agg(_number(filings).alias("n_filings"))
 
 
 def latest_by_state(filings: DataFrame) -> DataFrame:
     """Per state: filings, latest filing date and latest ingestion; one pass, combined before the shuffle."""
     return filings.groupBy("state").agg(
-        F.count("*").alias("filing_count"),
+        _number(filings).alias("filing_count"),
         F.max("filing_date").alias("latest_filing_date"),
         F.max("ingested_at").alias("last_ingestion"),
     )
@@ -35,7 +42,7 @@ def latest_by_state(filings: DataFrame) -> DataFrame:
 def summary(filings: DataFrame) -> DataFrame:
     """Total, number of states, earliest and latest filing date."""
     by_state = filings.groupBy("state").agg(
-        F.count("*").alias("n"), F.min("filing_date").alias("low"), F.max("filing_date").alias("high")
+        _number(filings).alias("n"), F.min("filing_date").alias("low"), F.max("filing_date").alias("high")
     )
     return by_state.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_filings"),
@@ -48,11 +55,12 @@ def summary(filings: DataFrame) -> DataFrame:
 def all_stats(filings: DataFrame) -> DataFrame:
     """Total and counts per state, status and tier from a single scan."""
     dimensions = ["state", "filing_status", "source_tier"]
-    values = filings.select(*[_known(d).alias(d) for d in dimensions], "filing_date")
+    weight = ["n"] if "n" in filings.columns else []
+    values = filings.select(*[_known(d).alias(d) for d in dimensions], "filing_date", *weight)
     sets = [[], *[[F.col(d)] for d in dimensions]]
     grouped = values.groupingSets(sets, *dimensions).agg(
         F.grouping_id().alias("level"),
-        F.count("*").alias("n_filings"),
+        _number(filings).alias("n_filings"),
         F.min("filing_date").alias("earliest_filing"),
         F.max("filing_date").alias("latest_filing"),
     )

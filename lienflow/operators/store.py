@@ -17,7 +17,12 @@ from lienflow.sources.records import split_keyed
 
 COUNTS = [f"n_{o}" for o in OUTCOMES]
 
-COMMIT_SCHEMA = "seq long, batch string, is_base boolean, replaced array<string>"
+# What filings are counted by; sums of counts per batch give the statistics of the store at any time.
+COUNTED_BY = ["state", "filing_status", "source_tier", "filing_date", "ingested_at"]
+STATISTICS_SCHEMA = "state string, filing_status string, source_tier string, filing_date date, ingested_at timestamp, n long"
+
+COMMIT_SCHEMA = "seq long, batch string, is_base boolean, replaced array<string>, tables array<string>, committed_at timestamp"
+LEDGER_SCHEMA = "state string, delivery string, path string, size long, landed_at timestamp, is_read boolean"
 EVENT_SCHEMA = (
     "event string, state string, run_id string, tier string, full_refresh boolean, records_fetched long, "
     "records_new long, records_updated long, records_skipped long, record_errors long, error string, timestamp timestamp"
@@ -29,6 +34,7 @@ _STORED = T.StructType(
         T.StructField("search_key", T.StringType()),
         T.StructField("changed", T.BooleanType()),
         *[T.StructField(c, T.LongType()) for c in COUNTS],
+        T.StructField("before", T.StructType([FILING_SCHEMA[f] for f in COUNTED_BY if f != "state"])),
         T.StructField("batch", T.StringType()),
     ]
 )
@@ -44,11 +50,15 @@ class FilingStore:
     ``commits`` makes it valid.  Readers take committed batches only, so they see a batch whole or not at all,
     and one that broke off is simply written again.  A batch id that is committed is never applied twice.
 
-    Filings are the rows of the base with those of later batches over them; ``compact`` folds all into a new base.
+    Filings are the rows of the base with those of later batches over them; ``compact`` folds all into a new base,
+    by itself after ``compact_after`` batches where that is given.  Each batch also has the changes in the numbers of
+    filings, so that counts and latest dates are read without a filing.  What a base has replaced stays readable as
+    of an earlier commit until ``clean`` removes it.
     """
 
     spark: SparkSession
     root: str
+    compact_after: int | None = None
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -69,39 +79,36 @@ class FilingStore:
 
     # -- commits ------------------------------------------------------------------------------------------
 
-    def commits(self) -> list:
-        """The last base and what was committed after it, in order: a few rows for each batch since."""
-        rows = sorted(self.read("commits", COMMIT_SCHEMA).collect(), key=lambda r: r.seq)
+    def log(self) -> list:
+        """All commits in order: a row each, from as many files as were written since the last compaction."""
+        return sorted(self.read("commits", COMMIT_SCHEMA).collect(), key=lambda r: r.seq)
+
+    def commits(self, until: str | None = None) -> list:
+        """The last base and what was committed after it, in order; ``until`` a batch for the store as it was then."""
+        rows = self.log()
+        if until is not None:
+            last = next((r.seq for r in rows if r.batch == until), None)
+            if last is None:
+                raise ValueError(f"no such commit: {until}")
+            rows = [r for r in rows if r.seq <= last]
         bases = [i for i, r in enumerate(rows) if r.is_base]
         return rows[bases[-1] :] if bases else rows
 
     def is_committed(self, batch: str) -> bool:
         return not self.read("commits", COMMIT_SCHEMA).filter(F.col("batch") == batch).isEmpty()
 
-    def _commit(self, batch: str, is_base: bool = False, replaced: list[str] | None = None) -> None:
+    def _commit(self, batch: str, tables: list[str], is_base: bool = False, replaced: list[str] | None = None) -> None:
         last = self.read("commits", COMMIT_SCHEMA).agg(F.max("seq")).first()[0] or 0
-        row = self.spark.createDataFrame([(last + 1, batch, is_base, replaced or [])], COMMIT_SCHEMA)
+        row = self.spark.createDataFrame([(last + 1, batch, is_base, replaced or [], tables, None)], COMMIT_SCHEMA)
+        row = row.withColumn("committed_at", F.current_timestamp())
         row.coalesce(1).write.mode("append").parquet(self.path("commits"))
 
     def _committed(self, table: str, schema: T.StructType | str, commits: list) -> DataFrame:
-        """Rows of the committed batches that have the table."""
-        paths = [self.batch_path(table, r.batch) for r in commits]
-        reader = self.spark.read.schema(schema).option("basePath", self.path(table))
-        found = []
-        for path in paths:
-            try:
-                found.append(reader.parquet(path))
-            except AnalysisException as error:
-                if error.getCondition() != "PATH_NOT_FOUND":
-                    raise
-        if not found:
+        """Rows of the committed batches that have the table, as their commits say: one scan."""
+        paths = [self.batch_path(table, r.batch) for r in commits if table in r.tables]
+        if not paths:
             return self.spark.createDataFrame([], schema)
-        if len(found) == len(paths):
-            return reader.parquet(*paths)
-        rows = found[0]
-        for more in found[1:]:
-            rows = rows.unionByName(more)
-        return rows
+        return self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(*paths)
 
     @staticmethod
     def _sequenced(rows: DataFrame, commits: list, state: str) -> DataFrame:
@@ -115,8 +122,8 @@ class FilingStore:
 
     # -- filings ------------------------------------------------------------------------------------------
 
-    def _current(self) -> DataFrame:
-        commits = self.commits()
+    def _current(self, until: str | None = None) -> DataFrame:
+        commits = self.commits(until)
         rows = self._sequenced(self._committed("filings", _STORED, commits), commits, "state").filter("changed")
         if len(commits) < 2:
             return rows
@@ -126,9 +133,48 @@ class FilingStore:
         kept = rows.filter(base).join(latest.select(*KEY), KEY, "left_anti")
         return kept.unionByName(latest)
 
-    def filings(self) -> DataFrame:
-        """One row per key, as the committed batches left it."""
-        return self._current().select(*FILING_FIELDS)
+    def filings(self, until: str | None = None) -> DataFrame:
+        """One row per key, as the committed batches left it; ``until`` a batch, as that one left it."""
+        return self._current(until).select(*FILING_FIELDS)
+
+    def changes_between(self, first: str | None, last: str) -> DataFrame:
+        """state, filing_number and change (added, changed, removed) from one commit to a later one.
+
+        ``first`` None stands for the empty store.  Only keys that the commits between them name are compared, and
+        all keys of states that one of them replaced; a change that was undone in between is none.
+        """
+        log = {r.batch: r.seq for r in self.log()}
+        for batch in (first, last):
+            if batch is not None and batch not in log:
+                raise ValueError(f"no such commit: {batch}")
+        start = log[first] if first else 0
+        between = [r for r in self.log() if start < r.seq <= log[last] and not r.is_base]
+        replaced = sorted({s for r in between for s in r.replaced})
+        whole = F.col("state").isin(replaced) if replaced else F.lit(False)
+        named = self._committed("filings", _STORED, between).filter("changed").filter(~whole).select(*KEY).distinct()
+        kept = [*KEY, "source_raw", "last_updated_at"]
+
+        def touched(rows: DataFrame) -> DataFrame:
+            rows = rows.select(*kept)
+            return rows.filter(~whole).join(named, KEY, "left_semi").unionByName(rows.filter(whole))
+
+        old = touched(self.filings(first)) if first else self.spark.createDataFrame([], FILING_SCHEMA).select(*kept)
+        old = old.select(*KEY, F.struct("source_raw").alias("old"))
+        new = touched(self.filings(last)).select(*KEY, F.struct("source_raw").alias("new"))
+        change = (
+            F.when(F.col("old").isNull(), "added")
+            .when(F.col("new").isNull(), "removed")
+            .when(~F.col("old").eqNullSafe(F.col("new")), "changed")
+        )
+        return old.join(new, KEY, "full_outer").select(*KEY, change.alias("change")).filter("change IS NOT NULL")
+
+    def statistics(self, until: str | None = None) -> DataFrame:
+        """How many filings there are of each state, status, tier, filing date and time of ingestion.
+
+        The sums of what each batch changed since the base: no filing is read.
+        """
+        rows = self._committed("statistics", STATISTICS_SCHEMA, self.commits(until))
+        return rows.groupBy(*COUNTED_BY).agg(F.sum("n").alias("n")).filter("n <> 0")
 
     def searchable(self) -> DataFrame:
         """Filings with the stored ``search_key`` of the debtor."""
@@ -142,12 +188,14 @@ class FilingStore:
         hot_rows: int = HOT_ROWS,
         replace: list[str] | None = None,
         parties: DataFrame | None = None,
+        files: DataFrame | None = None,
     ) -> DataFrame:
         """Apply normalized records as one batch and return the outcome counts per state.
 
         The records are parsed once, into a table; of the stored filings only the keys in the batch are read,
-        and of those the source text and the time of ingestion.  States in ``replace`` hold exactly the rows
-        of the batch afterwards.  ``parties`` replace all parties of the filings they name.
+        and of those the source text and what filings are counted by.  States in ``replace`` hold exactly the rows
+        of the batch afterwards.  ``parties`` replace all parties of the filings they name.  ``files`` are those that
+        the records came from: they are in the ledger as soon as the batch is valid, and not before.
         """
         if self.is_committed(batch):
             return self.outcomes(batch)
@@ -158,23 +206,50 @@ class FilingStore:
         rejected = rejects.select(*fields, "reject_reason", F.expr(as_of).alias("rejected_at"))
         rejected.write.mode("overwrite").parquet(self.batch_path("quarantine", batch))
         held = self.filings().join(keyed.select(*KEY), KEY, "left_semi")
-        known = [*KEY, "source_raw", "ingested_at"]
+        known = [*KEY, "source_raw", *COUNTED_BY]
         stored = held.select(*[F.col(f) if f in known else F.lit(None).cast(FILING_SCHEMA[f].dataType).alias(f) for f in FILING_FIELDS])
         whole = F.col("state").isin(replace) if replace else F.lit(False)
-        merged = merge(keyed, stored, as_of, hot_rows, always=whole)
+        merged = merge(keyed, stored, as_of, hot_rows, always=whole, before=[c for c in COUNTED_BY if c != "state"])
         changed = ((F.col("n_new") + F.col("n_updated")) > 0) | whole
         self._write(merged.withColumn("changed", changed), batch)
+        self._count(batch, replace)
+        tables = ["filings", "statistics", "quarantine"]
         if parties is not None:
             named = parties.filter("filing_number IS NOT NULL AND filing_state IS NOT NULL").distinct()
             named.write.mode("overwrite").parquet(self.batch_path("filing_parties", batch))
-        self._commit(batch, replaced=replace)
+            tables.append("filing_parties")
+        if files is not None:
+            files.write.mode("overwrite").parquet(self.batch_path("ledger", batch))
+            tables.append("ledger")
+        self._commit(batch, tables, replaced=replace)
+        if self.compact_after is not None and len(self.commits()) > self.compact_after:
+            self.compact(f"base-of-{batch}")
         return self.outcomes(batch)
 
+    def _count(self, batch: str, replace: list[str]) -> None:
+        """The change in the numbers of filings that a batch makes, from its own rows.
+
+        A changed filing counts once as it is and once less as it was; of a state that is replaced all that was
+        there goes.
+        """
+        rows = self.spark.read.schema(_STORED).option("basePath", self.path("filings"))
+        rows = rows.parquet(self.batch_path("filings", batch)).filter("changed")
+        whole = F.col("state").isin(replace) if replace else F.lit(False)
+        now = rows.select(*COUNTED_BY, F.lit(1).alias("n"))
+        was = rows.filter("before IS NOT NULL").filter(~whole).select("state", "before.*", F.lit(-1).alias("n"))
+        gone = self.statistics().filter(whole).withColumn("n", -F.col("n"))
+        changes = now.unionByName(was).unionByName(gone).groupBy(*COUNTED_BY).agg(F.sum("n").alias("n"))
+        changes.filter("n <> 0").write.mode("overwrite").parquet(self.batch_path("statistics", batch))
+
+    def write_rows(self, rows: DataFrame, table: str, batch: str) -> DataFrame:
+        """The rows as a table of the batch, over what an earlier try left, read back from its files."""
+        path = self.batch_path(table, batch)
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     def stage(self, records: DataFrame, batch: str) -> DataFrame:
         """The records as a table of their own."""
-        path = self.batch_path("incoming", batch)
-        records.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(records.schema).parquet(path)
+        return self.write_rows(records, "incoming", batch)
 
     def outcomes(self, batch: str) -> DataFrame:
         """Outcome counts per state of a committed batch; its files never change."""
@@ -190,15 +265,40 @@ class FilingStore:
         """Fold the base and all later batches into a new base, filings and parties; readers notice nothing."""
         if self.is_committed(batch):
             return
-        current = self._current().withColumns({"changed": F.lit(True)} | {c: F.lit(0).cast("long") for c in COUNTS})
+        none = {c: F.lit(0).cast("long") for c in COUNTS} | {"before": F.lit(None).cast(_STORED["before"].dataType)}
+        current = self._current().withColumns({"changed": F.lit(True)} | none)
         self._write(current.drop("search_key"), batch)
         self.parties().write.mode("overwrite").parquet(self.batch_path("filing_parties", batch))
-        self._commit(batch, is_base=True)
+        self.statistics().write.mode("overwrite").parquet(self.batch_path("statistics", batch))
+        self.ledger().drop("batch").write.mode("overwrite").parquet(self.batch_path("ledger", batch))
+        self._commit(batch, ["filings", "filing_parties", "statistics", "ledger"], is_base=True)
+
+    def clean(self, older_than: str) -> list[str]:
+        """Remove the filings, parties and counts of batches that a base replaced before a time; return the batches.
+
+        ``older_than`` is a SQL expression such as ``current_timestamp() - interval 7 days``: a reader that began
+        before the base still finds its files if it is done by then.  The log, the ledger, the run records and the
+        quarantine stay.  The store cannot be read as of the removed commits any more.
+        """
+        limit = self.spark.range(1).select(F.expr(f"timestamp({older_than})").alias("t")).first()["t"]
+        rows = self.log()
+        bases = [r.seq for r in rows if r.is_base and r.committed_at < limit]
+        old = [r for r in rows if bases and r.seq < bases[-1]]
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        removed = []
+        for row in old:
+            paths = [self.batch_path(t, row.batch) for t in ("filings", "filing_parties", "statistics") if t in row.tables]
+            paths.append(self.batch_path("incoming", row.batch))
+            found = [jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+            if any([p.getFileSystem(conf).delete(p, True) for p in found]):
+                removed.append(row.batch)
+        return removed
 
     def _write(self, rows: DataFrame, batch: str) -> None:
         """By state, in files of even size, sorted by search key, with bloom filters for lookups by number and key."""
         key = F.expr(search_key("debtor_name")).alias("search_key")
-        placed = rows.select(*FILING_FIELDS, key, "changed", *[F.col(c).cast("long").alias(c) for c in COUNTS])
+        placed = rows.select(*FILING_FIELDS, key, "changed", *[F.col(c).cast("long").alias(c) for c in COUNTS], "before")
         placed = placed.hint("rebalance", "state").sortWithinPartitions("state", "search_key")
         writer = placed.write.mode("overwrite").partitionBy("state")
         for column in ("filing_number", "search_key"):
@@ -220,14 +320,19 @@ class FilingStore:
         records = self.spark.createDataFrame([], none + ", arrival struct<n:int>")
         self.upsert(records, "current_timestamp()", batch, parties=parties)
 
+    # -- files --------------------------------------------------------------------------------------------
+
+    def ledger(self) -> DataFrame:
+        """The files that committed batches have read, or have passed over for a newer delivery."""
+        return self._committed("ledger", f"{LEDGER_SCHEMA}, batch string", self.commits())
+
     # -- logs ---------------------------------------------------------------------------------------------
 
     def quarantine(self) -> DataFrame:
         """Rejects of all committed batches, with their batch; an earlier base hides none of them."""
-        valid = self.read("commits", COMMIT_SCHEMA).filter("NOT is_base").select("batch")
         fields = ", ".join(f"{f} {FILING_SCHEMA[f].dataType.simpleString()}" for f in FEED_FIELDS)
         schema = f"{fields}, reject_reason string, rejected_at timestamp, batch string"
-        return self.read("quarantine", schema).join(valid, "batch", "left_semi")
+        return self._committed("quarantine", schema, self.log())
 
     def log_runs(self, runs: DataFrame, batch: str, phase: str) -> DataFrame:
         """Run records of a phase of a batch, over what an earlier try left, read back from their own files."""

@@ -64,13 +64,15 @@ def merge(
     hot_rows: int = HOT_ROWS,
     count: bool = True,
     always: Column | None = None,
+    before: list[str] | None = None,
 ) -> DataFrame:
     """The table after the upsert, one row per key, with the outcome counts of the key.
 
     ``as_of`` is a SQL expression for the time of the upsert, such as ``current_timestamp()``.
 
     The last row that was not skipped gives the values; the first row keeps its ``ingested_at``.  Where
-    ``always`` holds, the last incoming row gives the values even if it was skipped.
+    ``always`` holds, the last incoming row gives the values even if it was skipped.  ``before`` names fields whose
+    stored values are added as struct ``before``, null for a new key.
     Grouping on the key after the window on the key needs no further shuffle.
     """
     now = F.expr(as_of)
@@ -89,6 +91,7 @@ def merge(
         F.max(F.when(effective, values)).alias("last"),
         F.min(F.struct(*ORDER, "ingested_at"))["ingested_at"].alias("ingested_at"),
         *[F.count_if(F.col("outcome") == o).alias(f"n_{o}") for o in OUTCOMES],
+        *([F.max(F.when(~F.col("is_incoming"), F.struct(*before))).alias("before")] if before else []),
     )
     fields = [F.col(f) if f in KEPT_FIELDS else F.col("last")[f].alias(f) for f in FILING_FIELDS]
-    return merged.select(*fields, *([f"n_{o}" for o in OUTCOMES] if count else []))
+    return merged.select(*fields, *([f"n_{o}" for o in OUTCOMES] if count else []), *(["before"] if before else []))

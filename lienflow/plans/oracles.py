@@ -97,6 +97,41 @@ def _sequence(rows: str) -> str:
   FROM ({rows}) WINDOW w AS (PARTITION BY state, filing_number ORDER BY incoming, seq)"""
 
 
+# The store after the lines with status O (opened), and after those with F and the whole delivery of one state (final).
+STEPPED = f"""
+{LINES},
+ordered AS (SELECT *, row_number() OVER (PARTITION BY filing_number ORDER BY l_linestatus = 'F', seq) AS place FROM lines),
+classified AS ({_sequence("SELECT state, filing_number, src, filing_date, l_linestatus, place AS seq, true AS incoming FROM ordered")}),
+opened AS (
+  SELECT state, filing_number, arg_max(src, seq) FILTER (outcome <> 'skipped') AS src,
+    arg_max(filing_date, seq) FILTER (outcome <> 'skipped') AS filing_date
+  FROM classified WHERE l_linestatus = 'O' GROUP BY ALL),
+final AS (
+  SELECT state, filing_number, arg_max(src, seq) FILTER (outcome <> 'skipped') AS src,
+    arg_max(filing_date, seq) FILTER (outcome <> 'skipped') AS filing_date,
+    CASE arg_max(l_linestatus, seq) FILTER (outcome <> 'skipped') WHEN 'O' THEN 'active' ELSE 'lapsed' END AS filing_status
+  FROM classified WHERE state <> 'ID' GROUP BY ALL
+  UNION ALL SELECT state, filing_number, arg_max(src, seq), arg_max(filing_date, seq), 'lapsed'
+  FROM lines WHERE state = 'ID' AND l_linestatus = 'F' GROUP BY ALL)"""
+
+# Every filing walks up its chain; one that has not arrived after a hundred steps goes round in a circle.
+CHAIN_WALK = f"""
+WITH RECURSIVE filed AS (
+  SELECT o_orderkey AS k, {S}[o_orderkey // 40 % 25 + 1] AS state, cast(o_orderkey AS varchar) AS filing_number,
+    CASE WHEN o_orderkey % 37 = 1 THEN 'UCC-3-TERMINATION' WHEN o_orderkey % 3 = 0 THEN 'UCC-3-CONTINUATION' ELSE 'UCC-3' END AS filing_type,
+    timestamp '1980-01-01' + to_months(cast(o_orderkey % 40 * 9 + o_orderkey % 5 AS integer)) AS filing_date,
+    CASE WHEN o_orderkey % 80 = 0 THEN timestamp '1985-03-01' END AS lapse_date,
+    CASE WHEN o_orderkey % 400 = 7 THEN o_orderkey + 1 WHEN o_orderkey % 40 = 0 THEN NULL ELSE o_orderkey - 1 END AS up
+  FROM orders),
+walk(k, place, depth) AS (
+  SELECT k, k, cast(0 AS bigint) FROM filed
+  UNION ALL SELECT walk.k, up, depth + 1 FROM walk JOIN filed ON filed.k = walk.place WHERE up IS NOT NULL AND depth < 100),
+arrived AS (
+  SELECT k, place, depth FROM walk WHERE place NOT IN (SELECT k FROM filed WHERE up IS NOT NULL)),
+rooted AS (
+  SELECT state, filing_number, cast(place AS varchar) AS root_number, depth FROM filed LEFT JOIN arrived USING (k))"""
+
+
 SPLIT_LINES = """
   SELECT state, filing_number, src, seq, true AS incoming FROM lines WHERE l_linestatus = 'F'
   UNION ALL
@@ -266,9 +301,66 @@ FROM p""",
 WITH {RAW} SELECT state, filing_number FROM raw
 WHERE state IN ('TX', 'CA') AND (filing_date IS NULL OR substr(filing_date, 1, 4) IN ('1996', '1997'))""",
     "backfill_manifest": f"""
-SELECT state, strftime(d, '%Y-%m-%d') AS range_start, strftime(last_day(d), '%Y-%m-%d') AS range_end, n AS batch
-FROM (SELECT cast(unnest(generate_series(timestamp '1996-01-01', timestamp '1997-12-31', interval 1 month)) AS date) AS d),
-  (VALUES ('TX', 'first'), ('CA', 'second')) s(state, n) WHERE EXISTS (SELECT * FROM orders)""",
+WITH {RAW}, delivered AS (
+  SELECT state, substr(filing_date, 1, 7) || '-01' AS range_start, count(*) AS n_records FROM raw
+  WHERE state IN ('TX', 'CA') AND substr(filing_date, 1, 4) IN ('1996', '1997') GROUP BY ALL),
+told AS (
+  SELECT * FROM delivered
+  UNION ALL SELECT s, d, 0 FROM (VALUES ('TX'), ('CA')) a(s), (VALUES ('1997-11-01'), ('1997-12-01')) b(d)
+  WHERE (s, d) NOT IN (SELECT (state, range_start) FROM delivered))
+SELECT state, range_start, strftime(last_day(cast(range_start AS date)), '%Y-%m-%d') AS range_end,
+  CASE WHEN n_records > 0 AND (state = 'TX' OR range_start < '1996-07-01') THEN 'first' ELSE 'second' END AS batch,
+  n_records FROM told""",
+    "ledger_run": f"""
+WITH {RAW} SELECT 'filing' AS kind, filing_number AS name, cast(1 AS bigint) AS n FROM raw
+UNION ALL SELECT 'run', CASE WHEN k % 4 < 2 THEN '1' ELSE cast(k % 4 AS varchar) END, count(*) FROM raw GROUP BY ALL""",
+    "isolated_runs": f"""
+WITH {RAW}, n AS (SELECT count(*) AS n FROM raw)
+SELECT state, 'completed' AS status, n AS records_new, false AS has_error, 'ingestion_complete' AS event, n AS filing_count
+FROM n, (VALUES ('KY'), ('CA')) s(state)
+UNION ALL SELECT 'TX', 'failed', 0, true, 'ingestion_failed', NULL""",
+    "two_streams_run": f"""
+WITH {RAW} SELECT 'TX' AS state, filing_number, debtor_name, cast(3 AS bigint) AS n_streams FROM raw""",
+    "mixed_xml_scan": f"""
+WITH {RAW} SELECT 'CA' AS state, filing_number, CASE WHEN k % 2 = 0 THEN 'two' ELSE 'one' END AS debtor_name,
+  cast(1 AS bigint) AS n_new, cast(1 AS bigint) AS n_updated FROM raw""",
+    "stored_statistics": f"""
+WITH {STEPPED}, sets AS (
+  SELECT 'total' AS dimension, 'all' AS value, filing_date FROM final
+  UNION ALL SELECT 'state', state, filing_date FROM final
+  UNION ALL SELECT 'filing_status', filing_status, filing_date FROM final
+  UNION ALL SELECT 'source_tier', 'unknown', filing_date FROM final)
+SELECT dimension, value, count(*) AS n_filings, min(filing_date) AS earliest_filing, max(filing_date) AS latest_filing
+FROM sets GROUP BY ALL""",
+    "stored_status": f"""
+WITH {STEPPED} SELECT state, {TIER} AS tier, count(*) AS filing_count, max(filing_date) AS latest_filing_date
+FROM final GROUP BY ALL""",
+    "filings_as_of": f"""
+WITH {STEPPED} SELECT state, filing_number, filing_date, src AS source_raw FROM opened""",
+    "changes_between": f"""
+WITH {STEPPED} SELECT coalesce(o.state, f.state) AS state, coalesce(o.filing_number, f.filing_number) AS filing_number,
+  CASE WHEN o.state IS NULL THEN 'added' WHEN f.state IS NULL THEN 'removed' ELSE 'changed' END AS change
+FROM opened o FULL JOIN final f ON o.state = f.state AND o.filing_number = f.filing_number
+WHERE o.state IS NULL OR f.state IS NULL OR o.src <> f.src""",
+    "chain_roots": f"""
+{CHAIN_WALK}
+SELECT state, filing_number, root_number, depth FROM rooted""",
+    "whole_chains": f"""
+{CHAIN_WALK},
+chains AS (
+  SELECT root_number, count(*) AS n, max(depth) AS depth, count_if(filing_type = 'UCC-3-CONTINUATION') AS n_continuations,
+    max(filing_date) AS last_amendment, min(filing_date) FILTER (filing_type = 'UCC-3-TERMINATION') AS terminated_on,
+    list_sort(list_distinct(list(filing_date) FILTER (filing_type = 'UCC-3-CONTINUATION'))) AS continued
+  FROM rooted JOIN filed USING (state, filing_number) WHERE depth > 0 GROUP BY root_number),
+first AS (
+  SELECT *, coalesce(lapse_date, filing_date + interval 60 month) AS lapse FROM filed WHERE up IS NULL)
+SELECT f.state, filing_number, strftime(f.filing_date, '%Y-%m-%d') AS filing_date, strftime(lapse_date, '%Y-%m-%d') AS lapse_date,
+  coalesce(n, 0) AS n_amendments, coalesce(c.depth, 0) AS depth, coalesce(n_continuations, 0) AS n_continuations,
+  strftime(last_amendment, '%Y-%m-%d') AS last_amendment, strftime(terminated_on, '%Y-%m-%d') AS terminated_on,
+  strftime(CASE WHEN continued IS NULL THEN lapse ELSE list_reduce(continued,
+    lambda l, d: CASE WHEN d BETWEEN l - interval 6 month AND l THEN l + interval 60 month ELSE l END, lapse) END,
+    '%Y-%m-%d') AS effective_lapse
+FROM first f LEFT JOIN chains c ON root_number = filing_number""",
     "full_replacement_run": f"""
 WITH {RAW} SELECT 'ID' AS state, filing_number, debtor_name FROM raw WHERE k % 3 <> 0""",
     "two_phase_run": f"""

@@ -7,7 +7,7 @@ from contextlib import suppress
 from functools import wraps
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lienflow import fixed_values as fixed
 from lienflow.functions.dates import normalize_date
@@ -241,6 +241,67 @@ def streamed_upsert(spark, sf_dir):
     return as_text(store.filings().select(*columns), "filing_date")
 
 
+@query
+def two_streams_run(spark, sf_dir):
+    """Two streams into one store, then the first folder with more files and another checkpoint."""
+    store = _store(spark, "streams")
+    lines = inputs.raw_filings(spark, sf_dir).selectExpr("bigint(filing_number) % 3 AS part", f"{BULK_JSON} AS value")
+    folders = [scratch_path(spark, "landed") for _ in range(2)]
+
+    def to_records(rows: DataFrame) -> DataFrame:
+        return json_feeds.map_bulk(rows.withColumnRenamed("value", "record"), "TX")
+
+    for part, folder in enumerate([*folders, folders[0]]):
+        lines.filter(F.col("part") == part).select("value").write.mode("append").text(folder)
+        landed = arrivals.landed_lines(spark, folder)
+        arrivals.start_upserts(landed, to_records, store, scratch_path(spark, "stream-state"), INGEST_MOMENT).awaitTermination()
+    epochs = arrivals.applied_epochs(store).agg(F.count("*").alias("n_streams"))
+    return _filed(store, "debtor_name").join(epochs)
+
+
+# -- the store at any time -------------------------------------------------------------------------
+
+
+def _stepped_store(spark: SparkSession, sf_dir: str) -> FilingStore:
+    """Lines with status O, folded, then those with F, then those with F again as all that one state holds."""
+    lines, store = inputs.line_batch(spark, sf_dir), _store(spark, "stepped")
+    later = lines.filter("l_linestatus = 'F'")
+    store.upsert(lines.filter("l_linestatus = 'O'"), INGEST_MOMENT, "open")
+    store.compact("base")
+    store.upsert(later, LATER_MOMENT, "closed")
+    store.replace_state("ID", later, LATER_MOMENT, "whole")
+    return store
+
+
+@query
+def stored_statistics(spark, sf_dir):
+    """Counts and dates of the store, from what its batches changed: no filing is read."""
+    found = stats.all_stats(_stepped_store(spark, sf_dir).statistics())
+    return as_text(found, "earliest_filing", "latest_filing")
+
+
+@query
+def stored_status(spark, sf_dir):
+    """The status report of the store, from what its batches changed."""
+    store = _stepped_store(spark, sf_dir)
+    report = schedule.status_report(dimension.source_dimension(spark), store.statistics(), LATER_MOMENT)
+    held = report.filter("filing_count > 0").select("state", "tier", "filing_count", "latest_filing_date")
+    return as_text(held, "latest_filing_date")
+
+
+@query
+def filings_as_of(spark, sf_dir):
+    """The filings as the first batch left them, read after two more and a new base."""
+    store = _stepped_store(spark, sf_dir)
+    return as_text(store.filings(until="open").select("state", "filing_number", "filing_date", "source_raw"), "filing_date")
+
+
+@query
+def changes_between(spark, sf_dir):
+    """What the later batches added, changed and removed."""
+    return _stepped_store(spark, sf_dir).changes_between("open", "whole")
+
+
 # -- statistics and schedule -----------------------------------------------------------------------
 
 
@@ -564,6 +625,19 @@ def xml_scan(spark, sf_dir):
     return _keyed(xml_feeds.read_xml(spark, path, "CA"), columns)
 
 
+@query
+def mixed_xml_scan(spark, sf_dir):
+    """Every filing as an element of one kind and again as one of another, in turns; the later one holds."""
+    path = scratch_path(spark, "mixed")
+    number, name = "concat('<FilingNumber>', filing_number, '</FilingNumber>')", "concat('<Debtor><Name>', '{}', '</Name></Debtor>')"
+    one = f"concat('<Filing id=\"1\">', {number}, {name.format('one')}, '</Filing>')"
+    two = f"concat('<Document>', {number}, {name.format('two')}, '</Document>')"
+    turns = f"if(bigint(filing_number) % 2 = 0, concat({one}, {two}), concat({two}, '\n ', {one}))"
+    inputs.raw_filings(spark, sf_dir).selectExpr(f"{turns} AS value").write.text(path)
+    merged = upsert.merge(_keyed(xml_feeds.read_xml(spark, path, "CA"), [*FEED_FIELDS, "arrival"]), None, INGEST_MOMENT)
+    return merged.select("state", "filing_number", "debtor_name", "n_new", "n_updated")
+
+
 @query
 def feed_dispatch(spark, sf_dir):
     """Five states, each in its own format, read through the format table into one."""
@@ -654,13 +728,18 @@ def unreadable_documents(spark, sf_dir):
 
 
 def _backfilled(spark: SparkSession, sf_dir: str) -> FilingStore:
-    """Two states are wanted; the first call delivers one of them, the second call the other."""
+    """Two states are wanted: the first call delivers one of them and half of the other, the second call the rest.
+
+    A month without filings is finished where the second call says that it holds none.
+    """
     store = _store(spark, "backfill")
     raw = inputs.raw_filings(spark, sf_dir).drop("ordered_at").withColumn("arrival", F.struct("source_raw"))
     states = spark.createDataFrame([("TX",), ("CA",)], "state string")
     ranges = quality.backfill_ranges(states, "1996-01-01", "1997-12-31")
-    for batch, state in (("first", "TX"), ("second", "CA")):
-        backfill(store, raw.filter(F.col("state") == state), ranges, INGEST_MOMENT, batch)
+    early = f"state = 'CA' AND {normalize_date('filing_date')} < '1996-07-01'"
+    none = ranges.filter("range_start BETWEEN '1997-11-01' AND '1997-12-01'")
+    backfill(store, raw.filter(f"state = 'TX' OR ({early})"), ranges, INGEST_MOMENT, "first")
+    backfill(store, raw.filter("state = 'CA'"), ranges, INGEST_MOMENT, "second", empty=none)
     return store
 
 
@@ -674,7 +753,7 @@ def backfill_manifest(spark, sf_dir):
     """The ranges that are noted as finished, with the call that finished them."""
     store = _backfilled(spark, sf_dir)
     manifest = store.read("backfill_manifest", f"{MANIFEST_SCHEMA}, batch string")
-    return as_text(manifest.select("state", "range_start", "range_end", "batch"), "range_start", "range_end")
+    return as_text(manifest.select("state", "range_start", "range_end", "batch", "n_records"), "range_start", "range_end")
 
 
 @query
@@ -688,6 +767,59 @@ def full_replacement_run(spark, sf_dir):
     return _filed(store, "debtor_name")
 
 
+def _backdate(spark: SparkSession, path: str) -> None:
+    """Give the files of a folder a time long ago, as a copy that keeps its time has."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(conf)
+    for status in files.listStatus(folder):
+        files.setTimes(status.getPath(), 978307200000, -1)
+
+
+def _write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(conf).create(target)
+    out.write(bytearray(content))
+    out.close()
+
+
+@query
+def ledger_run(spark, sf_dir):
+    """Four runs over files that land before and between them, some with an old time: each file is read once.
+
+    A row per filing, and one per run with the records that it took.
+    """
+    root, store = scratch_path(spark, "ledger"), _store(spark, "ledgered")
+    raw = inputs.raw_filings(spark, sf_dir)
+    for batch, parts in (("first", (0, 1)), ("second", (2,)), ("third", (3,)), ("fourth", ())):
+        for part in parts:
+            rows = raw.filter(f"bigint(filing_number) % 4 = {part}")
+            _with_headers(rows, delimited.header_map("KY")).write.csv(f"{root}/KY/part-{part}", header=True)
+        if batch == "third":
+            _backdate(spark, f"{root}/KY/part-3")
+        ingest_landed(store, root, "current_timestamp()", batch, states=["KY"], lookback_days=40_000)
+    filed = _filed(store).selectExpr("'filing' AS kind", "filing_number AS name", "1L AS n")
+    order = F.row_number().over(Window.orderBy("started_at"))
+    runs = store.current_runs().select(F.lit("run").alias("kind"), order.cast("string").alias("name"), F.col("records_new").alias("n"))
+    return filed.unionByName(runs)
+
+
+@query
+def isolated_runs(spark, sf_dir):
+    """Three states of which one delivers a file that cannot be read: the others are stored all the same."""
+    root, store = scratch_path(spark, "isolated"), _store(spark, "apart")
+    raw = inputs.raw_filings(spark, sf_dir)
+    _with_headers(raw, delimited.header_map("KY")).write.csv(f"{root}/KY", header=True)
+    _write_xml(raw, f"{root}/CA")
+    _write_bytes(spark, f"{root}/TX/master.json.gz", b"no gzip file")
+    ingest_landed(store, root, INGEST_MOMENT, "first", states=["KY", "CA", "TX"], formats={"TX": "json_lines"})
+    ended = store.events().filter("event <> 'ingestion_start'").select("state", "event")
+    held = stats.latest_by_state(store.statistics()).select("state", "filing_count")
+    told = store.current_runs().selectExpr("state", "status", "records_new", "error_message IS NOT NULL AS has_error")
+    return told.join(ended, "state").join(held, "state", "left")
+
+
 @query
 def two_phase_run(spark, sf_dir):
     """Master files while nothing is stored, then the updates since the latest stored date."""
@@ -696,7 +828,7 @@ def two_phase_run(spark, sf_dir):
     raw.filter("filing_status <> 'Expired'").selectExpr(BULK_JSON).write.text(f"{root}/TX/master")
     raw.selectExpr(BULK_JSON).write.text(f"{root}/TX/update")
     for batch in ("first", "second"):
-        ingest_landed(store, root, INGEST_MOMENT, batch, states=["TX"], formats={"TX": "json_lines"})
+        ingest_landed(store, root, "current_timestamp()", batch, states=["TX"], formats={"TX": "json_lines"})
     return store.filings().select("filing_number")
 
 
@@ -708,7 +840,9 @@ def three_file_run(spark, sf_dir):
     documents.write.csv(f"{root}/WV/documents", header=True)
     for part, rows in (("debtors", debtors), ("secured", secured)):
         named = rows.orderBy("DocNumber", "seq").selectExpr("DocNumber", "name AS PartyName", "state AS PartyState")
-        named.coalesce(1).write.csv(f"{root}/WV/{part}", header=True)
+        named.write.csv(f"{root}/WV/{part}", header=True)
+        # Sorted over many files; of one time, their names tell the order.
+        _backdate(spark, f"{root}/WV/{part}")
     ingest_landed(store, root, INGEST_MOMENT, "first", states=["WV"])
     counts = store.parties().groupBy("filing_number").agg(
         F.count_if(F.col("role") == "secured_party").alias("n_secured"), F.count_if(F.col("role") == "debtor").alias("n_debtors")
@@ -921,6 +1055,30 @@ def amendment_chains(spark, sf_dir):
     return as_text(chains, "filing_date", "last_amendment")
 
 
+def _long_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forty consecutive orders form a chain, each amending the one before; in every tenth chain two amend each other."""
+    return table(spark, sf_dir, "orders").selectExpr(
+        f"{state_of('o_orderkey div 40 % 25')} AS state",
+        "string(o_orderkey) AS filing_number",
+        "CASE WHEN o_orderkey % 37 = 1 THEN 'UCC-3-TERMINATION' WHEN o_orderkey % 3 = 0 THEN 'UCC-3-CONTINUATION' ELSE 'UCC-3' END AS filing_type",
+        "add_months(date'1980-01-01', int(o_orderkey % 40 * 9 + o_orderkey % 5)) AS filing_date",
+        "if(o_orderkey % 80 = 0, add_months(date'1980-01-01', 62), NULL) AS lapse_date",
+        "CASE WHEN o_orderkey % 400 = 7 THEN string(o_orderkey + 1) WHEN o_orderkey % 40 = 0 THEN NULL "
+        "ELSE string(o_orderkey - 1) END AS original_filing_number",
+    )
+
+
+@query
+def chain_roots(spark, sf_dir):
+    return search.chain_roots(_long_chains(spark, sf_dir))
+
+
+@query
+def whole_chains(spark, sf_dir):
+    chains = search.whole_chains(_long_chains(spark, sf_dir))
+    return as_text(chains, "filing_date", "lapse_date", "last_amendment", "terminated_on", "effective_lapse")
+
+
 @query
 def orphan_amendments(spark, sf_dir):
     """Amendments to originals that are not open any more."""

@@ -39,7 +39,7 @@ RUN_SCHEMA = (
     "status string, error_message string, recorded_at timestamp"
 )
 
-MANIFEST_SCHEMA = "state string, range_start date, range_end date, status string, finished_at timestamp"
+MANIFEST_SCHEMA = "state string, range_start date, range_end date, status string, finished_at timestamp, n_records long"
 
 PARTY_SCHEMA = (
     "filing_number string, party_no int, name string, address string, city string, state string, zip string, "
