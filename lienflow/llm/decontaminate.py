@@ -38,7 +38,7 @@ class SuffixAutomaton:
     only one of them is the window's.
     """
 
-    def __init__(self, items: list[tuple[int, bytes]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[int | None, bytes]], window: int = WINDOW):
         self.window = window
         self.vocabulary: dict[bytes, int] = {}
         self.next: list[dict[int, int]] = [{}]
@@ -58,7 +58,9 @@ class SuffixAutomaton:
             size = min(window, len(numbers))
             self.shortest = min(self.shortest, size)
             for state in self._states(numbers, size):
-                self.windows.setdefault(state, {}).setdefault(size, set()).add(item)
+                named = self.windows.setdefault(state, {}).setdefault(size, set())
+                if item is not None:
+                    named.add(item)
         # The nearest state on the way up that holds windows, so that a walk visits no others.
         self.above = [-1] * len(self.next)
         for state in sorted(range(1, len(self.next)), key=self.length.__getitem__):
@@ -159,9 +161,9 @@ class SuffixAutomaton:
 def automata(benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> Iterator[SuffixAutomaton]:
     """Automata of the items, each of ``block_bytes`` bytes of text at most (or one longer item).
 
-    Null texts and null ids have no words or no name and are left out.
+    Null texts have no words.  The windows of an item without an id are hit like any other's; it is not named.
     """
-    items = benchmark.select("item_id", "text").filter("item_id IS NOT NULL AND text IS NOT NULL")
+    items = benchmark.select("item_id", "text").filter("text IS NOT NULL")
     held: list[tuple[int, bytes]] = []
     size = 0
     for row in items.toLocalIterator():

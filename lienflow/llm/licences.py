@@ -118,7 +118,9 @@ def scan_licences(
     paths no directory.  Different notices are scored once, and directories rather than documents walk up the paths.
     """
     rows = documents.select("doc_id", F.expr(path).alias("path"), F.expr(notice("text")).alias("notice")).withColumn(
-        "directory", F.expr("nullif(regexp_extract(path, '^(.*)/[^/]*$', 1), '')")
+        # A file at the top of the tree lies in the directory '', which is above all others.
+        "directory",
+        F.expr("CASE WHEN path LIKE '%/%' THEN regexp_extract(path, '^(.*)/[^/]*$', 1) WHEN path <> '' THEN '' END"),
     )
     rows = stored(rows, "notices")
     notices = rows.filter("notice IS NOT NULL").select("notice").distinct()
@@ -134,7 +136,7 @@ def scan_licences(
         .selectExpr("directory AS ancestor", "f.licence AS inherited")
     )
     parts = "split(directory, '/')"
-    above = f"transform(sequence(1, size({parts})), i -> struct(i AS depth, array_join(slice({parts}, 1, i), '/') AS ancestor))"
+    above = f"transform(sequence(0, size({parts})), i -> struct(i AS depth, array_join(slice({parts}, 1, i), '/') AS ancestor))"
     nearest = (
         rows.filter("directory IS NOT NULL")
         .select("directory")

@@ -31,7 +31,7 @@ SHARDS = [f"shard-{i:03d}" for i in range(100)]
 
 #: The documents table has no paths: one made of its columns; in every directory some files are licence files.
 PATH = "concat_ws('/', source, lang, doc_id div 1000, if(doc_id % 50 = 0, concat('LICENSE.', doc_id), concat(doc_id, '.txt')))"
-LICENCE_FILE = "path rlike '(?i)/(licen[sc]e|copying|notice)[^/]*$'"
+LICENCE_FILE = "path rlike '(?i)(^|/)(licen[sc]e|copying|notice)[^/]*$'"
 
 
 def tokenizer_path(name: str) -> str:

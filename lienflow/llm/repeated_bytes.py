@@ -228,10 +228,16 @@ def cover(runs: list[dict], length: int) -> list[tuple[int, int]]:
 
 
 def _joined(documents: DataFrame, length: int, gram: int) -> DataFrame:
-    keyed = documents.select(F.struct("*").alias("row"), text_or_empty("text").alias("text")).withColumn(
-        "text_key", F.expr(f"if(octet_length(text) >= {length}, {_TEXT_KEY}, null)")
-    )
-    return keyed.join(spans_by_text(documents, length, gram), "text_key", "left")
+    """row, text and runs of repeated strings of each row; texts shorter than ``length`` have none and join nothing.
+
+    The runs are stored, so that the runtime can split a text of very many copies.
+    """
+    rows = documents.select(F.struct("*").alias("row"), text_or_empty("text").alias("text"))
+    spans = stored(spans_by_text(documents, length, gram), "spans")
+    none = F.lit(None).cast(spans.schema["runs"].dataType).alias("runs")
+    short = rows.filter(F.octet_length("text") < length).select("row", "text", none)
+    long = rows.filter(F.octet_length("text") >= length).withColumn("text_key", F.expr(_TEXT_KEY))
+    return long.join(spans, "text_key", "left").select("row", "text", "runs").unionByName(short)
 
 
 def removal_digests(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:

@@ -19,8 +19,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from lienflow.llm.common import (
     SLICE_BYTES,
     mix,
-    prefix_sums,
-    run_hashes,
+    prefix_residues,
+    run_keys,
     runs,
     slices,
     small_batches,
@@ -131,7 +131,7 @@ class WordTable:
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         hashes, example, number = np.unique(
-            run_hashes(prefix_sums(data), starts, ends), return_index=True, return_inverse=True
+            run_keys(prefix_residues(data), starts, ends), return_index=True, return_inverse=True
         )
         if len(self.hashes) > self.limit:
             self._clear()

@@ -86,7 +86,7 @@ def contamination(docs, items, window=10):
             for i in range(len(words) - size + 1):
                 if (w := tuple(words[i : i + size])) in windows:
                     hit.update(range(i, i + size))
-                    found |= windows[w]
+                    found |= windows[w] - {None}
         digest = sha(",".join(sorted(map(str, found))))
         rows.append((doc_id, len(words), len(hit), len(found), digest, bool(hit)))
     return rows
@@ -313,3 +313,8 @@ def hard_negatives(rows, anchor_every=100, n_positives=5, n_negatives=10):
             window = [s for s in scored if s[2] != own and 30 * -score <= 100 * -s[0] <= 90 * -score]
             found += [(anchor, positive, i, n, -score, -s) for i, (s, n, _) in enumerate(window[:n_negatives], 1)]
     return found
+
+
+def thue_morse(n, a="a", b="b"):
+    """A word of regular shape: sums of letters times powers of an odd base are equal for it and its opposite."""
+    return "".join(a if bin(i).count("1") % 2 == 0 else b for i in range(n))

@@ -200,6 +200,36 @@ def test_licences(spark, frame, empty):
     assert licences.scan_licences(empty, queries.PATH, queries.LICENCE_FILE).count() == 0
 
 
+def test_the_root_governs_all(spark):
+    rows = [
+        (1, "LICENSE", "Licensed under the MIT License."),
+        (2, "top.txt", "plain"),
+        (3, "a/b/c.txt", "plain"),
+        (4, "d/LICENSE", "Licensed under CC BY-NC 4.0."),
+        (5, "d/e/f.txt", "plain"),
+        (6, "/abs/g.txt", "plain"),
+        (7, "", "plain"),
+        (8, None, None),
+    ]
+    found = licences.scan_licences(spark.createDataFrame(rows, "doc_id int, path string, text string"), "path", queries.LICENCE_FILE)
+    got = {r["doc_id"]: r["licence"] for r in found.collect()}
+    assert got == {1: "MIT", 2: "MIT", 3: "MIT", 4: "CC-BY-NC-4.0", 5: "CC-BY-NC-4.0", 6: "MIT", 7: None, 8: None}
+
+
+def test_short_texts_are_spread(spark):
+    """Texts without a string of full length go through no join, so none of them shares a key with the others."""
+    short = spark.range(4000).selectExpr("id AS doc_id", "concat('short text ', id) AS text").repartition(8)
+    long = spark.range(40).selectExpr("id + 10000 AS doc_id", "repeat('abc ', 200) AS text")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = repeated_bytes.removal_digests(short.unionByName(long))
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert sum(sizes) == 4040 and max(sizes) < 1000
+
+
 def test_licences_of_the_table(spark):
     """Every notice of the given table has its licence, and the directories of licence files pass it on."""
     plain = {

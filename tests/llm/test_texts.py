@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter
+from functools import partial
 
 import brute
 import numpy as np
@@ -9,7 +10,8 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from lienflow.llm import decontaminate, pieces, pii, quality_rules, queries
+from lienflow.llm import decontaminate, near_dup, pieces, pii, quality_rules, queries, token_store
+from lienflow.llm.common import text_bytes
 
 
 def rows(frame, *columns):
@@ -104,8 +106,9 @@ def test_contamination(spark, frame, empty, docs):
     items = [(1, " ".join(words[10:25])), (2, "one TWO"), (3, None), (4, "..."), (None, "no id"), (5, " ".join(words[12:40])), (1, " ".join(words[10:25]))]
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
     found = decontaminate.contamination(frame, benchmark)
-    want = brute.contamination(docs, [i for i in items if None not in i])
-    assert rows(found, *found.columns) == Counter(want)
+    # An item without an id is hit and not named.
+    want = brute.contamination(docs, [i for i in items if i[1] is not None])
+    assert rows(found, *found.columns) == Counter(want) and (None, 3, 2, 0) in {row[:4] for row in want}
     assert not decontaminate.contamination(frame, benchmark.limit(0)).filter("contaminated").count()
     assert decontaminate.contamination(empty, benchmark).count() == 0
 
@@ -132,7 +135,32 @@ def test_automaton(items, texts):
         assert (len(words), int(hit.sum()), len(found), decontaminate.item_digest(found)) == row[1:5]
 
 
+def test_several_automata_answer_as_one(spark, frame, docs, monkeypatch):
+    texts = [t.split() for _, t in docs if t and len(t.split()) > 60][:12]
+    items = [(i, " ".join(t[5 * i % 40 : 5 * i % 40 + 8 + i])) for i, t in enumerate(texts)] + [(None, " ".join(texts[0][:9]))]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    monkeypatch.setattr(decontaminate, "automata", partial(decontaminate.automata, block_bytes=150))
+    assert len(list(decontaminate.automata(benchmark))) > 3
+    found = decontaminate.contamination(frame, benchmark)
+    assert rows(found, *found.columns) == Counter(brute.contamination(docs, items))
+
+
 def test_benchmark_in_several_automata(spark, frame):
     items = [(i, f"first{i} " + "one two " * 6) for i in range(20)]
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
     assert len(list(decontaminate.automata(benchmark, block_bytes=100))) > 5
+
+
+@pytest.mark.parametrize("size", [1024, 2048, 4096])
+def test_regular_words_are_told_apart(spark, size):
+    """Two long words whose plain sums are equal: as words, as lines, and as texts of other words."""
+    one, two = brute.thue_morse(size), brute.thue_morse(size, "b", "a")
+    docs = [(1, f"{one} x {two}"), (2, f"{one}\n{two}\n{one}"), (3, two), (4, one), (5, " ".join([one, two] * 12))]
+    docs += [(6, " ".join([f"w{i}" for i in range(30)] + [one])), (7, " ".join([f"w{i}" for i in range(30)] + [two]))]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    stored = token_store.stored_documents(frame, queries.tokenizer_path("word_bpe_49k.json"))
+    assert rows(stored, "doc_id", "start", "n_tokens", "ids_crc32") == Counter(brute.token_store(docs))
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    assert rows(quality_rules.judge(frame), "doc_id", *base) == Counter(brute.rule_counts(docs))
+    hashed, first = near_dup.word_hashes(*text_bytes(pa.array([one, two])))
+    assert first.tolist() == [0, 1, 2] and hashed[0] != hashed[1]
