@@ -41,10 +41,12 @@ def reconcile_counts(compared: DataFrame) -> DataFrame:
 def latency_report(filings: DataFrame, target_days: int = fixed.LATENCY_TARGET_DAYS) -> DataFrame:
     """Days from filing to ingestion per state, and how many filings miss the target.
 
-    Counting per number of days first keeps a large state small; the exact percentiles come from the counts.
+    Counting per number of days first keeps a large state small; the exact percentiles come from the counts.  Counted
+    filings, as the store keeps them, give the same report without reading a filing.
     """
     days = F.datediff("ingested_at", "filing_date").alias("days")
-    counts = filings.filter("filing_date is not null").groupBy("state", days).agg(F.count("*").alias("n"))
+    number = F.sum("n") if "n" in filings.columns else F.count("*")
+    counts = filings.filter("filing_date is not null").groupBy("state", days).agg(number.alias("n"))
     late = F.col("days") > target_days
     return counts.groupBy("state").agg(
         F.sum("n").alias("n_filings"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -205,7 +206,7 @@ class FilingStore:
         fields = [F.col(f).cast(FILING_SCHEMA[f].dataType).alias(f) for f in FEED_FIELDS]
         rejected = rejects.select(*fields, "reject_reason", F.expr(as_of).alias("rejected_at"))
         rejected.write.mode("overwrite").parquet(self.batch_path("quarantine", batch))
-        held = self.filings().join(keyed.select(*KEY), KEY, "left_semi")
+        held = self._near(self.filings(), keyed).join(keyed.select(*KEY), KEY, "left_semi")
         known = [*KEY, "source_raw", *COUNTED_BY]
         stored = held.select(*[F.col(f) if f in known else F.lit(None).cast(FILING_SCHEMA[f].dataType).alias(f) for f in FILING_FIELDS])
         whole = F.col("state").isin(replace) if replace else F.lit(False)
@@ -226,6 +227,19 @@ class FilingStore:
             self.compact(f"base-of-{batch}")
         return self.outcomes(batch)
 
+    @staticmethod
+    def _near(rows: DataFrame, keyed: DataFrame) -> DataFrame:
+        """The stored rows that keys of a batch may be among: its states, and between its least and greatest numbers.
+
+        Both bounds are literals by the time the scan is planned: folders of other states are not opened, and of the
+        files, which are in order of the numbers, the parts beyond the bounds are not read.
+        """
+        spans = keyed.groupBy("state").agg(F.min("filing_number").alias("low"), F.max("filing_number").alias("high")).collect()
+        if not spans:
+            return rows.limit(0)
+        within = [(F.col("state") == r.state) & F.col("filing_number").between(r.low, r.high) for r in spans]
+        return rows.filter(F.col("state").isin([r.state for r in spans]) & reduce(lambda a, b: a | b, within))
+
     def _count(self, batch: str, replace: list[str]) -> None:
         """The change in the numbers of filings that a batch makes, from its own rows.
 
@@ -296,10 +310,10 @@ class FilingStore:
         return removed
 
     def _write(self, rows: DataFrame, batch: str) -> None:
-        """By state, in files of even size, sorted by search key, with bloom filters for lookups by number and key."""
+        """By state, in files of even size, in order of the numbers, with bloom filters for lookups by number and key."""
         key = F.expr(search_key("debtor_name")).alias("search_key")
         placed = rows.select(*FILING_FIELDS, key, "changed", *[F.col(c).cast("long").alias(c) for c in COUNTS], "before")
-        placed = placed.hint("rebalance", "state").sortWithinPartitions("state", "search_key")
+        placed = placed.hint("rebalance", "state").sortWithinPartitions("state", "filing_number")
         writer = placed.write.mode("overwrite").partitionBy("state")
         for column in ("filing_number", "search_key"):
             writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")

@@ -335,6 +335,14 @@ FROM sets GROUP BY ALL""",
     "stored_status": f"""
 WITH {STEPPED} SELECT state, {TIER} AS tier, count(*) AS filing_count, max(filing_date) AS latest_filing_date
 FROM final GROUP BY ALL""",
+    "stored_latency": f"""
+WITH {STEPPED}, first AS (
+  SELECT state, filing_number, bool_or(l_linestatus = 'O') AS early FROM lines GROUP BY ALL),
+d AS (
+  SELECT state, (CASE WHEN early THEN date '2001-08-02' ELSE date '2001-08-03' END) - cast(filing_date AS date) AS days
+  FROM final JOIN first USING (state, filing_number) WHERE filing_date LIKE '1998%')
+SELECT state, count(*) AS n_filings, cast(max(days) AS integer) AS max_days, round(avg(days), 4) AS mean_days,
+  quantile_cont(days, 0.5) AS median_days, count_if(days > 1000) AS n_late FROM d GROUP BY state""",
     "filings_as_of": f"""
 WITH {STEPPED} SELECT state, filing_number, filing_date, src AS source_raw FROM opened""",
     "changes_between": f"""

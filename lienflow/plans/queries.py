@@ -289,6 +289,13 @@ def stored_status(spark, sf_dir):
     return as_text(held, "latest_filing_date")
 
 
+@query
+def stored_latency(spark, sf_dir):
+    """Days from filing to ingestion, in the months of one year, from what the batches changed."""
+    counts = _stepped_store(spark, sf_dir).statistics()
+    return quality.latency_report(counts.filter("year(filing_date) = 1998"), target_days=1000)
+
+
 @query
 def filings_as_of(spark, sf_dir):
     """The filings as the first batch left them, read after two more and a new base."""

@@ -241,6 +241,16 @@ def test_reports_read_no_filing(spark, store):
     assert {tuple(r) for r in stats.all_stats(counts).collect()} == {tuple(r) for r in stats.all_stats(store.filings()).collect()}
 
 
+def test_a_batch_reads_its_states_and_numbers_only(spark, store):
+    """Folders of other states are not listed and numbers beyond the batch's are left to the file statistics."""
+    store.upsert(batch(spark, [k(f"{i:03d}", s) for i in range(50) for s in ("TX", "CA")]), FIRST, "a")
+    near = store._near(store.filings(), batch(spark, [k("010"), k("012")]))
+    plan = near.select("filing_number")._jdf.queryExecution().toString()
+    assert "state#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual(filing_number,010)" in plan and "LessThanOrEqual(filing_number,012)" in plan
+    assert near.count() == 3 and store._near(store.filings(), batch(spark, [])).count() == 0
+
+
 def test_bases_are_made_and_cleaned(spark, tmp_path):
     store = FilingStore(spark, str(tmp_path / "often"), compact_after=3)
     for i in range(8):
