@@ -15,6 +15,7 @@ from lienflow.llm.common import (
     runs,
     slices,
     small_batches,
+    stored,
     text_bytes,
     text_or_empty,
 )
@@ -177,11 +178,11 @@ def judge(documents: DataFrame, keep_probability: float = KEEP_PROBABILITY) -> D
     """Counts of each row with its votes' posterior, base_failed and kept.
 
     The vote patterns are counted over all documents; there are at most 3 to the power of the rules of them, so
-    the estimates are made on the driver and sent out as a small table.  A document that fails the base never
-    stays.
+    the estimates are made on the driver and sent out as a small table.  The counts are stored, so that each text is
+    gone through once.  A document that fails the base never stays.
     """
     spark = documents.sparkSession
-    counted = counts(documents)
+    counted = stored(counts(documents), "counts")
     voted = counted.withColumn("pattern", F.expr("array(" + ", ".join(RULES.values()) + ")"))
     patterns = voted.groupBy("pattern").count().collect()
     schema = "pattern array<int>, p_good double"

@@ -135,7 +135,88 @@ QUERIES: dict[str, Query] = {
     )
 }
 
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+_TEMPLATE_ROWS = ", ".join(
+    f"({_text(name)}, {i}, {_text(text)})" for name, texts in licences.TEMPLATES.items() for i, text in enumerate(texts)
+)
+_TERMS = "unnest(regexp_extract_all(lower({}), '[a-z0-9]+(?:[.-][a-z0-9]+)*'))"
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), '{}', '{}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".format(_UPPER, _UPPER.lower())
+
 ORACLES: dict[str, str] = {
+    "op3_decontamination": f"""
+        WITH texts AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words FROM documents),
+        items AS (
+            SELECT item_id, words, least({decontaminate.WINDOW}, len(words)) AS size
+            FROM (SELECT item_id, {_WORDS} AS words FROM benchmark) WHERE len(words) > 0
+        ), windows AS (
+            SELECT DISTINCT item_id, size, unnest(list_transform(range(1, len(words) - size + 2),
+                lambda p: array_to_string(words[p : p + size - 1], ' '))) AS run FROM items
+        ), places AS (
+            SELECT r, size, unnest(list_transform(range(1, len(words) - size + 2),
+                lambda p: struct_pack(p := p, run := array_to_string(words[p : p + size - 1], ' '))), recursive := true)
+            FROM texts, (SELECT DISTINCT size FROM windows)
+        ), found AS (
+            SELECT r, p, size, item_id FROM places JOIN windows USING (size, run)
+        ), hits AS (
+            SELECT r, count(DISTINCT place) AS n FROM (SELECT r, unnest(range(p, p + size)) AS place FROM found) GROUP BY r
+        ), named AS (
+            SELECT r, count(DISTINCT item_id) AS n, string_agg(DISTINCT cast(item_id AS varchar), ',' ORDER BY cast(item_id AS varchar)) AS ids
+            FROM found GROUP BY r
+        )
+        SELECT doc_id, len(words) AS n_words, coalesce(hits.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
+            sha256(coalesce(ids, '')) AS items_sha256, hits.n IS NOT NULL AS contaminated
+        FROM texts LEFT JOIN hits USING (r) LEFT JOIN named USING (r)
+    """,
+    "op9_licences": f"""
+        WITH templates(licence, variant, text) AS (VALUES {_TEMPLATE_ROWS}),
+        model AS (
+            SELECT licence, variant, term, count(*) AS tf
+            FROM (SELECT licence, variant, {_TERMS.format("text")} AS term FROM templates) GROUP BY ALL
+        ), idf AS (
+            SELECT term, ln((1 + (SELECT count(*) FROM templates)) / (1 + count(*))) + 1 AS idf FROM model GROUP BY term
+        ), sides AS (
+            SELECT licence, variant, term, tf * idf AS weight,
+                sqrt(sum((tf * idf) ** 2) OVER (PARTITION BY licence, variant)) AS length
+            FROM model JOIN idf USING (term)
+        ), files AS (
+            SELECT doc_id, source || '/' || lang || '/' || doc_id // 1000 AS directory, doc_id % 50 = 0 AS is_licence,
+                CASE WHEN doc_id % 50 = 0 THEN 'LICENSE.' || doc_id ELSE doc_id || '.txt' END AS file,
+                nullif(trim(array_to_string(list_filter(string_split(coalesce(text, ''), chr(10)),
+                    lambda l: regexp_matches(l, {_text("(?i)" + licences.NOTICE)})), ' ')), '') AS notice
+            FROM documents
+        ), counted AS (
+            SELECT notice, term, count(*) AS tf
+            FROM (SELECT notice, {_TERMS.format("notice")} AS term FROM (SELECT DISTINCT notice FROM files WHERE notice IS NOT NULL))
+            GROUP BY ALL
+        ), weighed AS (
+            SELECT notice, term, tf * coalesce(idf, ln(1 + (SELECT count(*) FROM templates)) + 1) AS weight
+            FROM counted LEFT JOIN idf USING (term)
+        ), cosines AS (
+            SELECT w.notice, licence, variant, round(sum(w.weight * s.weight / length) / any_value(norm), 6) AS cosine
+            FROM weighed w JOIN sides s USING (term)
+                JOIN (SELECT notice, sqrt(sum(weight ** 2)) AS norm FROM weighed GROUP BY notice) n ON n.notice = w.notice
+            GROUP BY w.notice, licence, variant
+        ), nearest AS (
+            SELECT notice, licence, cosine FROM cosines WHERE cosine >= {licences.LEAST_COSINE}
+            QUALIFY row_number() OVER (PARTITION BY notice ORDER BY cosine DESC, licence) = 1
+        ), own AS (
+            SELECT doc_id, directory, directory || '/' || file AS path, is_licence, licence, cosine
+            FROM files LEFT JOIN nearest ON files.notice = nearest.notice
+        ), governing AS (
+            SELECT directory, licence FROM own WHERE is_licence AND licence IS NOT NULL
+            QUALIFY row_number() OVER (PARTITION BY directory ORDER BY cosine DESC, path) = 1
+        )
+        SELECT doc_id, path, coalesce(own.licence, g.licence) AS licence, cosine,
+            CASE WHEN own.licence IS NOT NULL THEN 'own' WHEN g.licence IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin
+        FROM own LEFT JOIN governing g USING (directory)
+    """,
     "op11_hard_negatives": """
         WITH usable AS (
             SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,

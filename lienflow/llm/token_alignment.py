@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import os
 from collections.abc import Iterator
 from itertools import chain
 
@@ -90,6 +91,8 @@ class ChunkLinks:
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
+        # A task has a core; threads of the library would take others' and memory for each.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.a = Tokenizer.from_file(byte_model)
         self.a.encode_special_tokens = True
         self.b = SentencePieceProcessor(model_file=piece_model)

@@ -7,6 +7,7 @@ for each bucket of keys: pilots that send every key to a slot of its own, and by
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -17,7 +18,6 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from lienflow.llm.common import (
-    SLICE_BYTES,
     mix,
     prefix_residues,
     run_keys,
@@ -37,7 +37,7 @@ BLOCK_IDS = 1 << 18
 BUCKET_KEYS = 512
 GROUP_KEYS = 4
 #: Words that a Python worker keeps between batches; begun anew beyond it.
-TABLE_WORDS = 1_000_000
+TABLE_WORDS = 700_000
 
 _BLOCKS = (
     "shard int, block int, begin bigint, n_ids bigint, payload binary, "
@@ -66,6 +66,8 @@ class WordTable:
     def __init__(self, tokenizer: str, limit: int = TABLE_WORDS):
         from tokenizers import Tokenizer
 
+        # A task has a core; threads of the library would take others' and memory for each.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(tokenizer)
         self.limit = limit
         self.size = max(self.tokenizer.get_vocab().values()) + 1
@@ -205,7 +207,7 @@ def write_store(documents: DataFrame, tokenizer: str, end_id: int = END_ID) -> T
                 [pa.array([v], f.type) for v, f in zip(values, schema, strict=True)], schema=schema
             )
 
-        for batch in slices(batches, 1, 4 * SLICE_BYTES):
+        for batch in slices(batches, 1):
             ids, bounds = table.encode(batch.column(1))
             for key, a, b in zip(batch.column(0).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 if size and size + b - a + 1 > BLOCK_IDS:
