@@ -36,11 +36,17 @@ def with_previous(
     The common case is one window on the keys.  Keys above ``hot_rows`` (measured on ``counted``,
     which may leave out parts that hold a key only once) go through ``_spread_previous``.
     Key columns must not be null.
+
+    Keys are only counted where there are enough rows for a hot one; how many rows there are is in the footers of
+    the files that a batch is staged in.
     """
-    hot = hot_keys(counted or rows, keys, hot_rows)
-    totals = hot.agg(F.count("*").alias("keys"), F.sum("rows").alias("rows")).first()
     window = Window.partitionBy(*keys).orderBy(*_order(order))
     plain = F.lag(F.struct(value)).over(window)
+    counted = rows if counted is None else counted
+    if counted.count() <= hot_rows:
+        return rows.withColumn(name, plain)
+    hot = hot_keys(counted, keys, hot_rows)
+    totals = hot.agg(F.count("*").alias("keys"), F.sum("rows").alias("rows")).first()
     if not totals["keys"]:
         return rows.withColumn(name, plain)
     listed = hot.select(*keys)

@@ -81,8 +81,8 @@ class FilingStore:
     # -- commits ------------------------------------------------------------------------------------------
 
     def log(self) -> list:
-        """All commits in order: a row each, from as many files as were written since the last compaction."""
-        return sorted(self.read("commits", COMMIT_SCHEMA).collect(), key=lambda r: r.seq)
+        """All commits in order; each has a file of its own until ``clean`` folds them, and may then stand in two."""
+        return sorted({r.seq: r for r in self.read("commits", COMMIT_SCHEMA).collect()}.values(), key=lambda r: r.seq)
 
     def commits(self, until: str | None = None) -> list:
         """The last base and what was committed after it, in order; ``until`` a batch for the store as it was then."""
@@ -292,23 +292,44 @@ class FilingStore:
 
         ``older_than`` is a SQL expression such as ``current_timestamp() - interval 7 days``: a reader that began
         before the base still finds its files if it is done by then.  The log, the ledger, the run records and the
-        quarantine stay.  The store cannot be read as of the removed commits any more.
+        quarantine stay.  The store cannot be read as of the removed commits any more.  Commit rows that are as old
+        are folded into one file, so that a store of very many commits is opened with a short listing.
         """
         limit = self.spark.range(1).select(F.expr(f"timestamp({older_than})").alias("t")).first()["t"]
         rows = self.log()
         bases = [r.seq for r in rows if r.is_base and r.committed_at < limit]
         old = [r for r in rows if bases and r.seq < bases[-1]]
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         removed = []
         for row in old:
             paths = [self.batch_path(t, row.batch) for t in ("filings", "filing_parties", "statistics") if t in row.tables]
-            paths.append(self.batch_path("incoming", row.batch))
-            found = [jvm.org.apache.hadoop.fs.Path(p) for p in paths]
-            if any([p.getFileSystem(conf).delete(p, True) for p in found]):
+            if any([self._delete(path) for path in [*paths, self.batch_path("incoming", row.batch)]]):
                 removed.append(row.batch)
+        self._fold_log(limit)
         return removed
 
+    def _fold_log(self, limit) -> None:
+        """Write the commit rows that are older than a time into one file, and remove what an older such file covers.
+
+        A reader that has listed the files before finds them until the next call that comes late enough.
+        """
+        rows = self.spark.read.schema(COMMIT_SCHEMA).parquet(self.path("commits"))
+        placed = rows.selectExpr("seq", "_metadata.file_path AS file", "_metadata.file_modification_time AS written")
+        files = placed.groupBy("file", "written").agg(F.count("*").alias("n"), F.max("seq").alias("last")).collect()
+        settled = [f for f in files if f.written < limit]
+        whole = max((f for f in settled if f.n > 1), key=lambda f: f.last, default=None)
+        covered = [f for f in settled if whole and f.file != whole.file and f.last <= whole.last]
+        for file in covered:
+            self._delete(file.file)
+        left = [f.file for f in settled if f not in covered]
+        if len(left) > 1:
+            folded = self.spark.read.schema(COMMIT_SCHEMA).parquet(*left).dropDuplicates(["seq"])
+            folded.coalesce(1).write.mode("append").parquet(self.path("commits"))
+
+    def _delete(self, path: str) -> bool:
+        context = self.spark.sparkContext
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        return target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
     def _write(self, rows: DataFrame, batch: str) -> None:
         """By state, in files of even size, in order of the numbers, with bloom filters for lookups by number and key."""
         key = F.expr(search_key("debtor_name")).alias("search_key")

@@ -690,3 +690,5 @@ WHERE l.state IN (SELECT state FROM known)""",
 SELECT {S}[conv_id % 25 + 1] AS state, strftime(date '2024-01-01' + cast(conv_id % 10 AS integer), '%Y-%m-%d') AS date,
   count(*) AS n_lines, cast(sum(length(text)) AS bigint) AS n_chars FROM conversations GROUP BY ALL""",
 }
+
+ORACLES["cleaned_store"] = ORACLES["compacted_store"]

@@ -85,13 +85,21 @@ def _parse(records: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _text(key: str, path: str = "$") -> str:
-    return f"try_variant_get(parsed.{name(key)}, {quote(path)}, 'string')"
+    return _text_of(f"parsed.{name(key)}", path)
+
+
+def _text_of(value: str, path: str = "$") -> str:
+    return f"try_variant_get({value}, {quote(path)}, 'string')"
 
 
 def _filled(key: str) -> str:
-    """A key's text; the number zero, false and empty containers count as missing, the text "0" does not."""
-    is_text = f"schema_of_variant(parsed.{name(key)}) = 'STRING'"
-    return f"if({_text(key)} IN ('0', '0.0', 'false', '[]', '{{}}') AND NOT ({is_text}), NULL, {_text(key)})"
+    return _filled_of(f"parsed.{name(key)}")
+
+
+def _filled_of(value: str) -> str:
+    """A value's text; the number zero, false and empty containers count as missing, the text "0" does not."""
+    is_text = f"schema_of_variant({value}) = 'STRING'"
+    return f"if({_text_of(value)} IN ('0', '0.0', 'false', '[]', '{{}}') AND NOT ({is_text}), NULL, {_text_of(value)})"
 
 
 def map_bulk(records: DataFrame, state: str, keys: dict[str, str] | None = None) -> DataFrame:
@@ -117,25 +125,28 @@ def _cut_times(fields: dict[str, str]) -> dict[str, str]:
 def map_commercial(records: DataFrame, state: str) -> DataFrame:
     """Records of a commercial page: the first key with text wins, then the nested party objects."""
     nested = sum(fixed.COMMERCIAL_PARTIES.values(), [])
-    rows = _parse(records, sum(fixed.COMMERCIAL_KEYS.values(), nested))
-
-    def flat(key: str) -> str:
-        return f"if({_text(key)} LIKE '{{%', NULL, {_filled(key)})" if key in nested else _filled(key)
+    keys = list(dict.fromkeys(sum(fixed.COMMERCIAL_KEYS.values(), [])))
+    rows = _parse(records, [*keys, *nested])
 
     def inner(party: str, part: str) -> list[str]:
         return [_text(key, f"$.{inside}") for key in fixed.COMMERCIAL_PARTIES[party] for inside in fixed.PARTY_KEYS[part]]
 
-    fields = {field: [flat(key) for key in keys] for field, keys in fixed.COMMERCIAL_KEYS.items()}
-    for party in fixed.COMMERCIAL_PARTIES:
-        for part in fixed.PARTY_KEYS:
-            fields[f"{party}_{part}"] += inner(party, part)
-    # Each key's text is worked out once, behind an exploded array of one: a single projection of all fields
-    # would repeat it in every use, beyond what the JVM can compile.
-    parts = {f"k{i}": text for i, text in enumerate(dict.fromkeys(sum(fields.values(), [])))}
-    held = {text: f"got.{part}" for part, text in parts.items()}
-    texts = ", ".join(f"{text} AS {part}" for part, text in parts.items())
-    rows = rows.selectExpr("*", f"explode(array(struct({texts}))) AS got")
-    chosen = {field: first_clean(*[held[v] for v in values]) for field, values in fields.items()}
+    insides = {f"{party}_{part}": inner(party, part) for party in fixed.COMMERCIAL_PARTIES for part in fixed.PARTY_KEYS}
+    paths = list(dict.fromkeys(sum(insides.values(), [])))
+    # The texts of all keys by one function over their values, behind an exploded array of one: written out key by
+    # key, and repeated in every use, they are beyond what the JVM can compile.
+    values = ", ".join(f"parsed.{name(key)}" for key in keys)
+    texts = f"transform(array({values}), v -> {_filled_of('v')}) AS flat"
+    rows = rows.selectExpr("*", f"explode(array(struct({texts}, array({', '.join(paths)}) AS inner))) AS got")
+
+    def flat(key: str) -> str:
+        text = f"get(got.flat, {keys.index(key)})"
+        return f"if({text} LIKE '{{%', NULL, {text})" if key in nested else text
+
+    fields = {field: [flat(key) for key in names] for field, names in fixed.COMMERCIAL_KEYS.items()}
+    for field, found in insides.items():
+        fields[field] += [f"get(got.inner, {paths.index(text)})" for text in found]
+    chosen = {field: first_clean(*found) for field, found in fields.items()}
     return materialized(feed_records(rows, _cut_times(chosen), state, "commercial", "record"))
 
 

@@ -31,7 +31,7 @@ def applied_epochs(store: FilingStore) -> DataFrame:
     """Per stream the number of micro-batches that are committed and the last one's epoch."""
     found = store.read("commits", COMMIT_SCHEMA).selectExpr(f"regexp_extract(batch, '{BATCH}', 1) AS stream", f"bigint(nullif(regexp_extract(batch, '{BATCH}', 2), '')) AS epoch")
     streams = found.filter("epoch IS NOT NULL").groupBy("stream")
-    return streams.agg(F.count("*").alias("n_epochs"), F.max("epoch").alias("last_epoch"))
+    return streams.agg(F.count_distinct("epoch").alias("n_epochs"), F.max("epoch").alias("last_epoch"))
 
 
 def start_upserts(

@@ -142,6 +142,27 @@ def test_a_state_that_cannot_be_read_fails_alone(store, tmp_path):
     assert "nonsense" in store.current_runs().filter("state = 'KY' AND status = 'failed'").first().error_message
 
 
+def test_a_file_that_cannot_be_read_makes_a_run_partial(store, tmp_path):
+    root = tmp_path / "files"
+    for i in range(5):
+        put(root / "TX" / f"update-{i}.json", f'{{"filing_number": "T{i}"}}\n')
+    broken = put(root / "TX" / "update-2b.json.gz", "this is no gzip file")
+    formats = {"TX": "json_lines"}
+    assert landed(store, root, "one", states=["TX"], formats=formats) == {"TX": ("partial", 5)}
+    assert store.current_runs().first().error_message and store.ledger().count() == 5
+    with gzip.open(broken, "wt") as out:
+        out.write('{"filing_number": "T9"}\n')
+    assert landed(store, root, "two", states=["TX"], formats=formats) == {"TX": ("completed", 1)}
+    assert landed(store, root, "three", states=["TX"], formats=formats) is None
+    # A full delivery is taken whole or not at all.
+    header = "FileNumber\tDebtorName\n"
+    put(root / "ID" / "1" / "a.tsv", f"{header}I1\tx\nI2\tx\n")
+    landed(store, root, "four", states=["ID"])
+    put(root / "ID" / "2" / "a.tsv", f"{header}I1\ty\n")
+    put(root / "ID" / "2" / "b.tsv.gz", "this is no gzip file")
+    assert landed(store, root, "five", states=["ID"]) == {"ID": ("failed", 0)} and numbers(store, "ID") == ["I1", "I2"]
+
+
 # -- streams ----------------------------------------------------------------------------------------------
 
 
@@ -262,6 +283,9 @@ def test_bases_are_made_and_cleaned(spark, tmp_path):
     assert "b0" in removed and sorted(store.filings().collect()) == sorted(before)
     assert store.is_committed("b0") and store.clean("current_timestamp() + interval 1 day") == []
     assert {tuple(r) for r in store.statistics().collect()} == counted(store.filings())
+    # The commit rows are in one file now, and none is lost.
+    assert len(list((tmp_path / "often" / "commits").glob("*.parquet"))) == 1
+    assert [r.seq for r in store.log()] == list(range(1, len(store.log()) + 1)) and len(store.log()) > 8
 
 
 # -- chains -----------------------------------------------------------------------------------------------

@@ -281,3 +281,14 @@ def test_logs(spark, tmp_path):
     put(tmp_path / "r" / "b.json", json.dumps({"other": 1}, indent=1))
     facts = logs.research_facts(logs.read_research(spark, str(tmp_path / "r")), {"model": "$.authorization_model.model_type"})
     assert sorted(str(r.model) for r in facts.collect()) == ["None", "closed"]
+
+
+def test_commercial_pages_compile(spark):
+    """All fields of a commercial record in generated code: with no way back, code that is too large would raise."""
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    try:
+        records = spark.createDataFrame([('{"fileNumber": "1", "debtor": {"name": "x"}, "status": 0}',)], "record string")
+        found = json_feeds.map_commercial(records.selectExpr("*", "1 AS arrival").repartition(2), "AL").collect()
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
+    assert [(r.filing_number, r.debtor_name, r.filing_status) for r in found] == [("1", "x", None)]
