@@ -15,6 +15,9 @@ from lienflow.session import scratch_path
 ARROW_ROWS = 2_000
 SLICE_BYTES = 1 << 20
 
+#: Bytes from which on a run is known by a hash of its bytes.
+LONG_RUN = 128
+
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 _powers: list[np.ndarray] = []
@@ -107,71 +110,6 @@ def _power_tables(size: int) -> list[np.ndarray]:
     return _powers
 
 
-# Two primes just below 2^31 (2^31 less the number), and the base of the powers for each.
-_PRIMES = ((1, 1_103_515_245), (19, 1_664_525))
-_LOW = np.uint64((1 << 31) - 1)
-_residue_powers: list[tuple[np.ndarray, np.ndarray]] = []
-
-
-def _shrink(x: np.ndarray, less: int, rounds: int = 2) -> np.ndarray:
-    """Values below 2^62 brought near 2^31 - ``less`` or below, the same modulo it: what is above 31 bits counts ``less`` times."""
-    for _ in range(rounds):
-        high = x >> np.uint64(31)
-        x = (x & _LOW) + (high if less == 1 else high * np.uint64(less))
-    return x
-
-
-def _fold(x: np.ndarray, less: int) -> np.ndarray:
-    """Values below 2^62 modulo 2^31 - ``less``."""
-    x, prime = _shrink(x, less), np.uint64((1 << 31) - less)
-    return np.where(x >= prime, x - prime, x)
-
-
-def _powers_modulo(size: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Powers of each base and of its inverse, grown by doubling."""
-    if not _residue_powers or len(_residue_powers[0][0]) < size:
-        size = max(size, SLICE_BYTES + 2)
-        tables = []
-        for less, base in _PRIMES:
-            prime = (1 << 31) - less
-            rows = []
-            for factor in (base, pow(base, -1, prime)):
-                row = np.ones(1, np.uint64)
-                while len(row) < size:
-                    row = np.concatenate([row, _fold(row * np.uint64(pow(factor, len(row), prime)), less)])
-                rows.append(row[:size].astype(np.uint32))
-            tables.append(tuple(rows))
-        _residue_powers[:] = tables
-    return _residue_powers
-
-
-def prefix_residues(values: np.ndarray) -> list[np.ndarray]:
-    """Sums of value times power of the position modulo two primes; ``run_keys`` takes keys of runs from them."""
-    sums = []
-    for (less, _), (powers, _) in zip(_PRIMES, _powers_modulo(len(values) + 1), strict=True):
-        wide = values.astype(np.uint64)
-        narrow = values.dtype.itemsize == 1
-        if not narrow:
-            wide = _fold((wide >> np.uint64(2)) ^ (wide & np.uint64(3)), less)
-        total = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(_shrink((wide + np.uint64(1)) * powers[: len(values)], less, 1 if narrow else 2), out=total[1:])
-        sums.append(total)
-    return sums
-
-
-def run_keys(sums: list[np.ndarray], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """62-bit keys of the runs from start to end, equal for equal runs wherever they stand.
-
-    Sums modulo a power of two are equal for some texts of regular shape whatever the base; modulo primes they are
-    not.
-    """
-    key = np.zeros(len(starts), np.uint64)
-    for (less, _), total, (_, inverse) in zip(_PRIMES, sums, _powers_modulo(len(sums[0])), strict=True):
-        part = _fold(_fold(total[ends] - total[starts], less) * inverse[starts], less)
-        key = (key << np.uint64(31)) | part
-    return mix(key + (ends - starts).astype(np.uint64))
-
-
 def prefix_sums(values: np.ndarray) -> np.ndarray:
     """Sums of value times power of the position; ``run_hashes`` takes hashes of runs from them."""
     powers, _ = _power_tables(len(values) + 1)
@@ -183,13 +121,30 @@ def prefix_sums(values: np.ndarray) -> np.ndarray:
 def run_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the runs from start to end, equal for equal runs wherever they stand.
 
-    Fast, but equal for some different runs of regular shape as well: for choosing and bucketing, not for telling
-    runs apart (see ``run_keys``).
+    Fast, but equal for some different runs of a thousand and more values of regular shape as well: for choosing and
+    bucketing, not for telling long runs apart (see ``run_keys``).
     """
     _, inverse = _power_tables(len(sums))
     return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
+def run_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit keys of the runs of bytes from start to end, equal for equal runs wherever they stand.
+
+    Long runs have a hash of their bytes: sums of powers modulo a power of two are equal for some of them whatever the
+    base.  Below ``LONG_RUN`` bytes too few powers of two divide such a sum for it to vanish.
+    """
+    from xxhash import xxh3_64_intdigest
+
+    keys = run_hashes(prefix_sums(data), starts, ends)
+    long = np.flatnonzero(ends - starts >= LONG_RUN)
+    if len(long):
+        view = memoryview(np.ascontiguousarray(data))
+        bounds = zip(starts[long].tolist(), ends[long].tolist(), strict=True)
+        keys[long] = np.array([xxh3_64_intdigest(view[a:b]) for a, b in bounds], np.uint64)
+    return keys
+
+
 def owners(first: np.ndarray) -> np.ndarray:
     """For each run the text it lies in; ``first`` as from ``runs``."""
     return np.repeat(np.arange(len(first) - 1), np.diff(first))

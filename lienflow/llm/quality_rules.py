@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from lienflow.llm.common import (
     owners,
-    prefix_residues,
+    prefix_sums,
+    run_hashes,
     run_keys,
     runs,
     slices,
@@ -94,22 +95,21 @@ def count_texts(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     starts, ends, first = runs(member, offsets)
     owner = owners(first)
     n_words = np.diff(first)
-    sums = prefix_residues(data)
-    words = run_keys(sums, starts, ends)
+    words = run_keys(data, starts, ends)
 
     line_starts, line_ends, line_first = runs(_LINE[data], offsets)
     before = np.zeros(len(data) + 1, np.int64)
     np.cumsum(member, out=before[1:])
     filled = before[line_ends] > before[line_starts]
     line_owner = owners(line_first)[filled]
-    doubled = _repeated(line_owner, run_keys(sums, line_starts[filled], line_ends[filled]), True)
+    doubled = _repeated(line_owner, run_keys(data, line_starts[filled], line_ends[filled]), True)
 
     covered = np.zeros(len(starts) + 1, np.int64)
     windows = len(starts) - REPEAT_WINDOW + 1
     if windows > 0:
         at = np.flatnonzero(owner[:windows] == owner[REPEAT_WINDOW - 1 :])
-        word_sums = prefix_residues(words)
-        found = at[_repeated(owner[at], run_keys(word_sums, at, at + REPEAT_WINDOW), False)]
+        word_sums = prefix_sums(words)
+        found = at[_repeated(owner[at], run_hashes(word_sums, at, at + REPEAT_WINDOW), False)]
         np.add.at(covered, found, 1)
         np.add.at(covered, found + REPEAT_WINDOW, -1)
     repeated = np.cumsum(covered)[:-1] > 0

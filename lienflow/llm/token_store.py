@@ -19,7 +19,6 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from lienflow.llm.common import (
     mix,
-    prefix_residues,
     run_keys,
     runs,
     slices,
@@ -37,7 +36,7 @@ BLOCK_IDS = 1 << 18
 BUCKET_KEYS = 512
 GROUP_KEYS = 4
 #: Words that a Python worker keeps between batches; begun anew beyond it.
-TABLE_WORDS = 700_000
+TABLE_WORDS = 1_000_000
 
 _BLOCKS = (
     "shard int, block int, begin bigint, n_ids bigint, payload binary, "
@@ -132,9 +131,7 @@ class WordTable:
         starts, ends, first = runs(~_WHITE[data], offsets)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        hashes, example, number = np.unique(
-            run_keys(prefix_residues(data), starts, ends), return_index=True, return_inverse=True
-        )
+        hashes, example, number = np.unique(run_keys(data, starts, ends), return_index=True, return_inverse=True)
         if len(self.hashes) > self.limit:
             self._clear()
         at = np.searchsorted(self.hashes, hashes)
