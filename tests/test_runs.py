@@ -221,7 +221,7 @@ def test_statistics_follow_every_batch(spark, store):
     """Random batches, full deliveries and new bases: the sums always equal the counts over all filings."""
     rng = random.Random(9)
     seen = {}
-    for step in range(8):
+    for step in range(6):
         rows = [
             k(str(rng.randrange(12)), rng.choice(["TX", "CA", "ID"]), source_raw=rng.choice("abc"), filing_status=rng.choice(["active", None]),
               filing_date=rng.choice([None, date(2024, 1, rng.randint(1, 28))]))
@@ -233,7 +233,7 @@ def test_statistics_follow_every_batch(spark, store):
             store.replace_state("ID", batch(spark, rows), moment, name)
         else:
             store.upsert(batch(spark, rows), moment, name)
-        if step in (3, 5):
+        if step in (3, 4):
             store.compact(f"base-{step}")
         assert {tuple(r) for r in store.statistics().collect()} == counted(store.filings())
         seen[name] = {tuple(r) for r in store.filings().collect()}
@@ -242,7 +242,7 @@ def test_statistics_follow_every_batch(spark, store):
         assert {tuple(r) for r in store.statistics(until=name).collect()} == counted(store.filings(until=name))
     by_key = {name: {(r[1], r[0]): r for r in rows} for name, rows in seen.items()}
     raw = store.filings().columns.index("source_raw")
-    for first, last in (("b0", "b1"), ("b1", "b2"), ("b1", "b7"), ("b4", "b6"), (None, "b5")):
+    for first, last in (("b0", "b1"), ("b1", "b2"), ("b1", "b5"), (None, "b3")):
         old, new = by_key.get(first, {}), by_key[last]
         expected = {(*x, "added") for x in new.keys() - old.keys()} | {(*x, "removed") for x in old.keys() - new.keys()}
         expected |= {(*x, "changed") for x in old.keys() & new.keys() if old[x][raw] != new[x][raw]}
@@ -262,11 +262,14 @@ def test_reports_read_no_filing(spark, store):
     assert {tuple(r) for r in stats.all_stats(counts).collect()} == {tuple(r) for r in stats.all_stats(store.filings()).collect()}
 
 
-def test_a_batch_reads_its_states_and_numbers_only(spark, store):
+def test_a_batch_reads_its_states_and_numbers_only(spark, store, capsys):
     """Folders of other states are not listed and numbers beyond the batch's are left to the file statistics."""
     store.upsert(batch(spark, [k(f"{i:03d}", s) for i in range(50) for s in ("TX", "CA")]), FIRST, "a")
     near = store._near(store.filings(), batch(spark, [k("010"), k("012")]))
-    plan = near.select("filing_number")._jdf.queryExecution().toString()
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    near.select("filing_number").explain("formatted")
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    plan = capsys.readouterr().out
     assert "state#" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert "GreaterThanOrEqual(filing_number,010)" in plan and "LessThanOrEqual(filing_number,012)" in plan
     assert near.count() == 3 and store._near(store.filings(), batch(spark, [])).count() == 0
