@@ -4,7 +4,7 @@ from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
-from lienflow.operators import audit, outreach, parties, quality, schedule, search, transcripts
+from lienflow.operators import audit, outreach, parties, quality, schedule, search, stats, transcripts
 from lienflow.session import shared_folder
 from lienflow.sources.dimension import source_dimension
 from lienflow.streaming.alerts import current_alerts, failure_alerts, start_alerts
@@ -204,3 +204,14 @@ def test_alerts_in_batch_and_stream(spark, tmp_path):
     start_alerts(stream, str(tmp_path / "out"), str(tmp_path / "state"), available_now=True).awaitTermination()
     found = current_alerts(spark.read.parquet(str(tmp_path / "out"))).orderBy("window_start").collect()
     assert [(r.window_start, r.n_failures) for r in found] == expected
+
+
+def test_cutoffs_leave_records_where_they_are(spark):
+    """Records of one state are not dealt out by state, also while nothing is stored."""
+    records = spark.range(8).selectExpr("'KY' AS state", "string(id) AS filing_number", "date_add(date'2024-01-01', int(id)) AS filing_date")
+    none = spark.createDataFrame([], "state string, filing_date date")
+    stored = spark.createDataFrame([("KY", date(2024, 1, 5))], "state string, filing_date date")
+    for filings, n in ((none, 8), (stored, 4)):
+        found = stats.incremental(records, filings)
+        plan = found._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" not in plan and found.count() == n
