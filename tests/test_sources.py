@@ -292,3 +292,8 @@ def test_commercial_pages_compile(spark):
     finally:
         spark.conf.unset("spark.sql.codegen.fallback")
     assert [(r.filing_number, r.debtor_name, r.filing_status) for r in found] == [("1", "x", None)]
+
+
+def test_xml_files_in_one_scan(spark, tmp_path):
+    paths = [put(tmp_path / f"{i}.xml", f"<Root><Filing><FilingNumber>{i}</FilingNumber></Filing></Root>") for i in range(3)]
+    assert sorted(r.filing_number for r in keyed(xml_feeds.read_xml(spark, paths, "CA"))) == ["0", "1", "2"]
