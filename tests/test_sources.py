@@ -297,3 +297,16 @@ def test_commercial_pages_compile(spark):
 def test_xml_files_in_one_scan(spark, tmp_path):
     paths = [put(tmp_path / f"{i}.xml", f"<Root><Filing><FilingNumber>{i}</FilingNumber></Filing></Root>") for i in range(3)]
     assert sorted(r.filing_number for r in keyed(xml_feeds.read_xml(spark, paths, "CA"))) == ["0", "1", "2"]
+
+
+def test_three_files_with_stored_parties(spark, tmp_path):
+    """The first parties of a stored table of parties are those of the files."""
+    put(tmp_path / "documents.csv", "DocNumber,Status\nD1,A\nD2,A\nD3,A\n")
+    put(tmp_path / "debtors.csv", "DocNumber,PartyName\nD2,b\nD1,z\nD1,a\n")
+    put(tmp_path / "secured.csv", "DocNumber,PartyName\nD1,s\n,t\n")
+    paths = [str(tmp_path / f"{n}.csv") for n in ("documents", "debtors", "secured")]
+    parties = three_files.three_file_parties(spark, paths, "WV")
+    names = ["filing_number", "debtor_name", "secured_party_name"]
+    stored = three_files.read_three_files(spark, paths, "WV", parties).select(names)
+    assert sorted(map(tuple, stored.collect())) == [("D1", "z", "s"), ("D2", "b", None), ("D3", None, None)]
+    assert sorted(map(str, stored.collect())) == sorted(map(str, three_files.read_three_files(spark, paths, "WV").select(names).collect()))
