@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lienflow.operators import stats
+from lienflow.operators import sequences
 from lienflow.operators.sequences import with_previous
 from lienflow.operators.store import FilingStore
 from lienflow.operators.upsert import classify, merge
@@ -298,3 +299,15 @@ def test_states_of_odd_shape_lose_nothing(spark, store):
 
 def test_schema(store):
     assert store.filings().schema.names == FILING_SCHEMA.names and len(FILING_SCHEMA) == 25
+
+
+def test_window_gets_tasks_by_rows(spark, monkeypatch):
+    """The tasks of the window follow the rows; hot keys are found in the buckets that are full enough."""
+    monkeypatch.setattr(sequences, "PIECE_ROWS", 100)
+    rows = spark.range(5_000).selectExpr("string(if(id < 900, 0, id)) AS key", "id", "string(id) AS v")
+    plain = with_previous(rows, ["key"], ["id"], "v")
+    assert plain.rdd.getNumPartitions() >= 50
+    spread = with_previous(rows, ["key"], ["id"], "v", hot_rows=500)
+    expected = {i: str(i - 1) if 0 < i < 900 else None for i in range(5_000)}
+    for found in (plain, spread):
+        assert {r.id: r.previous and r.previous.v for r in found.collect()} == expected
