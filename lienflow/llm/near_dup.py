@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from lienflow.llm.common import (
@@ -38,6 +39,8 @@ SHORT_SKETCHES = 12
 SHORT_DEPTH = 2
 SHORT_TO = 32
 DEEP_FROM = 24
+#: A bucket with more pairs of untied members than these has them found by their rare shingles.
+PAIRS = 4096
 
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[65:91] = _WORD[97:123] = _WORD[128:] = True
@@ -216,11 +219,13 @@ def _words_of(documents: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def similar_nodes(documents: DataFrame, sketched: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different nodes that are similar, enough of them to tie every group together.
+    """node and component (its least node) of the nodes that are similar to others, directly or by way of others.
 
     Members of a bucket are compared with its two leaders, those that share most buckets with others, which are
     nearest to all.  Those unlike both go on without them, first as they are, then apart by one more sketch each
-    time, until no two are left together; so the work grows with the members of a bucket, not their square.
+    time, until no two are left together; so the work grows with the members of a bucket, not their square.  That
+    ties most of what belongs together.  The pairs of a bucket that no leader has compared and that are not tied yet
+    are compared afterwards (``_left_pairs``), so that no two similar members of a bucket stay apart.
 
     What a bucket's key is joined with is stored first: the runtime splits a hot key only where both sides of a
     join come straight from a shuffle.
@@ -260,10 +265,68 @@ def similar_nodes(documents: DataFrame, sketched: DataFrame) -> DataFrame:
             split = F.expr(f"xxhash64(bucket, element_at(more, {turn} % size(more) + 1))")
             rest = rest.join(extra, "node").select("node", split.alias("bucket"), "weight")
         opened = stored(rest, "opened")
-    found = linked[0] if linked else members.selectExpr("node AS a", "node AS b").limit(0)
-    for more in linked[1:]:
-        found = found.unionByName(more)
-    return found
+    if checked is None:
+        return members.selectExpr("node", "node AS component").limit(0)
+    found = reduce(DataFrame.unionByName, linked)
+    tied = stored(connected(found), "tied")
+    placed = members.select("node", "bucket").join(tied, "node", "left").selectExpr("node", "bucket", "coalesce(component, node) AS component")
+    left = _left_pairs(stored(placed, "placed"), words)
+    seen = checked.selectExpr("least(a, b) AS a", "greatest(a, b) AS b")
+    late = stored(_verified(left.join(seen, ["a", "b"], "left_anti"), words), "late").filter("same")
+    # The late ties join whole components.
+    at = {c: tied.selectExpr(f"node AS {c}", f"component AS c{c}") for c in "ab"}
+    joined = late.select("a", "b").join(at["a"], "a", "left").join(at["b"], "b", "left")
+    roots = stored(connected(joined.selectExpr("coalesce(ca, a) AS a", "coalesce(cb, b) AS b")), "roots")
+    whole = tied.unionByName(roots.selectExpr("node", "node AS component")).distinct()
+    merged = whole.join(roots.selectExpr("node AS component", "component AS root"), "component", "left")
+    return merged.selectExpr("node", "coalesce(root, component) AS component")
+
+
+def _left_pairs(placed: DataFrame, words: DataFrame) -> DataFrame:
+    """Pairs (a < b) of members of a bucket that are not tied; ``placed`` has node, bucket and component.
+
+    Of a bucket with more such pairs than ``PAIRS`` the pairs are those that share a shingle among the rarest of
+    each: of two texts that share four fifths of all their shingles, each has one of the others among any fifth of its own
+    and one more.  That leaves out none that are similar.
+    """
+    mixed = stored(_mixed(placed, "bucket"), "mixed")
+    few = mixed.filter("(n - most) * n <= {}".format(PAIRS))
+    pairs = _across(placed, few, "bucket")
+    many = placed.join(mixed.filter("(n - most) * n > {}".format(PAIRS)).select("bucket"), "bucket", "left_semi")
+    many = stored(many.select("node", "component").distinct(), "crowded")
+    if many.isEmpty():
+        return pairs.distinct()
+
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, packed in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                own = shingles(np.frombuffer(packed, "<u4").astype(np.uint64)).view(np.int64)
+                columns = [pa.array([node.as_py()] * len(own), pa.binary()), pa.array(own), pa.array(np.full(len(own), len(own)))]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "label", "size"])
+
+    chosen = words.join(many.select("node"), "node", "left_semi").select("node", "words")
+    labels = stored(chosen.mapInArrow(label, "node binary, label bigint, size bigint"), "labels")
+    known = stored(labels.groupBy("label").agg(F.count("*").alias("texts")), "texts")
+    rare = F.row_number().over(Window.partitionBy("node").orderBy("texts", "label"))
+    prefix = F.col("size") - F.ceil(F.col("size") * SIMILARITY - 1e-9) + 1
+    first = labels.join(known, "label").withColumn("place", rare).filter(F.col("place") <= prefix).filter("texts > 1")
+    shared = stored(first.select("node", "label").join(many, "node"), "rare")
+    return pairs.unionByName(_across(shared, _mixed(shared, "label"), "label")).distinct()
+
+
+def _mixed(members: DataFrame, key: str) -> DataFrame:
+    """The keys whose members are of several components: how many there are, and the largest component's."""
+    held = members.groupBy(key, "component").agg(F.count("*").alias("m"))
+    of = held.groupBy(key).agg(F.sum("m").alias("n"), F.max(F.struct("m", "component")).alias("top"), F.count("*").alias("parts"))
+    return of.filter("parts > 1").selectExpr(key, "n", "top.m AS most", "top.component AS top")
+
+
+def _across(members: DataFrame, mixed: DataFrame, key: str) -> DataFrame:
+    """The pairs of members of a key of different components: one of the two is outside of the largest."""
+    inside = stored(members.join(stored(mixed.select(key, "top"), "keys"), key), "inside")
+    outside = stored(inside.filter("component != top").selectExpr(key, "node AS other", "component AS apart"), "outside")
+    pairs = inside.join(outside, key).filter("component != apart")
+    return pairs.selectExpr("least(node, other) AS a", "greatest(node, other) AS b")
 
 
 def _led(members: DataFrame, name: str) -> DataFrame:
@@ -281,7 +344,7 @@ def duplicate_classes(documents: DataFrame) -> DataFrame:
     Null ids are not the least unless all are.
     """
     sketched = stored(sketch_documents(documents), "sketches")
-    components = stored(connected(similar_nodes(documents, sketched)), "components")
+    components = stored(similar_nodes(documents, sketched), "components")
     rows = (
         sketched.drop("buckets")
         .join(components, "node", "left")

@@ -5,12 +5,14 @@ from collections import Counter
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from made_up import near_copies
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from lienflow.llm import components, licences, near_dup, placement, quality_sampling, queries, repeated_bytes, token_store
+from lienflow.llm.common import text_bytes
 
 
 def rows(frame, *columns):
@@ -272,3 +274,30 @@ def test_placement(spark, frame, empty, tmp_path):
     assert placement.place(empty, shards).count() == 0
     placement.write_sharded(frame, shards, str(tmp_path / "out"), slots=101)
     assert spark.read.parquet(str(tmp_path / "out")).count() == frame.count()
+
+
+@pytest.mark.parametrize("pairs", [4096, 0])
+def test_members_of_a_bucket_are_all_compared(spark, monkeypatch, pairs):
+    """Of a bucket's pairs none is left out because one of the two is like a leader, by either way."""
+    monkeypatch.setattr(near_dup, "PAIRS", pairs)
+    base = [f"w{i}" for i in range(60)]
+
+    def changed(*places):
+        return " ".join(f"x{i}" if i in places else w for i, w in enumerate(base))
+
+    # Each changes two words more: neighbours are similar, those further apart are not.
+    texts = [changed(*range(4, 4 + n)) for n in range(0, 18, 2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    hashed = [near_dup.shingles(near_dup.word_hashes(*text_bytes(pa.array([t])))[0]) for t in texts]
+    links = [(a, b) for a in range(len(texts)) for b in range(a) if near_dup.similarity(hashed[a], hashed[b])]
+    # All in one bucket, and every node led by the first one only.
+    sketched = near_dup.stored(near_dup.sketch_documents(docs).withColumn("buckets", F.expr("array(1L)")), "sketched")
+    expected = list(range(len(texts)))
+    for _ in texts:
+        for a, b in links:
+            expected[a] = expected[b] = min(expected[a], expected[b])
+    found = near_dup.similar_nodes(docs, sketched).join(sketched, "node", "right")
+    classes = {}
+    for r in found.collect():
+        classes.setdefault(bytes(r.component or r.node), set()).add(r.doc_id)
+    assert sorted(map(sorted, classes.values())) == sorted(sorted(i for i, e in enumerate(expected) if e == c) for c in set(expected))
