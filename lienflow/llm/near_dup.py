@@ -39,8 +39,8 @@ SHORT_SKETCHES = 12
 SHORT_DEPTH = 2
 SHORT_TO = 32
 DEEP_FROM = 24
-#: A bucket with more pairs of untied members than these has them found by their rare shingles.
-PAIRS = 4096
+#: A leader with more pairs of untied members than these has them found by their differences from it.
+PAIRS = 256
 
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[65:91] = _WORD[97:123] = _WORD[128:] = True
@@ -224,8 +224,8 @@ def similar_nodes(documents: DataFrame, sketched: DataFrame) -> DataFrame:
     Members of a bucket are compared with its two leaders, those that share most buckets with others, which are
     nearest to all.  Those unlike both go on without them, first as they are, then apart by one more sketch each
     time, until no two are left together; so the work grows with the members of a bucket, not their square.  That
-    ties most of what belongs together.  The pairs of a bucket that no leader has compared and that are not tied yet
-    are compared afterwards (``_left_pairs``), so that no two similar members of a bucket stay apart.
+    ties most of what belongs together.  The pairs of a bucket that no leader has compared, that are not tied yet and
+    that may be similar are compared afterwards (``_left_pairs``), so that no two similar members of a bucket stay apart.
 
     What a bucket's key is joined with is stored first: the runtime splits a hot key only where both sides of a
     join come straight from a shuffle.
@@ -241,13 +241,15 @@ def similar_nodes(documents: DataFrame, sketched: DataFrame) -> DataFrame:
     extra = nodes.selectExpr("node", "r.buckets AS more")
 
     linked: list[DataFrame] = []
-    checked = None
+    checked = first = None
     for turn in range(SKETCHES + SHORT_SKETCHES):
         led = _led(opened, "leader")
         second = _led(led, "second")
         led = stored(led.join(second.select("bucket", "node", "second"), ["bucket", "node"], "left"), "led")
         if led.isEmpty():
             break
+        if first is None:
+            first = led.select("leader", "node").distinct()
         edges = led.selectExpr("leader AS a", "node AS b").unionByName(
             led.filter("second IS NOT NULL").selectExpr("second AS a", "node AS b")
         )
@@ -269,8 +271,8 @@ def similar_nodes(documents: DataFrame, sketched: DataFrame) -> DataFrame:
         return members.selectExpr("node", "node AS component").limit(0)
     found = reduce(DataFrame.unionByName, linked)
     tied = stored(connected(found), "tied")
-    placed = members.select("node", "bucket").join(tied, "node", "left").selectExpr("node", "bucket", "coalesce(component, node) AS component")
-    left = _left_pairs(stored(placed, "placed"), words)
+    groups = first.join(tied, "node", "left").selectExpr("leader", "node", "coalesce(component, node) AS component")
+    left = _left_pairs(stored(groups, "groups"), words)
     seen = checked.selectExpr("least(a, b) AS a", "greatest(a, b) AS b")
     late = stored(_verified(left.join(seen, ["a", "b"], "left_anti"), words), "late").filter("same")
     # The late ties join whole components.
@@ -282,36 +284,84 @@ def similar_nodes(documents: DataFrame, sketched: DataFrame) -> DataFrame:
     return merged.selectExpr("node", "coalesce(root, component) AS component")
 
 
-def _left_pairs(placed: DataFrame, words: DataFrame) -> DataFrame:
-    """Pairs (a < b) of members of a bucket that are not tied; ``placed`` has node, bucket and component.
+def _left_pairs(groups: DataFrame, words: DataFrame) -> DataFrame:
+    """Pairs (a < b) of nodes with a common leader that are not tied; ``groups`` has leader, node and component.
 
-    Of a bucket with more such pairs than ``PAIRS`` the pairs are those that share a shingle among the rarest of
-    each: of two texts that share four fifths of all their shingles, each has one of the others among any fifth of its own
-    and one more.  That leaves out none that are similar.
+    Of a leader with more such pairs than ``PAIRS`` those are left out whose differences from it tell that they
+    cannot be similar (``_near_pairs``).  That leaves out none that are similar.
     """
-    mixed = stored(_mixed(placed, "bucket"), "mixed")
-    few = mixed.filter("(n - most) * n <= {}".format(PAIRS))
-    pairs = _across(placed, few, "bucket")
-    many = placed.join(mixed.filter("(n - most) * n > {}".format(PAIRS)).select("bucket"), "bucket", "left_semi")
-    many = stored(many.select("node", "component").distinct(), "crowded")
+    mixed = stored(_mixed(groups, "leader"), "mixed")
+    pairs = _across(groups, mixed.filter(f"(n - most) * n <= {PAIRS}"), "leader")
+    many = groups.join(mixed.filter(f"(n - most) * n > {PAIRS}").select("leader"), "leader", "left_semi")
+    many = stored(many, "crowded")
     if many.isEmpty():
         return pairs.distinct()
+    return pairs.unionByName(_near_pairs(_differences(many, words))).distinct()
 
-    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _differences(groups: DataFrame, words: DataFrame) -> DataFrame:
+    """member (a number), leader, node, component, size (shingles of the node), led (of the leader) and apart.
+
+    ``apart`` has the labelled shingles that only one of node and leader has.
+    """
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for node, packed in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                own = shingles(np.frombuffer(packed, "<u4").astype(np.uint64)).view(np.int64)
-                columns = [pa.array([node.as_py()] * len(own), pa.binary()), pa.array(own), pa.array(np.full(len(own), len(own)))]
-                yield pa.RecordBatch.from_arrays(columns, ["node", "label", "size"])
-
-    chosen = words.join(many.select("node"), "node", "left_semi").select("node", "words")
-    labels = stored(chosen.mapInArrow(label, "node binary, label bigint, size bigint"), "labels")
-    known = stored(labels.groupBy("label").agg(F.count("*").alias("texts")), "texts")
-    rare = F.row_number().over(Window.partitionBy("node").orderBy("texts", "label"))
-    prefix = F.col("size") - F.ceil(F.col("size") * SIMILARITY - 1e-9) + 1
-    first = labels.join(known, "label").withColumn("place", rare).filter(F.col("place") <= prefix).filter("texts > 1")
-    shared = stored(first.select("node", "label").join(many, "node"), "rare")
-    return pairs.unionByName(_across(shared, _mixed(shared, "label"), "label")).distinct()
+            sizes, leds, apart = [], [], []
+            last: tuple = (None, None)
+            for x, y in zip(*(batch.column(i).to_pylist() for i in (3, 4)), strict=True):
+                if x != last[0]:
+                    last = (x, shingles(np.frombuffer(x, "<u4").astype(np.uint64)))
+                own = shingles(np.frombuffer(y, "<u4").astype(np.uint64))
+                sizes.append(len(own))
+                leds.append(len(last[1]))
+                apart.append(np.setxor1d(own, last[1], assume_unique=True).view(np.int64))
+            columns = [pa.array(sizes, pa.int64()), pa.array(leds, pa.int64()), pa.array(apart, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], [*names, "size", "led", "apart"])
+
+    names = ["leader", "node", "component"]
+    pairs = groups.join(words.selectExpr("node", "words AS wb"), "node").join(
+        words.selectExpr("node AS leader", "words AS wa"), "leader"
+    )
+    schema = "leader binary, node binary, component binary, size bigint, led bigint, apart array<bigint>"
+    found = pairs.select(*names, "wa", "wb").mapInArrow(differ, schema)
+    return stored(found.withColumn("member", F.monotonically_increasing_id()), "differences")
+
+
+def _near_pairs(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components that may be similar, by their differences from the common leader.
+
+    Texts of na and nb shingles reach 0.8 only where at most t = (na + nb) / 9 shingles are in one alone.  With da and
+    db differences from the leader, all but t of these are common, so o = (da + db - t) / 2 and more are.  Two texts
+    that are both near the leader are tied by it; of all other pairs one text is far, with more differences than a
+    ninth of its and the leader's shingles, and o is above 0.  With the differences of all texts in one order, the
+    rarest first, the first common one then has o - 1 others behind it in both texts.  So a text meets far ones by its
+    differences ahead of that place: about the rarer half of them, and never more than a quarter of its shingles.
+
+    Near texts that are not tied, since their shingles come in another order, are paired as they are.
+    """
+    far = F.expr("9 * d > size + led")
+    members = members.withColumn("d", F.expr("bigint(size(apart))"))
+    close = members.filter(~far).select("leader", "node", "component")
+    reordered = _across(close, _mixed(close, "leader"), "leader")
+    # A hash stands for leader and shingle: equal ones of different shingles only add a pair to compare.
+    each = members.selectExpr("member", "leader", "explode(apart) AS shingle").selectExpr("member", "xxhash64(leader, shingle) AS at")
+    common = stored(each.groupBy("at").agg(F.count("*").alias("texts")).filter("texts > 1"), "texts")
+    held = Window.partitionBy("member")
+    behind = F.count("*").over(held) - F.row_number().over(held.orderBy("texts", "at"))
+    facts = members.select("member", "node", "component", "size", "led", "d", far.alias("far"))
+    placed = stored(each.join(common, "at").select("member", "at", behind.alias("behind")), "behind")
+    # What no other text has comes first in the order and finds nothing.
+    ahead = "d - behind <= least(greatest(d - greatest(ceil((9 * d + led - size) / 18), 1) + 1, 0), size div 4 + 1)"
+    placed = placed.join(stored(facts, "facts"), "member")
+    one = stored(placed.filter(ahead).drop("member", "led", "far"), "ahead")
+    two = placed.filter("far AND d - behind <= size div 4 + 1")
+    two = two.selectExpr("at", *[f"{c} AS other_{c}" for c in ("node", "component", "size", "d", "behind")])
+    shared = "(d + other_d - (size + other_size) div 9 + 1) div 2"
+    pairs = one.join(stored(two, "far"), "at").filter(
+        f"component != other_component AND {shared} <= 1 + least(behind, other_behind)"
+    )
+    return pairs.selectExpr("least(node, other_node) AS a", "greatest(node, other_node) AS b").unionByName(reordered)
 
 
 def _mixed(members: DataFrame, key: str) -> DataFrame:

@@ -7,7 +7,7 @@ import brute
 import numpy as np
 import pyarrow as pa
 import pytest
-from made_up import near_copies
+from made_up import near_copies, prose
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -301,3 +301,26 @@ def test_members_of_a_bucket_are_all_compared(spark, monkeypatch, pairs):
     for r in found.collect():
         classes.setdefault(bytes(r.component or r.node), set()).add(r.doc_id)
     assert sorted(map(sorted, classes.values())) == sorted(sorted(i for i, e in enumerate(expected) if e == c) for c in set(expected))
+
+
+def test_copies_that_differ_in_many_places_meet_few(spark):
+    """Copies of one text, each too far from it and from the others: pairs follow the copies, not their square."""
+    rng, n = random.Random(11), 120
+    base = prose(rng, 100).split()
+    texts = []
+    for i in range(n):
+        words = list(base)
+        for k in rng.sample(range(100), 5):
+            words[k] = f"new{i}x{k}"
+        texts.append(" ".join(words))
+    # Three more are copies of copies.
+    texts += [t + " end" for t in texts[:3]]
+    rows = [(i, " ".join(base) if i < 0 else texts[i]) for i in range(-1, len(texts))]
+    hashed, first = near_dup.word_hashes(*text_bytes(pa.array([t for _, t in rows])))
+    packed = [(hashed[a:b] >> np.uint64(32)).astype("<u4").tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
+    node = [i.to_bytes(2, "big") for i in range(len(rows))]
+    words = spark.createDataFrame([(bytearray(k), bytearray(w)) for k, w in zip(node, packed, strict=True)], "node binary, words binary")
+    groups = words.filter(F.col("node") != F.lit(bytearray(node[0]))).selectExpr("unhex('0000') AS leader", "node", "node AS component")
+    found = {(int.from_bytes(r.a, "big"), int.from_bytes(r.b, "big")) for r in near_dup._left_pairs(groups, words).collect()}
+    assert found >= {(1 + i, 1 + n + i) for i in range(3)}
+    assert len(found) < n
