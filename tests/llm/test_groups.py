@@ -1,6 +1,7 @@
 """Operators that set texts against each other."""
 
 import random
+import time
 from collections import Counter
 
 import brute
@@ -61,6 +62,23 @@ def test_repeats(frame, empty, docs):
     assert whole[101] == "" and whole[0] == docs[0][1] and whole[200] is None
 
 
+def test_repeats_leave_no_shuffles(spark, frame):
+    """What a pass has moved is off the disk when it is done, however long the driver collects no garbage."""
+
+    def held():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {b for b in (blocks.apply(i).toString() for i in range(blocks.size())) if b.startswith("shuffle_")}
+
+    before = held()
+    repeated_bytes.removal_digests(frame).collect()
+    for _ in range(50):
+        left = held() - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_repeats_of_little_variety(spark, seed):
     rng = random.Random(seed)
