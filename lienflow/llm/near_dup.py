@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +16,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from lienflow.llm.common import (
+    measured_broadcasts,
     mix,
     run_keys,
     runs,
@@ -27,6 +27,7 @@ from lienflow.llm.common import (
     text_or_empty,
 )
 from lienflow.llm.components import connected
+from lienflow.session import scratch_path
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -240,7 +241,8 @@ def similar_nodes(documents: DataFrame, sketched: DataFrame) -> DataFrame:
     words = stored(_words_of(documents, opened.select("node").distinct().join(one_row, "node")), "words")
     extra = nodes.selectExpr("node", "r.buckets AS more")
 
-    linked: list[DataFrame] = []
+    # What was compared so far is one table that every turn adds to: a plan has one scan of it, however many turns.
+    compared = scratch_path(documents.sparkSession, "known")
     checked = first = None
     for turn in range(SKETCHES + SHORT_SKETCHES):
         led = _led(opened, "leader")
@@ -255,9 +257,9 @@ def similar_nodes(documents: DataFrame, sketched: DataFrame) -> DataFrame:
         )
         edges = edges.distinct()
         new = edges if checked is None else edges.join(checked, ["a", "b"], "left_anti")
-        known = stored(_verified(new, words), "known")
-        linked.append(known.filter("same").select("a", "b"))
-        checked = known if checked is None else checked.unionByName(known)
+        known = _verified(new, words)
+        known.write.mode("append").parquet(compared)
+        checked = known.sparkSession.read.schema(known.schema).parquet(compared)
         unlike = checked.filter("NOT same")
         rest = led.join(unlike.selectExpr("a AS leader", "b AS node"), ["leader", "node"], "left_semi")
         alone = rest.filter("second IS NULL")
@@ -269,8 +271,7 @@ def similar_nodes(documents: DataFrame, sketched: DataFrame) -> DataFrame:
         opened = stored(rest, "opened")
     if checked is None:
         return members.selectExpr("node", "node AS component").limit(0)
-    found = reduce(DataFrame.unionByName, linked)
-    tied = stored(connected(found), "tied")
+    tied = stored(connected(checked.filter("same").select("a", "b")), "tied")
     groups = first.join(tied, "node", "left").selectExpr("leader", "node", "coalesce(component, node) AS component")
     left = _left_pairs(stored(groups, "groups"), words)
     seen = checked.selectExpr("least(a, b) AS a", "greatest(a, b) AS b")
@@ -394,13 +395,14 @@ def duplicate_classes(documents: DataFrame) -> DataFrame:
     Null ids are not the least unless all are.
     """
     sketched = stored(sketch_documents(documents), "sketches")
-    components = stored(similar_nodes(documents, sketched), "components")
-    rows = (
-        sketched.drop("buckets")
-        .join(components, "node", "left")
-        .select("doc_id", "k1", "k2", F.expr("coalesce(component, node)").alias("component"))
-    )
-    rows = stored(rows, "classes")
+    with measured_broadcasts(documents.sparkSession):
+        components = stored(similar_nodes(documents, sketched), "components")
+        rows = (
+            sketched.drop("buckets")
+            .join(components, "node", "left")
+            .select("doc_id", "k1", "k2", F.expr("coalesce(component, node)").alias("component"))
+        )
+        rows = stored(rows, "classes")
     classes = rows.groupBy("component").agg(
         F.min("doc_id").alias("class_id"),
         F.count("*").alias("class_size"),

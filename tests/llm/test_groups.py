@@ -1,6 +1,7 @@
 """Operators that set texts against each other."""
 
 import random
+import re
 import time
 from collections import Counter
 
@@ -342,3 +343,22 @@ def test_copies_that_differ_in_many_places_meet_few(spark):
     found = {(int.from_bytes(r.a, "big"), int.from_bytes(r.b, "big")) for r in near_dup._left_pairs(groups, words).collect()}
     assert found >= {(1 + i, 1 + n + i) for i in range(3)}
     assert len(found) < n
+
+
+def test_joins_send_what_the_runtime_measures(spark, monkeypatch):
+    """No side is broadcast by the size of its file, and a plan scans what was compared once, however many turns."""
+    plans, write = [], near_dup.stored
+
+    def noted(rows, name):
+        plans.append(rows._jdf.queryExecution().sparkPlan().toString())
+        return write(rows, name)
+
+    monkeypatch.setattr(near_dup, "stored", noted)
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(f"x{i}" if i in range(4, 4 + n) else w for i, w in enumerate(base)) for n in range(0, 18, 2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    assert near_dup.duplicate_classes(docs).count() == len(texts)
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == before
+    assert sum("Join" in p for p in plans) > 5 and not any("BroadcastHashJoin" in p for p in plans)
+    assert max(len(re.findall(r"FileScan parquet \[a#\d+,b#\d+,same#", p)) for p in plans) in (1, 2, 3)
