@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_upsert import FIRST, LATER, batch, k
 
-from lienflow.operators import schedule, search, stats
+from lienflow.operators import schedule, search, stats, store as store_module
 from lienflow.operators.quality import backfill_ranges
 from lienflow.operators.store import COUNTED_BY, FilingStore
 from lienflow.plans.ingest import backfill, ingest_landed
@@ -113,6 +113,38 @@ def test_passed_over_deliveries_stay_passed_over(store, tmp_path):
     assert {(r.delivery, r.is_read) for r in store.ledger().collect()} == {("1", False), ("2", True)}
 
 
+# -- what stays on disk -----------------------------------------------------------------------------------
+
+
+def test_a_large_batch_is_merged_in_parts(spark, tmp_path, monkeypatch):
+    """In parts of whole keys the same rows and outcomes, whatever the keys; one part writes after the other."""
+    first = [k(f"F{i % 9}", debtor_name=f"n{i}", source_raw=f"r{i // 2}") for i in range(40)]
+    second = [k(f"F{i % 14}", debtor_name=f"m{i}", source_raw=f"r{i}") for i in range(20, 60)]
+    found, written = {}, []
+    write = FilingStore._write
+    monkeypatch.setattr(FilingStore, "_write", lambda self, rows, name, **more: (written.append(name), write(self, rows, name, **more)))
+    for rows in (1_000_000, 20):
+        monkeypatch.setattr(store_module, "PART_ROWS", rows)
+        store = FilingStore(spark, str(tmp_path / f"store-{rows}"))
+        counts = [sorted(store.upsert(batch(spark, b), FIRST, name).collect()) for name, b in (("one", first), ("two", second))]
+        kept = sorted((r.filing_number, r.debtor_name, r.source_raw) for r in store.filings().collect())
+        found[rows] = kept, counts, sorted(map(tuple, store.statistics().collect()))
+        assert not (tmp_path / f"store-{rows}" / "incoming" / "batch=one").exists()
+        assert not (tmp_path / f"store-{rows}" / "parts" / "batch=one").exists()
+    assert found[20] == found[1_000_000] and len(found[20][0]) == 14
+    assert written.count("one") == 1 + 3
+
+
+def test_what_a_run_reads_into_goes_with_it(spark, store, tmp_path):
+    root = tmp_path / "files"
+    put(root / "KY" / "a.csv", "FileNumber,DebtorName\nK1,x\n")
+    put(root / "CA" / "a.xml", "<Root><Filing><FilingNumber>C1</FilingNumber><Debtor><Name>x</Name></Debtor></Filing></Root>")
+    assert landed(store, root, "one", states=["KY", "CA"]) == {"KY": ("completed", 1), "CA": ("completed", 1)}
+    assert numbers(store) == ["C1", "K1"] and store.parties().count() == 1
+    left = {p.parent.name for p in (tmp_path / "store").glob("*/batch=*")}
+    assert left == {"filings", "statistics", "quarantine", "filing_parties", "ledger", "listing", "ingestion_runs", "event_log"}
+
+
 # -- states by themselves ---------------------------------------------------------------------------------
 
 
